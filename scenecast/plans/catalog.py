@@ -389,3 +389,222 @@ def q_day_report(spark, sf_dir):
     held = ls.held_names(lst.filter(F.pmod("event_id", F.lit(2)) == 0))
     days = ls.day_range(spark, *LISTING_RANGE)
     return finish(nearest.day_report(days, lst, held))
+
+
+# ================================================================ S5, P8-P12, A1-A6 on G
+
+def g_scenes(spark, sf_dir) -> DataFrame:
+    return series.grid_scenes(table(spark, sf_dir, "embeddings"))
+
+
+_G_CELLS_SQL = """
+    g AS (
+      SELECT vec_id, CAST(vec_id AS VARCHAR) AS scene_id, embedding,
+             timestamp '2024-01-01 00:00:00' + to_minutes(vec_id * 10) AS t
+      FROM embeddings),
+    gf AS (
+      SELECT *, 'G_' || strftime(t, '%Y%j') || '_' || strftime(t, '%H%M') || '_'
+                 || CAST(vec_id AS VARCHAR) || '.nc' AS file
+      FROM g),
+    cells AS (
+      SELECT scene_id, file, t, vec_id, i, i // 8 AS y, i % 8 AS x,
+             CAST(embedding[i + 1] AS DOUBLE) AS v,
+             vec_id % 7 <> 0 AS has_quality,
+             CASE WHEN vec_id % 7 = 0 THEN NULL
+                  WHEN (vec_id * 3 + i) % 11 = 0 THEN NULL
+                  ELSE (vec_id + i) % 5 END AS q
+      FROM gf, range(64) r(i)),
+    crop AS (SELECT * FROM cells WHERE y >= 2 AND y < 6 AND x >= 2 AND x < 6),
+    clean AS (
+      SELECT *, CASE WHEN NOT isnan(v) AND v >= 0 AND (NOT has_quality OR coalesce(q = 0, false))
+                     THEN v END AS cv
+      FROM crop),
+    stats AS (
+      SELECT scene_id, file, t AS timestamp, count(*) AS n_pixels, count(cv) AS n_valid,
+             count(CASE WHEN cv < 'Infinity'::DOUBLE THEN 1 END) AS n_finite,
+             avg(cv) AS mean_rr, max(cv) AS max_rr, stddev_pop(cv) AS std_rr,
+             avg(CASE WHEN cv > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS frac_rainy
+      FROM clean GROUP BY scene_id, file, t)"""
+
+
+@query("scene_crop", f"""
+    WITH {_G_CELLS_SQL.strip()}
+    SELECT scene_id, y, x, round(v, 6) AS value, q AS quality FROM crop""")
+def q_scene_crop(spark, sf_dir):
+    """P9 on array scenes: cropped cells, exploded only for the output."""
+    c = sc.center_crop_arrays(g_scenes(spark, sf_dir), G_WINDOW)
+    w = F.col("cx1") - F.col("cx0")
+    out = c.select("scene_id", "cy0", "cx0", w.alias("w"), "quality",
+                   F.posexplode("value").alias("pos", "value"))
+    return finish(out.select(
+        "scene_id", (F.col("cy0") + F.floor(F.col("pos") / F.col("w"))).alias("y"),
+        (F.col("cx0") + F.pmod("pos", "w")).alias("x"),
+        F.col("value").cast("double").alias("value"),
+        F.get(F.col("quality"), F.col("pos")).alias("quality")))
+
+
+@query("scene_clean", f"""
+    WITH {_G_CELLS_SQL.strip()}
+    SELECT scene_id, y, x, round(cv, 6) AS value FROM clean""")
+def q_scene_clean(spark, sf_dir):
+    """P9-P11 on long scenes: crop filter and clean projection."""
+    long = sc.long_from_arrays(g_scenes(spark, sf_dir))
+    c = sc.clean_long(sc.center_crop_long(long, win=G_WINDOW))
+    return finish(c.select("scene_id", "y", "x", "value"))
+
+
+_G_STATS_OUT = f"""
+    SELECT scene_id, file, timestamp, n_pixels, n_valid, n_finite, {r('mean_rr')},
+           {r('max_rr')}, {r('std_rr')}, {r('frac_rainy')},
+           CASE WHEN n_finite = 0 THEN 'no_finite_pixel' END AS reject_reason
+    FROM stats"""
+
+
+@query("scene_stats", f"WITH {_G_CELLS_SQL.strip()} {_G_STATS_OUT}")
+def q_scene_stats(spark, sf_dir):
+    """A1-A5 on array scenes (row-local, no shuffle)."""
+    return finish(sc.scene_stats_arrays(g_scenes(spark, sf_dir), G_WINDOW, 0.0))
+
+
+@query("scene_stats_long", f"WITH {_G_CELLS_SQL.strip()} {_G_STATS_OUT}")
+def q_scene_stats_long(spark, sf_dir):
+    """A1-A5 on long scenes (one groupBy with partial aggregation)."""
+    long = sc.long_from_arrays(g_scenes(spark, sf_dir))
+    return finish(sc.scene_stats_long(long, G_WINDOW, 0.0).select(
+        "scene_id", "file", "timestamp", "n_pixels", "n_valid", "n_finite", "mean_rr",
+        "max_rr", "std_rr", "frac_rainy", "reject_reason"))
+
+
+_CATALOG_SQL = """
+    cat AS (
+      SELECT CAST(vec_id AS VARCHAR) AS scene_id, 'latitude' AS var, 2 AS ndims,
+             'float32' AS dtype, 0 AS ordinal FROM embeddings
+      UNION ALL SELECT CAST(vec_id AS VARCHAR), 'DQF', 2, 'int8', 1 FROM embeddings
+      UNION ALL SELECT CAST(vec_id AS VARCHAR), 'RRQPE', 2, 'float32', 2 FROM embeddings WHERE vec_id % 6 = 0
+      UNION ALL SELECT CAST(vec_id AS VARCHAR), 'RRQPE', 1, 'float32', 2 FROM embeddings WHERE vec_id % 6 = 1
+      UNION ALL SELECT CAST(vec_id AS VARCHAR), 'b', 2, 'int16', 2 FROM embeddings WHERE vec_id % 6 = 2
+      UNION ALL SELECT CAST(vec_id AS VARCHAR), 'c', 2, 'float32', 3 FROM embeddings WHERE vec_id % 6 = 2
+      UNION ALL SELECT CAST(vec_id AS VARCHAR), 'LATITUDE', 2, 'float32', 2 FROM embeddings WHERE vec_id % 6 = 3
+      UNION ALL SELECT CAST(vec_id AS VARCHAR), 'd', 1, 'float64', 3 FROM embeddings WHERE vec_id % 6 = 3
+      UNION ALL SELECT CAST(vec_id AS VARCHAR), 'Longitude', 2, 'float64', 2 FROM embeddings WHERE vec_id % 6 = 4
+      UNION ALL SELECT CAST(vec_id AS VARCHAR), 'e', 2, 'float64', 3 FROM embeddings WHERE vec_id % 6 = 4),
+    cand AS (
+      SELECT scene_id, var, ndims,
+             row_number() OVER (PARTITION BY scene_id ORDER BY var <> 'RRQPE', ordinal) AS rk
+      FROM cat
+      WHERE var = 'RRQPE' OR (lower(var) NOT IN ('latitude', 'longitude') AND ndims = 2
+                              AND lower(dtype) LIKE 'float%')),
+    pick AS (
+      SELECT s.scene_id, c.var, c.ndims
+      FROM (SELECT DISTINCT scene_id FROM cat) s
+      LEFT JOIN cand c ON c.scene_id = s.scene_id AND c.rk = 1)"""
+
+
+@query("pick_variable", f"WITH {_CATALOG_SQL.strip()} SELECT scene_id, var, ndims FROM pick")
+def q_pick_variable(spark, sf_dir):
+    cat = series.variable_catalog(table(spark, sf_dir, "embeddings"))
+    return finish(sc.pick_variable(cat))
+
+
+@query("scene_rejects", f"""
+    WITH {_G_CELLS_SQL.strip()}, {_CATALOG_SQL.strip()},
+    j AS (
+      SELECT CASE WHEN p.var IS NULL THEN 'no_variable'
+                  WHEN p.ndims <> 2 THEN 'not_2d'
+                  WHEN coalesce(s.n_finite, 0) = 0 THEN 'no_finite_pixel'
+                  ELSE 'accepted' END AS outcome
+      FROM stats s JOIN pick p USING (scene_id))
+    SELECT outcome, count(*) AS scenes FROM j GROUP BY outcome""")
+def q_scene_rejects(spark, sf_dir):
+    """P12 + A6: outcome of every scene (variable choice joined per scene)."""
+    st = sc.scene_stats_arrays(g_scenes(spark, sf_dir), G_WINDOW, 0.0)
+    pick = sc.pick_variable(series.variable_catalog(table(spark, sf_dir, "embeddings")))
+    joined = st.drop("reject_reason").join(pick, "scene_id")
+    return finish(sc.reject_counts(sc._finish(joined.drop("timestamp"), None)))
+
+
+# ================================================================ A6, S14, P19-P23, A7 on D
+
+@query("series_profile", f"""
+    WITH {D_FEATURES_CTE.strip()}
+    SELECT count(*) AS rows, string_agg(DISTINCT CAST(year AS VARCHAR), ',' ORDER BY CAST(year AS VARCHAR)) AS years,
+           {r('min(mean_rr)', 'min_mean_rr')}, {r('max(mean_rr)', 'max_mean_rr')}
+    FROM f""")
+def q_series_profile(spark, sf_dir):
+    """Build report of the daily feature table."""
+    rep = sc.build_report(d_features(spark, sf_dir))
+    return finish(rep.select("rows", F.array_join(F.transform("years", lambda y: y.cast("string")),
+                                                  ",").alias("years"),
+                             "min_mean_rr", "max_mean_rr"))
+
+
+_FEATURE_TYPES = [("file", "string"), ("mean_rr", "double"), ("max_rr", "double"),
+                  ("std_rr", "double"), ("frac_rainy", "double"), ("year", "int"),
+                  ("month", "int"), ("day", "int"), ("hour", "int"), ("timestamp_ms", "bigint"),
+                  ("timestamp_str", "string"), ("delta_minutes", "float")]
+
+
+@query("feature_profile", f"""
+    WITH {D_FEATURES_CTE.strip()}
+    """ + " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS \"column\", '{t}' AS type, count(*) AS rows, "
+    f"count({c}) AS non_null FROM f" for i, (c, t) in enumerate(_FEATURE_TYPES)))
+def q_feature_profile(spark, sf_dir):
+    """Schema and non-null counts of the feature table from one aggregate."""
+    return finish(ds.profile(d_features(spark, sf_dir)))
+
+
+_D_FEATURES9 = ["max_rr", "std_rr", "frac_rainy", "delta_minutes", "hour_sin", "hour_cos",
+                "mean_rr_lag1", "mean_rr_lag2", "mean_rr_lag3"]
+_COMPLETE_SQL = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})"
+                             for c in ["mean_rr"] + _D_FEATURES9)
+
+
+@query("time_split", f"""
+    WITH {D_PREPARED_CTE.strip()},
+    sp AS (
+      SELECT *, 'train' AS split FROM p WHERE year = {D_TRAIN_YEAR}
+      UNION ALL
+      SELECT *, 'test' AS split FROM p WHERE date BETWEEN DATE '{D_TEST[0]}' AND DATE '{D_TEST[1]}')
+    SELECT split, file, date, {r('mean_rr')}, {r('mean_rr_lag1')}, {r('mean_rr_lag3')} FROM sp""")
+def q_time_split(spark, sf_dir):
+    """P19-P21 on D: split after the lags (test rows keep history)."""
+    sp = ds.split_frame(d_prepared(spark, sf_dir), D_TRAIN_YEAR, *D_TEST)
+    return finish(sp.select("split", "file", "date", "mean_rr", "mean_rr_lag1", "mean_rr_lag3"))
+
+
+@query("split_counts", f"""
+    WITH {D_PREPARED_CTE.strip()},
+    sp AS (
+      SELECT *, 'train' AS split FROM p WHERE year = {D_TRAIN_YEAR}
+      UNION ALL
+      SELECT *, 'test' AS split FROM p WHERE date BETWEEN DATE '{D_TEST[0]}' AND DATE '{D_TEST[1]}')
+    SELECT split, count(*) AS rows_raw,
+           count(CASE WHEN {_COMPLETE_SQL} THEN 1 END) AS rows_complete
+    FROM sp GROUP BY split""")
+def q_split_counts(spark, sf_dir):
+    """Rows per split before/after the completeness filter, one pass."""
+    return finish(ds.split_counts(ds.split_frame(d_prepared(spark, sf_dir), D_TRAIN_YEAR,
+                                                 *D_TEST)))
+
+
+@query("model_frame", f"""
+    WITH {D_PREPARED_CTE.strip()}
+    SELECT timestamp, {r('mean_rr', 'label')}, {', '.join(r(c) for c in _D_FEATURES9)}
+    FROM p WHERE year = {D_TRAIN_YEAR} AND {_COMPLETE_SQL}""")
+def q_model_frame(spark, sf_dir):
+    """P22 + P23: complete training rows as label + 9 features."""
+    train, _ = ds.time_split(d_prepared(spark, sf_dir), D_TRAIN_YEAR, *D_TEST)
+    return finish(ds.model_frame(train, keys=["timestamp"]))
+
+
+@query("write_read_features", f"""
+    WITH {D_FEATURES_CTE.strip()}
+    SELECT {FEATURE_OUT_SQL} FROM f""")
+def q_write_read_features(spark, sf_dir):
+    """S6 + S7: write the daily feature table partitioned by year to the
+    shared folder, read it back with the declared schema."""
+    from scenecast.session import shared_dir
+    from scenecast.sources import tables
+    path = tables.write_features(d_features(spark, sf_dir), shared_dir(spark, "features"))
+    return finish(tables.read_features(spark, path))

@@ -106,8 +106,8 @@ def events_listing(events: DataFrame, prefix: str = LISTING_PREFIX) -> DataFrame
 
 def grid_time(vec_id: Column) -> Column:
     """G: scene time = epoch + vec_id * 10 minutes."""
-    return F.timestampadd("MINUTE", vec_id * G_STEP_MINUTES,
-                          F.lit(G_EPOCH).cast("timestamp_ntz"))
+    return F.timestamp_add("MINUTE", vec_id * G_STEP_MINUTES,
+                           F.lit(G_EPOCH).cast("timestamp_ntz"))
 
 
 def grid_quality(vec_id: Column) -> Column:
