@@ -87,22 +87,32 @@ def in_window(start, end, date_col: str = "date") -> Column:
     return F.col(date_col).between(F.lit(s), F.lit(e))
 
 
-def time_split(df: DataFrame, train_year: int, test_start, test_end
+def train_condition(train_year: int, train_until=None, date_col: str = "date") -> Column:
+    """The training year, optionally cut before ``train_until`` (exclusive)."""
+    cond = F.col("year") == F.lit(train_year)
+    if train_until is not None:
+        cond = cond & (F.col(date_col) < F.lit(parse_day(train_until)))
+    return cond
+
+
+def time_split(df: DataFrame, train_year: int, test_start, test_end, train_until=None
                ) -> tuple[DataFrame, DataFrame]:
     """(train, test) on a prepared frame; rows in neither vanish."""
-    return (df.filter(F.col("year") == F.lit(train_year)),
+    return (df.filter(train_condition(train_year, train_until)),
             df.filter(in_window(test_start, test_end)))
 
 
-def split_frame(df: DataFrame, train_year: int, test_start, test_end) -> DataFrame:
+def split_frame(df: DataFrame, train_year: int, test_start, test_end,
+                train_until=None) -> DataFrame:
     """P21 as one frame with a ``split`` column, one pass over the input.
 
     A row belonging to both sets (test window inside the train year) appears
     once per set, as with two separate filters.
     """
-    tags = F.array(F.when(F.col("year") == F.lit(train_year), F.lit("train")),
-                   F.when(in_window(test_start, test_end), F.lit("test")))
-    return (df.filter((F.col("year") == F.lit(train_year)) | in_window(test_start, test_end))
+    train = train_condition(train_year, train_until)
+    test = in_window(test_start, test_end)
+    tags = F.array(F.when(train, F.lit("train")), F.when(test, F.lit("test")))
+    return (df.filter(train | test)
             .withColumn("split", F.explode(F.filter(tags, lambda t: t.isNotNull()))))
 
 

@@ -39,11 +39,41 @@ G_WINDOW = 4                                          # G: 8x8 grids cropped to
 LISTING_RANGE = ("2023-12-30", "2024-02-02")          # L: report range, wider than data
 
 
+def positive_zero(sql: str) -> str:
+    """Wrap every ``round(...)`` as ``(round(...) + 0.0)``.
+
+    DuckDB's round keeps the sign of a tiny negative (-0.0); Spark's round
+    goes through a decimal and returns 0.0.  Adding 0.0 turns -0.0 into 0.0.
+    """
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 0, j + len(key) - 1
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j] + "(" + positive_zero(sql[j:k + 1]
+                                                  .replace(key, "ROUND(", 1)) + " + 0.0)")
+        i = k + 1
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = positive_zero(sql)
         return fn
     return deco
 
@@ -608,3 +638,196 @@ def q_write_read_features(spark, sf_dir):
     from scenecast.sources import tables
     path = tables.write_features(d_features(spark, sf_dir), shared_dir(spark, "features"))
     return finish(tables.read_features(spark, path))
+
+
+# ================================================================ H frames, A8-A14, T2, J4, M12, M13
+
+_H9 = _D_FEATURES9
+_H_COMPLETE_SQL = _COMPLETE_SQL
+_H_FRAMES_SQL = f"""
+    {H_PREPARED_CTE.strip()},
+    test AS (
+      SELECT timestamp, mean_rr AS label, {', '.join(_H9)}, month FROM p
+      WHERE date BETWEEN DATE '{H_TEST[0]}' AND DATE '{H_TEST[1]}' AND {_H_COMPLETE_SQL}),
+    train AS (
+      SELECT timestamp, mean_rr AS label, {', '.join(_H9)}, hour FROM p
+      WHERE year = {H_TRAIN_YEAR} AND date < DATE '{H_TRAIN_UNTIL}' AND {_H_COMPLETE_SQL}),
+    pred AS (
+      SELECT 'persistence' AS model, timestamp, label, mean_rr_lag1 AS prediction FROM test
+      UNION ALL SELECT 'lag2', timestamp, label, mean_rr_lag2 FROM test
+      UNION ALL SELECT 'mean3', timestamp, label,
+                       (mean_rr_lag1 + mean_rr_lag2 + mean_rr_lag3) / 3.0 FROM test)"""
+
+PERSISTENCE_MODELS = ["persistence", "lag2", "mean3"]
+
+
+def h_frames(spark, sf_dir, extra: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(train, test) model frames of H with ``timestamp`` kept as key."""
+    p = h_prepared(spark, sf_dir)
+    train, test = ds.time_split(p, H_TRAIN_YEAR, *H_TEST, train_until=H_TRAIN_UNTIL)
+    keys = ["timestamp"] + (extra or [])
+    return ds.model_frame(train, keys=keys), ds.model_frame(test, keys=keys)
+
+
+def h_persistence(spark, sf_dir) -> DataFrame:
+    """Long predictions of three baseline predictors on the H test window."""
+    _, test = h_frames(spark, sf_dir)
+    wide = test.withColumns({
+        "persistence": F.col("mean_rr_lag1"), "lag2": F.col("mean_rr_lag2"),
+        "mean3": (F.col("mean_rr_lag1") + F.col("mean_rr_lag2") + F.col("mean_rr_lag3")) / 3.0})
+    return ev.stack_predictions(wide, {m: m for m in PERSISTENCE_MODELS}, ["timestamp"])
+
+
+_SCORE_SQL = """count(*) AS n,
+           round(sqrt(avg((prediction - label) * (prediction - label))), 6) AS rmse,
+           round(1 - sum((prediction - label) * (prediction - label))
+                 / nullif(count(label) * var_pop(label), 0), 6) AS r2"""
+
+
+@query("persistence_scores", f"""
+    WITH {_H_FRAMES_SQL.strip()}
+    SELECT model, {_SCORE_SQL} FROM pred GROUP BY model""")
+def q_persistence_scores(spark, sf_dir):
+    """RMSE and R^2 of every predictor in one aggregate."""
+    return finish(ev.score(h_persistence(spark, sf_dir)))
+
+
+@query("scores_by_day", f"""
+    WITH {_H_FRAMES_SQL.strip()}
+    SELECT model, CAST(timestamp AS DATE) AS date, {_SCORE_SQL}
+    FROM pred GROUP BY model, CAST(timestamp AS DATE)""")
+def q_scores_by_day(spark, sf_dir):
+    """A10 grouped by model and day."""
+    return finish(ev.scores_by_day(h_persistence(spark, sf_dir)))
+
+
+@query("model_comparison", f"""
+    WITH {_H_FRAMES_SQL.strip()},
+    sc AS (SELECT model, {_SCORE_SQL} FROM pred GROUP BY model)
+    SELECT *, row_number() OVER (ORDER BY rmse, model) AS rank FROM sc""")
+def q_model_comparison(spark, sf_dir):
+    """Models ranked by RMSE."""
+    return finish(ev.compare_models(finish(ev.score(h_persistence(spark, sf_dir)))))
+
+
+def _hist_sql(values_sql: str, bins: int, group: bool) -> str:
+    g = "model, " if group else ""
+    gj = "USING (model)" if group else "ON true"
+    return f"""
+    vals AS ({values_sql}),
+    rng0 AS (SELECT {g}min(x) AS mn, max(x) AS mx FROM vals {'GROUP BY model' if group else ''}),
+    rng AS (SELECT {g}CASE WHEN mn = mx THEN mn - 0.5 ELSE mn END AS lo,
+                   CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS hi FROM rng0),
+    b AS (
+      SELECT {g}least(CAST(floor((x - lo) / (hi - lo) * {float(bins)}) AS BIGINT) + 1, {bins}) AS bin,
+             count(*) AS cnt
+      FROM vals JOIN rng {gj} GROUP BY ALL),
+    allb AS (SELECT {g}lo, hi, CAST(range AS BIGINT) AS bin FROM rng, range(1, {bins + 1}))
+    SELECT {'allb.model, ' if group else ''}allb.bin, round(lo + (allb.bin - 1) * ((hi - lo) / {float(bins)}), 6) AS bin_lo,
+           round(lo + allb.bin * ((hi - lo) / {float(bins)}), 6) AS bin_hi,
+           coalesce(cnt, 0) AS count
+    FROM allb LEFT JOIN b ON {'allb.model = b.model AND ' if group else ''}allb.bin = b.bin"""
+
+
+@query("residual_histogram", f"""
+    WITH {_H_FRAMES_SQL.strip()},
+    {_hist_sql("SELECT model, prediction - label AS x FROM pred", 40, True).strip()}""")
+def q_residual_histogram(spark, sf_dir):
+    """40-bin residual histogram per model (empty bins kept)."""
+    e = rp.with_errors(h_persistence(spark, sf_dir))
+    return finish(rp.histogram(e, "error", rp.RESIDUAL_BINS, ["model"]))
+
+
+@query("target_histogram", f"""
+    WITH {_H_FRAMES_SQL.strip()},
+    {_hist_sql("SELECT label AS x FROM test", 60, False).strip()}""")
+def q_target_histogram(spark, sf_dir):
+    """60-bin histogram of the label on the test window."""
+    _, test = h_frames(spark, sf_dir)
+    return finish(rp.histogram(test, "label", rp.TARGET_BINS))
+
+
+_CORR_COLS = _H9 + ["month"]
+
+
+def _corr_sql() -> str:
+    pairs = [(i, j) for i in range(len(_CORR_COLS)) for j in range(i, len(_CORR_COLS))]
+    aggs = []
+    for i, j in pairs:
+        a, b = _CORR_COLS[i], _CORR_COLS[j]
+        both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+        ca, cb = f"CASE WHEN {both} THEN CAST({a} AS DOUBLE) END", \
+            f"CASE WHEN {both} THEN CAST({b} AS DOUBLE) END"
+        aggs.append(f"covar_pop({ca}, {cb}) / nullif(stddev_pop({ca}) * stddev_pop({cb}), 0)"
+                    f" AS c{i}_{j}")
+    sel = []
+    for i, j in pairs:
+        sel.append(f"SELECT '{_CORR_COLS[i]}' AS f1, '{_CORR_COLS[j]}' AS f2, "
+                   f"round(c{i}_{j}, 6) AS corr FROM one")
+        if i != j:
+            sel.append(f"SELECT '{_CORR_COLS[j]}' AS f1, '{_CORR_COLS[i]}' AS f2, "
+                       f"round(c{i}_{j}, 6) AS corr FROM one")
+    return (f"WITH {_H_FRAMES_SQL.strip()}, one AS MATERIALIZED (SELECT {', '.join(aggs)} "
+            f"FROM test) " + " UNION ALL ".join(sel))
+
+
+@query("feature_correlation", _corr_sql())
+def q_feature_correlation(spark, sf_dir):
+    """Pearson matrix of the 9 features and a constant column (month)."""
+    _, test = h_frames(spark, sf_dir, extra=["month"])
+    return finish(rp.correlation(test, _CORR_COLS))
+
+
+@query("value_range", f"""
+    WITH {_H_FRAMES_SQL.strip()}
+    SELECT model, round(least(min(label), min(prediction)), 6) AS range_min,
+           round(greatest(max(label), max(prediction)), 6) AS range_max
+    FROM pred GROUP BY model""")
+def q_value_range(spark, sf_dir):
+    """Common range of label and prediction per model."""
+    return finish(rp.value_range(h_persistence(spark, sf_dir), group_cols=["model"]))
+
+
+_ERR_COLS_SQL = """timestamp, round(label, 6) AS label, round(prediction, 6) AS prediction,
+           round(prediction - label, 6) AS error, round(abs(prediction - label), 6) AS abs_error,
+           strftime(timestamp, '%m-%d %H:%M') AS time_label"""
+
+
+@query("top_errors", f"""
+    WITH {_H_FRAMES_SQL.strip()}
+    SELECT model, {_ERR_COLS_SQL} FROM pred WHERE model = 'persistence'
+    ORDER BY abs(prediction - label) DESC, timestamp LIMIT {rp.TOP_ERRORS}""")
+def q_top_errors(spark, sf_dir):
+    """T2 + P24 + P25: the 20 largest absolute errors of one model."""
+    p = h_persistence(spark, sf_dir).filter(F.col("model") == "persistence")
+    return finish(rp.top_errors(p))
+
+
+@query("top_errors_per_model", f"""
+    WITH {_H_FRAMES_SQL.strip()},
+    rk AS (SELECT *, row_number() OVER (PARTITION BY model
+                    ORDER BY abs(prediction - label) DESC, timestamp) AS rank FROM pred)
+    SELECT model, {_ERR_COLS_SQL}, rank FROM rk WHERE rank <= {rp.TOP_ERRORS}""")
+def q_top_errors_per_model(spark, sf_dir):
+    """T2 per model: row_number <= 20 (partial group limit before the shuffle)."""
+    return finish(rp.top_errors(h_persistence(spark, sf_dir), group_cols=["model"]))
+
+
+@query("model_overlay", f"""
+    WITH {_H_FRAMES_SQL.strip()}
+    SELECT timestamp,
+           round(max(CASE WHEN model = 'persistence' THEN label END), 6) AS label,
+           {', '.join(f"round(max(CASE WHEN model = '{m}' THEN prediction END), 6) AS {m}"
+                      for m in PERSISTENCE_MODELS)}
+    FROM pred GROUP BY timestamp""")
+def q_model_overlay(spark, sf_dir):
+    """J4 + U3: label and every model's prediction aligned on time."""
+    return finish(rp.overlay(h_persistence(spark, sf_dir), PERSISTENCE_MODELS))
+
+
+@query("prediction_series", f"""
+    WITH {_H_FRAMES_SQL.strip()}
+    SELECT model, {_ERR_COLS_SQL} FROM pred""")
+def q_prediction_series(spark, sf_dir):
+    """M13 + P24: per-model series of label, prediction and errors."""
+    return finish(rp.prediction_series(h_persistence(spark, sf_dir)))
