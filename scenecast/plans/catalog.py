@@ -831,3 +831,140 @@ def q_model_overlay(spark, sf_dir):
 def q_prediction_series(spark, sf_dir):
     """M13 + P24: per-model series of label, prediction and errors."""
     return finish(rp.prediction_series(h_persistence(spark, sf_dir)))
+
+
+# ================================================================ M1-M13 (MLlib)
+
+def _m():
+    from scenecast.operators import models
+    return models
+
+
+@query("standardized", f"""
+    WITH {_H_FRAMES_SQL.strip()}
+    SELECT timestamp, {', '.join(
+        f"round(CASE WHEN stddev_samp({c}) OVER () = 0 THEN 0.0 ELSE ({c} - avg({c}) OVER ())"
+        f" / stddev_samp({c}) OVER () END, 6) AS {c}" for c in _H9)}
+    FROM train""")
+def q_standardized(spark, sf_dir):
+    """M1 + M2: assembled features standardised by MLlib (mean, sample std)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StandardScaler
+    from pyspark.ml.functions import vector_to_array
+    train, _ = h_frames(spark, sf_dir)
+    pipe = Pipeline(stages=[_m().assembler(_H9),
+                            StandardScaler(inputCol="features", outputCol="scaled",
+                                           withMean=True, withStd=True)])
+    out = pipe.fit(train).transform(train).withColumn("__a", vector_to_array("scaled"))
+    return finish(out.select("timestamp", *[F.col("__a")[i].alias(c) for i, c in enumerate(_H9)]))
+
+
+@query("linreg_one_feature", f"""
+    WITH {_H_FRAMES_SQL.strip()}
+    SELECT 'mean_rr_lag1' AS feature, round(regr_slope(label, mean_rr_lag1), 6) AS coefficient,
+           round(regr_intercept(label, mean_rr_lag1), 6) AS intercept, count(*) AS n
+    FROM train""")
+def q_linreg_one_feature(spark, sf_dir):
+    """M3: least squares on one feature, distributed fit, against regr_*."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import LinearRegression
+    train, _ = h_frames(spark, sf_dir)
+    m = Pipeline(stages=[_m().assembler(["mean_rr_lag1"]),
+                         LinearRegression(featuresCol="features", labelCol="label")]).fit(train)
+    lr = m.stages[-1]
+    return finish(spark.createDataFrame(
+        [("mean_rr_lag1", float(lr.coefficients[0]), float(lr.intercept),
+          int(lr.summary.numInstances))],
+        "feature string, coefficient double, intercept double, n bigint"))
+
+
+@query("tree_stump", f"""
+    WITH {_H_FRAMES_SQL.strip()},
+    hv AS (SELECT DISTINCT CAST(hour AS DOUBLE) AS h FROM train),
+    th AS (SELECT (h + lead(h) OVER (ORDER BY h)) / 2 AS t FROM hv),
+    cand AS (
+      SELECT t, count(CASE WHEN hour <= t THEN 1 END) AS nl,
+             sum(CASE WHEN hour <= t THEN label END) AS sl,
+             sum(CASE WHEN hour <= t THEN label * label END) AS ql,
+             count(CASE WHEN hour > t THEN 1 END) AS nr,
+             sum(CASE WHEN hour > t THEN label END) AS sr,
+             sum(CASE WHEN hour > t THEN label * label END) AS qr
+      FROM th JOIN train ON true WHERE t IS NOT NULL GROUP BY t),
+    best AS (
+      SELECT * FROM cand WHERE nl > 0 AND nr > 0
+      ORDER BY (ql - sl * sl / nl) + (qr - sr * sr / nr), t LIMIT 1)
+    SELECT round(t, 6) AS threshold, round(sl / nl, 6) AS left_mean,
+           round(sr / nr, 6) AS right_mean, nl AS n_left, nr AS n_right
+    FROM best""")
+def q_tree_stump(spark, sf_dir):
+    """M4 at depth 1 on ``hour`` (24 values < 32 bins): the exhaustive best split."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import DecisionTreeRegressor
+    train, _ = h_frames(spark, sf_dir, extra=["hour"])
+    m = Pipeline(stages=[_m().assembler(["hour"]), DecisionTreeRegressor(
+        featuresCol="features", labelCol="label", maxDepth=1, minInstancesPerNode=1)]
+    ).fit(train)
+    root = m.stages[-1]._java_obj.rootNode()
+    t = float(root.split().threshold())
+    sides = train.agg(F.count_if(F.col("hour") <= t).alias("n_left"),
+                      F.count_if(F.col("hour") > t).alias("n_right"))
+    return finish(sides.select(
+        F.lit(t).alias("threshold"), F.lit(float(root.leftChild().prediction())).alias("left_mean"),
+        F.lit(float(root.rightChild().prediction())).alias("right_mean"), "n_left", "n_right"))
+
+
+def _fit_score(spark, sf_dir, names: list[str], boosted_rounds: int = 20):
+    models = _m()
+    train, test = h_frames(spark, sf_dir)
+    specs = models.default_specs(_H9, boosted_rounds=boosted_rounds)
+    fitted = models.fit_models(train, {n: specs[n] for n in names})
+    return fitted, test
+
+
+def _scores_query(names):
+    def run(spark, sf_dir):
+        fitted, test = _fit_score(spark, sf_dir, names)
+        return finish(ev.score(_m().predict(fitted, test, ["timestamp"])))
+    return run
+
+
+query("linreg_nine")(_scores_query(["linear_regression"]))
+query("tree")(_scores_query(["decision_tree"]))
+query("forest")(_scores_query(["random_forest"]))
+query("boosted")(_scores_query(["boosted_trees"]))
+
+
+@query("importance_rank")
+def q_importance_rank(spark, sf_dir):
+    """M10 + T3: feature importances of the tree models, ranked."""
+    fitted, _ = _fit_score(spark, sf_dir, ["decision_tree", "random_forest"])
+    return finish(_m().importances(fitted, _H9, spark))
+
+
+@query("linreg_coefficients")
+def q_linreg_coefficients(spark, sf_dir):
+    """M11 + T4: linear coefficients on scaled features, ranked by magnitude."""
+    fitted, _ = _fit_score(spark, sf_dir, ["linear_regression"])
+    return finish(_m().coefficients(fitted["linear_regression"], _H9, spark=spark))
+
+
+@query("backtest_saved")
+def q_backtest_saved(spark, sf_dir):
+    """Fit, save under a run folder, record the run, find the
+    latest run, reload its models and score another window."""
+    from scenecast.session import shared_dir
+    from scenecast.sources import store
+    names = ["linear_regression", "decision_tree"]
+    fitted, test = _fit_score(spark, sf_dir, names)
+    root = shared_dir(spark, "models")
+    run_dir = f"{root}/{store.new_run_id()}"
+    store.save_models(fitted, run_dir)
+    scores = ev.score(_m().predict(fitted, test, ["timestamp"]))
+    store.write_run_record(store.run_record(run_dir.rsplit("/", 1)[-1], H_TRAIN_YEAR,
+                                            H_TEST[0], H_TEST[1], _H9, scores), run_dir)
+    latest = store.latest_run(spark, root)
+    loaded = store.load_models(spark, latest, names + ["boosted_trees"], missing="skip")
+    h = table(spark, sf_dir, "events")
+    window = ds.load_window(series.hourly_features(h), "2024-01-20", "2024-01-31",
+                            lag_bucket=F.date_trunc("day", F.col("timestamp")))
+    return finish(ev.score(_m().predict(loaded, window, ["timestamp"])))
