@@ -17,6 +17,9 @@ NAME_S_PATTERN = r"_s(\d{14})"
 NAME_DOY_PATTERN = r"_(\d{4})(\d{3})_(\d{2})(\d{2})_"
 URL_HHMM_PATTERN = r"/(\d{2})(\d{2})/[^/]+\.nc$"
 URL_DAY_PATTERN = r"/(\d{4})/(\d{2})/(\d{2})/\d{4}/[^/]+\.nc$"
+# the same two patterns with one capture group each (used for parsing)
+URL_HHMM_SEGMENT = r"/(\d{4})/[^/]+\.nc$"
+URL_DAY_SEGMENT = r"/(\d{4}/\d{2}/\d{2})/\d{4}/[^/]+\.nc$"
 
 # Python's datetime range; a parsed time outside it is invalid.
 _MIN_YEAR, _MAX_YEAR = 1, 9999
@@ -68,28 +71,28 @@ def file_timestamp(name) -> Column:
 
 
 def url_hour(url) -> Column:
-    """HH of the ``/HHmm/`` segment before the file; null when unmatched."""
-    u = _c(url)
-    return F.when(u.rlike(URL_HHMM_PATTERN), _group(u, URL_HHMM_PATTERN, 1).cast("int"))
+    """HH of the ``/HHmm/`` segment before the file; null when unmatched.
+
+    ``regexp_extract`` gives '' when the url does not match; ``try_cast``
+    turns that into null without a second regex test.
+    """
+    return _group(_c(url), URL_HHMM_PATTERN, 1).try_cast("int")
 
 
 def url_minute(url) -> Column:
     """Mm of the ``/HHmm/`` segment; null when unmatched (no range check)."""
-    u = _c(url)
-    return F.when(u.rlike(URL_HHMM_PATTERN), _group(u, URL_HHMM_PATTERN, 2).cast("int"))
+    return _group(_c(url), URL_HHMM_PATTERN, 2).try_cast("int")
 
 
 def minute_of_day(url) -> Column:
-    """P5: HH*60 + mm of the url's ``/HHmm/`` segment."""
-    return url_hour(url) * 60 + url_minute(url)
+    """P5: HH*60 + mm of the url's ``/HHmm/`` segment (one regex, two groups)."""
+    hhmm = _group(_c(url), URL_HHMM_SEGMENT, 1).try_cast("int")
+    return F.floor(hhmm / 100).cast("int") * 60 + F.pmod(hhmm, F.lit(100))
 
 
 def url_day(url) -> Column:
     """The ``yyyy/MM/dd`` day prefix of a listing url as a date (null if absent)."""
-    u = _c(url)
-    return F.when(u.rlike(URL_DAY_PATTERN), F.try_to_date(
-        F.concat_ws("-", _group(u, URL_DAY_PATTERN, 1), _group(u, URL_DAY_PATTERN, 2),
-                    _group(u, URL_DAY_PATTERN, 3)), "yyyy-MM-dd"))
+    return F.try_to_date(_group(_c(url), URL_DAY_SEGMENT, 1), "yyyy/MM/dd")
 
 
 def day_prefix(prefix: str, day) -> Column:

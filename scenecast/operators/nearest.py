@@ -20,26 +20,41 @@ from scenecast.sources.listing import with_listing_fields
 HOURS = 24
 
 
+def per_day_picks(listing: DataFrame, url_col: str = "url", hours: int = HOURS
+                  ) -> DataFrame:
+    """One row per listed day: ``day, available, picks`` (array of 24 structs
+    ``hour, url, minute``; null entries when no url of the day parses).
+
+    ``available`` counts every listed file of the day, parseable or not.
+    """
+    f = with_listing_fields(listing, url_col)
+    # unparseable urls give a null key, which min() ignores: no filter is
+    # needed below the aggregate (a filter there would be pushed into the
+    # scan projection and re-evaluate the parsing expressions)
+    aggs = [F.count(F.lit(1)).alias("available")]
+    for h in range(hours):
+        key = F.struct(F.abs(F.col("minute") - F.lit(60 * h)).alias("dist"),
+                       F.col("minute").alias("minute"), F.col(url_col).alias("url"))
+        aggs.append(F.min(F.when(F.col("minute").isNotNull(), key)).alias(f"h{h}"))
+    per_day = f.groupBy("day").agg(*aggs).filter(F.col("day").isNotNull())
+    picks = F.array(*[F.struct(F.lit(h).alias("hour"), F.col(f"h{h}.url").alias("url"),
+                               F.col(f"h{h}.minute").alias("minute"))
+                      for h in range(hours)])
+    return per_day.select("day", "available",
+                          F.when(F.col("h0").isNotNull(), picks).alias("picks"))
+
+
 def nearest_per_hour(listing: DataFrame, url_col: str = "url", hours: int = HOURS
                      ) -> DataFrame:
     """J1 + U1: distinct chosen files per day: ``day, url, name, minute, hours``.
 
     ``hours`` lists the target hours each file was chosen for.  Urls without
     a ``/HHmm/`` segment are dropped; a day with one file picks it for every
-    hour; hour 0 never looks at the previous day.
+    hour; hour 0 never looks at the previous day.  The final ``groupBy(day,
+    url)`` runs on the per-day partitioning, so it adds no shuffle.
     """
-    f = with_listing_fields(listing, url_col).filter(
-        F.col("minute").isNotNull() & F.col("day").isNotNull())
-    picks = []
-    for h in range(hours):
-        key = F.struct(F.abs(F.col("minute") - F.lit(60 * h)).alias("dist"),
-                       F.col("minute").alias("minute"), F.col(url_col).alias("url"))
-        picks.append(F.min(key).alias(f"h{h}"))
-    per_day = f.groupBy("day").agg(*picks)
-    chosen = F.array(*[F.struct(F.lit(h).alias("hour"), F.col(f"h{h}.url").alias("url"),
-                                F.col(f"h{h}.minute").alias("minute"))
-                       for h in range(hours)])
-    exploded = per_day.select("day", F.explode(chosen).alias("c"))
+    exploded = per_day_picks(listing, url_col, hours).select(
+        "day", F.explode("picks").alias("c"))
     return (exploded.groupBy("day", F.col("c.url").alias("url"))
             .agg(F.min("c.minute").alias("minute"),
                  F.sort_array(F.collect_list("c.hour")).alias("hours"))
@@ -65,31 +80,36 @@ def day_report(days: DataFrame, listing: DataFrame, held: DataFrame,
     held and not chosen on an earlier day - each copy is requested once),
     ``local_now`` = files held before + distinct new names so far (all
     copies assumed to succeed), ``delta`` = growth that day.
+
+    One linear chain: the per-day aggregate (available + 24 picks) is
+    exploded to at most 24 rows a day, held names are flagged with a left
+    join, each name's first day comes from a window over the chosen rows,
+    and one ``groupBy(day)`` counts everything.
     """
-    f = with_listing_fields(listing, url_col)
-    available = f.filter(F.col("day").isNotNull()).groupBy("day").agg(
-        F.count(F.lit(1)).alias("available"))
-    chosen = nearest_per_hour(listing, url_col)
-    n_chosen = chosen.groupBy("day").agg(F.count(F.lit(1)).alias("chosen"))
-    fresh = skip_existing(chosen, held)
-    # a name chosen on several days is only requested on the first of them
-    first_day = fresh.groupBy("name").agg(F.min("day").alias("day"))
-    requested = (fresh.join(first_day, ["name", "day"])
-                 .groupBy("day").agg(F.count(F.lit(1)).alias("new_requested")))
-    new_names = first_day.groupBy("day").agg(F.count(F.lit(1)).alias("new_names"))
-    held_before = held.select("name").distinct().agg(F.count(F.lit(1)).alias("n_held"))
-    per_day = (days.select("day")
-               .join(available, "day", "left")
-               .join(n_chosen, "day", "left")
-               .join(requested, "day", "left")
-               .join(new_names, "day", "left")
-               .select("day", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-                                for c in ["available", "chosen", "new_requested",
-                                          "new_names"]]))
+    chosen = (per_day_picks(listing, url_col)
+              .select("day", "available", F.explode_outer(
+                  F.array_distinct(F.transform("picks", lambda p: p["url"]))).alias("url"))
+              .withColumn("name", F.element_at(F.split("url", "/"), -1)))
+    held_names = held.select(F.col("name").alias("name")).distinct().withColumn(
+        "is_held", F.lit(True))
+    flagged = chosen.join(held_names, "name", "left")
+    fresh = F.col("url").isNotNull() & F.col("is_held").isNull()
+    w_name = Window.partitionBy("name")
+    first = F.min(F.when(fresh, F.col("day"))).over(w_name)
+    marked = flagged.withColumn("first_day", first)
+    is_new = fresh & (F.col("day") == F.col("first_day"))
+    per_day = marked.groupBy("day").agg(
+        F.max("available").alias("available"),
+        F.count("url").alias("chosen"),
+        F.count_if(is_new).alias("new_requested"),
+        F.count_distinct(F.when(is_new, F.col("name"))).alias("new_names"))
+    full = (days.select("day").join(per_day, "day", "left")
+            .select("day", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+                             for c in ["available", "chosen", "new_requested", "new_names"]]))
     # Running total over the per-day table (one row per day of the range)
     w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    n_held = held_before.scalar()
-    return per_day.select(
+    n_held = held.select("name").distinct().agg(F.count(F.lit(1))).scalar()
+    return full.select(
         "day", "available", "chosen", "new_requested",
         (n_held + F.sum("new_names").over(w)).cast("long").alias("local_now"),
         F.col("new_names").alias("delta"))
