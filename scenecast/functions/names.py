@@ -42,11 +42,12 @@ def timestamp_style_s(name) -> Column:
     """Time from ``_sYYYYMMDDHHMMSS``; null when absent or invalid."""
     d = _group(_c(name), NAME_S_PATTERN, 1)
     y = F.substring(d, 1, 4).cast("int")
+    sec = F.substring(d, 13, 2).cast("int")
     ts = F.try_make_timestamp_ntz(
         y, F.substring(d, 5, 2).cast("int"), F.substring(d, 7, 2).cast("int"),
-        F.substring(d, 9, 2).cast("int"), F.substring(d, 11, 2).cast("int"),
-        F.substring(d, 13, 2).cast("int"))
-    return F.when((d != "") & (y >= _MIN_YEAR), ts)
+        F.substring(d, 9, 2).cast("int"), F.substring(d, 11, 2).cast("int"), sec)
+    # Spark reads second 60 as a leap second (next minute); the format does not
+    return F.when((d != "") & (y >= _MIN_YEAR) & (sec < 60), ts)
 
 
 def timestamp_style_doy(name) -> Column:
