@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scenecast.functions.calendar import epoch_micros
-from scenecast.session import ensure_checkpoint_dir
+from scenecast.session import materialize as checkpoint_table
 
 
 def _cols(xs) -> list[Column]:
@@ -70,8 +70,7 @@ def add_lags_two_level(df: DataFrame, value_cols: list[str], n_lags: int,
            for c in value_cols for j in range(1, k + 1)},
     })
     if materialize:
-        ensure_checkpoint_dir(staged.sparkSession)
-        staged = staged.checkpoint(eager=True)
+        staged = checkpoint_table(staged)
 
     # per bucket: its last k rows, ascending -> one small array per bucket
     tail_struct = F.struct(F.col("__rn").alias("rn"),

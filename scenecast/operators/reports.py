@@ -49,18 +49,20 @@ def histogram(df: DataFrame, col: str, bins: int, group_cols: list[str] | None =
                      .otherwise(F.col("__mx")).alias("hi"))
     idx = F.least(F.floor((F.col("__x") - F.col("lo")) / (F.col("hi") - F.col("lo"))
                           * F.lit(float(bins))) + 1, F.lit(bins)).cast("long")
+    seq = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(bins).cast("long"))).alias("bin")
     if group_cols:
         # one range row per group; adaptive execution picks the join strategy
         with_rng = vals.join(rng, group_cols)
+        all_bins = rng.select(*group_cols, "lo", "hi", seq)
     else:
-        # one global range: a scalar subquery evaluated once, no join at all
+        # one global range: a scalar subquery evaluated once, no join at all;
+        # the bin list reuses the same subquery
         b = rng.select(F.struct("lo", "hi").alias("b")).scalar()
-        with_rng = vals.withColumns({"lo": b.getField("lo"), "hi": b.getField("hi")})
+        lo_hi = {"lo": b.getField("lo"), "hi": b.getField("hi")}
+        with_rng = vals.withColumns(lo_hi)
+        all_bins = df.sparkSession.range(1).select(seq).withColumns(lo_hi)
     counts = with_rng.groupBy(*group_cols, idx.alias("bin")).agg(
         F.count(F.lit(1)).alias("count"))
-    all_bins = rng.select(*group_cols, "lo", "hi",
-                          F.explode(F.sequence(F.lit(1).cast("long"),
-                                               F.lit(bins).cast("long"))).alias("bin"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     return (all_bins.join(counts, group_cols + ["bin"], "left")
             .select(*group_cols, "bin",

@@ -76,3 +76,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return base
+
+
+def materialize(df):
+    """Write ``df`` once with a reliable checkpoint and cut its lineage.
+
+    For small tables that are expensive to derive (e.g. per-scene rows built
+    from all pixels) and read by several branches of later plans.  The
+    checkpoint lands in the shared ``spark.checkpoint.dir``, so it survives
+    the loss of any executor.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
