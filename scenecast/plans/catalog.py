@@ -334,10 +334,10 @@ _L_SQL = """
     l AS (
       SELECT 'gs://bucket/scenes/' || strftime(ts, '%Y/%m/%d/%H%M') || '/X_s'
                || strftime(ts, '%Y%m%d%H%M%S') || '0_' || CAST(event_id AS VARCHAR) || '.nc'
-               AS url, event_id, ts
+               AS url, event_id, event_type, ts
       FROM events),
     lf AS (
-      SELECT url, event_id, CAST(ts AS DATE) AS day,
+      SELECT url, event_id, event_type, CAST(ts AS DATE) AS day,
              hour(ts) * 60 + minute(ts) AS minute,
              'X_s' || strftime(ts, '%Y%m%d%H%M%S') || '0_' || CAST(event_id AS VARCHAR) || '.nc'
                AS name
@@ -348,6 +348,12 @@ def listing(spark, sf_dir) -> DataFrame:
     return series.events_listing(table(spark, sf_dir, "events"))
 
 
+def held_listing(spark, sf_dir) -> DataFrame:
+    """Files already held: those of the ``view`` and ``click`` events."""
+    ev_ = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click"))
+    return series.events_listing(ev_)
+
+
 @query("day_listing", f"""
     WITH {_L_SQL.strip()}
     SELECT url, event_id, day, minute, name,
@@ -382,20 +388,20 @@ def q_nearest_hour_files(spark, sf_dir):
 
 @query("new_files", f"""
     WITH {_NEAREST_SQL.strip()},
-    held AS (SELECT name FROM lf WHERE event_id % 2 = 0)
+    held AS (SELECT name FROM lf WHERE event_type IN ('view', 'click'))
     SELECT day, url, name FROM chosen c
     WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.name = c.name)""")
 def q_new_files(spark, sf_dir):
-    """Chosen files not yet held; held = names of even event ids."""
+    """Chosen files not yet held (held = files of view/click events)."""
     lst = listing(spark, sf_dir)
-    held = ls.held_names(lst.filter(F.pmod("event_id", F.lit(2)) == 0))
+    held = ls.held_names(held_listing(spark, sf_dir))
     c = nearest.skip_existing(nearest.nearest_per_hour(lst), held)
     return finish(c.select("day", "url", "name"))
 
 
 @query("day_report", f"""
     WITH {_NEAREST_SQL.strip()},
-    held AS (SELECT DISTINCT name FROM lf WHERE event_id % 2 = 0),
+    held AS (SELECT DISTINCT name FROM lf WHERE event_type IN ('view', 'click')),
     days AS (SELECT CAST(d AS DATE) AS day FROM range(DATE '{LISTING_RANGE[0]}',
              DATE '{LISTING_RANGE[1]}' + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)),
     avail AS (SELECT day, count(*) AS available FROM lf GROUP BY day),
@@ -418,7 +424,7 @@ def q_new_files(spark, sf_dir):
 def q_day_report(spark, sf_dir):
     """J3 + W3 + S2 over a day range wider than the data (empty days kept)."""
     lst = listing(spark, sf_dir)
-    held = ls.held_names(lst.filter(F.pmod("event_id", F.lit(2)) == 0))
+    held = ls.held_names(held_listing(spark, sf_dir))
     days = ls.day_range(spark, *LISTING_RANGE)
     return finish(nearest.day_report(days, lst, held))
 
