@@ -1,13 +1,19 @@
 """Choosing files and the daily download report.
 
 J1 picks, for each day and each whole hour, the file whose minute of day is
-nearest to ``60*h`` (ties: the earlier minute, then the smaller url).  The
-24 choices are 24 ``min(struct(distance, minute, url))`` aggregates of one
-``groupBy(day)``: every file is compared with the 24 targets inside its
-row, partial aggregation leaves at most one candidate per hour, day and
-task, and the shuffle moves those candidates only.  No file x hour product
-is ever materialised, and a day with a third of all files is reduced on
-every task before it is shuffled.
+nearest to ``60*h`` (ties: the earlier minute, then the smaller url).  It
+runs in two exact phases:
+
+1. one ``groupBy(day)`` with 24 ``min`` aggregates over a packed long
+   ``distance * 2^14 + minute`` (a minute of day is below 2^14): a
+   code-generated hash aggregate with partial aggregation before the
+   shuffle, so a day holding a third of all files is reduced on every task;
+   it yields the winning minute of every hour and the day's file count;
+2. the files sitting at a winning minute (a semi join against at most 24
+   rows a day, which adaptive execution broadcasts once it has measured
+   them) give the smallest url of each (day, minute).
+
+No file x hour product is ever materialised.
 """
 
 from __future__ import annotations
@@ -18,30 +24,41 @@ from pyspark.sql import functions as F
 from scenecast.sources.listing import with_listing_fields
 
 HOURS = 24
+_SHIFT = 1 << 14          # minute of day ("HHmm" without range check) is < 6040
 
 
-def per_day_picks(listing: DataFrame, url_col: str = "url", hours: int = HOURS
-                  ) -> DataFrame:
-    """One row per listed day: ``day, available, picks`` (array of 24 structs
-    ``hour, url, minute``; null entries when no url of the day parses).
+def per_hour_winners(listing: DataFrame, url_col: str = "url", hours: int = HOURS
+                     ) -> tuple[DataFrame, DataFrame]:
+    """Phase 1: ``(fields, winners)``.
 
-    ``available`` counts every listed file of the day, parseable or not.
+    ``winners`` has one row per listed day and target hour: ``day,
+    available, hour, minute`` (minute null when no url of the day parses);
+    ``available`` counts every listed file of the day.
     """
-    f = with_listing_fields(listing, url_col)
-    # unparseable urls give a null key, which min() ignores: no filter is
-    # needed below the aggregate (a filter there would be pushed into the
-    # scan projection and re-evaluate the parsing expressions)
+    f = with_listing_fields(listing, url_col).select(
+        F.col(url_col).alias("url"), "day", "minute")
+    m = F.col("minute")
     aggs = [F.count(F.lit(1)).alias("available")]
-    for h in range(hours):
-        key = F.struct(F.abs(F.col("minute") - F.lit(60 * h)).alias("dist"),
-                       F.col("minute").alias("minute"), F.col(url_col).alias("url"))
-        aggs.append(F.min(F.when(F.col("minute").isNotNull(), key)).alias(f"h{h}"))
+    aggs += [F.min(F.abs(m - F.lit(60 * h)) * F.lit(_SHIFT) + m).alias(f"k{h}")
+             for h in range(hours)]
     per_day = f.groupBy("day").agg(*aggs).filter(F.col("day").isNotNull())
-    picks = F.array(*[F.struct(F.lit(h).alias("hour"), F.col(f"h{h}.url").alias("url"),
-                               F.col(f"h{h}.minute").alias("minute"))
+    slots = F.array(*[F.struct(F.lit(h).alias("hour"),
+                               F.pmod(F.col(f"k{h}"), F.lit(_SHIFT)).alias("minute"))
                       for h in range(hours)])
-    return per_day.select("day", "available",
-                          F.when(F.col("h0").isNotNull(), picks).alias("picks"))
+    winners = per_day.select("day", "available", F.explode(slots).alias("s")).select(
+        "day", "available", F.col("s.hour").alias("hour"), F.col("s.minute").alias("minute"))
+    return f, winners
+
+
+def per_hour_picks(listing: DataFrame, url_col: str = "url", hours: int = HOURS
+                   ) -> DataFrame:
+    """Phases 1 + 2: ``day, available, hour, minute, url`` (url null when the
+    day has no parseable url)."""
+    f, winners = per_hour_winners(listing, url_col, hours)
+    wanted = winners.filter(F.col("minute").isNotNull()).select("day", "minute").distinct()
+    best = (f.join(wanted, ["day", "minute"], "left_semi")
+            .groupBy("day", "minute").agg(F.min("url").alias("url")))
+    return winners.join(best, ["day", "minute"], "left")
 
 
 def nearest_per_hour(listing: DataFrame, url_col: str = "url", hours: int = HOURS
@@ -50,14 +67,12 @@ def nearest_per_hour(listing: DataFrame, url_col: str = "url", hours: int = HOUR
 
     ``hours`` lists the target hours each file was chosen for.  Urls without
     a ``/HHmm/`` segment are dropped; a day with one file picks it for every
-    hour; hour 0 never looks at the previous day.  The final ``groupBy(day,
-    url)`` runs on the per-day partitioning, so it adds no shuffle.
+    hour; hour 0 never looks at the previous day.
     """
-    exploded = per_day_picks(listing, url_col, hours).select(
-        "day", F.explode("picks").alias("c"))
-    return (exploded.groupBy("day", F.col("c.url").alias("url"))
-            .agg(F.min("c.minute").alias("minute"),
-                 F.sort_array(F.collect_list("c.hour")).alias("hours"))
+    picks = per_hour_picks(listing, url_col, hours).filter(F.col("url").isNotNull())
+    return (picks.groupBy("day", "url")
+            .agg(F.min("minute").alias("minute"),
+                 F.sort_array(F.collect_list("hour")).alias("hours"))
             .withColumn("name", F.element_at(F.split("url", "/"), -1)))
 
 
@@ -81,14 +96,13 @@ def day_report(days: DataFrame, listing: DataFrame, held: DataFrame,
     ``local_now`` = files held before + distinct new names so far (all
     copies assumed to succeed), ``delta`` = growth that day.
 
-    One linear chain: the per-day aggregate (available + 24 picks) is
-    exploded to at most 24 rows a day, held names are flagged with a left
-    join, each name's first day comes from a window over the chosen rows,
-    and one ``groupBy(day)`` counts everything.
+    One chain over the per-hour picks (at most 24 rows a day, plus one row
+    with a null url for a day whose urls do not parse): held names are
+    flagged with a left join, each name's first day comes from a window
+    over the chosen rows, and one ``groupBy(day)`` counts everything.
     """
-    chosen = (per_day_picks(listing, url_col)
-              .select("day", "available", F.explode_outer(
-                  F.array_distinct(F.transform("picks", lambda p: p["url"]))).alias("url"))
+    chosen = (per_hour_picks(listing, url_col)
+              .groupBy("day", "url").agg(F.max("available").alias("available"))
               .withColumn("name", F.element_at(F.split("url", "/"), -1)))
     held_names = held.select(F.col("name").alias("name")).distinct().withColumn(
         "is_held", F.lit(True))
