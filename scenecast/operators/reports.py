@@ -74,20 +74,26 @@ def histogram(df: DataFrame, col: str, bins: int, group_cols: list[str] | None =
 def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson matrix in long form ``(f1, f2, corr)``, all ordered pairs.
 
-    Pairwise complete; a constant column gives null.  All pairs come out of
-    one aggregate pass (n(n+1)/2 accumulators), the matrix is mirrored after.
+    Pairwise complete; a constant column gives null.  Each row is stacked
+    into its n(n+1)/2 column pairs inside the task (a fixed expansion over
+    columns, not rows) and one ``groupBy(pair)`` with three aggregates runs
+    with partial aggregation, so each task ships one partial row per pair.
+    This keeps the plan small: one aggregate per pair would generate and
+    compile hundreds of aggregate functions.  The matrix is mirrored after.
     """
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    one = df.agg(*[pearson(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double"))
-                   .alias(f"c{i}_{j}") for i, j in pairs])
-    entries = []
-    for i, j in pairs:
-        entries.append(F.struct(F.lit(cols[i]).alias("f1"), F.lit(cols[j]).alias("f2"),
-                                F.col(f"c{i}_{j}").alias("corr")))
-        if i != j:
-            entries.append(F.struct(F.lit(cols[j]).alias("f1"), F.lit(cols[i]).alias("f2"),
-                                    F.col(f"c{i}_{j}").alias("corr")))
-    return one.select(F.explode(F.array(*entries)).alias("e")).select("e.f1", "e.f2", "e.corr")
+    entries = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
+                                 F.col(cols[i]).cast("double").alias("a"),
+                                 F.col(cols[j]).cast("double").alias("b"))
+                        for i, j in pairs])
+    stacked = df.select(F.inline(entries))
+    per_pair = stacked.groupBy("i", "j").agg(pearson(F.col("a"), F.col("b")).alias("corr"))
+    names = F.array(*[F.lit(c) for c in cols])
+    both = F.array(F.struct(F.col("i").alias("x"), F.col("j").alias("y")),
+                   F.struct(F.col("j").alias("x"), F.col("i").alias("y")))
+    mirrored = per_pair.select("corr", F.explode(F.array_distinct(both)).alias("p"))
+    return mirrored.select(F.element_at(names, F.col("p.x") + 1).alias("f1"),
+                           F.element_at(names, F.col("p.y") + 1).alias("f2"), "corr")
 
 
 def value_range(df: DataFrame, a: str = "label", b: str = "prediction",
