@@ -239,6 +239,27 @@ def q_feature_table_daily(spark, sf_dir):
     return finish(out)
 
 
+O_SERIES_SQL = _series_sql("orders", "o_orderdate", "o_totalprice", "day", "O",
+                           series.O_THRESHOLD)
+O_PREPARED_CTE = _prepared_sql(_features_sql(O_SERIES_SQL, "O"))
+
+
+@query("feature_table_gaps", f"""
+    WITH {O_PREPARED_CTE.strip()}
+    SELECT {FEATURE_OUT_SQL}, date, {r('mean_rr_lag1')}, {r('mean_rr_lag2')},
+           {r('mean_rr_lag3')}
+    FROM p""")
+def q_feature_table_gaps(spark, sf_dir):
+    """W1 + W2 on a daily series with missing days: gaps are whole multiples
+    of 1440 minutes and lags count rows, not days (a gap does not null a lag)."""
+    p = materialize(ds.prepare(series.gap_features(table(spark, sf_dir, "orders")),
+                               lag_bucket=F.date_trunc("month", F.col("timestamp"))))
+    out = p.select(*[c for c in ds.FEATURE_TABLE_COLS if c != "hour"],
+                   F.col("hour").cast("bigint").alias("hour"), "date",
+                   "mean_rr_lag1", "mean_rr_lag2", "mean_rr_lag3")
+    return finish(out)
+
+
 @query("lag_two_level", """
     SELECT event_id, event_type, ts,
            round(lag(value, 1) OVER w, 6) AS value_lag1,

@@ -8,6 +8,8 @@ given tables, so every job's work grows with the tables:
   the ``value`` of the events in it;
 * **D** - ``lineitem`` as a daily series: a scene is one ship day, its pixels
   are ``l_extendedprice``;
+* **O** - ``orders`` as a daily series **with gaps** (days without orders):
+  a scene is one order day, its pixels are ``o_totalprice``;
 * **L** - ``events`` as a file listing: one url per event, in the
   ``<prefix>/yyyy/MM/dd/HHmm/<name>.nc`` layout;
 * **G** - ``embeddings`` as 8x8 scenes (64 floats, negatives included) with
@@ -29,6 +31,7 @@ from scenecast.operators.scenes import clean_value
 LISTING_PREFIX = "gs://bucket/scenes"
 H_THRESHOLD = 50.0        # "rainy" pixel threshold for the hourly series
 D_THRESHOLD = 50000.0     # "rainy" pixel threshold for the daily series
+O_THRESHOLD = 250000.0    # "rainy" pixel threshold for the gapped daily series
 G_SIZE = 8                # embeddings are 64 = 8 x 8 cells
 G_EPOCH = "2024-01-01 00:00:00"
 G_STEP_MINUTES = 10
@@ -70,6 +73,19 @@ def daily_stats(lineitem: DataFrame, threshold: float = D_THRESHOLD) -> DataFram
     return series_stats(lineitem, "l_shipdate", "l_extendedprice", "day", "D", threshold)
 
 
+def gap_stats(orders: DataFrame, threshold: float = O_THRESHOLD) -> DataFrame:
+    """O: per-day scene statistics of ``orders.o_totalprice`` (days missing)."""
+    return series_stats(orders, "o_orderdate", "o_totalprice", "day", "O", threshold)
+
+
+def gap_features(orders: DataFrame, threshold: float = O_THRESHOLD,
+                 keep_timestamp: bool = False) -> DataFrame:
+    """O as a feature table; gaps (in minutes) show the missing days."""
+    ok = gap_stats(orders, threshold).filter(F.col("n_valid") > 0)
+    return feature_table(ok, delta_bucket=F.date_trunc("month", F.col("timestamp")),
+                         keep_timestamp=keep_timestamp)
+
+
 def series_table(stats: DataFrame) -> DataFrame:
     """Accepted scenes with calendar fields (before the time gap)."""
     ok = stats.filter(F.col("n_valid") > 0)

@@ -11,10 +11,12 @@ from scenecast.schemas import FEATURES, SCENE_ARRAY, SCENE_LONG
 def write_features(features: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Parquet partitioned by ``year`` so year filters prune directories.
 
-    Rows are clustered by year (and sorted by time inside a file) before the
-    write, so each task writes few, large files.
+    Rows are range-partitioned on (year, time, file) before the write: each
+    task writes a contiguous time range (few files, sorted by time), and a
+    year holding most rows is split over several tasks instead of one.
     """
-    (features.repartition("year").sortWithinPartitions("timestamp_ms", "file")
+    (features.repartitionByRange("year", "timestamp_ms", "file")
+     .sortWithinPartitions("year", "timestamp_ms", "file")
      .write.mode(mode).partitionBy("year").parquet(path))
     return path
 
@@ -31,9 +33,13 @@ def read_scenes(spark: SparkSession, path: str, shape: str = "array") -> DataFra
 
 
 def write_predictions(pred: DataFrame, path: str) -> str:
-    """Predictions as CSV with header, one folder per model."""
-    (pred.repartition("model").write.mode("overwrite")
-     .partitionBy("model").option("header", True).csv(path))
+    """Predictions as CSV with header, one folder per model.
+
+    Range partitioning on (model, time) keeps a large model's rows spread
+    over several writer tasks, each writing one time range.
+    """
+    (pred.repartitionByRange("model", "timestamp").sortWithinPartitions("model", "timestamp")
+     .write.mode("overwrite").partitionBy("model").option("header", True).csv(path))
     return path
 
 
