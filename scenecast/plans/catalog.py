@@ -40,33 +40,40 @@ G_WINDOW = 4                                          # G: 8x8 grids cropped to
 LISTING_RANGE = ("2023-12-30", "2024-02-02")          # L: report range, wider than data
 
 
-def positive_zero(sql: str) -> str:
-    """Wrap every ``round(...)`` as ``(round(...) + 0.0)``.
+def decimal_round(sql: str) -> str:
+    """Rewrite every ``round(x, n)`` of the oracle SQL as a decimal rounding.
 
-    DuckDB's round keeps the sign of a tiny negative (-0.0); Spark's round
-    goes through a decimal and returns 0.0.  Adding 0.0 turns -0.0 into 0.0.
+    ``round(x, n)`` becomes ``CAST(round(CAST(x AS DECIMAL(38,8)), n) AS
+    DOUBLE)`` (NaN and infinities pass through), the same as
+    :func:`round_decimal` on the Spark side.
     """
     out, i, key = [], 0, "round("
     while True:
         j = sql.find(key, i)
-        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
-            if j < 0:
-                out.append(sql[i:])
-                return "".join(out)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
             out.append(sql[i:j + len(key)])
             i = j + len(key)
             continue
-        depth, k = 0, j + len(key) - 1
+        depth, k, comma = 0, j + len(key) - 1, None
         while True:
-            if sql[k] == "(":
+            ch = sql[k]
+            if ch == "(":
                 depth += 1
-            elif sql[k] == ")":
+            elif ch == ")":
                 depth -= 1
                 if depth == 0:
                     break
+            elif ch == "," and depth == 1:
+                comma = k
             k += 1
-        out.append(sql[i:j] + "(" + positive_zero(sql[j:k + 1]
-                                                  .replace(key, "ROUND(", 1)) + " + 0.0)")
+        x = decimal_round(sql[j + len(key):comma])
+        n = sql[comma + 1:k].strip()
+        out.append(sql[i:j])
+        out.append(f"(CASE WHEN isnan({x}) OR isinf({x}) THEN ({x}) ELSE "
+                   f"CAST(ROUND(CAST({x} AS DECIMAL(38,8)), {n}) AS DOUBLE) END)")
         i = k + 1
 
 
@@ -74,7 +81,7 @@ def query(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = positive_zero(sql)
+            ORACLE[name] = decimal_round(sql)
         return fn
     return deco
 
@@ -91,13 +98,28 @@ def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(table(spark, sf_dir, name))
 
 
+def round_decimal(c, places: int = 6):
+    """Round a double through DECIMAL(38,8), as the oracle SQL does.
+
+    Spark's ``round`` works on the decimal text of a double, DuckDB's on its
+    binary value, so an exact tie such as 264984.1259375 rounds up in one and
+    down in the other; a mean whose exact value is such a tie also carries
+    summation noise of a few ulps.  Rounding to 8 places first snaps every
+    value within 5e-9 of a 6-place tie onto the tie in both engines, then
+    HALF_UP decides the same way (and no -0.0 appears).
+    """
+    special = F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
+    return F.when(special, c).otherwise(
+        F.round(c.cast("decimal(38,8)"), places).cast("double"))
+
+
 def finish(df: DataFrame, places: int = 6) -> DataFrame:
     """Round doubles and widen small integers so both engines compare exactly."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, DoubleType):
-            c = F.round(c, places)
+            c = round_decimal(c, places)
         elif isinstance(f.dataType, (IntegerType, ShortType, ByteType)):
             c = c.cast("bigint")
         out.append(c.alias(f.name))
