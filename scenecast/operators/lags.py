@@ -98,22 +98,65 @@ def add_lags_two_level(df: DataFrame, value_cols: list[str], n_lags: int,
     return joined.withColumns(out).drop(*drop)
 
 
+# Balanced buckets: rows per bucket and a cap on the number of buckets (the
+# bucket table, one row per bucket, is what the carry window reads).
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 100_000
+_QUANTILES = 4096
+
+
+def balanced_buckets(df: DataFrame, time_col: str, rows_per_bucket: int = ROWS_PER_BUCKET,
+                     out: str = "__tbucket") -> DataFrame:
+    """Add ``out``: equal-count time ranges, so a hot period is split.
+
+    One aggregate pass returns the row count and 4095 approximate quantiles of
+    the epoch time (a bounded list, whatever the data size); every m-th is
+    kept as a cut point so buckets hold about ``rows_per_bucket`` rows.
+    ``Bucketizer`` assigns the range with a binary search on the executors.
+    Rows with the same time share a bucket, and bucket ids increase with
+    time, as the two-level plan requires.
+    """
+    from pyspark.ml.feature import Bucketizer
+    us = epoch_micros(F.col(time_col)).cast("double")
+    qs = [i / _QUANTILES for i in range(1, _QUANTILES)]
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.percentile_approx(us, qs, 10 * _QUANTILES).alias("q")).first()
+    n, q = row["n"], row["q"] or []
+    want = min(MAX_BUCKETS, max(1, -(-n // rows_per_bucket)))
+    step = max(1, round(len(q) / want)) if want > 1 else len(q) + 1
+    cuts = sorted({float(v) for v in q[step - 1::step]}) if want > 1 else []
+    splits = [float("-inf")] + cuts + [float("inf")]
+    tmp = "__tbucket_us"
+    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
+    return b.transform(df.withColumn(tmp, us)).drop(tmp)
+
+
 def add_lags(df: DataFrame, value_cols: list[str] | str = "mean_rr", n_lags: int = 3,
              partition_by: list[str] | None = None,
              order_by: list[str] | None = None,
-             bucket: Column | None = None, materialize: bool = False) -> DataFrame:
+             bucket: Column | str | None = None, materialize: bool = False,
+             time_col: str | None = None,
+             rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Row lags 1..n of each value column per partition, ordered.
 
     Defaults follow the reference: lags of ``mean_rr`` per ``year`` ordered by
     ``timestamp_ms`` (plus ``file`` as a tie-break, which the reference
     lacks).  Give ``bucket`` (e.g. ``F.date_trunc('day', 'timestamp')``) for
-    the two-level plan; without it a single window is used.
+    the two-level plan; without it a single window is used.  ``bucket=
+    "balanced"`` derives equal-count time buckets from the data (see
+    :func:`balanced_buckets`; ``time_col`` names the time column, which must
+    lead the ordering).
     """
     cols = [value_cols] if isinstance(value_cols, str) else list(value_cols)
     partition_by = ["year"] if partition_by is None else list(partition_by)
     order_by = ["timestamp_ms", "file"] if order_by is None else list(order_by)
     if bucket is None:
         return add_lags_window(df, cols, n_lags, partition_by, order_by)
+    if isinstance(bucket, str) and bucket == "balanced":
+        df = balanced_buckets(df, time_col or order_by[0], rows_per_bucket, "__tbucket")
+        out = add_lags_two_level(df, cols, n_lags, partition_by, order_by,
+                                 F.col("__tbucket"), materialize=materialize)
+        return out.drop("__tbucket")
     return add_lags_two_level(df, cols, n_lags, partition_by, order_by, bucket,
                               materialize=materialize)
 
@@ -121,21 +164,26 @@ def add_lags(df: DataFrame, value_cols: list[str] | str = "mean_rr", n_lags: int
 def add_time_delta(df: DataFrame, ts: str = "timestamp", out: str = "delta_minutes",
                    partition_by: list[str] | None = None,
                    order_by: list[str] | None = None,
-                   bucket: Column | None = None, materialize: bool = False) -> DataFrame:
+                   bucket: Column | str | None = None, materialize: bool = False,
+                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Minutes since the previous row (first row 0), stored as float.
 
     Default is the whole table as one series, as the reference does; with
-    ``bucket`` the two-level plan avoids the single-task window.
+    ``bucket`` (a column, or ``"balanced"``) the two-level plan avoids the
+    single-task window.
     """
     partition_by = [] if partition_by is None else list(partition_by)
     order_by = [ts] if order_by is None else list(order_by)
     tmp = "__t_us"
     staged = df.withColumn(tmp, epoch_micros(F.col(ts)))
+    if isinstance(bucket, str) and bucket == "balanced":
+        staged = balanced_buckets(staged, ts, rows_per_bucket, "__tbucket")
+        bucket = F.col("__tbucket")
     if bucket is None:
         lagged = add_lags_window(staged, [tmp], 1, partition_by, order_by, suffix="__prev")
     else:
         lagged = add_lags_two_level(staged, [tmp], 1, partition_by, order_by, bucket,
                                     suffix="__prev", materialize=materialize)
     gap = (F.col(tmp) - F.col(tmp + "__prev")) / F.lit(60_000_000.0)
-    return (lagged.withColumn(out, F.coalesce(gap, F.lit(0.0)).cast("float"))
-            .drop(tmp, tmp + "__prev"))
+    out_df = lagged.withColumn(out, F.coalesce(gap, F.lit(0.0)).cast("float"))
+    return out_df.drop(tmp, tmp + "__prev", "__tbucket")

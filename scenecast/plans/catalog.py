@@ -306,6 +306,24 @@ def q_lag_two_level(spark, sf_dir):
                              "value_lag3", "delta_minutes"))
 
 
+BALANCED_ROWS = 1000     # rows per balanced bucket for the raw-event lag query
+
+
+@query("lag_balanced", ORACLE["lag_two_level"])
+def q_lag_balanced(spark, sf_dir):
+    """W1 and W2 in the two-level plan with balanced buckets: equal-count time
+    ranges from approximate quantiles, so a hot period is split over tasks."""
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
+    out = lags.add_lags(e, "value", 3, partition_by=["event_type"],
+                        order_by=["ts", "event_id"], bucket="balanced", time_col="ts",
+                        rows_per_bucket=BALANCED_ROWS)
+    out = lags.add_time_delta(out, "ts", "delta_minutes", partition_by=[],
+                              order_by=["ts", "event_id"], bucket="balanced",
+                              rows_per_bucket=BALANCED_ROWS)
+    return finish(out.select("event_id", "event_type", "ts", "value_lag1", "value_lag2",
+                             "value_lag3", "delta_minutes"))
+
+
 # ================================================================ P1-P3
 
 def _style_s_names(events: DataFrame) -> DataFrame:

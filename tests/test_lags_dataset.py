@@ -133,3 +133,22 @@ def test_feature_table_from_stats(spark):
     assert rows["b.nc"]["timestamp_ms"] == 1609462800000
     assert rows["b.nc"]["timestamp_str"] == "2021-01-01 01:00:00"
     assert ft.columns == ds.FEATURE_TABLE_COLS
+
+
+def test_balanced_buckets_split_a_hot_period(spark):
+    # a third of all rows fall into one hour; balanced buckets split it
+    base = T(2021, 3, 1)
+    times = [base + dt.timedelta(hours=i) for i in range(400)]
+    times += [base + dt.timedelta(hours=5, seconds=i) for i in range(200)]
+    df = _series(spark, times)
+    b = lags.balanced_buckets(df, "ts", rows_per_bucket=50)
+    per = {r["__tbucket"]: r["count"] for r in b.groupBy("__tbucket").count().collect()}
+    assert len(per) >= 8 and max(per.values()) < 200
+    # bucket ids increase with time
+    rows = sorted((r["ts"], r["__tbucket"]) for r in b.collect())
+    assert all(x[1] <= y[1] for x, y in zip(rows, rows[1:]))
+    a = lags.add_lags(df, "v", 3, partition_by=[], order_by=["ts", "file"])
+    c = lags.add_lags(df, "v", 3, partition_by=[], order_by=["ts", "file"], bucket="balanced",
+                      time_col="ts", rows_per_bucket=50)
+    key = lambda d: sorted((r["file"], r["v_lag1"], r["v_lag2"], r["v_lag3"]) for r in d.collect())
+    assert key(a) == key(c) and "__tbucket" not in c.columns
