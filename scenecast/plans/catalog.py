@@ -1045,3 +1045,55 @@ def q_backtest_saved(spark, sf_dir):
     window = ds.load_window(series.hourly_features(h), "2024-01-20", "2024-01-31",
                             lag_bucket=F.date_trunc("day", F.col("timestamp")))
     return finish(ev.score(_m().predict(loaded, window, ["timestamp"])))
+
+
+# ================================================================ S12, S13, X1 round trips
+
+@query("predictions_csv", f"""
+    WITH {_H_FRAMES_SQL.strip()}
+    SELECT model, timestamp, round(label, 6) AS label, round(prediction, 6) AS prediction
+    FROM pred""")
+def q_predictions_csv(spark, sf_dir):
+    """Predictions written as CSV (one folder per model) and read back."""
+    from scenecast.session import shared_dir
+    from scenecast.sources import tables
+    path = tables.write_predictions(h_persistence(spark, sf_dir), shared_dir(spark, "pred-csv"))
+    back = (spark.read.option("header", True)
+            .schema("timestamp timestamp_ntz, label double, prediction double, model string")
+            .csv(path))
+    return finish(back.select("model", "timestamp", "label", "prediction"))
+
+
+@query("metrics_summary_json", f"""
+    WITH {_H_FRAMES_SQL.strip()}
+    SELECT model, {_SCORE_SQL.split(',', 1)[1].strip()}, '{H_TEST[0]}' AS start_date,
+           '{H_TEST[1]}' AS end_date
+    FROM pred GROUP BY model""")
+def q_metrics_summary_json(spark, sf_dir):
+    """The metrics summary (rmse and r2 maps) written as JSON, read back
+    with its declared schema and flattened to one row per model."""
+    from scenecast.schemas import METRICS_SUMMARY
+    from scenecast.session import shared_dir
+    from scenecast.sources import store
+    scores = ev.score(h_persistence(spark, sf_dir))
+    path = store.write_json(store.metrics_summary(spark, scores, "run", *H_TEST),
+                            shared_dir(spark, "summary"))
+    back = spark.read.schema(METRICS_SUMMARY).json(path)
+    flat = back.select(F.explode("rmse").alias("model", "rmse"), "r2", "date_range")
+    return finish(flat.select("model", "rmse", F.col("r2")[F.col("model")].alias("r2"),
+                              F.col("date_range.start").alias("start_date"),
+                              F.col("date_range.end").alias("end_date")))
+
+
+@query("stream_scene_stats", f"WITH {_G_CELLS_SQL.strip()} {_G_STATS_OUT}")
+def q_stream_scene_stats(spark, sf_dir):
+    """Scene files ingested by a file-source stream (availableNow) into a
+    Parquet sink; the sink holds every scene's statistics once."""
+    from scenecast.session import shared_dir
+    from scenecast.streaming import incremental
+    src, sink, ck = (shared_dir(spark, n) for n in ("scenes", "scene-stats", "scene-ckpt"))
+    g_scenes(spark, sf_dir).write.parquet(src)
+    incremental.ingest_scene_stats(spark, src, sink, ck, win=G_WINDOW).awaitTermination()
+    out = spark.read.parquet(sink)
+    return finish(out.select("scene_id", "file", "timestamp", "n_pixels", "n_valid", "n_finite",
+                             "mean_rr", "max_rr", "std_rr", "frac_rainy", "reject_reason"))
