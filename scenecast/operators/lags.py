@@ -105,30 +105,46 @@ MAX_BUCKETS = 100_000
 _QUANTILES = 4096
 
 
-def balanced_buckets(df: DataFrame, time_col: str, rows_per_bucket: int = ROWS_PER_BUCKET,
-                     out: str = "__tbucket") -> DataFrame:
-    """Add ``out``: equal-count time ranges, so a hot period is split.
-
-    One aggregate pass returns the row count and 4095 approximate quantiles of
-    the epoch time (a bounded list, whatever the data size); every m-th is
-    kept as a cut point so buckets hold about ``rows_per_bucket`` rows.
-    ``Bucketizer`` assigns the range with a binary search on the executors.
-    Rows with the same time share a bucket, and bucket ids increase with
-    time, as the two-level plan requires.
+def balanced_cuts(df: DataFrame, time_col: str, rows_per_bucket: int = ROWS_PER_BUCKET
+                  ) -> list[float]:
+    """Cut points (epoch microseconds) of equal-count time buckets.
+
+    One aggregate pass returns the row count and 4095 approximate quantiles
+    of the epoch time (a bounded list, whatever the data size); every m-th
+    is kept so buckets hold about ``rows_per_bucket`` rows.  An empty list
+    means everything fits in one bucket.
     """
-    from pyspark.ml.feature import Bucketizer
     us = epoch_micros(F.col(time_col)).cast("double")
     qs = [i / _QUANTILES for i in range(1, _QUANTILES)]
     row = df.agg(F.count(F.lit(1)).alias("n"),
                  F.percentile_approx(us, qs, 10 * _QUANTILES).alias("q")).first()
     n, q = row["n"], row["q"] or []
     want = min(MAX_BUCKETS, max(1, -(-n // rows_per_bucket)))
-    step = max(1, round(len(q) / want)) if want > 1 else len(q) + 1
-    cuts = sorted({float(v) for v in q[step - 1::step]}) if want > 1 else []
-    splits = [float("-inf")] + cuts + [float("inf")]
+    if want <= 1:
+        return []
+    step = max(1, round(len(q) / want))
+    return sorted({float(v) for v in q[step - 1::step]})
+
+
+def with_buckets(df: DataFrame, time_col: str, cuts: list[float], out: str = "__tbucket"
+                 ) -> DataFrame:
+    """Bucket id per row from cut points; ``Bucketizer`` binary-searches on
+    the executors.  Rows with the same time share a bucket and ids increase
+    with time, as the two-level plan requires."""
+    from pyspark.ml.feature import Bucketizer
     tmp = "__tbucket_us"
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
-    return b.transform(df.withColumn(tmp, us)).drop(tmp)
+    b = Bucketizer(splits=[float("-inf")] + cuts + [float("inf")], inputCol=tmp,
+                   outputCol=out, handleInvalid="keep")
+    return b.transform(df.withColumn(tmp, epoch_micros(F.col(time_col)).cast("double"))
+                       ).drop(tmp)
+
+
+def balanced_buckets(df: DataFrame, time_col: str, rows_per_bucket: int = ROWS_PER_BUCKET,
+                     out: str = "__tbucket") -> DataFrame:
+    """Add ``out``: equal-count time ranges, so a hot period is split
+    (a single bucket is the constant 0)."""
+    cuts = balanced_cuts(df, time_col, rows_per_bucket)
+    return with_buckets(df, time_col, cuts, out) if cuts else df.withColumn(out, F.lit(0.0))
 
 
 def add_lags(df: DataFrame, value_cols: list[str] | str = "mean_rr", n_lags: int = 3,
@@ -153,9 +169,12 @@ def add_lags(df: DataFrame, value_cols: list[str] | str = "mean_rr", n_lags: int
     if bucket is None:
         return add_lags_window(df, cols, n_lags, partition_by, order_by)
     if isinstance(bucket, str) and bucket == "balanced":
-        df = balanced_buckets(df, time_col or order_by[0], rows_per_bucket, "__tbucket")
-        out = add_lags_two_level(df, cols, n_lags, partition_by, order_by,
-                                 F.col("__tbucket"), materialize=materialize)
+        tcol = time_col or order_by[0]
+        cuts = balanced_cuts(df, tcol, rows_per_bucket)
+        if not cuts:      # everything fits in one bucket: the plain window
+            return add_lags_window(df, cols, n_lags, partition_by, order_by)
+        out = add_lags_two_level(with_buckets(df, tcol, cuts), cols, n_lags, partition_by,
+                                 order_by, F.col("__tbucket"), materialize=materialize)
         return out.drop("__tbucket")
     return add_lags_two_level(df, cols, n_lags, partition_by, order_by, bucket,
                               materialize=materialize)
@@ -177,8 +196,12 @@ def add_time_delta(df: DataFrame, ts: str = "timestamp", out: str = "delta_minut
     tmp = "__t_us"
     staged = df.withColumn(tmp, epoch_micros(F.col(ts)))
     if isinstance(bucket, str) and bucket == "balanced":
-        staged = balanced_buckets(staged, ts, rows_per_bucket, "__tbucket")
-        bucket = F.col("__tbucket")
+        cuts = balanced_cuts(staged, ts, rows_per_bucket)
+        if cuts:
+            staged = with_buckets(staged, ts, cuts)
+            bucket = F.col("__tbucket")
+        else:             # everything fits in one bucket: the plain window
+            bucket = None
     if bucket is None:
         lagged = add_lags_window(staged, [tmp], 1, partition_by, order_by, suffix="__prev")
     else:

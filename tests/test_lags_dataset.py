@@ -152,3 +152,13 @@ def test_balanced_buckets_split_a_hot_period(spark):
                       time_col="ts", rows_per_bucket=50)
     key = lambda d: sorted((r["file"], r["v_lag1"], r["v_lag2"], r["v_lag3"]) for r in d.collect())
     assert key(a) == key(c) and "__tbucket" not in c.columns
+
+
+def test_balanced_single_bucket(spark):
+    df = _series(spark, [T(2021, 1, 1) + dt.timedelta(hours=i) for i in range(10)])
+    b = lags.balanced_buckets(df, "ts", rows_per_bucket=1000)
+    assert {r["__tbucket"] for r in b.collect()} == {0.0}
+    out = lags.add_lags(df, "v", 2, partition_by=[], order_by=["ts", "file"], bucket="balanced",
+                        time_col="ts", rows_per_bucket=1000)
+    assert sorted(r["v_lag2"] for r in out.collect() if r["v_lag2"] is not None) == \
+        [float(i) for i in range(8)]
