@@ -39,7 +39,11 @@ def _group(s: Column, pattern: str, idx: int) -> Column:
 
 
 def timestamp_style_s(name) -> Column:
-    """Time from ``_sYYYYMMDDHHMMSS``; null when absent or invalid."""
+    """Time from ``_sYYYYMMDDHHMMSS``; null when absent or invalid.
+
+    One regex evaluation: the 14 digits are extracted once and sliced at
+    fixed positions; an empty match means the pattern is absent.
+    """
     d = _group(_c(name), NAME_S_PATTERN, 1)
     y = F.substring(d, 1, 4).cast("int")
     sec = F.substring(d, 13, 2).cast("int")
@@ -51,23 +55,27 @@ def timestamp_style_s(name) -> Column:
 
 
 def timestamp_style_doy(name) -> Column:
-    """Time from ``_YYYYDDD_HHMM_``; day of year rolls over, bad hour -> null."""
-    s = _c(name)
-    y = _group(s, NAME_DOY_PATTERN, 1).cast("int")
-    doy = _group(s, NAME_DOY_PATTERN, 2).cast("int")
-    hh = _group(s, NAME_DOY_PATTERN, 3).cast("int")
-    mm = _group(s, NAME_DOY_PATTERN, 4).cast("int")
+    """Time from ``_YYYYDDD_HHMM_``; day of year rolls over, bad hour -> null.
+
+    One regex evaluation: the whole match ``_YYYYDDD_HHMM_`` is extracted and
+    sliced at fixed positions.
+    """
+    m = _group(_c(name), NAME_DOY_PATTERN, 0)
+    y = F.substring(m, 2, 4).cast("int")
+    doy = F.substring(m, 6, 3).cast("int")
+    hh = F.substring(m, 10, 2).cast("int")
+    mm = F.substring(m, 12, 2).cast("int")
     base = F.date_add(F.make_date(y, F.lit(1), F.lit(1)), doy - 1)
     ts = F.try_make_timestamp_ntz(F.year(base), F.month(base), F.dayofmonth(base),
                                   hh, mm, F.lit(0))
-    ok = (y >= _MIN_YEAR) & (F.year(base) >= _MIN_YEAR) & (F.year(base) <= _MAX_YEAR)
-    return F.when(s.rlike(NAME_DOY_PATTERN) & ok, ts)
+    ok = (m != "") & (y >= _MIN_YEAR) & (F.year(base) >= _MIN_YEAR) & (F.year(base) <= _MAX_YEAR)
+    return F.when(ok, ts)
 
 
 def file_timestamp(name) -> Column:
     """Style 1 decides whenever it matches (even if it fails), else style 2."""
     s = _c(name)
-    return (F.when(s.rlike(NAME_S_PATTERN), timestamp_style_s(s))
+    return (F.when(_group(s, NAME_S_PATTERN, 1) != "", timestamp_style_s(s))
             .otherwise(timestamp_style_doy(s)))
 
 
