@@ -148,13 +148,3 @@ def prediction_series(pred: DataFrame, ts: str = "timestamp") -> DataFrame:
 def bounded(df: DataFrame, max_rows: int = MAX_COLLECT_ROWS) -> DataFrame:
     """T5: cap a table before it is pulled to the driver (reports only)."""
     return df.limit(max_rows)
-
-
-def importance_table(model_name: str, values, names: list[str], spark,
-                     top_k: int | None = None) -> DataFrame:
-    """T3/T4 helper: (model, feature, value, rank by |value| desc)."""
-    rows = [(model_name, n, float(v)) for n, v in zip(names, values)]
-    df = spark.createDataFrame(rows, "model string, feature string, value double")
-    w = Window.partitionBy("model").orderBy(F.abs(F.col("value")).desc(), F.col("feature"))
-    df = df.withColumn("rank", F.row_number().over(w))
-    return df.filter(F.col("rank") <= top_k) if top_k else df

@@ -123,3 +123,16 @@ def test_float_value_kept_as_double(spark):
     r = sc.scene_stats_arrays(df, 200).first()
     assert r["mean_rr"] == pytest.approx(0.25, rel=1e-6)
     assert df.select(F.col("value")[0]).first()[0] == pytest.approx(0.1, rel=1e-6)
+
+
+def test_long_crop_derives_dims(spark):
+    vals = [float(i) for i in range(36)]
+    df = _scene(spark, "d", vals, None, ny=6, nx=6)
+    long = sc.long_from_arrays(df).drop("ny", "nx")
+    cropped = sc.center_crop_long(long, win=2)          # 6x6 -> rows/cols [2, 4)
+    assert sorted(r["value"] for r in cropped.collect()) == [14.0, 15.0, 20.0, 21.0]
+    dims = spark.createDataFrame([("d", 6, 6)], "scene_id string, ny int, nx int")
+    given = sc.center_crop_long(long, dims=dims, win=2)
+    assert given.count() == 4
+    st = sc.scene_stats_long(long, win=2).first()
+    assert st["mean_rr"] == pytest.approx(17.5) and st["n_pixels"] == 4
