@@ -82,10 +82,13 @@ def add_lags_two_level(df: DataFrame, value_cols: list[str], n_lags: int,
     w_b = (Window.partitionBy(*_cols(partition_by)).orderBy(F.col(b))
            .rowsBetween(-k, -1))
     prev = F.collect_list(F.struct(F.col(b).alias("b"), F.col("__tail").alias("t"))).over(w_b)
-    carry = tails.select(*_cols(keys), F.flatten(F.transform(
+    carry = tails.select(*[F.col(k).alias(f"__c_{k}") for k in keys], F.flatten(F.transform(
         F.array_sort(prev), lambda x: x["t"])).alias("__prev"))
 
-    joined = staged.join(carry, on=keys, how="left")
+    # null-safe keys: a null partition value or time forms its own bucket,
+    # ordered first, exactly as the plain window orders nulls
+    cond = [staged[k].eqNullSafe(carry[f"__c_{k}"]) for k in keys]
+    joined = staged.join(carry, cond, "left").drop(*[f"__c_{k}" for k in keys])
     out = {}
     for c in value_cols:
         for j in range(1, k + 1):

@@ -162,3 +162,15 @@ def test_balanced_single_bucket(spark):
                         time_col="ts", rows_per_bucket=1000)
     assert sorted(r["v_lag2"] for r in out.collect() if r["v_lag2"] is not None) == \
         [float(i) for i in range(8)]
+
+
+def test_two_level_with_null_times_and_keys(spark):
+    rows = [(f"f{i:03d}", None if i % 17 == 0 else T(2021, 1, 1) + dt.timedelta(hours=3 * i),
+             float(i), None if i % 11 == 0 else f"g{i % 3}") for i in range(120)]
+    df = spark.createDataFrame(rows, "file string, ts timestamp_ntz, v double, grp string")
+    for part in (["grp"], []):
+        a = lags.add_lags(df, "v", 3, partition_by=part, order_by=["ts", "file"])
+        b = lags.add_lags(df, "v", 3, partition_by=part, order_by=["ts", "file"],
+                          bucket=F.date_trunc("day", "ts"))
+        key = lambda d: sorted((r["file"], r["v_lag1"], r["v_lag2"], r["v_lag3"]) for r in d.collect())
+        assert key(a) == key(b), part
