@@ -1097,3 +1097,30 @@ def q_stream_scene_stats(spark, sf_dir):
     out = spark.read.parquet(sink)
     return finish(out.select("scene_id", "file", "timestamp", "n_pixels", "n_valid", "n_finite",
                              "mean_rr", "max_rr", "std_rr", "frac_rainy", "reject_reason"))
+
+
+@query("stream_scores", f"""
+    WITH {_H_FRAMES_SQL.strip()},
+    coef AS (SELECT regr_slope(label, mean_rr_lag1) AS b, regr_intercept(label, mean_rr_lag1) AS a
+             FROM train)
+    SELECT timestamp, round(label, 6) AS label, round(a + b * mean_rr_lag1, 6) AS prediction
+    FROM test, coef""")
+def q_stream_scores(spark, sf_dir):
+    """X2 + S8/S9: a pipeline fitted on the training window is saved, then
+    feature rows arriving as files are scored by a stream (availableNow)
+    with the reloaded model into a Parquet sink.  The model is least squares
+    on ``mean_rr_lag1``, whose predictions have an exact SQL form."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import LinearRegression
+    from scenecast.session import shared_dir
+    from scenecast.streaming import incremental
+    train, test = h_frames(spark, sf_dir)
+    model = Pipeline(stages=[_m().assembler(["mean_rr_lag1"]),
+                             LinearRegression(featuresCol="features", labelCol="label")]
+                     ).fit(train)
+    mpath, src, sink, ck = (shared_dir(spark, n) for n in ("lr1", "rows", "scored", "ckpt"))
+    model.write().overwrite().save(mpath)
+    test.write.parquet(src)
+    incremental.score_new_rows(spark, mpath, src, test.schema, sink, ck,
+                               keep=["timestamp"]).awaitTermination()
+    return finish(spark.read.parquet(sink).select("timestamp", "label", "prediction"))
