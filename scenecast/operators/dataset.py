@@ -24,18 +24,28 @@ FEATURE_TABLE_COLS = [
 ]
 
 
-def feature_table(stats: DataFrame, delta_bucket: Column | None = None,
+def time_bucket(bucket, time_col: str = "timestamp"):
+    """Bucket spec for the two-level plans: a time unit (``"day"``,
+    ``"month"``...) -> ``date_trunc`` of ``time_col``; a Column, ``"balanced"``
+    or None (single window) pass through."""
+    if isinstance(bucket, str) and bucket != "balanced":
+        return F.date_trunc(bucket, F.col(time_col))
+    return bucket
+
+
+def feature_table(stats: DataFrame, delta_bucket: Column | str | None = "day",
                   keep_timestamp: bool = False, materialize: bool = True) -> DataFrame:
     """Accepted scene statistics -> feature table.
 
     ``stats`` has ``file, timestamp, mean_rr, max_rr, std_rr, frac_rainy``.
     ``delta_minutes`` is the gap to the previous scene over the whole table
-    ordered by (timestamp, file), 0 for the first.  Pass ``delta_bucket``
-    (e.g. ``F.date_trunc('day', 'timestamp')``) to compute it with the
-    two-level plan instead of one unpartitioned window; the per-scene rows
-    are then checkpointed once (``materialize``) so the pixel aggregate
-    upstream is not recomputed by the two branches of that plan.
+    ordered by (timestamp, file), 0 for the first.  It is computed with the
+    two-level plan over ``delta_bucket`` (default: day buckets; ``None`` = one
+    unpartitioned window, i.e. one task); the per-scene rows are then
+    checkpointed once (``materialize``) so the pixel aggregate upstream is
+    not recomputed by the two branches of that plan.
     """
+    delta_bucket = time_bucket(delta_bucket)
     df = add_calendar(stats, "timestamp")
     df = add_time_delta(df, "timestamp", "delta_minutes", partition_by=[],
                         order_by=["timestamp", "file"], bucket=delta_bucket,
@@ -45,18 +55,19 @@ def feature_table(stats: DataFrame, delta_bucket: Column | None = None,
 
 
 def prepare(features: DataFrame, target: str = TARGET, n_lags: int = N_LAGS,
-            partition_by: list[str] | None = None, lag_bucket: Column | None = None,
+            partition_by: list[str] | None = None, lag_bucket: Column | str | None = "day",
             order_by: list[str] | None = None) -> DataFrame:
     """P17 + P18 + W1: timestamp/date from text, cyclic hour, per-year lags.
 
-    ``lag_bucket`` (a column over ``timestamp``, e.g. day) selects the
-    two-level lag plan; by default one window per ``year``.
+    The lags use the two-level plan over ``lag_bucket`` (default: day
+    buckets of ``timestamp``; ``"balanced"`` for equal-count buckets;
+    ``None`` = one window per ``year``, i.e. one task per year).
     """
     df = prepare_times(features, "timestamp_str")
     return add_lags(df, target, n_lags,
                     partition_by=["year"] if partition_by is None else partition_by,
                     order_by=["timestamp_ms", "file"] if order_by is None else order_by,
-                    bucket=lag_bucket)
+                    bucket=time_bucket(lag_bucket), time_col="timestamp")
 
 
 def parse_day(text: str | dt.date) -> dt.date:
@@ -149,7 +160,7 @@ def model_frame(df: DataFrame, target: str = TARGET, features: list[str] | None
 
 def load_window(features: DataFrame, start, end, target: str = TARGET,
                 feature_cols: list[str] | None = None, keys: list[str] | None = None,
-                lag_bucket: Column | None = None) -> DataFrame:
+                lag_bucket: Column | str | None = "day") -> DataFrame:
     """M9 input: halo read -> prepare -> exact window -> complete rows -> frame."""
     pre = prepare(halo_filter(features, start, end), target, lag_bucket=lag_bucket)
     return model_frame(pre.filter(in_window(start, end)), target, feature_cols,

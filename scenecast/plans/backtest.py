@@ -21,7 +21,7 @@ from scenecast.sources import store, tables
 
 def backtest(spark: SparkSession, features: DataFrame, run_dir: str, start: str, end: str,
              names: list[str] | None = None, missing: str = "skip",
-             feature_cols: list[str] | None = None, lag_bucket: Column | None = None
+             feature_cols: list[str] | None = None, lag_bucket: Column | str | None = "day"
              ) -> dict[str, DataFrame]:
     """M9 + reports: all tables of the report for one window.
 

@@ -24,7 +24,7 @@ class TrainResult:
 
 def train_run(spark: SparkSession, features: DataFrame, run_root: str, train_year: int,
               test_start: str, test_end: str, feature_cols: list[str] | None = None,
-              specs: dict | None = None, lag_bucket: Column | None = None,
+              specs: dict | None = None, lag_bucket: Column | str | None = "day",
               train_until: str | None = None, run_id: str | None = None) -> TrainResult:
     """Fit the model set on ``train_year`` and score ``test_start..test_end``.
 
