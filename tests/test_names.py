@@ -65,3 +65,52 @@ def test_time_parse_is_null_safe(spark):
     got = [r[0] for r in df.select(parse_time_text("s")).collect()]
     assert got == [T(2021, 6, 1, 10), None]
     assert df.select(nm.file_timestamp(F.lit("zz"))).first()[0] is None
+
+
+def _py_file_time(name):
+    """Independent statement of P1-P3 in plain Python (FIXTURES rules)."""
+    import re
+    m = re.search(r"_s(\d{14})", name)
+    if m:
+        try:
+            return dt.datetime.strptime(m.group(1), "%Y%m%d%H%M%S")
+        except ValueError:
+            return None
+    m = re.search(r"_(\d{4})(\d{3})_(\d{2})(\d{2})_", name)
+    if m:
+        try:
+            y, doy, hh, mm = (int(g) for g in m.groups())
+            base = dt.datetime(y, 1, 1) + dt.timedelta(days=doy - 1)
+            return base.replace(hour=hh, minute=mm, second=0)
+        except (ValueError, OverflowError):
+            return None
+    return None
+
+
+def test_file_timestamp_random_names(spark):
+    import random
+    rnd = random.Random(5)
+
+    def digits(n):
+        return "".join(rnd.choice("0123456789") for _ in range(n))
+
+    names = []
+    for _ in range(600):
+        kind = rnd.randrange(5)
+        if kind == 0:      # plausible style 1
+            t = dt.datetime(rnd.randint(1990, 2030), 1, 1) + dt.timedelta(seconds=rnd.randrange(10**8))
+            names.append(f"a_s{t:%Y%m%d%H%M%S}{digits(rnd.randint(0, 3))}_x.nc")
+        elif kind == 1:    # random 14 digits (mostly invalid)
+            names.append(f"b_s{rnd.choice(['19', '20', '00'])}{digits(12)}.nc")
+        elif kind == 2:    # style 2 with roll-over and bad hours / minutes
+            names.append(f"c_{rnd.randint(1998, 2031):04d}{rnd.randint(0, 399):03d}_"
+                         f"{rnd.randint(0, 26):02d}{rnd.randint(0, 61):02d}_v.nc")
+        elif kind == 3:    # both patterns: style 1 decides
+            names.append(f"d_2021001_1200_s{digits(14)}.nc")
+        else:              # neither
+            names.append(f"e_{digits(rnd.randint(1, 9))}.nc")
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = {r["name"]: r["t"] for r in
+           df.select("name", nm.file_timestamp("name").alias("t")).collect()}
+    bad = [(n, got[n], _py_file_time(n)) for n in names if got[n] != _py_file_time(n)]
+    assert not bad, bad[:5]
