@@ -21,10 +21,12 @@ from scenecast.functions import names as nm
 from scenecast.operators import dataset as ds
 from scenecast.operators import evaluate as ev
 from scenecast.operators import lags
+from scenecast.operators import models as mdl
 from scenecast.operators import nearest
 from scenecast.operators import reports as rp
 from scenecast.operators import scenes as sc
 from scenecast.plans import series
+from scenecast.schemas import FEATURE_COLS
 from scenecast.session import materialize, spread
 from scenecast.sources import listing as ls
 
@@ -661,8 +663,7 @@ def q_feature_profile(spark, sf_dir):
     return finish(ds.profile(d_features(spark, sf_dir)))
 
 
-_D_FEATURES9 = ["max_rr", "std_rr", "frac_rainy", "delta_minutes", "hour_sin", "hour_cos",
-                "mean_rr_lag1", "mean_rr_lag2", "mean_rr_lag3"]
+_D_FEATURES9 = list(FEATURE_COLS)
 _COMPLETE_SQL = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})"
                              for c in ["mean_rr"] + _D_FEATURES9)
 
@@ -912,11 +913,6 @@ def q_prediction_series(spark, sf_dir):
 
 # ================================================================ M1-M13 (MLlib)
 
-def _m():
-    from scenecast.operators import models
-    return models
-
-
 @query("standardized", f"""
     WITH {_H_FRAMES_SQL.strip()}
     SELECT timestamp, {', '.join(
@@ -929,7 +925,7 @@ def q_standardized(spark, sf_dir):
     from pyspark.ml.feature import StandardScaler
     from pyspark.ml.functions import vector_to_array
     train, _ = h_frames(spark, sf_dir)
-    pipe = Pipeline(stages=[_m().assembler(_H9),
+    pipe = Pipeline(stages=[mdl.assembler(_H9),
                             StandardScaler(inputCol="features", outputCol="scaled",
                                            withMean=True, withStd=True)])
     out = pipe.fit(train).transform(train).withColumn("__a", vector_to_array("scaled"))
@@ -946,7 +942,7 @@ def q_linreg_one_feature(spark, sf_dir):
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import LinearRegression
     train, _ = h_frames(spark, sf_dir)
-    m = Pipeline(stages=[_m().assembler(["mean_rr_lag1"]),
+    m = Pipeline(stages=[mdl.assembler(["mean_rr_lag1"]),
                          LinearRegression(featuresCol="features", labelCol="label")]).fit(train)
     lr = m.stages[-1]
     return finish(spark.createDataFrame(
@@ -978,7 +974,7 @@ def q_tree_stump(spark, sf_dir):
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import DecisionTreeRegressor
     train, _ = h_frames(spark, sf_dir, extra=["hour"])
-    m = Pipeline(stages=[_m().assembler(["hour"]), DecisionTreeRegressor(
+    m = Pipeline(stages=[mdl.assembler(["hour"]), DecisionTreeRegressor(
         featuresCol="features", labelCol="label", maxDepth=1, minInstancesPerNode=1)]
     ).fit(train)
     root = m.stages[-1]._java_obj.rootNode()
@@ -991,17 +987,16 @@ def q_tree_stump(spark, sf_dir):
 
 
 def _fit_score(spark, sf_dir, names: list[str], boosted_rounds: int = 20):
-    models = _m()
     train, test = h_frames(spark, sf_dir)
-    specs = models.default_specs(_H9, boosted_rounds=boosted_rounds)
-    fitted = models.fit_models(train, {n: specs[n] for n in names})
+    specs = mdl.default_specs(_H9, boosted_rounds=boosted_rounds)
+    fitted = mdl.fit_models(train, {n: specs[n] for n in names})
     return fitted, test
 
 
 def _scores_query(names):
     def run(spark, sf_dir):
         fitted, test = _fit_score(spark, sf_dir, names)
-        return finish(ev.score(_m().predict(fitted, test, ["timestamp"])))
+        return finish(ev.score(mdl.predict(fitted, test, ["timestamp"])))
     return run
 
 
@@ -1015,14 +1010,14 @@ query("boosted")(_scores_query(["boosted_trees"]))
 def q_importance_rank(spark, sf_dir):
     """M10 + T3: feature importances of the tree models, ranked."""
     fitted, _ = _fit_score(spark, sf_dir, ["decision_tree", "random_forest"])
-    return finish(_m().importances(fitted, _H9, spark))
+    return finish(mdl.importances(fitted, _H9, spark))
 
 
 @query("linreg_coefficients")
 def q_linreg_coefficients(spark, sf_dir):
     """M11 + T4: linear coefficients on scaled features, ranked by magnitude."""
     fitted, _ = _fit_score(spark, sf_dir, ["linear_regression"])
-    return finish(_m().coefficients(fitted["linear_regression"], _H9, spark=spark))
+    return finish(mdl.coefficients(fitted["linear_regression"], _H9, spark=spark))
 
 
 @query("backtest_saved")
@@ -1036,7 +1031,7 @@ def q_backtest_saved(spark, sf_dir):
     root = shared_dir(spark, "models")
     run_dir = f"{root}/{store.new_run_id()}"
     store.save_models(fitted, run_dir)
-    scores = ev.score(_m().predict(fitted, test, ["timestamp"]))
+    scores = ev.score(mdl.predict(fitted, test, ["timestamp"]))
     store.write_run_record(store.run_record(run_dir.rsplit("/", 1)[-1], H_TRAIN_YEAR,
                                             H_TEST[0], H_TEST[1], _H9, scores), run_dir)
     latest = store.latest_run(spark, root)
@@ -1044,7 +1039,7 @@ def q_backtest_saved(spark, sf_dir):
     h = table(spark, sf_dir, "events")
     window = ds.load_window(series.hourly_features(h), "2024-01-20", "2024-01-31",
                             lag_bucket=F.date_trunc("day", F.col("timestamp")))
-    return finish(ev.score(_m().predict(loaded, window, ["timestamp"])))
+    return finish(ev.score(mdl.predict(loaded, window, ["timestamp"])))
 
 
 # ================================================================ S12, S13, X1 round trips
@@ -1115,7 +1110,7 @@ def q_stream_scores(spark, sf_dir):
     from scenecast.session import shared_dir
     from scenecast.streaming import incremental
     train, test = h_frames(spark, sf_dir)
-    model = Pipeline(stages=[_m().assembler(["mean_rr_lag1"]),
+    model = Pipeline(stages=[mdl.assembler(["mean_rr_lag1"]),
                              LinearRegression(featuresCol="features", labelCol="label")]
                      ).fit(train)
     mpath, src, sink, ck = (shared_dir(spark, n) for n in ("lr1", "rows", "scored", "ckpt"))
