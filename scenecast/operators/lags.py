@@ -120,7 +120,7 @@ def balanced_cuts(df: DataFrame, time_col: str, rows_per_bucket: int = ROWS_PER_
     us = epoch_micros(F.col(time_col)).cast("double")
     qs = [i / _QUANTILES for i in range(1, _QUANTILES)]
     row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(us, qs, 10 * _QUANTILES).alias("q")).first()
+                 F.percentile_approx(us, qs, _QUANTILES).alias("q")).first()
     n, q = row["n"], row["q"] or []
     want = min(MAX_BUCKETS, max(1, -(-n // rows_per_bucket)))
     if want <= 1:

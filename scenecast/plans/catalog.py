@@ -316,12 +316,14 @@ def q_lag_balanced(spark, sf_dir):
     """W1 and W2 in the two-level plan with balanced buckets: equal-count time
     ranges from approximate quantiles, so a hot period is split over tasks."""
     e = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
-    out = lags.add_lags(e, "value", 3, partition_by=["event_type"],
-                        order_by=["ts", "event_id"], bucket="balanced", time_col="ts",
-                        rows_per_bucket=BALANCED_ROWS)
+    # one quantile pass over the scan; both steps share the bucket column
+    cuts = lags.balanced_cuts(e, "ts", BALANCED_ROWS)
+    bucket = F.col("__tbucket") if cuts else None
+    staged = lags.with_buckets(e, "ts", cuts) if cuts else e
+    out = lags.add_lags(staged, "value", 3, partition_by=["event_type"],
+                        order_by=["ts", "event_id"], bucket=bucket)
     out = lags.add_time_delta(out, "ts", "delta_minutes", partition_by=[],
-                              order_by=["ts", "event_id"], bucket="balanced",
-                              rows_per_bucket=BALANCED_ROWS)
+                              order_by=["ts", "event_id"], bucket=bucket)
     return finish(out.select("event_id", "event_type", "ts", "value_lag1", "value_lag2",
                              "value_lag3", "delta_minutes"))
 
