@@ -86,3 +86,16 @@ def test_overlay_and_range(spark):
     assert (o["label"], o["a"], o["b"]) == (1.0, 2.0, 0.5)
     r = rp.value_range(df).first()
     assert (r["range_min"], r["range_max"]) == (0.5, 2.0)
+
+
+def test_histogram_matches_numpy(spark):
+    import numpy as np
+    rnd = np.random.default_rng(9)
+    for n, bins in [(500, 40), (1000, 60), (37, 7)]:
+        x = rnd.normal(3.0, 2.0, n).round(4)
+        df = spark.createDataFrame([(float(v),) for v in x], "x double")
+        got = [r["count"] for r in rp.histogram(df, "x", bins).orderBy("bin").collect()]
+        want, edges = np.histogram(x, bins=bins)
+        assert got == [int(c) for c in want]
+        lo = rp.histogram(df, "x", bins).orderBy("bin").first()["bin_lo"]
+        assert lo == pytest.approx(edges[0])
