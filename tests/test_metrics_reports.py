@@ -99,3 +99,26 @@ def test_histogram_matches_numpy(spark):
         assert got == [int(c) for c in want]
         lo = rp.histogram(df, "x", bins).orderBy("bin").first()["bin_lo"]
         assert lo == pytest.approx(edges[0])
+
+
+def test_correlation_matches_pandas_pairwise(spark):
+    import numpy as np
+    import pandas as pd
+    rnd = np.random.default_rng(4)
+    n = 300
+    a = rnd.normal(size=n)
+    b = a * 0.5 + rnd.normal(size=n)
+    c = rnd.normal(size=n)
+    a[rnd.choice(n, 30, replace=False)] = np.nan          # missing values
+    c[rnd.choice(n, 50, replace=False)] = np.nan
+    pdf = pd.DataFrame({"a": a, "b": b, "c": c, "k": 2.0})
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in pdf.to_numpy()]
+    df = spark.createDataFrame(rows, "a double, b double, c double, k double")
+    got = {(r["f1"], r["f2"]): r["corr"] for r in rp.correlation(df, ["a", "b", "c", "k"]).collect()}
+    want = pdf.corr()
+    for (f1, f2), v in got.items():
+        w = want.loc[f1, f2]
+        if np.isnan(w):
+            assert v is None, (f1, f2)
+        else:
+            assert v == pytest.approx(w, abs=1e-12), (f1, f2)
