@@ -41,20 +41,26 @@ def pick_variable(catalog: DataFrame, preferred: str = PREFERRED_VAR,
 
     The preferred name wins whatever its shape; otherwise the first (by
     ``ordinal``) 2-D floating variable that is not latitude/longitude.
-    One aggregation with map-side combine; no join.
+    Two phases, as the nearest pick: (1) a hash aggregate per scene over the
+    packed key ``not_preferred * 2^32 + ordinal`` (map-side combine; null
+    when the scene has no candidate); (2) the catalogue rows holding the
+    winning key (a semi join) give the name.  Ordinals are positions in the
+    file, so the winner is one row; ``min`` keeps it exact otherwise.
     """
     is_pref = F.col("var") == F.lit(preferred)
     fallback = (~F.lower(F.col("var")).isin(SKIPPED_VARS)
                 & (F.col("ndims") == 2)
                 & F.lower(F.col("dtype")).startswith("float"))
-    cand = F.when(is_pref | fallback,
-                  F.struct((~is_pref).alias("not_pref"), F.col("ordinal").alias("ordinal"),
-                           F.col("var").alias("var"), F.col("ndims").alias("ndims")))
-    best = F.min(cand)
-    return (catalog.groupBy(scene_col)
-            .agg(best.alias("best"))
-            .select(scene_col, F.col("best.var").alias("var"),
-                    F.col("best.ndims").alias("ndims")))
+    key = F.when(is_pref | fallback,
+                 F.when(is_pref, F.lit(0)).otherwise(F.lit(1)).cast("long") * F.lit(1 << 32)
+                 + F.col("ordinal").cast("long"))
+    keyed = catalog.select(scene_col, "var", "ndims", key.alias("__k"))
+    best = keyed.groupBy(scene_col).agg(F.min("__k").alias("__k"))
+    rows = keyed.join(best.filter(F.col("__k").isNotNull()), [scene_col, "__k"], "left_semi")
+    chosen = rows.groupBy(scene_col).agg(
+        F.min(F.struct(F.col("var").alias("var"), F.col("ndims").alias("ndims"))).alias("c"))
+    return (best.select(scene_col).join(chosen, scene_col, "left")
+            .select(scene_col, F.col("c.var").alias("var"), F.col("c.ndims").alias("ndims")))
 
 
 # --------------------------------------------------------------- P9 crop
