@@ -198,17 +198,20 @@ def d_features(spark, sf_dir, keep_timestamp=False) -> DataFrame:
                                  keep_timestamp=keep_timestamp)
 
 
-def h_prepared(spark, sf_dir) -> DataFrame:
-    """H prepared: two-level per-year lags with day buckets, checkpointed once
-    (one row per scene; every report below reads it from several branches)."""
-    return materialize(ds.prepare(h_features(spark, sf_dir),
-                                  lag_bucket=F.date_trunc("day", F.col("timestamp"))))
+def h_prepared(spark, sf_dir, shared: bool = True) -> DataFrame:
+    """H prepared: two-level per-year lags with day buckets.
+
+    ``shared``: checkpoint it once (one row per scene) because the reports
+    read it from several branches; a query that reads it once skips that.
+    """
+    p = ds.prepare(h_features(spark, sf_dir), lag_bucket="day")
+    return materialize(p) if shared else p
 
 
-def d_prepared(spark, sf_dir) -> DataFrame:
-    """D prepared: two-level per-year lags with month buckets, checkpointed once."""
-    return materialize(ds.prepare(d_features(spark, sf_dir),
-                                  lag_bucket=F.date_trunc("month", F.col("timestamp"))))
+def d_prepared(spark, sf_dir, shared: bool = True) -> DataFrame:
+    """D prepared: two-level per-year lags with month buckets (see h_prepared)."""
+    p = ds.prepare(d_features(spark, sf_dir), lag_bucket="month")
+    return materialize(p) if shared else p
 
 
 # ================================================================ A5, P13-P15
@@ -241,7 +244,7 @@ _FT_SQL = f"""
 
 @query("feature_table", _FT_SQL)
 def q_feature_table(spark, sf_dir):
-    p = h_prepared(spark, sf_dir)
+    p = h_prepared(spark, sf_dir, shared=False)
     out = p.select(*[c for c in ds.FEATURE_TABLE_COLS if c != "hour"],
                    F.col("hour").cast("bigint").alias("hour"),
                    F.col("hour").alias("hour_d"), "hour_sin", "hour_cos", "date",
@@ -256,7 +259,7 @@ def q_feature_table(spark, sf_dir):
            {r('mean_rr_lag1')}, {r('mean_rr_lag2')}, {r('mean_rr_lag3')}
     FROM p""")
 def q_feature_table_daily(spark, sf_dir):
-    p = d_prepared(spark, sf_dir)
+    p = d_prepared(spark, sf_dir, shared=False)
     out = p.select(*[c for c in ds.FEATURE_TABLE_COLS if c != "hour"],
                    F.col("hour").cast("bigint").alias("hour"), "hour_sin", "hour_cos", "date",
                    "mean_rr_lag1", "mean_rr_lag2", "mean_rr_lag3")
@@ -276,8 +279,7 @@ O_PREPARED_CTE = _prepared_sql(_features_sql(O_SERIES_SQL, "O"))
 def q_feature_table_gaps(spark, sf_dir):
     """W1 + W2 on a daily series with missing days: gaps are whole multiples
     of 1440 minutes and lags count rows, not days (a gap does not null a lag)."""
-    p = materialize(ds.prepare(series.gap_features(table(spark, sf_dir, "orders")),
-                               lag_bucket=F.date_trunc("month", F.col("timestamp"))))
+    p = ds.prepare(series.gap_features(table(spark, sf_dir, "orders")), lag_bucket="month")
     out = p.select(*[c for c in ds.FEATURE_TABLE_COLS if c != "hour"],
                    F.col("hour").cast("bigint").alias("hour"), "date",
                    "mean_rr_lag1", "mean_rr_lag2", "mean_rr_lag3")
@@ -679,7 +681,7 @@ _COMPLETE_SQL = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})"
     SELECT split, file, date, {r('mean_rr')}, {r('mean_rr_lag1')}, {r('mean_rr_lag3')} FROM sp""")
 def q_time_split(spark, sf_dir):
     """P19-P21 on D: split after the lags (test rows keep history)."""
-    sp = ds.split_frame(d_prepared(spark, sf_dir), D_TRAIN_YEAR, *D_TEST)
+    sp = ds.split_frame(d_prepared(spark, sf_dir, shared=False), D_TRAIN_YEAR, *D_TEST)
     return finish(sp.select("split", "file", "date", "mean_rr", "mean_rr_lag1", "mean_rr_lag3"))
 
 
@@ -694,7 +696,7 @@ def q_time_split(spark, sf_dir):
     FROM sp GROUP BY split""")
 def q_split_counts(spark, sf_dir):
     """Rows per split before/after the completeness filter, one pass."""
-    return finish(ds.split_counts(ds.split_frame(d_prepared(spark, sf_dir), D_TRAIN_YEAR,
+    return finish(ds.split_counts(ds.split_frame(d_prepared(spark, sf_dir, shared=False), D_TRAIN_YEAR,
                                                  *D_TEST)))
 
 
@@ -704,7 +706,7 @@ def q_split_counts(spark, sf_dir):
     FROM p WHERE year = {D_TRAIN_YEAR} AND {_COMPLETE_SQL}""")
 def q_model_frame(spark, sf_dir):
     """P22 + P23: complete training rows as label + 9 features."""
-    train, _ = ds.time_split(d_prepared(spark, sf_dir), D_TRAIN_YEAR, *D_TEST)
+    train, _ = ds.time_split(d_prepared(spark, sf_dir, shared=False), D_TRAIN_YEAR, *D_TEST)
     return finish(ds.model_frame(train, keys=["timestamp"]))
 
 
