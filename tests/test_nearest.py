@@ -103,3 +103,40 @@ def test_skip_existing_and_day_report(spark):
     # "a.nc" was fetched on day 1, so day 2 only requests "c.nc"
     assert (d2["available"], d2["chosen"], d2["new_requested"], d2["local_now"]) == (2, 2, 1, 4)
     assert rep[dt.date(2021, 6, 3)]["local_now"] == 4
+
+
+def test_day_report_matches_loop_simulation(spark):
+    """J3 against a plain simulation of the day loop: choose per day, request
+    the chosen files whose name is not held, assume every copy succeeds."""
+    rnd = random.Random(21)
+    names = [f"n{i}" for i in range(40)]          # few names: repeats across and within days
+    urls = []
+    for d in (1, 2, 3, 5, 6):                     # day 4 has no files
+        day = f"2021-06-{d:02d}"
+        for _ in range(rnd.randint(1, 30)):
+            urls.append(_url(day, rnd.randrange(0, 1440), rnd.choice(names)))
+    urls = sorted(set(urls))
+    held0 = {f"{n}.nc" for n in rnd.sample(names, 8)}
+
+    # simulation
+    by_day = {}
+    for u in urls:
+        p = u.split("/")
+        by_day.setdefault(f"{p[-5]}-{p[-4]}-{p[-3]}", []).append(u)
+    existing, expect = set(held0), {}
+    for d in range(0, 8):
+        day = f"2021-06-{d:02d}" if d else "2021-05-31"
+        files = by_day.get(day, [])
+        before = len(existing)
+        chosen = sorted({u for dd, u in brute_force(files) if dd == day}) if files else []
+        to_get = [u for u in chosen if u.rsplit("/", 1)[-1] not in existing]
+        existing |= {u.rsplit("/", 1)[-1] for u in to_get}
+        expect[day] = (len(files), len(chosen), len(to_get), len(existing), len(existing) - before)
+
+    lst = spark.createDataFrame([(u,) for u in urls], "url string")
+    held = spark.createDataFrame([(n,) for n in sorted(held0)], "name string")
+    days = ls.day_range(spark, "2021-05-31", "2021-06-07")
+    got = {r["day"].isoformat(): (r["available"], r["chosen"], r["new_requested"],
+                                  r["local_now"], r["delta"])
+           for r in nearest.day_report(days, lst, held).collect()}
+    assert got == expect
