@@ -8,8 +8,6 @@ partitions from runtime statistics.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -53,28 +51,36 @@ def apply_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
-def shared_dir(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh folder under the cluster's shared checkpoint directory.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share.
 
-    The folder named by ``spark.checkpoint.dir`` is the shared store every
-    executor can reach.  Only when the session has none (local tests) do we
-    create one under the system temp folder and register it.
+    The running checkpoint folder comes first, then ``spark.checkpoint.dir``.
+    Without either the call fails: a folder of one machine would lose rows.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="scenecast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    sub = f"{name or 'work'}-{uuid.uuid4().hex[:12]}"
-    return os.path.join(base, sub) if "://" not in base else f"{base.rstrip('/')}/{sub}"
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return base.rstrip("/")
+
+
+def default_checkpoint_dir(spark: SparkSession) -> None:
+    """Where neither a folder nor the setting is given, use one beside the warehouse.
+
+    For entry points only: the warehouse is shared wherever tables can be written.
+    """
+    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        spark.sparkContext.setCheckpointDir(f"{warehouse}/_checkpoints")
+
+
+def shared_dir(spark: SparkSession, name: str | None = None) -> str:
+    """A fresh folder name under :func:`checkpoint_dir`."""
+    return f"{checkpoint_dir(spark)}/{name or 'work'}-{uuid.uuid4().hex[:12]}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``checkpoint()`` has a reliable (shared) directory."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="scenecast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    """Make sure ``checkpoint()`` has the shared folder."""
+    base = checkpoint_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return base
