@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from scenecast.llm.common import require, stored
 
-TABLES, HASHES, WIDTH, PROBES = 4, 4, 1.2, 32
+TABLES, HASHES, WIDTH, PROBES = 4, 3, 1.2, 22
 BLOCK_ROWS, BLOCK_PROBES = 4_096, 1_024
 SEED = 17
 

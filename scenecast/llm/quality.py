@@ -67,13 +67,19 @@ def _start(seed: int = 5) -> Network:
 
 
 def _padded(raw: bytes) -> np.ndarray:
-    """Bytes filled with zeros up to whole units (at least one)."""
-    size = 2 * UNIT * max(1, -(-len(raw) // (2 * UNIT)))
+    """Bytes and at least ``WIDTH`` zeros, filled up to whole units."""
+    size = 2 * UNIT * -(-(len(raw) + WIDTH) // (2 * UNIT))
     out = np.zeros(size, dtype=np.uint8)
     out[:len(raw)] = np.frombuffer(raw, dtype=np.uint8)
     return out
 
 
+def _edge_windows(texts: list[np.ndarray]) -> np.ndarray:
+    """Windows at the end of each text that would read into the next one."""
+    ends = np.cumsum([len(t) // 2 for t in texts])
+    return (ends[:, None] - np.arange(1, WIDTH // 2)).reshape(-1)
+
+
 def _chunks(n_units: int) -> tuple[np.ndarray, np.ndarray]:
     """First and end unit of every chunk."""
     first = np.arange(0, max(1, n_units - 1), CHUNK - 1)
@@ -88,6 +94,7 @@ def _forward(net: Network, texts: list[np.ndarray]):
     index = x[2 * np.arange(n)[:, None] + np.arange(WIDTH)]          # windows x WIDTH
     cols = net.byte_vectors[index].reshape(n, WIDTH * DIM)
     pre = cols @ net.filters + net.bias
+    pre[_edge_windows(texts)] = -1e30
     units = pre.reshape(-1, UNIT, FILTERS)
     best = units.argmax(axis=1)                                        # unit x filter
     top = np.take_along_axis(units, best[:, None], axis=1)[:, 0]
@@ -192,8 +199,9 @@ class Scorer:
                        for k in range(WIDTH // 2)]
         self.bias = net.bias.astype(np.float32)
 
-    def _unit_tops(self, x: np.ndarray) -> np.ndarray:
-        """Largest response per unit and filter; ``x`` is whole units of bytes."""
+    def _unit_tops(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Largest response per unit and filter over some padded texts."""
+        x, edge = np.concatenate(texts), _edge_windows(texts)
         pairs = np.concatenate([x, np.zeros(WIDTH, dtype=np.uint8)]).view("<u2")
         step, tops = BLOCK // 2, []
         for a in range(0, len(x) // 2, step):
@@ -201,6 +209,7 @@ class Scorer:
             total = self.tables[0].take(pairs[a:a + n], axis=0)
             for k in range(1, len(self.tables)):
                 total += self.tables[k].take(pairs[a + k:a + k + n], axis=0)
+            total[edge[(edge >= a) & (edge < a + n)] - a] = -1e30
             tops.append(total.reshape(-1, UNIT, FILTERS).max(axis=1))
         return np.concatenate(tops) + self.bias
 
@@ -213,7 +222,7 @@ class Scorer:
             while i + len(group) < len(texts) and (not group or size < 4 * BLOCK):
                 group.append(_padded(texts[i + len(group)]))
                 size += len(group[-1])
-            tops, at = self._unit_tops(np.concatenate(group)), 0
+            tops, at = self._unit_tops(group), 0
             for j, t in enumerate(group):
                 k = len(t) // (2 * UNIT)
                 first, end = _chunks(k)

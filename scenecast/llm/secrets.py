@@ -2,8 +2,8 @@
 
 Base rules, leftmost and non-overlapping per kind (``KINDS``): assignments,
 access keys, long hex strings.  The method adds a fourth kind, ``mixed``:
-40+ characters of ``[A-Za-z0-9+/_=-]`` that hold upper case, lower case and
-digits.  Every candidate's value is hashed; per hash the corpus gives the number
+40+ characters of ``[A-Za-z0-9+/_-]`` (and padding) that hold upper case, lower case
+and digits.  Every candidate's value is hashed; per hash the corpus gives the number
 of distinct repositories and owners.  A value seen with more than
 ``max_owners`` owners is a widely copied example, any other is
 owner-specific and live-looking.  Base spans always stay; ``mixed`` ones stay only
@@ -52,7 +52,7 @@ KINDS = (
                    r"([A-Za-z0-9+/_.=-]+)", 1, 6),
     Kind("access", r"AKIA[A-Z0-9]+", 0, 20),
     Kind("hex", r"[0-9a-f]{24,}", 0, 24),
-    Kind("mixed", r"[A-Za-z0-9+/_=-]{40,}", 0, 40),
+    Kind("mixed", r"[A-Za-z0-9+/_-]{40,}={0,2}", 0, 40),
 )
 BASE = ("assign", "access", "hex")
 MAX_OWNERS = 1
