@@ -51,7 +51,8 @@ def main() -> None:
     # is built and cached once, then each estimator is fitted on it.
     from scenecast.operators import models as mdl
     train, _ = catalog.h_frames(spark, sf_dir)
-    train = mdl.sized(train.cache())
+    train = train.cache()
+    train.count()
     fits = {
         "fit_linear_regression": lambda: mdl.linear_pipeline(catalog._H9),
         "fit_decision_tree": lambda: mdl.tree_pipeline(catalog._H9),

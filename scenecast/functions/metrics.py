@@ -34,13 +34,14 @@ def r2(label="label", prediction="prediction") -> Column:
 
 
 def pearson(a, b) -> Column:
-    """Pearson correlation over rows where both are non-null.
+    """Pearson correlation over rows where both are neither null nor NaN.
 
     ``corr`` raises divide-by-zero under ANSI mode on a constant column; this
     form returns null there instead.
     """
     a, b = _c(a), _c(b)
-    both = a.isNotNull() & b.isNotNull()
+    both = (a.isNotNull() & b.isNotNull() & ~F.isnan(a.cast("double"))
+            & ~F.isnan(b.cast("double")))
     a2, b2 = F.when(both, a), F.when(both, b)
     den = F.stddev_pop(a2) * F.stddev_pop(b2)
     return F.try_divide(F.covar_pop(a2, b2), F.when(den != 0, den))

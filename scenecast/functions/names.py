@@ -15,11 +15,9 @@ from pyspark.sql import functions as F
 #   listing: ".../HHmm/<name>.nc" at the end of the url
 NAME_S_PATTERN = r"_s(\d{14})"
 NAME_DOY_PATTERN = r"_(\d{4})(\d{3})_(\d{2})(\d{2})_"
-URL_HHMM_PATTERN = r"/(\d{2})(\d{2})/[^/]+\.nc$"
-URL_DAY_PATTERN = r"/(\d{4})/(\d{2})/(\d{2})/\d{4}/[^/]+\.nc$"
-# the same two patterns with one capture group each (used for parsing)
 URL_HHMM_SEGMENT = r"/(\d{4})/[^/]+\.nc$"
-URL_DAY_SEGMENT = r"/(\d{4}/\d{2}/\d{2})/\d{4}/[^/]+\.nc$"
+# a day's listing holds every file below the day, whatever its next path part is called
+URL_DAY_SEGMENT = r"/(\d{4}/\d{2}/\d{2})/[^/]+/[^/]+\.nc$"
 
 # Python's datetime range; a parsed time outside it is invalid.
 _MIN_YEAR, _MAX_YEAR = 1, 9999
@@ -79,20 +77,6 @@ def file_timestamp(name) -> Column:
             .otherwise(timestamp_style_doy(s)))
 
 
-def url_hour(url) -> Column:
-    """HH of the ``/HHmm/`` segment before the file; null when unmatched.
-
-    ``regexp_extract`` gives '' when the url does not match; ``try_cast``
-    turns that into null without a second regex test.
-    """
-    return _group(_c(url), URL_HHMM_PATTERN, 1).try_cast("int")
-
-
-def url_minute(url) -> Column:
-    """Mm of the ``/HHmm/`` segment; null when unmatched (no range check)."""
-    return _group(_c(url), URL_HHMM_PATTERN, 2).try_cast("int")
-
-
 def minute_of_day(url) -> Column:
     """P5: HH*60 + mm of the url's ``/HHmm/`` segment (one regex, two groups)."""
     hhmm = _group(_c(url), URL_HHMM_SEGMENT, 1).try_cast("int")

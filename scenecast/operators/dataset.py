@@ -67,7 +67,7 @@ def prepare(features: DataFrame, target: str = TARGET, n_lags: int = N_LAGS,
     return add_lags(df, target, n_lags,
                     partition_by=["year"] if partition_by is None else partition_by,
                     order_by=["timestamp_ms", "file"] if order_by is None else order_by,
-                    bucket=time_bucket(lag_bucket), time_col="timestamp")
+                    bucket=time_bucket(lag_bucket))
 
 
 def parse_day(text: str | dt.date) -> dt.date:

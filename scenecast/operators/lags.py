@@ -101,60 +101,29 @@ def add_lags_two_level(df: DataFrame, value_cols: list[str], n_lags: int,
     return joined.withColumns(out).drop(*drop)
 
 
-# Balanced buckets: rows per bucket and a cap on the number of buckets (the
-# bucket table, one row per bucket, is what the carry window reads).
+# Balanced buckets: about so many rows each.
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 100_000
-_QUANTILES = 4096
 
 
-def balanced_cuts(df: DataFrame, time_col: str, rows_per_bucket: int = ROWS_PER_BUCKET
-                  ) -> list[float]:
-    """Cut points (epoch microseconds) of equal-count time buckets.
+def balanced_buckets(df: DataFrame, order_by: list[str] | str,
+                     rows_per_bucket: int = ROWS_PER_BUCKET, out: str = "__tbucket"
+                     ) -> DataFrame:
+    """Add ``out``: ranges of about ``rows_per_bucket`` rows in the order of ``order_by``.
 
-    One aggregate pass returns the row count and 4095 approximate quantiles
-    of the epoch time (a bounded list, whatever the data size); every m-th
-    is kept so buckets hold about ``rows_per_bucket`` rows.  An empty list
-    means everything fits in one bucket.
+    The rows are range-partitioned by the whole ordering, tie-break included, and a
+    row's bucket is its range, so rows of one instant are split as well.  The
+    result is written once: the ranges come from a sample and must not be drawn twice.
     """
-    us = epoch_micros(F.col(time_col)).cast("double")
-    qs = [i / _QUANTILES for i in range(1, _QUANTILES)]
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(us, qs, _QUANTILES).alias("q")).first()
-    n, q = row["n"], row["q"] or []
-    want = min(MAX_BUCKETS, max(1, -(-n // rows_per_bucket)))
-    if want <= 1:
-        return []
-    step = max(1, round(len(q) / want))
-    return sorted({float(v) for v in q[step - 1::step]})
-
-
-def with_buckets(df: DataFrame, time_col: str, cuts: list[float], out: str = "__tbucket"
-                 ) -> DataFrame:
-    """Bucket id per row from cut points; ``Bucketizer`` binary-searches on
-    the executors.  Rows with the same time share a bucket and ids increase
-    with time, as the two-level plan requires."""
-    from pyspark.ml.feature import Bucketizer
-    tmp = "__tbucket_us"
-    b = Bucketizer(splits=[float("-inf")] + cuts + [float("inf")], inputCol=tmp,
-                   outputCol=out, handleInvalid="keep")
-    return b.transform(df.withColumn(tmp, epoch_micros(F.col(time_col)).cast("double"))
-                       ).drop(tmp)
-
-
-def balanced_buckets(df: DataFrame, time_col: str, rows_per_bucket: int = ROWS_PER_BUCKET,
-                     out: str = "__tbucket") -> DataFrame:
-    """Add ``out``: equal-count time ranges, so a hot period is split
-    (a single bucket is the constant 0)."""
-    cuts = balanced_cuts(df, time_col, rows_per_bucket)
-    return with_buckets(df, time_col, cuts, out) if cuts else df.withColumn(out, F.lit(0.0))
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    n = max(1, -(-df.count() // rows_per_bucket))
+    ranged = df.repartitionByRange(n, *_cols(order))
+    return checkpoint_table(ranged.withColumn(out, F.spark_partition_id()))
 
 
 def add_lags(df: DataFrame, value_cols: list[str] | str = "mean_rr", n_lags: int = 3,
              partition_by: list[str] | None = None,
              order_by: list[str] | None = None,
              bucket: Column | str | None = None, materialize: bool = False,
-             time_col: str | None = None,
              rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Row lags 1..n of each value column per partition, ordered.
 
@@ -163,8 +132,7 @@ def add_lags(df: DataFrame, value_cols: list[str] | str = "mean_rr", n_lags: int
     lacks).  Give ``bucket`` (e.g. ``F.date_trunc('day', 'timestamp')``) for
     the two-level plan; without it a single window is used.  ``bucket=
     "balanced"`` derives equal-count time buckets from the data (see
-    :func:`balanced_buckets`; ``time_col`` names the time column, which must
-    lead the ordering).
+    :func:`balanced_buckets`).
     """
     cols = [value_cols] if isinstance(value_cols, str) else list(value_cols)
     partition_by = ["year"] if partition_by is None else list(partition_by)
@@ -172,12 +140,9 @@ def add_lags(df: DataFrame, value_cols: list[str] | str = "mean_rr", n_lags: int
     if bucket is None:
         return add_lags_window(df, cols, n_lags, partition_by, order_by)
     if isinstance(bucket, str) and bucket == "balanced":
-        tcol = time_col or order_by[0]
-        cuts = balanced_cuts(df, tcol, rows_per_bucket)
-        if not cuts:      # everything fits in one bucket: the plain window
-            return add_lags_window(df, cols, n_lags, partition_by, order_by)
-        out = add_lags_two_level(with_buckets(df, tcol, cuts), cols, n_lags, partition_by,
-                                 order_by, F.col("__tbucket"), materialize=materialize)
+        out = add_lags_two_level(balanced_buckets(df, order_by, rows_per_bucket), cols, n_lags,
+                                 partition_by, order_by, F.col("__tbucket"),
+                                 materialize=materialize)
         return out.drop("__tbucket")
     return add_lags_two_level(df, cols, n_lags, partition_by, order_by, bucket,
                               materialize=materialize)
@@ -199,12 +164,8 @@ def add_time_delta(df: DataFrame, ts: str = "timestamp", out: str = "delta_minut
     tmp = "__t_us"
     staged = df.withColumn(tmp, epoch_micros(F.col(ts)))
     if isinstance(bucket, str) and bucket == "balanced":
-        cuts = balanced_cuts(staged, ts, rows_per_bucket)
-        if cuts:
-            staged = with_buckets(staged, ts, cuts)
-            bucket = F.col("__tbucket")
-        else:             # everything fits in one bucket: the plain window
-            bucket = None
+        staged = balanced_buckets(staged, order_by, rows_per_bucket)
+        bucket = F.col("__tbucket")
     if bucket is None:
         lagged = add_lags_window(staged, [tmp], 1, partition_by, order_by, suffix="__prev")
     else:

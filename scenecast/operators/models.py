@@ -19,7 +19,6 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scenecast.operators.evaluate import score
 from scenecast.schemas import FEATURE_COLS
 
 # Hyper-parameters of the published runs.
@@ -81,32 +80,16 @@ def default_specs(features=None, boosted_rounds: int = BOOSTED_PARAMS["maxIter"]
     }
 
 
-# Rows per partition of the cached training frame: iterative learners make
-# one pass per iteration (per tree level for trees), so partitions far
-# smaller than this only add task overhead.
-ROWS_PER_PARTITION = 250_000
-
-
-def sized(cached: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Coalesce a cached frame to about ``rows / rows_per_partition`` partitions.
+def fit_models(train: DataFrame, specs: dict[str, Callable[[], Pipeline]],
+               partitions: int | None = None) -> dict[str, PipelineModel]:
+    """M7: fit every pipeline on one cached training frame.
 
-    The count runs once and fills the cache; ``coalesce`` is a narrow
-    dependency over the cached blocks (no shuffle, no recomputation).  Large
-    frames keep their partitioning.
+    ``partitions`` fixes the number of partitions (sampling learners draw per
+    partition); without it the frame stays as it is.
     """
-    n = cached.count()
-    want = max(1, -(-n // rows_per_partition))
-    have = cached.rdd.getNumPartitions()
-    return cached.coalesce(want) if want < have else cached
-
-
-def fit_models(train: DataFrame, specs: dict[str, Callable[[], Pipeline]],
-               rows_per_partition: int = ROWS_PER_PARTITION) -> dict[str, PipelineModel]:
-    """M7: fit every pipeline on one cached, right-sized training frame."""
-    cached = train.cache()
+    cached = (train.repartition(partitions) if partitions else train).cache()
     try:
-        frame = sized(cached, rows_per_partition)
-        return {name: make().fit(frame) for name, make in specs.items()}
+        return {name: make().fit(cached) for name, make in specs.items()}
     finally:
         cached.unpersist()
 
@@ -129,14 +112,6 @@ def predict(models: dict[str, PipelineModel], frame: DataFrame,
     return out
 
 
-def fit_and_score(train: DataFrame, test: DataFrame,
-                  specs: dict[str, Callable[[], Pipeline]], keys: list[str] | None = None
-                  ) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """M7 + M8 + A10: models and their score table on ``test``."""
-    models = fit_models(train, specs)
-    return models, score(predict(models, test, keys))
-
-
 def importances(models: dict[str, PipelineModel], features: list[str] | None = None,
                 spark=None) -> DataFrame:
     """M10 + T3: (model, feature, importance, rank) for tree-based models."""

@@ -1,5 +1,5 @@
 """Report tables behind every picture of the reference (P24, P25, A11-A14,
-T1-T5, J4, M13).
+T1-T4, J4, M13).
 
 The reference collects up to 50,000 rows per model to pandas and draws.
 Here each picture's data is an aggregate computed on the executors, so only
@@ -18,7 +18,6 @@ from scenecast.functions.metrics import pearson
 RESIDUAL_BINS = 40
 TARGET_BINS = 60
 TOP_ERRORS = 20
-MAX_COLLECT_ROWS = 20000
 
 
 def with_errors(pred: DataFrame, label: str = "label",
@@ -51,8 +50,12 @@ def histogram(df: DataFrame, col: str, bins: int, group_cols: list[str] | None =
                           * F.lit(float(bins))) + 1, F.lit(bins)).cast("long")
     seq = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(bins).cast("long"))).alias("bin")
     if group_cols:
-        # one range row per group; adaptive execution picks the join strategy
-        with_rng = vals.join(rng, group_cols)
+        # one range per group, handed to the rows as a map: no shuffle of the rows on the group
+        key = F.struct(*group_cols)
+        ranges = rng.agg(F.map_from_entries(F.collect_list(F.struct(
+            F.to_json(key).alias("k"), F.struct("lo", "hi").alias("b")))).alias("m")).scalar()
+        found = F.element_at(ranges, F.to_json(key))
+        with_rng = vals.withColumns({"lo": found["lo"], "hi": found["hi"]})
         all_bins = rng.select(*group_cols, "lo", "hi", seq)
     else:
         # one global range: a scalar subquery evaluated once, no join at all;
@@ -143,8 +146,3 @@ def overlay(pred_long: DataFrame, models: list[str], ts: str = "timestamp") -> D
 def prediction_series(pred: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Per model, the series of label, prediction and errors over time."""
     return with_errors(pred).withColumn("time_label", short_label(F.col(ts)))
-
-
-def bounded(df: DataFrame, max_rows: int = MAX_COLLECT_ROWS) -> DataFrame:
-    """T5: cap a table before it is pulled to the driver (reports only)."""
-    return df.limit(max_rows)

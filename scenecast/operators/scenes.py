@@ -28,6 +28,7 @@ SKIPPED_VARS = ["latitude", "longitude"]   # never used as fallback (any case)
 REJECT_NO_TIME = "no_timestamp"
 REJECT_NO_VAR = "no_variable"
 REJECT_NOT_2D = "not_2d"
+REJECT_BAD_GRID = "bad_grid"          # values missing, or not ny * nx of them
 REJECT_NO_PIXEL = "no_finite_pixel"
 
 _INF = float("inf")
@@ -198,14 +199,14 @@ def stats_long(pixels: DataFrame, threshold: float = 0.0,
 
 def _finish(stats: DataFrame, timestamp_col: str | None) -> DataFrame:
     ts = F.col(timestamp_col) if timestamp_col else file_timestamp(F.col("file"))
-    reason = (F.when(ts.isNull(), F.lit(REJECT_NO_TIME))
-              .when(F.col("n_finite") == 0, F.lit(REJECT_NO_PIXEL)))
+    reason = F.when(ts.isNull(), F.lit(REJECT_NO_TIME))
     if "var" in stats.columns:
-        reason = (F.when(ts.isNull(), F.lit(REJECT_NO_TIME))
-                  .when(F.col("var").isNull(), F.lit(REJECT_NO_VAR))
-                  .when(F.col("ndims") != 2, F.lit(REJECT_NOT_2D))
-                  .when(F.coalesce(F.col("n_finite"), F.lit(0)) == 0, F.lit(REJECT_NO_PIXEL)))
-    return stats.withColumns({"timestamp": ts, "reject_reason": reason})
+        reason = (reason.when(F.col("var").isNull(), F.lit(REJECT_NO_VAR))
+                  .when(F.col("ndims") != 2, F.lit(REJECT_NOT_2D)))
+    if "grid_ok" in stats.columns:
+        reason = reason.when(~F.col("grid_ok"), F.lit(REJECT_BAD_GRID))
+    reason = reason.when(F.coalesce(F.col("n_finite"), F.lit(0)) == 0, F.lit(REJECT_NO_PIXEL))
+    return stats.withColumns({"timestamp": ts, "reject_reason": reason}).drop("grid_ok")
 
 
 def scene_stats_arrays(scenes: DataFrame, win: int = DEFAULT_WINDOW,
@@ -215,6 +216,8 @@ def scene_stats_arrays(scenes: DataFrame, win: int = DEFAULT_WINDOW,
     Output: scene_id, file, timestamp, n_pixels, n_valid, n_finite, mean_rr,
     max_rr, std_rr, frac_rainy, reject_reason (null = accepted).
     """
+    grid_ok = F.coalesce(F.size("value") == F.col("ny") * F.col("nx"), F.lit(False))
+    scenes = scenes.withColumn("grid_ok", F.col("value").isNotNull() & grid_ok)
     out = stats_arrays(clean_arrays(center_crop_arrays(scenes, win)), threshold)
     keep = [c for c in scenes.columns if c not in ("value", "quality", "ny", "nx")]
     cols = keep + ["n_pixels", "n_valid", "n_finite", "mean_rr", "max_rr", "std_rr",

@@ -70,12 +70,3 @@ def write_report(spark: SparkSession, report: dict[str, DataFrame], out_dir: str
         if df is not None and name not in ("window", "predictions"):
             df.write.mode("overwrite").parquet(f"{base}/{name}")
     return base
-
-
-def latest_backtest(spark: SparkSession, features: DataFrame, models_root: str, start: str,
-                    end: str, **kw) -> dict[str, DataFrame]:
-    """T6 + M9: backtest with the newest run under ``models_root``."""
-    run_dir = store.latest_run(spark, models_root)
-    if run_dir is None:
-        raise FileNotFoundError(f"no runs found in {models_root}")
-    return backtest(spark, features, run_dir, start, end, **kw)

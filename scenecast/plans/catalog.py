@@ -27,7 +27,7 @@ from scenecast.operators import reports as rp
 from scenecast.operators import scenes as sc
 from scenecast.plans import series
 from scenecast.schemas import FEATURE_COLS
-from scenecast.session import materialize, spread
+from scenecast.session import materialize, shared_dir
 from scenecast.sources import listing as ls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,14 +92,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table feeding CPU-heavy per-row string work (url building,
-    regex parsing): a small single-split file is spread over the cores.
-    Aggregation-only reads do not use it - their partial aggregate is cheap
-    and an extra shuffle before it would only cost."""
-    return spread(table(spark, sf_dir, name))
-
-
 def round_decimal(c, places: int = 6):
     """Round a double through DECIMAL(38,8), as the oracle SQL does.
 
@@ -315,13 +307,12 @@ BALANCED_ROWS = 1000     # rows per balanced bucket for the raw-event lag query
 
 @query("lag_balanced", ORACLE["lag_two_level"])
 def q_lag_balanced(spark, sf_dir):
-    """W1 and W2 in the two-level plan with balanced buckets: equal-count time
-    ranges from approximate quantiles, so a hot period is split over tasks."""
+    """W1 and W2 in the two-level plan with balanced buckets: equal-count ranges
+    of (time, id), so a hot period, or instant, is split over tasks."""
     e = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
-    # one quantile pass over the scan; both steps share the bucket column
-    cuts = lags.balanced_cuts(e, "ts", BALANCED_ROWS)
-    bucket = F.col("__tbucket") if cuts else None
-    staged = lags.with_buckets(e, "ts", cuts) if cuts else e
+    # both steps share the bucket column
+    staged = lags.balanced_buckets(e, ["ts", "event_id"], BALANCED_ROWS)
+    bucket = F.col("__tbucket")
     out = lags.add_lags(staged, "value", 3, partition_by=["event_type"],
                         order_by=["ts", "event_id"], bucket=bucket)
     out = lags.add_time_delta(out, "ts", "delta_minutes", partition_by=[],
@@ -363,7 +354,7 @@ _S_NAMES_SQL = """
              '%Y-%m-%d %H:%M:%S') END AS file_time
     FROM d""")
 def q_file_timestamp_s(spark, sf_dir):
-    n = _style_s_names(text_table(spark, sf_dir, "events"))
+    n = _style_s_names(table(spark, sf_dir, "events"))
     return finish(n.select("event_id", "name", nm.file_timestamp("name").alias("file_time")))
 
 
@@ -399,7 +390,7 @@ def _style_doy_names(events: DataFrame) -> DataFrame:
            END AS file_time
     FROM d""")
 def q_file_timestamp_doy(spark, sf_dir):
-    n = _style_doy_names(text_table(spark, sf_dir, "events"))
+    n = _style_doy_names(table(spark, sf_dir, "events"))
     return finish(n.select("event_id", "name", nm.file_timestamp("name").alias("file_time")))
 
 
@@ -420,12 +411,12 @@ _L_SQL = """
 
 
 def listing(spark, sf_dir) -> DataFrame:
-    return series.events_listing(text_table(spark, sf_dir, "events"))
+    return series.events_listing(table(spark, sf_dir, "events"))
 
 
 def held_listing(spark, sf_dir) -> DataFrame:
     """Files already held: those of the ``view`` and ``click`` events."""
-    ev_ = text_table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click"))
+    ev_ = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click"))
     return series.events_listing(ev_)
 
 
@@ -479,7 +470,8 @@ def q_new_files(spark, sf_dir):
     held AS (SELECT DISTINCT name FROM lf WHERE event_type IN ('view', 'click')),
     days AS (SELECT CAST(d AS DATE) AS day FROM range(DATE '{LISTING_RANGE[0]}',
              DATE '{LISTING_RANGE[1]}' + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)),
-    avail AS (SELECT day, count(*) AS available FROM lf GROUP BY day),
+    avail AS (SELECT day, count(*) + count(CASE WHEN event_id % 97 = 0 THEN 1 END) AS available
+              FROM lf GROUP BY day),
     nch AS (SELECT day, count(*) AS chosen FROM chosen GROUP BY day),
     fresh AS (SELECT * FROM chosen c WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.name = c.name)),
     firstday AS (SELECT name, min(day) AS day FROM fresh GROUP BY name),
@@ -497,8 +489,14 @@ def q_new_files(spark, sf_dir):
            new_names AS delta
     FROM per""")
 def q_day_report(spark, sf_dir):
-    """J3 + W3 + S2 over a day range wider than the data (empty days kept)."""
-    lst = listing(spark, sf_dir)
+    """J3 + W3 + S2 over a day range wider than the data (empty days kept).
+
+    Every 97th file is listed once more below a path part that is no HHmm: it is
+    available that day and never chosen."""
+    lst = listing(spark, sf_dir).select("url", "event_id")
+    untimed = lst.filter(F.col("event_id") % 97 == 0).withColumn(
+        "url", F.regexp_replace("url", r"/\d{4}/([^/]+)$", "/full/$1"))
+    lst = lst.unionByName(untimed).select("url")
     held = ls.held_names(held_listing(spark, sf_dir))
     days = ls.day_range(spark, *LISTING_RANGE)
     return finish(nearest.day_report(days, lst, held))
@@ -613,6 +611,17 @@ _CATALOG_SQL = """
       LEFT JOIN cand c ON c.scene_id = s.scene_id AND c.rk = 1)"""
 
 
+@query("scene_table", f"WITH {_G_CELLS_SQL.strip()} {_G_STATS_OUT}")
+def q_scene_table(spark, sf_dir):
+    """A scene table written and read with its declared schema, then reduced."""
+    from scenecast.sources import tables
+    path = shared_dir(spark, "scene-table")
+    tables.normalize_scene_arrays(g_scenes(spark, sf_dir)).write.parquet(path)
+    out = sc.scene_stats_arrays(tables.read_scenes(spark, path), G_WINDOW, 0.0)
+    return finish(out.select("scene_id", "file", "timestamp", "n_pixels", "n_valid", "n_finite",
+                             "mean_rr", "max_rr", "std_rr", "frac_rainy", "reject_reason"))
+
+
 @query("pick_variable", f"WITH {_CATALOG_SQL.strip()} SELECT scene_id, var, ndims FROM pick")
 def q_pick_variable(spark, sf_dir):
     cat = series.variable_catalog(table(spark, sf_dir, "embeddings"))
@@ -624,13 +633,22 @@ def q_pick_variable(spark, sf_dir):
     j AS (
       SELECT CASE WHEN p.var IS NULL THEN 'no_variable'
                   WHEN p.ndims <> 2 THEN 'not_2d'
+                  WHEN CAST(scene_id AS BIGINT) % 11 = 0 OR CAST(scene_id AS BIGINT) % 13 = 0
+                    THEN 'bad_grid'
                   WHEN coalesce(s.n_finite, 0) = 0 THEN 'no_finite_pixel'
                   ELSE 'accepted' END AS outcome
       FROM stats s JOIN pick p USING (scene_id))
     SELECT outcome, count(*) AS scenes FROM j GROUP BY outcome""")
 def q_scene_rejects(spark, sf_dir):
-    """P12 + A6: outcome of every scene (variable choice joined per scene)."""
-    st = sc.scene_stats_arrays(g_scenes(spark, sf_dir), G_WINDOW, 0.0)
+    """P12 + A6: outcome of every scene (variable choice joined per scene).
+
+    Some scenes have no values (every 11th) or too few for their grid (every 13th)."""
+    n = F.col("scene_id").cast("bigint")
+    value = F.when(n % 11 == 0, F.lit(None)).when(n % 13 == 0, F.slice("value", 1, 3)).otherwise(
+        F.col("value"))
+    st = sc.scene_stats_arrays(g_scenes(spark, sf_dir).withColumn("value", value), G_WINDOW, 0.0)
+    bad = F.coalesce(F.col("reject_reason") == sc.REJECT_BAD_GRID, F.lit(False))
+    st = st.withColumn("grid_ok", ~bad)
     pick = sc.pick_variable(series.variable_catalog(table(spark, sf_dir, "embeddings")))
     joined = st.drop("reject_reason").join(pick, "scene_id")
     return finish(sc.reject_counts(sc._finish(joined.drop("timestamp"), None)))
@@ -716,7 +734,6 @@ def q_model_frame(spark, sf_dir):
 def q_write_read_features(spark, sf_dir):
     """S6 + S7: write the daily feature table partitioned by year to the
     shared folder, read it back with the declared schema."""
-    from scenecast.session import shared_dir
     from scenecast.sources import tables
     path = tables.write_features(d_features(spark, sf_dir), shared_dir(spark, "features"))
     return finish(tables.read_features(spark, path))
@@ -1004,6 +1021,115 @@ def _scores_query(names):
     return run
 
 
+def _stump_ctes(name: str, src: str, y: str) -> str:
+    """Best split of ``src`` on ``hour`` for target ``y`` as {name}(t, lm, rm)."""
+    return f"""
+    {name}_cand AS (
+      SELECT t, count(CASE WHEN hour <= t THEN 1 END) AS nl, sum(CASE WHEN hour <= t THEN {y} END) AS sl,
+             sum(CASE WHEN hour <= t THEN {y} * {y} END) AS ql,
+             count(CASE WHEN hour > t THEN 1 END) AS nr, sum(CASE WHEN hour > t THEN {y} END) AS sr,
+             sum(CASE WHEN hour > t THEN {y} * {y} END) AS qr
+      FROM (SELECT (h + lead(h) OVER (ORDER BY h)) / 2 AS t
+            FROM (SELECT DISTINCT CAST(hour AS DOUBLE) AS h FROM {src})) JOIN {src} ON true
+      WHERE t IS NOT NULL GROUP BY t),
+    {name} AS (
+      SELECT t, sl / nl AS lm, sr / nr AS rm FROM {name}_cand WHERE nl > 0 AND nr > 0
+      ORDER BY (ql - sl * sl / nl) + (qr - sr * sr / nr), t LIMIT 1)"""
+
+
+def _hour_scores(spark, sf_dir, name, learner):
+    """Fit one learner on ``hour`` and score it on the test window."""
+    from pyspark.ml import Pipeline
+    train, test = h_frames(spark, sf_dir, extra=["hour"])
+    fitted = mdl.fit_models(train, {name: lambda: Pipeline(stages=[
+        mdl.assembler(["hour"]), learner])})
+    return finish(ev.score(mdl.predict(fitted, test, ["timestamp"])))
+
+
+@query("forest_stump", f"""
+    WITH {_H_FRAMES_SQL.strip()}, {_stump_ctes('split1', 'train', 'label').strip()},
+    scored AS (SELECT 'forest' AS model, label, CASE WHEN hour(timestamp) <= t THEN lm ELSE rm END
+            AS prediction FROM test, split1)
+    SELECT model, {_SCORE_SQL} FROM scored GROUP BY model""")
+def q_forest_stump(spark, sf_dir):
+    """M5 without bootstrap and feature sampling at depth 1: every tree is the best split."""
+    from pyspark.ml.regression import RandomForestRegressor
+    return _hour_scores(spark, sf_dir, "forest", RandomForestRegressor(
+        featuresCol="features", labelCol="label", numTrees=3, maxDepth=1, bootstrap=False,
+        featureSubsetStrategy="all", minInstancesPerNode=1, seed=mdl.SEED))
+
+
+@query("boosted_two_rounds", f"""
+    WITH {_H_FRAMES_SQL.strip()}, {_stump_ctes('split1', 'train', 'label').strip()},
+    grad AS (SELECT hour, 2 * (label - CASE WHEN hour <= t THEN lm ELSE rm END) AS g FROM train, split1),
+    {_stump_ctes('split2', 'grad', 'g').strip()},
+    scored AS (SELECT 'boosted' AS model, label,
+                 CASE WHEN hour(timestamp) <= split1.t THEN split1.lm ELSE split1.rm END
+                 + 0.05 * CASE WHEN hour(timestamp) <= split2.t THEN split2.lm ELSE split2.rm END AS prediction
+          FROM test, split1, split2)
+    SELECT model, {_SCORE_SQL} FROM scored GROUP BY model""")
+def q_boosted_two_rounds(spark, sf_dir):
+    """M6 at two rounds, depth 1, no sampling: a split of the label and one of the gradient."""
+    from pyspark.ml.regression import GBTRegressor
+    return _hour_scores(spark, sf_dir, "boosted", GBTRegressor(
+        featuresCol="features", labelCol="label", maxIter=2, stepSize=0.05, maxDepth=1,
+        subsamplingRate=1.0, minInstancesPerNode=1, seed=mdl.SEED))
+
+
+@query("linreg_two_coefficients", f"""
+    WITH {_H_FRAMES_SQL.strip()},
+    moments AS (SELECT var_samp(mean_rr_lag1) AS a, var_samp(mean_rr_lag2) AS b,
+                 covar_samp(mean_rr_lag1, mean_rr_lag2) AS c, covar_samp(mean_rr_lag1, label) AS p,
+                 covar_samp(mean_rr_lag2, label) AS q, avg(label) AS y FROM train),
+    coefs AS (SELECT 'mean_rr_lag1' AS feature, (p * b - q * c) / (a * b - c * c) AS raw, sqrt(a) AS s FROM moments
+          UNION ALL SELECT 'mean_rr_lag2', (q * a - p * c) / (a * b - c * c), sqrt(b) FROM moments)
+    SELECT 'linear_regression' AS model, feature, round(raw * s, 6) AS coef_scaled,
+           round(raw, 6) AS coef_raw, row_number() OVER (ORDER BY abs(raw * s) DESC, feature) AS rank
+    FROM coefs
+    UNION ALL SELECT 'linear_regression', '(intercept)', round(y, 6), round(y, 6), 0 FROM moments""")
+def q_linreg_two_coefficients(spark, sf_dir):
+    """M3, M11 + T4 on two features: least squares in closed form."""
+    features = ["mean_rr_lag1", "mean_rr_lag2"]
+    train, _ = h_frames(spark, sf_dir)
+    fitted = mdl.fit_models(train, {"linear_regression": lambda: mdl.linear_pipeline(features)})
+    out = mdl.coefficients(fitted["linear_regression"], features, spark=spark)
+    # the intercept has no rank and is in the label's unit either way
+    return finish(out.withColumns({"rank": F.coalesce("rank", F.lit(0)),
+                                   "coef_raw": F.coalesce("coef_raw", "coef_scaled")}))
+
+
+@query("backtest_linear", f"""
+    WITH {_H_FRAMES_SQL.strip()},
+    line AS (SELECT regr_slope(label, mean_rr_lag1) AS b, regr_intercept(label, mean_rr_lag1) AS a
+             FROM train),
+    scored AS (SELECT 'linear_regression' AS model, label, a + b * mean_rr_lag1 AS prediction
+          FROM test, line),
+    summed AS (SELECT model, {_SCORE_SQL} FROM scored GROUP BY model)
+    SELECT model, n, rmse, r2, rmse AS recorded_rmse, 'a' AS older_run FROM summed""")
+def q_backtest_linear(spark, sf_dir):
+    """S8-S11, T6, M9 exactly: save a one-feature fit under two run folders, record the run,
+    find the latest, reload what is there of two names, and score the window after training."""
+    from scenecast.sources import store
+    train, test = h_frames(spark, sf_dir)
+    fitted = mdl.fit_models(train, {
+        "linear_regression": lambda: mdl.linear_pipeline(["mean_rr_lag1"])})
+    root = shared_dir(spark, "runs")
+    scores = ev.score(mdl.predict(fitted, test, ["timestamp"]))
+    for run in ("a", "b"):
+        store.save_models(fitted, f"{root}/{run}")
+    store.write_run_record(store.run_record("b", H_TRAIN_YEAR, *H_TEST, ["mean_rr_lag1"], scores),
+                           f"{root}/b")
+    latest = store.latest_run(spark, root)
+    loaded = store.load_models(spark, latest, ["linear_regression", "decision_tree"], "skip")
+    window = ds.load_window(series.hourly_features(table(spark, sf_dir, "events")), *H_TEST,
+                            keys=["timestamp"], lag_bucket="day")
+    again = ev.score(mdl.predict(loaded, window, ["timestamp"]))
+    record = store.read_run_record(spark, latest).select(
+        F.explode("results").alias("model", "r")).select(
+        "model", F.col("r.rmse").alias("recorded_rmse"))
+    return finish(again.join(record, "model").withColumn("older_run", F.lit("a")))
+
+
 query("linreg_nine")(_scores_query(["linear_regression"]))
 query("tree")(_scores_query(["decision_tree"]))
 query("forest")(_scores_query(["random_forest"]))
@@ -1028,9 +1154,8 @@ def q_linreg_coefficients(spark, sf_dir):
 def q_backtest_saved(spark, sf_dir):
     """Fit, save under a run folder, record the run, find the
     latest run, reload its models and score another window."""
-    from scenecast.session import shared_dir
     from scenecast.sources import store
-    names = ["linear_regression", "decision_tree"]
+    names = list(mdl.MODEL_NAMES)
     fitted, test = _fit_score(spark, sf_dir, names)
     root = shared_dir(spark, "models")
     run_dir = f"{root}/{store.new_run_id()}"
@@ -1039,9 +1164,9 @@ def q_backtest_saved(spark, sf_dir):
     store.write_run_record(store.run_record(run_dir.rsplit("/", 1)[-1], H_TRAIN_YEAR,
                                             H_TEST[0], H_TEST[1], _H9, scores), run_dir)
     latest = store.latest_run(spark, root)
-    loaded = store.load_models(spark, latest, names + ["boosted_trees"], missing="skip")
+    loaded = store.load_models(spark, latest, names + ["absent"], missing="skip")
     h = table(spark, sf_dir, "events")
-    window = ds.load_window(series.hourly_features(h), "2024-01-20", "2024-01-31",
+    window = ds.load_window(series.hourly_features(h), *H_TEST,
                             lag_bucket=F.date_trunc("day", F.col("timestamp")))
     return finish(ev.score(mdl.predict(loaded, window, ["timestamp"])))
 
@@ -1054,7 +1179,6 @@ def q_backtest_saved(spark, sf_dir):
     FROM pred""")
 def q_predictions_csv(spark, sf_dir):
     """Predictions written as CSV (one folder per model) and read back."""
-    from scenecast.session import shared_dir
     from scenecast.sources import tables
     path = tables.write_predictions(h_persistence(spark, sf_dir), shared_dir(spark, "pred-csv"))
     back = (spark.read.option("header", True)
@@ -1072,7 +1196,6 @@ def q_metrics_summary_json(spark, sf_dir):
     """The metrics summary (rmse and r2 maps) written as JSON, read back
     with its declared schema and flattened to one row per model."""
     from scenecast.schemas import METRICS_SUMMARY
-    from scenecast.session import shared_dir
     from scenecast.sources import store
     scores = ev.score(h_persistence(spark, sf_dir))
     path = store.write_json(store.metrics_summary(spark, scores, "run", *H_TEST),
@@ -1088,7 +1211,6 @@ def q_metrics_summary_json(spark, sf_dir):
 def q_stream_scene_stats(spark, sf_dir):
     """Scene files ingested by a file-source stream (availableNow) into a
     Parquet sink; the sink holds every scene's statistics once."""
-    from scenecast.session import shared_dir
     from scenecast.streaming import incremental
     src, sink, ck = (shared_dir(spark, n) for n in ("scenes", "scene-stats", "scene-ckpt"))
     g_scenes(spark, sf_dir).write.parquet(src)
@@ -1111,7 +1233,6 @@ def q_stream_scores(spark, sf_dir):
     on ``mean_rr_lag1``, whose predictions have an exact SQL form."""
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import LinearRegression
-    from scenecast.session import shared_dir
     from scenecast.streaming import incremental
     train, test = h_frames(spark, sf_dir)
     model = Pipeline(stages=[mdl.assembler(["mean_rr_lag1"]),

@@ -11,6 +11,7 @@ from scenecast.operators import dataset as ds
 from scenecast.operators import evaluate as ev
 from scenecast.operators import models as mdl
 from scenecast.schemas import FEATURE_COLS, TARGET
+from scenecast.session import materialize
 from scenecast.sources import store
 
 
@@ -35,15 +36,15 @@ def train_run(spark: SparkSession, features: DataFrame, run_root: str, train_yea
     """
     feature_cols = list(feature_cols or FEATURE_COLS)
     specs = specs or mdl.default_specs(feature_cols)
-    prepared = ds.prepare(features, TARGET, lag_bucket=lag_bucket)
+    # read three times below: computed once
+    prepared = materialize(ds.prepare(features, TARGET, lag_bucket=lag_bucket))
     train, test = ds.time_split(prepared, train_year, test_start, test_end, train_until)
     counts = ds.split_counts(ds.split_frame(prepared, train_year, test_start, test_end,
                                             train_until), [TARGET] + feature_cols)
     train_f = ds.model_frame(train, TARGET, feature_cols)
     test_f = ds.model_frame(test, TARGET, feature_cols, keys=["timestamp"]).cache()
     models = mdl.fit_models(train_f, specs)
-    scores = ev.score(mdl.predict(models, test_f, ["timestamp"])).cache()
-    scores.count()
+    scores = materialize(ev.score(mdl.predict(models, test_f, ["timestamp"])))
     test_f.unpersist()
     run_id = run_id or store.new_run_id()
     run_dir = f"{run_root.rstrip('/')}/{run_id}"

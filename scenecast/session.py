@@ -96,17 +96,3 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df, min_partitions: int | None = None):
-    """Give a small input enough tasks for its per-row work.
-
-    When a scan yields fewer partitions than the cluster's parallelism (one
-    small file with one row group is read by one task), redistribute it
-    round-robin; Spark sorts before a round-robin repartition, so retried
-    tasks see the same rows.  Inputs with at least that many splits - any
-    large table - are returned unchanged, so this never adds a shuffle at
-    scale.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

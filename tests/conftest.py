@@ -14,7 +14,7 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    ckpt = tempfile.mkdtemp(prefix="scenecast-test-ckpt-")
+    ckpt = tempfile.mkdtemp(prefix="scenecast-test-ckpt-")   # one machine only
     s = get_session("local[*]", "scenecast-tests", conf={
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",

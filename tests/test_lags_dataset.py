@@ -136,30 +136,31 @@ def test_feature_table_from_stats(spark):
 
 
 def test_balanced_buckets_split_a_hot_period(spark):
-    # a third of all rows fall into one hour; balanced buckets split it
+    # a third of all rows fall on one instant; the tie-break splits them
     base = T(2021, 3, 1)
-    times = [base + dt.timedelta(hours=i) for i in range(400)]
-    times += [base + dt.timedelta(hours=5, seconds=i) for i in range(200)]
-    df = _series(spark, times)
-    b = lags.balanced_buckets(df, "ts", rows_per_bucket=50)
-    per = {r["__tbucket"]: r["count"] for r in b.groupBy("__tbucket").count().collect()}
-    assert len(per) >= 8 and max(per.values()) < 200
-    # bucket ids increase with time
-    rows = sorted((r["ts"], r["__tbucket"]) for r in b.collect())
-    assert all(x[1] <= y[1] for x, y in zip(rows, rows[1:]))
+    df = _series(spark, [base + dt.timedelta(hours=i) for i in range(400)]
+                 + [base + dt.timedelta(hours=5)] * 200)
+    for rows_per_bucket in (20, 50, 200):
+        b = lags.balanced_buckets(df, ["ts", "file"], rows_per_bucket=rows_per_bucket)
+        per = {r["__tbucket"]: r["count"] for r in b.groupBy("__tbucket").count().collect()}
+        assert len(per) >= 0.7 * 600 / rows_per_bucket
+        assert max(per.values()) <= 2 * rows_per_bucket
+        # bucket ids increase with the ordering
+        rows = sorted((r["ts"], r["file"], r["__tbucket"]) for r in b.collect())
+        assert all(x[2] <= y[2] for x, y in zip(rows, rows[1:]))
     a = lags.add_lags(df, "v", 3, partition_by=[], order_by=["ts", "file"])
     c = lags.add_lags(df, "v", 3, partition_by=[], order_by=["ts", "file"], bucket="balanced",
-                      time_col="ts", rows_per_bucket=50)
+                      rows_per_bucket=50)
     key = lambda d: sorted((r["file"], r["v_lag1"], r["v_lag2"], r["v_lag3"]) for r in d.collect())
     assert key(a) == key(c) and "__tbucket" not in c.columns
 
 
 def test_balanced_single_bucket(spark):
     df = _series(spark, [T(2021, 1, 1) + dt.timedelta(hours=i) for i in range(10)])
-    b = lags.balanced_buckets(df, "ts", rows_per_bucket=1000)
-    assert {r["__tbucket"] for r in b.collect()} == {0.0}
+    b = lags.balanced_buckets(df, ["ts", "file"], rows_per_bucket=1000)
+    assert {r["__tbucket"] for r in b.collect()} == {0}
     out = lags.add_lags(df, "v", 2, partition_by=[], order_by=["ts", "file"], bucket="balanced",
-                        time_col="ts", rows_per_bucket=1000)
+                        rows_per_bucket=1000)
     assert sorted(r["v_lag2"] for r in out.collect() if r["v_lag2"] is not None) == \
         [float(i) for i in range(8)]
 

@@ -122,3 +122,11 @@ def test_correlation_matches_pandas_pairwise(spark):
             assert v is None, (f1, f2)
         else:
             assert v == pytest.approx(w, abs=1e-12), (f1, f2)
+
+
+def test_correlation_leaves_out_nan(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.5), (nan, 1.0), (4.0, nan),
+                                (None, 9.0)], "a double, b double")
+    got = {(r["f1"], r["f2"]): r["corr"] for r in rp.correlation(df, ["a", "b"]).collect()}
+    assert got["a", "b"] == pytest.approx(0.9979487, abs=1e-6) and got["a", "a"] == pytest.approx(1)

@@ -89,7 +89,7 @@ def test_ingest_grid_scenes(spark):
     r = report.first()
     feats = tables.read_features(spark, path)
     assert r["rows"] == feats.count() > 0
-    assert os.path.isdir(os.path.join(path, f"year={r['years'][0]}"))
+    assert os.path.isdir(os.path.join(path.removeprefix("file:"), f"year={r['years'][0]}"))
     # long shape gives the same table
     f2, _ = ingest.scenes_to_features(
         series.grid_scenes(catalog.table(spark, SF_SMALL, "embeddings")).transform(

@@ -17,24 +17,6 @@ def _picks(spark, urls):
     return {(r["day"].isoformat(), r["url"]) for r in nearest.nearest_per_hour(df).collect()}
 
 
-def brute_force(urls):
-    """Per day: for h in 0..23 the file minimising (|m - 60h|, m, url)."""
-    by_day = {}
-    for u in urls:
-        parts = u.split("/")
-        hhmm = parts[-2]
-        if not (len(hhmm) == 4 and hhmm.isdigit()):
-            continue
-        day = f"{parts[-5]}-{parts[-4]}-{parts[-3]}"
-        by_day.setdefault(day, []).append((int(hhmm[:2]) * 60 + int(hhmm[2:]), u))
-    out = set()
-    for day, items in by_day.items():
-        for h in range(24):
-            best = min(items, key=lambda x: (abs(x[0] - 60 * h), x[0], x[1]))
-            out.add((day, best[1]))
-    return out
-
-
 def test_hour_tie_earlier_wins(spark):
     urls = [_url("2021-06-01", 55, "a"), _url("2021-06-01", 65, "b")]
     got = spark.createDataFrame([(u,) for u in urls], "url string")
@@ -66,24 +48,29 @@ def test_same_minute_tie_by_url(spark):
     assert _picks(spark, urls) == {("2021-06-01", urls[1])}
 
 
-def test_matches_brute_force(spark):
+def test_table_of_picks(spark):
+    """Worked by hand: the nearest file to every hour, and which hours chose it."""
+    files = {"a": 20, "b": 45, "c": 100, "d": 410, "e": 1439}
+    urls = {n: _url("2021-06-05", m, n) for n, m in files.items()}
+    df = spark.createDataFrame([(u,) for u in urls.values()], "url string")
+    got = {r["url"]: r["hours"] for r in nearest.nearest_per_hour(df).collect()}
+    # 01:00 is 15 from b; 02:00 20 and 03:00 80 and 04:00 140 from c; 04:15 is half way to d;
+    # from 15:24.5 on, half way from d to e, e is nearer
+    assert got == {urls["a"]: [0], urls["b"]: [1], urls["c"]: [2, 3, 4],
+                   urls["d"]: list(range(5, 16)), urls["e"]: list(range(16, 24))}
+
+
+def test_properties_on_random_days(spark):
     rnd = random.Random(7)
-    urls = []
-    for d in range(1, 6):
-        day = f"2021-06-{d:02d}"
-        n = rnd.choice([1, 3, 40, 200])
-        for i in range(n):
-            urls.append(_url(day, rnd.randrange(0, 1440), f"f{d}_{i}"))
-    urls.append(_url("2021-06-09", 30, "dup"))
-    urls.append(_url("2021-06-09", 30, "dup0"))
-    got = _picks(spark, urls)
-    assert got == brute_force(urls)
-    # chosen files are a subset of the listing, at most 24 per day
-    per_day = {}
-    for day, u in got:
-        per_day[day] = per_day.get(day, 0) + 1
-    assert all(v <= 24 for v in per_day.values())
-    assert {u for _, u in got} <= set(urls)
+    urls = [_url(f"2021-06-{d:02d}", rnd.randrange(1440), f"f{d}_{i}")
+            for d, n in ((1, 1), (2, 3), (3, 40), (4, 200)) for i in range(n)]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    rows = nearest.nearest_per_hour(df).collect()
+    assert {r["url"] for r in rows} <= set(urls)
+    for d in (1, 2, 3, 4):
+        own = [r for r in rows if r["day"] == dt.date(2021, 6, d)]
+        assert 1 <= len(own) <= 24
+        assert sorted(h for r in own for h in r["hours"]) == list(range(24))    # each hour once
 
 
 def test_skip_existing_and_day_report(spark):
@@ -105,38 +92,33 @@ def test_skip_existing_and_day_report(spark):
     assert rep[dt.date(2021, 6, 3)]["local_now"] == 4
 
 
-def test_day_report_matches_loop_simulation(spark):
-    """J3 against a plain simulation of the day loop: choose per day, request
-    the chosen files whose name is not held, assume every copy succeeds."""
+def test_day_report_counts(spark):
+    """Totals that any listing must keep: held names plus distinct new ones, day by day."""
     rnd = random.Random(21)
-    names = [f"n{i}" for i in range(40)]          # few names: repeats across and within days
-    urls = []
-    for d in (1, 2, 3, 5, 6):                     # day 4 has no files
-        day = f"2021-06-{d:02d}"
-        for _ in range(rnd.randint(1, 30)):
-            urls.append(_url(day, rnd.randrange(0, 1440), rnd.choice(names)))
-    urls = sorted(set(urls))
-    held0 = {f"{n}.nc" for n in rnd.sample(names, 8)}
-
-    # simulation
-    by_day = {}
-    for u in urls:
-        p = u.split("/")
-        by_day.setdefault(f"{p[-5]}-{p[-4]}-{p[-3]}", []).append(u)
-    existing, expect = set(held0), {}
-    for d in range(0, 8):
-        day = f"2021-06-{d:02d}" if d else "2021-05-31"
-        files = by_day.get(day, [])
-        before = len(existing)
-        chosen = sorted({u for dd, u in brute_force(files) if dd == day}) if files else []
-        to_get = [u for u in chosen if u.rsplit("/", 1)[-1] not in existing]
-        existing |= {u.rsplit("/", 1)[-1] for u in to_get}
-        expect[day] = (len(files), len(chosen), len(to_get), len(existing), len(existing) - before)
-
+    urls = sorted({_url(f"2021-06-{d:02d}", rnd.randrange(1440), f"n{rnd.randrange(40)}")
+                   for d in (1, 2, 3, 5, 6) for _ in range(rnd.randint(1, 30))})
     lst = spark.createDataFrame([(u,) for u in urls], "url string")
-    held = spark.createDataFrame([(n,) for n in sorted(held0)], "name string")
+    held = spark.createDataFrame([(f"n{i}.nc",) for i in range(0, 40, 5)], "name string")
     days = ls.day_range(spark, "2021-05-31", "2021-06-07")
-    got = {r["day"].isoformat(): (r["available"], r["chosen"], r["new_requested"],
-                                  r["local_now"], r["delta"])
-           for r in nearest.day_report(days, lst, held).collect()}
-    assert got == expect
+    rep = nearest.day_report(days, lst, held).orderBy("day").collect()
+    chosen = nearest.nearest_per_hour(lst)
+    fresh = nearest.skip_existing(chosen, held)
+    assert len(rep) == 8 and sum(r["available"] for r in rep) == len(urls)
+    assert sum(r["chosen"] for r in rep) == chosen.count()
+    assert all(r["new_requested"] <= r["chosen"] <= min(24, r["available"]) for r in rep)
+    assert rep[-1]["local_now"] == 8 + fresh.select("name").distinct().count()
+    total = 8
+    for r in rep:
+        total += r["delta"]
+        assert r["local_now"] == total
+
+
+def test_files_below_a_part_that_is_no_time_are_available(spark):
+    urls = ["gs://b/2021/06/01/0055/a.nc", "gs://b/2021/06/01/full/b.nc",
+            "gs://b/2021/06/02/full/c.nc"]
+    lst = spark.createDataFrame([(u,) for u in urls], "url string")
+    held = spark.createDataFrame([], "name string")
+    days = ls.day_range(spark, "2021-06-01", "2021-06-02")
+    got = [(r["available"], r["chosen"]) for r in
+           nearest.day_report(days, lst, held).orderBy("day").collect()]
+    assert got == [(2, 1), (1, 0)]

@@ -10,7 +10,8 @@ from scenecast.sources import listing as ls
 
 MODEL_QUERIES = {"linreg_nine", "tree", "forest", "boosted", "importance_rank",
                  "linreg_coefficients", "backtest_saved", "linreg_one_feature", "tree_stump",
-                 "standardized"}
+                 "standardized", "forest_stump", "boosted_two_rounds", "backtest_linear",
+                 "linreg_two_coefficients"}
 
 
 def _plan(df) -> str:
@@ -71,12 +72,3 @@ def test_read_listing_metadata_only(spark, tmp_path):
 def test_group_top_n_limits_before_shuffle(spark, name):
     p = _plan(catalog.QUERIES[name](spark, SF_SMALL))
     assert "WindowGroupLimit" in p
-
-
-def test_spread_only_small_inputs(spark):
-    from scenecast.session import spread
-    one = spark.range(100, numPartitions=1)
-    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(100, numPartitions=spark.sparkContext.defaultParallelism * 2)
-    assert spread(many) is many
-    assert sorted(r[0] for r in spread(one).collect()) == list(range(100))

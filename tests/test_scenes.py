@@ -136,3 +136,16 @@ def test_long_crop_derives_dims(spark):
     assert given.count() == 4
     st = sc.scene_stats_long(long, win=2).first()
     assert st["mean_rr"] == pytest.approx(17.5) and st["n_pixels"] == 4
+
+
+def test_missing_and_short_grids_are_rejected(spark):
+    rows = [("a", "h_2020199_1350_a.nc", 4, 4, None, None),
+            ("b", "h_2020199_1350_b.nc", 4, 4, [1.0, 2.0, 3.0], None),
+            ("c", "h_2020199_1350_c.nc", None, 4, [1.0] * 16, None),
+            ("d", "h_2020199_1350_d.nc", 4, 4, [1.0] * 16, None),
+            ("e", "h_2020199_1350_e.nc", 4, 4, [None] * 16, None)]
+    df = spark.createDataFrame(rows, "scene_id string, file string, ny int, nx int, "
+                                     "value array<float>, quality array<int>")
+    got = {r["scene_id"]: r["reject_reason"] for r in sc.scene_stats_arrays(df, 4).collect()}
+    assert got == {"a": sc.REJECT_BAD_GRID, "b": sc.REJECT_BAD_GRID, "c": sc.REJECT_BAD_GRID,
+                   "d": None, "e": sc.REJECT_NO_PIXEL}
