@@ -34,7 +34,8 @@ def time_bucket(bucket, time_col: str = "timestamp"):
 
 
 def feature_table(stats: DataFrame, delta_bucket: Column | str | None = "day",
-                  keep_timestamp: bool = False, materialize: bool = True) -> DataFrame:
+                  keep_timestamp: bool = False, materialize: bool = True,
+                  series_cols: list[str] | None = None) -> DataFrame:
     """Accepted scene statistics -> feature table.
 
     ``stats`` has ``file, timestamp, mean_rr, max_rr, std_rr, frac_rainy``.
@@ -43,21 +44,25 @@ def feature_table(stats: DataFrame, delta_bucket: Column | str | None = "day",
     two-level plan over ``delta_bucket`` (default: day buckets; ``None`` = one
     unpartitioned window, i.e. one task); the per-scene rows are then
     checkpointed once (``materialize``) so the pixel aggregate upstream is
-    not recomputed by the two branches of that plan.
+    not recomputed by the two branches of that plan.  With ``series_cols`` the
+    table holds many series: the columns come first and gaps restart per series.
     """
+    series_cols = list(series_cols or [])
     delta_bucket = time_bucket(delta_bucket)
     df = add_calendar(stats, "timestamp")
-    df = add_time_delta(df, "timestamp", "delta_minutes", partition_by=[],
+    df = add_time_delta(df, "timestamp", "delta_minutes", partition_by=series_cols,
                         order_by=["timestamp", "file"], bucket=delta_bucket,
                         materialize=materialize and delta_bucket is not None)
-    cols = FEATURE_TABLE_COLS + (["timestamp"] if keep_timestamp else [])
+    cols = series_cols + FEATURE_TABLE_COLS + (["timestamp"] if keep_timestamp else [])
     return df.select(*cols)
 
 
 def prepare(features: DataFrame, target: str = TARGET, n_lags: int = N_LAGS,
             partition_by: list[str] | None = None, lag_bucket: Column | str | None = "day",
-            order_by: list[str] | None = None) -> DataFrame:
-    """P17 + P18 + W1: timestamp/date from text, cyclic hour, per-year lags.
+            order_by: list[str] | None = None,
+            series_cols: list[str] | None = None) -> DataFrame:
+    """P17 + P18 + W1: timestamp/date from text, cyclic hour, per-year lags
+    (per series and year with ``series_cols``).
 
     The lags use the two-level plan over ``lag_bucket`` (default: day
     buckets of ``timestamp``; ``"balanced"`` for equal-count buckets;
@@ -65,7 +70,8 @@ def prepare(features: DataFrame, target: str = TARGET, n_lags: int = N_LAGS,
     """
     df = prepare_times(features, "timestamp_str")
     return add_lags(df, target, n_lags,
-                    partition_by=["year"] if partition_by is None else partition_by,
+                    partition_by=(list(series_cols or []) + ["year"] if partition_by is None
+                                  else partition_by),
                     order_by=["timestamp_ms", "file"] if order_by is None else order_by,
                     bucket=time_bucket(lag_bucket))
 
@@ -160,11 +166,17 @@ def model_frame(df: DataFrame, target: str = TARGET, features: list[str] | None
 
 def load_window(features: DataFrame, start, end, target: str = TARGET,
                 feature_cols: list[str] | None = None, keys: list[str] | None = None,
-                lag_bucket: Column | str | None = "day") -> DataFrame:
-    """M9 input: halo read -> prepare -> exact window -> complete rows -> frame."""
-    pre = prepare(halo_filter(features, start, end), target, lag_bucket=lag_bucket)
+                lag_bucket: Column | str | None = "day",
+                series_cols: list[str] | None = None) -> DataFrame:
+    """M9 input: halo read -> prepare -> exact window -> complete rows -> frame.
+
+    ``keys`` defaults to the series columns and ``timestamp``.
+    """
+    series_cols = list(series_cols or [])
+    pre = prepare(halo_filter(features, start, end), target, lag_bucket=lag_bucket,
+                  series_cols=series_cols)
     return model_frame(pre.filter(in_window(start, end)), target, feature_cols,
-                       keys if keys is not None else ["timestamp"])
+                       keys if keys is not None else [*series_cols, "timestamp"])
 
 
 def profile(df: DataFrame) -> DataFrame:

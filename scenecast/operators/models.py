@@ -19,6 +19,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scenecast.operators.dataset import complete
 from scenecast.schemas import FEATURE_COLS
 
 # Hyper-parameters of the published runs.
@@ -98,18 +99,31 @@ def predict(models: dict[str, PipelineModel], frame: DataFrame,
             keys: list[str] | None = None) -> DataFrame:
     """M8 + U3: long predictions ``(model, keys..., label, prediction)``.
 
-    Each model scores the same frame (cache it upstream when it is reused);
-    the per-model outputs are stacked with ``unionByName``.
+    All models score the frame in one pass: each adds its prediction as a
+    column, and the columns are stacked per row.  A row is left out for the
+    models that miss one of their own inputs, and kept for the others.  No
+    model gives no rows of that layout.
     """
     keys = keys or []
-    out = None
-    for name, m in models.items():
-        p = (m.transform(frame)
-             .select(F.lit(name).alias("model"), *keys,
-                     F.col("label").cast("double").alias("label"),
-                     F.col("prediction").cast("double").alias("prediction")))
-        out = p if out is None else out.unionByName(p)
-    return out
+    names, wide = list(models), frame
+    for i, m in enumerate(models.values()):
+        seen, inputs = wide.columns, []
+        for stage in m.stages:
+            if isinstance(stage, VectorAssembler):
+                inputs += stage.getInputCols()
+                stage = stage.copy({stage.handleInvalid: "keep"})
+            wide = stage.transform(wide)
+        made = [c for c in wide.columns if c not in seen]
+        wide = wide.withColumn(f"__p{i}", F.when(
+            complete(inputs), F.col("prediction").cast("double"))).drop(*made)
+    stacked = F.array(*[F.struct(F.lit(n).alias("model"), F.col(f"__p{i}").alias("prediction"))
+                        for i, n in enumerate(names)]).cast(
+        "array<struct<model:string,prediction:double>>")
+    return (wide.select(*keys, F.col("label").cast("double").alias("label"),
+                        F.explode(stacked).alias("__s"))
+            .filter(F.col("__s.prediction").isNotNull())
+            .select(F.col("__s.model").alias("model"), *keys, "label",
+                    F.col("__s.prediction").alias("prediction")))
 
 
 def importances(models: dict[str, PipelineModel], features: list[str] | None = None,

@@ -2,16 +2,14 @@
 
 J1 picks, for each day and each whole hour, the file whose minute of day is
 nearest to ``60*h`` (ties: the earlier minute, then the smaller url).  It
-runs in two exact phases:
+reads the listing once, in two exact steps:
 
-1. one ``groupBy(day)`` with 24 ``min`` aggregates over a packed long
-   ``distance * 2^14 + minute`` (a minute of day is below 2^14): a
-   code-generated hash aggregate with partial aggregation before the
-   shuffle, so a day holding a third of all files is reduced on every task;
-   it yields the winning minute of every hour and the day's file count;
-2. the files sitting at a winning minute (a semi join against at most 24
-   rows a day, which adaptive execution broadcasts once it has measured
-   them) give the smallest url of each (day, minute).
+1. ``groupBy(day, minute)`` gives the number of files and the smallest url of each
+   minute, summed on every task before the shuffle: a day with a third of all
+   files leaves each task at most one row per minute;
+2. over the minutes of a day (at most 6,040 rows, whatever the number of files) a window
+   takes the smallest packed long ``distance * 2^14 + minute`` of every hour, and the
+   minutes that hold one are the picks.
 
 No file x hour product is ever materialised.
 """
@@ -27,38 +25,25 @@ HOURS = 24
 _SHIFT = 1 << 14          # minute of day ("HHmm" without range check) is < 6040
 
 
-def per_hour_winners(listing: DataFrame, url_col: str = "url", hours: int = HOURS
-                     ) -> tuple[DataFrame, DataFrame]:
-    """Phase 1: ``(fields, winners)``.
-
-    ``winners`` has one row per listed day and target hour: ``day,
-    available, hour, minute`` (minute null when no url of the day parses);
-    ``available`` counts every listed file of the day.
+def per_hour_picks(listing: DataFrame, url_col: str = "url", hours: int = HOURS
+                   ) -> DataFrame:
+    """Chosen files: ``day, available, minute, url, hours`` (the target hours each was
+    chosen for).  ``available`` counts every listed file of the day; a day with no
+    parseable url is one row with a null minute and url and no hours.
     """
     f = with_listing_fields(listing, url_col).select(
         F.col(url_col).alias("url"), "day", "minute")
     m = F.col("minute")
-    aggs = [F.count(F.lit(1)).alias("available")]
-    aggs += [F.min(F.abs(m - F.lit(60 * h)) * F.lit(_SHIFT) + m).alias(f"k{h}")
-             for h in range(hours)]
-    per_day = f.groupBy("day").agg(*aggs).filter(F.col("day").isNotNull())
-    slots = F.array(*[F.struct(F.lit(h).alias("hour"),
-                               F.pmod(F.col(f"k{h}"), F.lit(_SHIFT)).alias("minute"))
-                      for h in range(hours)])
-    winners = per_day.select("day", "available", F.explode(slots).alias("s")).select(
-        "day", "available", F.col("s.hour").alias("hour"), F.col("s.minute").alias("minute"))
-    return f, winners
-
-
-def per_hour_picks(listing: DataFrame, url_col: str = "url", hours: int = HOURS
-                   ) -> DataFrame:
-    """Phases 1 + 2: ``day, available, hour, minute, url`` (url null when the
-    day has no parseable url)."""
-    f, winners = per_hour_winners(listing, url_col, hours)
-    wanted = winners.filter(F.col("minute").isNotNull()).select("day", "minute").distinct()
-    best = (f.join(wanted, ["day", "minute"], "left_semi")
-            .groupBy("day", "minute").agg(F.min("url").alias("url")))
-    return winners.join(best, ["day", "minute"], "left")
+    slots = (f.filter(F.col("day").isNotNull()).groupBy("day", "minute")
+             .agg(F.count(F.lit(1)).alias("files"),
+                  F.min(F.when(m.isNotNull(), F.col("url"))).alias("url")))
+    day = Window.partitionBy("day")
+    keys = [F.abs(m - F.lit(60 * h)) * F.lit(_SHIFT) + m for h in range(hours)]
+    won = [F.when(k == F.min(k).over(day), F.lit(h)) for h, k in enumerate(keys)]
+    picked = slots.select("day", "minute", "url", F.sum("files").over(day).alias("available"),
+                          F.max("minute").over(day).isNull().alias("__none"),
+                          F.array_compact(F.array(*won)).alias("hours"))
+    return picked.filter((F.size("hours") > 0) | F.col("__none")).drop("__none")
 
 
 def nearest_per_hour(listing: DataFrame, url_col: str = "url", hours: int = HOURS
@@ -70,10 +55,8 @@ def nearest_per_hour(listing: DataFrame, url_col: str = "url", hours: int = HOUR
     hour; hour 0 never looks at the previous day.
     """
     picks = per_hour_picks(listing, url_col, hours).filter(F.col("url").isNotNull())
-    return (picks.groupBy("day", "url")
-            .agg(F.min("minute").alias("minute"),
-                 F.sort_array(F.collect_list("hour")).alias("hours"))
-            .withColumn("name", F.element_at(F.split("url", "/"), -1)))
+    return picks.select("day", "url", "minute", "hours",
+                        F.element_at(F.split("url", "/"), -1).alias("name"))
 
 
 def skip_existing(chosen: DataFrame, held: DataFrame, name_col: str = "name"
@@ -101,9 +84,8 @@ def day_report(days: DataFrame, listing: DataFrame, held: DataFrame,
     flagged with a left join, each name's first day comes from a window
     over the chosen rows, and one ``groupBy(day)`` counts everything.
     """
-    chosen = (per_hour_picks(listing, url_col)
-              .groupBy("day", "url").agg(F.max("available").alias("available"))
-              .withColumn("name", F.element_at(F.split("url", "/"), -1)))
+    chosen = per_hour_picks(listing, url_col).select(
+        "day", "url", "available", F.element_at(F.split("url", "/"), -1).alias("name"))
     held_names = held.select(F.col("name").alias("name")).distinct().withColumn(
         "is_held", F.lit(True))
     flagged = chosen.join(held_names, "name", "left")

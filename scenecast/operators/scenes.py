@@ -64,6 +64,29 @@ def pick_variable(catalog: DataFrame, preferred: str = PREFERRED_VAR,
             .select(scene_col, F.col("c.var").alias("var"), F.col("c.ndims").alias("ndims")))
 
 
+def pick_variable_arrays(scenes: DataFrame, col: str = "variables",
+                         preferred: str = PREFERRED_VAR) -> DataFrame:
+    """P8 where every scene row carries its own catalogue (the shape a file gives).
+
+    ``col`` is an array of (var, ndims, dtype, ordinal); it is replaced by the chosen
+    ``var`` and ``ndims`` (null when none).  The choice is made inside the row: no join,
+    no shuffle.  Ties on ``ordinal`` go to the smaller name, as in :func:`pick_variable`.
+    """
+    def rank(v: Column) -> Column:
+        return F.struct((v["var"] != preferred).alias("later"), v["ordinal"].alias("ordinal"),
+                        v["var"].alias("var"), v["ndims"].alias("ndims"))
+
+    def usable(v: Column) -> Column:
+        grid = (~F.lower(v["var"]).isin(SKIPPED_VARS) & (v["ndims"] == 2)
+                & F.lower(v["dtype"]).startswith("float"))
+        return ((v["var"] == preferred) | grid) & v["ordinal"].isNotNull()
+
+    best = F.array_min(F.transform(F.filter(F.col(col), usable), rank))
+    return (scenes.withColumn("__best", best)
+            .withColumns({"var": F.col("__best.var"), "ndims": F.col("__best.ndims")})
+            .drop("__best", col))
+
+
 # --------------------------------------------------------------- P9 crop
 
 def crop_bounds(n, win: int = DEFAULT_WINDOW) -> tuple[Column, Column]:

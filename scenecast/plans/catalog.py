@@ -127,34 +127,37 @@ def r(expr: str, alias: str | None = None) -> str:
 # ----------------------------------------------------------------- shared SQL
 
 def _series_sql(src: str, time_col: str, value_col: str, unit: str, prefix: str,
-                threshold: float) -> str:
+                threshold: float, key: str = "") -> str:
+    k = f"{key}, " if key else ""
     v = f"CASE WHEN NOT isnan({value_col}) AND {value_col} >= 0 THEN {value_col} END"
     return f"""
-    SELECT date_trunc('{unit}', {time_col}) AS t,
+    SELECT {k}date_trunc('{unit}', {time_col}) AS t,
            count({v}) AS n_valid, avg({v}) AS mean_rr, max({v}) AS max_rr,
            stddev_pop({v}) AS std_rr,
            avg(CASE WHEN {v} > {threshold} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS frac_rainy
-    FROM {src} GROUP BY 1"""
+    FROM {src} GROUP BY ALL"""
 
 
-def _features_sql(series_sql: str, prefix: str) -> str:
-    """Feature table (with ``timestamp``) from a series CTE body."""
+def _features_sql(series_sql: str, prefix: str, key: str = "") -> str:
+    """Feature table (with ``timestamp``) from a series CTE body; ``key`` names the series."""
+    k, per = (f"{key}, ", f"PARTITION BY {key} ") if key else ("", "")
     return f"""
     s AS ({series_sql}),
     s2 AS (
-      SELECT '{prefix}_s' || strftime(t, '%Y%m%d%H%M%S') || '.nc' AS file, t AS timestamp,
+      SELECT {k}'{prefix}_s' || strftime(t, '%Y%m%d%H%M%S') || '.nc' AS file, t AS timestamp,
              mean_rr, max_rr, std_rr, frac_rainy FROM s WHERE n_valid > 0),
     f AS (
-      SELECT file, timestamp, mean_rr, max_rr, std_rr, frac_rainy,
+      SELECT {k}file, timestamp, mean_rr, max_rr, std_rr, frac_rainy,
              year(timestamp) AS year, month(timestamp) AS month, day(timestamp) AS day,
              hour(timestamp) AS hour, epoch_ms(timestamp) AS timestamp_ms,
              strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp_str,
              CAST(coalesce((epoch_ms(timestamp) - epoch_ms(lag(timestamp) OVER (
-                   ORDER BY timestamp, file))) / 60000.0, 0) AS FLOAT) AS delta_minutes
+                   {per}ORDER BY timestamp, file))) / 60000.0, 0) AS FLOAT) AS delta_minutes
       FROM s2)"""
 
 
-def _prepared_sql(features_cte: str) -> str:
+def _prepared_sql(features_cte: str, key: str = "") -> str:
+    k = f"{key}, " if key else ""
     return f"""
     {features_cte},
     p AS (
@@ -164,7 +167,7 @@ def _prepared_sql(features_cte: str) -> str:
              lag(mean_rr, 1) OVER w AS mean_rr_lag1,
              lag(mean_rr, 2) OVER w AS mean_rr_lag2,
              lag(mean_rr, 3) OVER w AS mean_rr_lag3
-      FROM f WINDOW w AS (PARTITION BY year ORDER BY timestamp_ms, file))"""
+      FROM f WINDOW w AS (PARTITION BY {k}year ORDER BY timestamp_ms, file))"""
 
 
 H_SERIES_SQL = _series_sql("events", "ts", "value", "hour", "H", series.H_THRESHOLD)
@@ -174,6 +177,9 @@ H_FEATURES_CTE = _features_sql(H_SERIES_SQL, "H")
 D_FEATURES_CTE = _features_sql(D_SERIES_SQL, "D")
 H_PREPARED_CTE = _prepared_sql(H_FEATURES_CTE)
 D_PREPARED_CTE = _prepared_sql(D_FEATURES_CTE)
+S_PREPARED_CTE = _prepared_sql(_features_sql(_series_sql(
+    "lineitem", "l_shipdate", "l_extendedprice", "day", "D", series.D_THRESHOLD, "l_suppkey"),
+    "D", "l_suppkey"), "l_suppkey")
 
 FEATURE_OUT_SQL = ", ".join([
     "file", r("mean_rr"), r("max_rr"), r("std_rr"), r("frac_rainy"), "year", "month", "day",
@@ -206,6 +212,13 @@ def d_prepared(spark, sf_dir, shared: bool = True) -> DataFrame:
     return materialize(p) if shared else p
 
 
+def s_prepared(spark, sf_dir, shared: bool = True) -> DataFrame:
+    """S prepared: lags per supplier and year with month buckets (see h_prepared)."""
+    p = ds.prepare(series.supplier_features(table(spark, sf_dir, "lineitem")),
+                   lag_bucket="month", series_cols=["l_suppkey"])
+    return materialize(p) if shared else p
+
+
 # ================================================================ A5, P13-P15
 
 @query("series_hourly", f"""
@@ -258,6 +271,20 @@ def q_feature_table_daily(spark, sf_dir):
     return finish(out)
 
 
+@query("feature_table_by_series", f"""
+    WITH {S_PREPARED_CTE.strip()}
+    SELECT l_suppkey, {FEATURE_OUT_SQL}, {r('hour_sin')}, {r('hour_cos')}, date,
+           {r('mean_rr_lag1')}, {r('mean_rr_lag2')}, {r('mean_rr_lag3')}
+    FROM p""")
+def q_feature_table_by_series(spark, sf_dir):
+    """P13-P18, W1, W2 on many series at once: one daily series per supplier."""
+    p = s_prepared(spark, sf_dir, shared=False)
+    out = p.select("l_suppkey", *[c for c in ds.FEATURE_TABLE_COLS if c != "hour"],
+                   F.col("hour").cast("bigint").alias("hour"), "hour_sin", "hour_cos", "date",
+                   "mean_rr_lag1", "mean_rr_lag2", "mean_rr_lag3")
+    return finish(out)
+
+
 O_SERIES_SQL = _series_sql("orders", "o_orderdate", "o_totalprice", "day", "O",
                            series.O_THRESHOLD)
 O_PREPARED_CTE = _prepared_sql(_features_sql(O_SERIES_SQL, "O"))
@@ -624,6 +651,15 @@ def q_scene_table(spark, sf_dir):
 
 @query("pick_variable", f"WITH {_CATALOG_SQL.strip()} SELECT scene_id, var, ndims FROM pick")
 def q_pick_variable(spark, sf_dir):
+    """P8 on scenes that carry their file's variables: chosen inside the row."""
+    g = series.grid_scenes(table(spark, sf_dir, "embeddings"), variables=True)
+    return finish(sc.pick_variable_arrays(g).select("scene_id", "var", "ndims"))
+
+
+@query("pick_variable_long",
+       f"WITH {_CATALOG_SQL.strip()} SELECT scene_id, var, ndims FROM pick")
+def q_pick_variable_long(spark, sf_dir):
+    """P8 on a catalogue of one row per scene and variable."""
     cat = series.variable_catalog(table(spark, sf_dir, "embeddings"))
     return finish(sc.pick_variable(cat))
 
@@ -640,18 +676,15 @@ def q_pick_variable(spark, sf_dir):
       FROM stats s JOIN pick p USING (scene_id))
     SELECT outcome, count(*) AS scenes FROM j GROUP BY outcome""")
 def q_scene_rejects(spark, sf_dir):
-    """P12 + A6: outcome of every scene (variable choice joined per scene).
+    """P12 + A6: outcome of every scene, its variable chosen in the same row.
 
     Some scenes have no values (every 11th) or too few for their grid (every 13th)."""
     n = F.col("scene_id").cast("bigint")
     value = F.when(n % 11 == 0, F.lit(None)).when(n % 13 == 0, F.slice("value", 1, 3)).otherwise(
         F.col("value"))
-    st = sc.scene_stats_arrays(g_scenes(spark, sf_dir).withColumn("value", value), G_WINDOW, 0.0)
-    bad = F.coalesce(F.col("reject_reason") == sc.REJECT_BAD_GRID, F.lit(False))
-    st = st.withColumn("grid_ok", ~bad)
-    pick = sc.pick_variable(series.variable_catalog(table(spark, sf_dir, "embeddings")))
-    joined = st.drop("reject_reason").join(pick, "scene_id")
-    return finish(sc.reject_counts(sc._finish(joined.drop("timestamp"), None)))
+    g = series.grid_scenes(table(spark, sf_dir, "embeddings"), variables=True)
+    g = sc.pick_variable_arrays(g).withColumn("value", value)
+    return finish(sc.reject_counts(sc.scene_stats_arrays(g, G_WINDOW, 0.0)))
 
 
 # ================================================================ A6, S14, P19-P23, A7 on D
@@ -1244,3 +1277,144 @@ def q_stream_scores(spark, sf_dir):
     incremental.score_new_rows(spark, mpath, src, test.schema, sink, ck,
                                keep=["timestamp"]).awaitTermination()
     return finish(spark.read.parquet(sink).select("timestamp", "label", "prediction"))
+
+
+# ================================================================ many series: split, fit, score
+
+S_KEYS = ["l_suppkey", "timestamp"]
+_S_FRAMES_SQL = f"""
+    {S_PREPARED_CTE.strip()},
+    test AS (
+      SELECT l_suppkey, timestamp, mean_rr AS label, mean_rr_lag1, mean_rr_lag2, mean_rr_lag3
+      FROM p WHERE year = 2001 AND {_COMPLETE_SQL}),
+    train AS (
+      SELECT l_suppkey, timestamp, mean_rr AS label, max_rr, mean_rr_lag1
+      FROM p WHERE year = {D_TRAIN_YEAR} AND {_COMPLETE_SQL})"""
+S_TEST = ("2001-01-01", "2001-12-31")                 # S: test year 2001
+
+
+def s_frames(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(train, test) model frames over all suppliers."""
+    train, test = ds.time_split(s_prepared(spark, sf_dir), D_TRAIN_YEAR, *S_TEST)
+    return ds.model_frame(train, keys=S_KEYS), ds.model_frame(test, keys=S_KEYS)
+
+
+@query("scores_by_series", f"""
+    WITH {_S_FRAMES_SQL.strip()},
+    pred AS (
+      SELECT 'persistence' AS model, l_suppkey, label, mean_rr_lag1 AS prediction FROM test
+      UNION ALL SELECT 'mean3', l_suppkey, label,
+                       (mean_rr_lag1 + mean_rr_lag2 + mean_rr_lag3) / 3.0 FROM test)
+    SELECT model, l_suppkey, {_SCORE_SQL} FROM pred GROUP BY model, l_suppkey""")
+def q_scores_by_series(spark, sf_dir):
+    """A8-A10 per model and supplier in one aggregate."""
+    _, test = s_frames(spark, sf_dir)
+    wide = test.withColumn("mean3", (F.col("mean_rr_lag1") + F.col("mean_rr_lag2")
+                                     + F.col("mean_rr_lag3")) / 3.0)
+    pred = ev.stack_predictions(wide, {"persistence": "mean_rr_lag1", "mean3": "mean3"}, S_KEYS)
+    return finish(ev.score(pred, ["model", "l_suppkey"]))
+
+
+@query("linreg_by_series", f"""
+    WITH {_S_FRAMES_SQL.strip()},
+    line AS (SELECT regr_slope(label, mean_rr_lag1) AS b, regr_intercept(label, mean_rr_lag1) AS a
+             FROM train),
+    scored AS (SELECT 'linear_regression' AS model, label, a + b * mean_rr_lag1 AS prediction
+          FROM test, line)
+    SELECT model, {_SCORE_SQL} FROM scored GROUP BY model""")
+def q_linreg_by_series(spark, sf_dir):
+    """M3 + M8 on the rows of all suppliers: one feature, so the fit has an SQL form."""
+    train, test = s_frames(spark, sf_dir)
+    fitted = mdl.fit_models(train, {
+        "linear_regression": lambda: mdl.linear_pipeline(["mean_rr_lag1"])})
+    return finish(ev.score(mdl.predict(fitted, test, S_KEYS)))
+
+
+# ================================================================ the four jobs, end to end
+
+@query("job_choose_files", f"""
+    WITH {_NEAREST_SQL.strip()},
+    held AS (SELECT name FROM lf WHERE event_type IN ('view', 'click'))
+    SELECT day, url, name FROM chosen c
+    WHERE day BETWEEN DATE '{LISTING_RANGE[0]}' AND DATE '{LISTING_RANGE[1]}'
+      AND NOT EXISTS (SELECT 1 FROM held h WHERE h.name = c.name)""")
+def q_job_choose_files(spark, sf_dir):
+    """Step 1 (J1, J2, S2): the urls to fetch for a range of days."""
+    from scenecast.plans.ingest import choose_files
+    held = ls.held_names(held_listing(spark, sf_dir))
+    fetch, _ = choose_files(spark, listing(spark, sf_dir), held, *LISTING_RANGE)
+    return finish(fetch.select("day", "url", "name"))
+
+
+@query("read_listing", """
+    SELECT CAST(ts AS DATE) AS day, true AS held FROM events GROUP BY 1""")
+def q_read_listing(spark, sf_dir):
+    """Events written as text files per day folder, then listed by metadata only."""
+    e = table(spark, sf_dir, "events")
+    root = shared_dir(spark, "listing")
+    (e.select(F.date_format("ts", "yyyy-MM-dd").alias("day"),
+              F.col("event_id").cast("string").alias("value"))
+     .write.partitionBy("day").text(root))
+    files = ls.read_listing(spark, root, "*.txt").filter(F.col("length") > 0)
+    day = F.to_date(F.regexp_extract("url", r"/day=(\d{4}-\d{2}-\d{2})/", 1))
+    names = ls.held_names(files).withColumn("held", F.lit(True))
+    named = files.select(day.alias("day"), F.element_at(F.split("url", "/"), -1).alias("name"))
+    return named.join(names, "name").select("day", "held").distinct()
+
+
+@query("job_ingest", f"""
+    WITH {_G_CELLS_SQL.strip()},
+    ok AS (SELECT * FROM stats WHERE n_finite > 0)
+    SELECT file, {r('mean_rr')}, {r('max_rr')}, {r('std_rr')}, {r('frac_rainy')},
+           year(timestamp) AS year, month(timestamp) AS month, day(timestamp) AS day,
+           hour(timestamp) AS hour, epoch_ms(timestamp) AS timestamp_ms,
+           strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp_str,
+           CAST(coalesce((epoch_ms(timestamp) - epoch_ms(lag(timestamp) OVER (
+                ORDER BY timestamp, file))) / 60000.0, 0) AS FLOAT) AS delta_minutes,
+           (SELECT count(*) FROM ok) AS report_rows
+    FROM ok""")
+def q_job_ingest(spark, sf_dir):
+    """Step 2 (P9-P16, W2, S6, S7, A6): scenes to the feature table at rest, with its report."""
+    from scenecast.plans.ingest import ingest
+    from scenecast.sources import tables
+    path, report = ingest(spark, g_scenes(spark, sf_dir), shared_dir(spark, "ingested"), G_WINDOW)
+    rows = report.select("rows").scalar()
+    return finish(tables.read_features(spark, path).withColumn("report_rows", rows))
+
+
+_H_LAG1_SQL = f"""
+    {H_PREPARED_CTE.strip()},
+    test AS (SELECT timestamp, mean_rr AS label, mean_rr_lag1 FROM p
+      WHERE date BETWEEN DATE '{H_TEST[0]}' AND DATE '{H_TEST[1]}' AND mean_rr_lag1 IS NOT NULL),
+    train AS (SELECT mean_rr AS label, mean_rr_lag1 FROM p
+      WHERE year = {H_TRAIN_YEAR} AND date < DATE '{H_TRAIN_UNTIL}' AND mean_rr_lag1 IS NOT NULL),
+    line AS (SELECT regr_slope(label, mean_rr_lag1) AS b, regr_intercept(label, mean_rr_lag1) AS a
+             FROM train),
+    scored AS (SELECT 'linear_regression' AS model, timestamp, label,
+                      a + b * mean_rr_lag1 AS prediction FROM test, line)"""
+
+
+@query("job_train_backtest", f"""
+    WITH {_H_LAG1_SQL.strip()},
+    sc AS (SELECT model, {_SCORE_SQL} FROM scored GROUP BY model)
+    SELECT model, n, rmse, r2, 1 AS rank, n AS written_predictions,
+           (SELECT count(*) FROM train) AS train_rows FROM sc""")
+def q_job_train_backtest(spark, sf_dir):
+    """Steps 3 and 4: fit, score and save a run, reload it, score the window again, write the
+    report and read the comparison and the predictions back."""
+    from scenecast.plans.backtest import backtest, write_report
+    from scenecast.plans.train import train_run
+    features = materialize(h_features(spark, sf_dir))
+    cols = ["mean_rr_lag1"]
+    run = train_run(spark, features, shared_dir(spark, "job-runs"), H_TRAIN_YEAR, *H_TEST,
+                    feature_cols=cols, train_until=H_TRAIN_UNTIL,
+                    specs={"linear_regression": lambda: mdl.linear_pipeline(cols)})
+    report = backtest(spark, features, run.run_dir, *H_TEST, feature_cols=cols)
+    base = write_report(spark, report, shared_dir(spark, "job-report"), run.run_dir, *H_TEST)
+    for name in ("predictions", "window"):
+        report[name].unpersist()
+    written = spark.read.option("header", True).csv(f"{base}/predictions").groupBy("model").agg(
+        F.count(F.lit(1)).alias("written_predictions"))
+    trained = run.counts.filter("split = 'train'").select("rows_complete").scalar()
+    return finish(spark.read.parquet(f"{base}/comparison").join(written, "model")
+                  .withColumn("train_rows", trained))

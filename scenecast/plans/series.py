@@ -8,6 +8,7 @@ given tables, so every job's work grows with the tables:
   the ``value`` of the events in it;
 * **D** - ``lineitem`` as a daily series: a scene is one ship day, its pixels
   are ``l_extendedprice``;
+* **S** - ``lineitem`` as one daily series per ``l_suppkey``;
 * **O** - ``orders`` as a daily series **with gaps** (days without orders):
   a scene is one order day, its pixels are ``o_totalprice``;
 * **L** - ``events`` as a file listing: one url per event, in the
@@ -73,6 +74,20 @@ def daily_stats(lineitem: DataFrame, threshold: float = D_THRESHOLD) -> DataFram
     return series_stats(lineitem, "l_shipdate", "l_extendedprice", "day", "D", threshold)
 
 
+def supplier_features(lineitem: DataFrame, threshold: float = D_THRESHOLD,
+                      keep_timestamp: bool = False) -> DataFrame:
+    """S: one daily series per supplier; scenes and features grow with the table.
+
+    Gaps are taken per supplier in month buckets, so a supplier with a third of all
+    rows is still many window tasks.
+    """
+    stats = series_stats(lineitem, "l_shipdate", "l_extendedprice", "day", "D", threshold,
+                         ["l_suppkey"])
+    return feature_table(stats.filter(F.col("n_valid") > 0),
+                         delta_bucket=F.date_trunc("month", F.col("timestamp")),
+                         keep_timestamp=keep_timestamp, series_cols=["l_suppkey"])
+
+
 def gap_stats(orders: DataFrame, threshold: float = O_THRESHOLD) -> DataFrame:
     """O: per-day scene statistics of ``orders.o_totalprice`` (days missing)."""
     return series_stats(orders, "o_orderdate", "o_totalprice", "day", "O", threshold)
@@ -135,8 +150,9 @@ def grid_quality(vec_id: Column) -> Column:
     return F.when(F.pmod(vec_id, F.lit(7)) != 0, cells)
 
 
-def grid_scenes(embeddings: DataFrame) -> DataFrame:
-    """G: array-shaped scenes with a style-2 file name ``G_yyyyDDD_HHmm_<id>.nc``."""
+def grid_scenes(embeddings: DataFrame, variables: bool = False) -> DataFrame:
+    """G: array-shaped scenes with a style-2 file name ``G_yyyyDDD_HHmm_<id>.nc``,
+    with the file's ``variables`` where asked for."""
     v = F.col("vec_id")
     t = grid_time(v)
     name = F.concat(F.lit("G_"), F.date_format(t, "yyyyDDD"), F.lit("_"),
@@ -145,19 +161,19 @@ def grid_scenes(embeddings: DataFrame) -> DataFrame:
         v.cast("string").alias("scene_id"), name.alias("file"),
         F.lit(G_SIZE).alias("ny"), F.lit(G_SIZE).alias("nx"),
         F.col("embedding").cast("array<float>").alias("value"),
-        grid_quality(v).alias("quality"))
+        grid_quality(v).alias("quality"), *([scene_variables(v).alias("variables")]
+                                            if variables else []))
 
 
-def variable_catalog(embeddings: DataFrame) -> DataFrame:
-    """Variable catalogue per G scene; the kind of scene is ``pmod(vec_id, 6)``.
+def scene_variables(vec_id: Column) -> Column:
+    """Variables of a G scene's file; the kind of scene is ``pmod(vec_id, 6)``.
 
     0: RRQPE 2-D float; 1: RRQPE 1-D (chosen, later not 2-D); 2: int grid and
     float grid (float chosen); 3: LATITUDE 2-D and a 1-D float (none);
     4: Longitude 2-D and a float64 grid (grid chosen); 5: only DQF (none).
     Every scene also lists ``latitude`` and ``DQF``.
     """
-    v = F.col("vec_id")
-    k = F.pmod(v, F.lit(6))
+    k = F.pmod(vec_id, F.lit(6))
 
     def var(cond, name, ndims, dtype, ordinal):
         return F.when(cond, F.struct(F.lit(name).alias("var"), F.lit(ndims).alias("ndims"),
@@ -175,7 +191,13 @@ def variable_catalog(embeddings: DataFrame) -> DataFrame:
         var(k == 4, "Longitude", 2, "float64", 2),
         var(k == 4, "e", 2, "float64", 3),
     )
+    return F.filter(entries, lambda e: e.isNotNull())
+
+
+def variable_catalog(embeddings: DataFrame) -> DataFrame:
+    """Variable catalogue, one row per scene and variable (see :func:`scene_variables`)."""
+    v = F.col("vec_id")
     return (embeddings.select(v.cast("string").alias("scene_id"),
-                              F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e"))
+                              F.explode(scene_variables(v)).alias("e"))
             .select("scene_id", "e.var", F.col("e.ndims").cast("int").alias("ndims"),
                     "e.dtype", F.col("e.ordinal").cast("int").alias("ordinal")))

@@ -26,7 +26,8 @@ class TrainResult:
 def train_run(spark: SparkSession, features: DataFrame, run_root: str, train_year: int,
               test_start: str, test_end: str, feature_cols: list[str] | None = None,
               specs: dict | None = None, lag_bucket: Column | str | None = "day",
-              train_until: str | None = None, run_id: str | None = None) -> TrainResult:
+              train_until: str | None = None, run_id: str | None = None,
+              series_cols: list[str] | None = None) -> TrainResult:
     """Fit the model set on ``train_year`` and score ``test_start..test_end``.
 
     Lags are added before the split (test rows keep their history), rows
@@ -37,14 +38,16 @@ def train_run(spark: SparkSession, features: DataFrame, run_root: str, train_yea
     feature_cols = list(feature_cols or FEATURE_COLS)
     specs = specs or mdl.default_specs(feature_cols)
     # read three times below: computed once
-    prepared = materialize(ds.prepare(features, TARGET, lag_bucket=lag_bucket))
+    prepared = materialize(ds.prepare(features, TARGET, lag_bucket=lag_bucket,
+                                      series_cols=series_cols))
     train, test = ds.time_split(prepared, train_year, test_start, test_end, train_until)
     counts = ds.split_counts(ds.split_frame(prepared, train_year, test_start, test_end,
                                             train_until), [TARGET] + feature_cols)
     train_f = ds.model_frame(train, TARGET, feature_cols)
-    test_f = ds.model_frame(test, TARGET, feature_cols, keys=["timestamp"]).cache()
+    keys = [*(series_cols or []), "timestamp"]
+    test_f = ds.model_frame(test, TARGET, feature_cols, keys=keys).cache()
     models = mdl.fit_models(train_f, specs)
-    scores = materialize(ev.score(mdl.predict(models, test_f, ["timestamp"])))
+    scores = materialize(ev.score(mdl.predict(models, test_f, keys)))
     test_f.unpersist()
     run_id = run_id or store.new_run_id()
     run_dir = f"{run_root.rstrip('/')}/{run_id}"
