@@ -23,6 +23,7 @@ HEADLINE = [
     "file_timestamp_s", "nearest_hour_files", "day_report", "scene_stats", "scene_stats_long",
     "scene_rejects", "split_counts", "persistence_scores", "residual_histogram",
     "feature_correlation", "top_errors_per_model", "model_overlay", "standardized",
+    "feature_table_by_series", "scores_by_series", "linreg_by_series",
     "linreg_nine", "tree", "forest", "boosted", "backtest_saved",
 ]
 

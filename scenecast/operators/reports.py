@@ -8,17 +8,21 @@ small, bounded tables ever reach the driver.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scenecast.functions.calendar import short_label
-from scenecast.functions.metrics import pearson
 
 # Fixed values of the reference reports.
 RESIDUAL_BINS = 40
 TARGET_BINS = 60
 TOP_ERRORS = 20
 
+SHIFT_ROWS = 1000     # rows read for the shift of the correlation's sums
+
 
 def with_errors(pred: DataFrame, label: str = "label",
                 prediction: str = "prediction") -> DataFrame:
@@ -77,26 +81,42 @@ def histogram(df: DataFrame, col: str, bins: int, group_cols: list[str] | None =
 def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson matrix in long form ``(f1, f2, corr)``, all ordered pairs.
 
-    Pairwise complete; a constant column gives null.  Each row is stacked
-    into its n(n+1)/2 column pairs inside the task (a fixed expansion over
-    columns, not rows) and one ``groupBy(pair)`` with three aggregates runs
-    with partial aggregation, so each task ships one partial row per pair.
-    This keeps the plan small: one aggregate per pair would generate and
-    compile hundreds of aggregate functions.  The matrix is mirrored after.
+    Pairwise complete, null and NaN being missing.  Every row is one vector of its
+    shifted values, their squares and presence flags; MLlib sums the outer products of
+    those vectors per task and merges them as a tree, which holds every moment of every
+    pair: one pass, no expansion of rows, one small matrix per task.  The shift (a middle
+    value of some rows) only keeps the sums small.  A column that is constant over a pair's
+    rows (variance below 1e-13 of the squared distance to the shift) gives null, as does a
+    pair without rows.
     """
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    entries = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
-                                 F.col(cols[i]).cast("double").alias("a"),
-                                 F.col(cols[j]).cast("double").alias("b"))
-                        for i, j in pairs])
-    stacked = df.select(F.inline(entries))
-    per_pair = stacked.groupBy("i", "j").agg(pearson(F.col("a"), F.col("b")).alias("corr"))
-    names = F.array(*[F.lit(c) for c in cols])
-    both = F.array(F.struct(F.col("i").alias("x"), F.col("j").alias("y")),
-                   F.struct(F.col("j").alias("x"), F.col("i").alias("y")))
-    mirrored = per_pair.select("corr", F.explode(F.array_distinct(both)).alias("p"))
-    return mirrored.select(F.element_at(names, F.col("p.x") + 1).alias("f1"),
-                           F.element_at(names, F.col("p.y") + 1).alias("f2"), "corr")
+    p = len(cols)
+    x = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"x{i}")
+         for i, c in enumerate(cols)]
+    base = df.select(*x)
+    middle = base.limit(SHIFT_ROWS).agg(*[F.percentile_approx(f"x{i}", 0.5) for i in range(p)])
+    shift = [v or 0.0 for v in middle.first()]
+    z = [F.coalesce(F.col(f"x{i}") - F.lit(shift[i]), F.lit(0.0)) for i in range(p)]
+    flags = [F.col(f"x{i}").isNotNull().cast("double") for i in range(p)]
+    rows = base.select(array_to_vector(F.array(*z, *[v * v for v in z], *flags)).alias("v"))
+    # a row of zeros adds nothing and gives an empty frame its zero sums
+    nothing = df.sparkSession.range(1).select(array_to_vector(
+        F.array_repeat(F.lit(0.0), 3 * p)).alias("v"))
+    rows = MLUtils.convertVectorColumnsFromML(rows.union(nothing), "v")
+    g = RowMatrix(rows, 0, 3 * p).computeGramianMatrix().toArray()
+
+    def moments(i: int, j: int) -> tuple[float, float, float]:
+        # rows of the pair, and sum and squared deviations of column i over them
+        n, total, squares = g[2 * p + i, 2 * p + j], g[i, 2 * p + j], g[p + i, 2 * p + j]
+        dev = squares - total * total / n if n else 0.0
+        return n, total, dev if dev > 1e-13 * squares else 0.0
+
+    out = []
+    for i in range(p):
+        for j in range(p):
+            (n, si, vi), (_, sj, vj) = moments(i, j), moments(j, i)
+            corr = float((g[i, j] - si * sj / n) / (vi * vj) ** 0.5) if vi and vj else None
+            out.append((cols[i], cols[j], corr))
+    return df.sparkSession.createDataFrame(out, "f1 string, f2 string, corr double")
 
 
 def value_range(df: DataFrame, a: str = "label", b: str = "prediction",

@@ -124,6 +124,23 @@ def test_correlation_matches_pandas_pairwise(spark):
             assert v == pytest.approx(w, abs=1e-12), (f1, f2)
 
 
+def test_correlation_of_hard_columns(spark):
+    # far from zero with a small spread, constant only where its partner is present, no rows at all
+    rows = [(1e9 + i, float(i * i), 5.0 if i % 2 else float(i), None if i % 2 == 0 else float(i), None)
+            for i in range(50)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double")
+    names = list("abcde")
+    got = {(r["f1"], r["f2"]): r["corr"] for r in rp.correlation(df, names).collect()}
+    assert len(got) == 25
+    import numpy as np
+    want = np.corrcoef(np.arange(50.0), np.arange(50.0) ** 2)[0, 1]
+    assert got["a", "b"] == pytest.approx(want, abs=1e-9) == got["b", "a"]
+    assert got["c", "d"] is None and got["d", "d"] == pytest.approx(1.0)
+    assert all(got["e", n] is None for n in names)
+    empty = {r["corr"] for r in rp.correlation(df.filter("a < 0"), names).collect()}
+    assert empty == {None}
+
+
 def test_correlation_leaves_out_nan(spark):
     nan = float("nan")
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.5), (nan, 1.0), (4.0, nan),

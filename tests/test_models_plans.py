@@ -147,6 +147,36 @@ def test_streaming_ingest_and_score(spark, h_features_path):
     assert joined < 1e-9
 
 
+def test_predict_leaves_a_row_out_only_where_an_input_is_missing(spark):
+    rows = [(float(i), float(i % 5), 3.0 * i) for i in range(20)]
+    frame = spark.createDataFrame(rows, "a double, b double, label double")
+    fitted = {n: mdl.linear_pipeline([n]).fit(frame) for n in ("a", "b")}
+    new = spark.createDataFrame([(1, 2.0, None, 6.0), (2, None, 1.0, 3.0), (3, 4.0, float("nan"), 12.0),
+                                 (4, 1.0, 1.0, 3.0)], "id int, a double, b double, label double")
+    pred = mdl.predict(fitted, new, ["id"])
+    assert pred.columns == ["model", "id", "label", "prediction"]
+    got = {(r["model"], r["id"]): r["prediction"] for r in pred.collect()}
+    assert set(got) == {("a", 1), ("a", 3), ("a", 4), ("b", 2), ("b", 4)}
+    assert got["a", 1] == pytest.approx(6.0) and got["a", 3] == pytest.approx(12.0)
+    assert mdl.predict({}, new, ["id"]).collect() == []
+
+
+def test_series_do_not_share_lags_or_gaps(spark):
+    import datetime as dt
+    times = [dt.datetime(2024, 1, 1, h) for h in range(4)]
+    rows = [(k, f"f{i}", t, float(10 * (k or 7) + i), 1.0, 1.0, 0.5)
+            for k in (1, 2, None) for i, t in enumerate(times)]
+    stats = spark.createDataFrame(rows, "k int, file string, timestamp timestamp_ntz, mean_rr double,"
+                                  " max_rr double, std_rr double, frac_rainy double")
+    table = ds.feature_table(stats, series_cols=["k"])
+    out = ds.prepare(table, series_cols=["k"]).collect()
+    assert len(out) == 12
+    for r in out:
+        i = int(r["file"][1:])
+        assert r["delta_minutes"] == (60.0 if i else 0.0)
+        assert r["mean_rr_lag1"] == (r["mean_rr"] - 1 if i else None)
+
+
 def test_entry_smoke(spark):
     import __spark_entry__ as e
     df = e.entry(spark)

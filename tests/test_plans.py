@@ -11,7 +11,7 @@ from scenecast.sources import listing as ls
 MODEL_QUERIES = {"linreg_nine", "tree", "forest", "boosted", "importance_rank",
                  "linreg_coefficients", "backtest_saved", "linreg_one_feature", "tree_stump",
                  "standardized", "forest_stump", "boosted_two_rounds", "backtest_linear",
-                 "linreg_two_coefficients"}
+                 "linreg_two_coefficients", "linreg_by_series", "job_train_backtest"}
 
 
 def _plan(df) -> str:
@@ -40,11 +40,33 @@ def test_series_aggregate_is_partial_and_pruned(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in p
 
 
-def test_nearest_pick_uses_hash_aggregates(spark):
+def test_nearest_pick_reads_the_listing_once(spark):
     p = _plan(catalog.QUERIES["nearest_hour_files"](spark, SF_SMALL))
-    # the 24 per-hour minimums are packed longs: a (code-generated) hash aggregate
-    lines = [ln for ln in p.splitlines() if "partial_min(((abs(" in ln]
-    assert lines and all("HashAggregate" in ln and "Sort" not in ln for ln in lines)
+    # one scan, summed per (day, minute) before the shuffle, and no join
+    assert p.count("FileScan parquet") == 1 and "Join" not in p and "partial_min" in p
+
+
+def test_variable_choice_stays_in_the_row(spark):
+    p = _plan(catalog.QUERIES["pick_variable"](spark, SF_SMALL))
+    assert "Exchange" not in p and "Join" not in p
+    p = _plan(catalog.QUERIES["scene_rejects"](spark, SF_SMALL))
+    assert p.count("FileScan parquet") == 1 and "Join" not in p
+
+
+def test_all_models_score_in_one_scan(spark, tmp_path):
+    from scenecast.operators import models as mdl
+    rows = [(float(i), float(i % 7), 2.0 * i) for i in range(40)]
+    spark.createDataFrame(rows, "a double, b double, label double").write.parquet(
+        str(tmp_path / "f"))
+    frame = spark.read.parquet(str(tmp_path / "f"))
+    fitted = {n: mdl.linear_pipeline([n]).fit(frame) for n in ("a", "b")}
+    pred = mdl.predict(fitted, frame)
+    assert _plan(pred).count("FileScan parquet") == 1 and pred.count() == 80
+
+
+def test_many_series_have_bucketed_windows(spark):
+    p = _plan(catalog.QUERIES["feature_table_by_series"](spark, SF_SMALL))
+    assert "l_suppkey" in p and "__bucket" in p
 
 
 def test_heavy_lag_window_is_bucketed(spark):

@@ -105,7 +105,15 @@ def test_pick_variable(spark):
     got = {r["scene_id"]: r["var"] for r in
            sc.pick_variable(spark.createDataFrame(rows, VAR_CATALOG)).collect()}
     # "lat" is not latitude/longitude, so it is a valid 2-D float candidate first
-    assert got == {"s1": "RRQPE", "s2": "lat", "s3": None, "s4": "RRQPE"}
+    want = {"s1": "RRQPE", "s2": "lat", "s3": None, "s4": "RRQPE"}
+    assert got == want
+    # the same catalogue as an array in each scene's row; no variables at all give none
+    per_scene = {s: [r[1:] for r in rows if r[0] == s] for s in want} | {"s5": [], "s6": None}
+    scenes = spark.createDataFrame(list(per_scene.items()), (
+        "scene_id string, variables array<struct<var:string,ndims:int,dtype:string,ordinal:int>>"))
+    inside = sc.pick_variable_arrays(scenes).collect()
+    assert {r["scene_id"]: r["var"] for r in inside} == want | {"s5": None, "s6": None}
+    assert {r["scene_id"]: r["ndims"] for r in inside}["s4"] == 3
 
 
 def test_build_report_and_rejects(spark):
