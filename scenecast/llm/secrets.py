@@ -27,6 +27,7 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -56,12 +57,53 @@ KINDS = (
 )
 BASE = ("assign", "access", "hex")
 MAX_OWNERS = 1
+RUN = 128            # pieces whose running sums are taken together
 
 
 def _mixed_ok(value: Column) -> Column:
     return value.rlike("[A-Z]") & value.rlike("[a-z]") & value.rlike("[0-9]")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sums(numbers: Column) -> Column:
+    """0 and the running sums of a short array."""
+    return F.aggregate(numbers, F.array(F.lit(0)), lambda acc, x: F.concat(
+        acc, F.array(F.element_at(acc, -1) + x)))
+
+
+def _placed(pieces: Column, kind: Kind, order: int) -> Column:
+    """Spans from pieces (text before, match, value).
+
+    An accumulator is copied at every step, so the running sums are taken over runs
+    of ``RUN`` pieces and over the runs' totals, never over all pieces at once.
+    """
+    def size(p: Column) -> Column:
+        return p["before"] + p["len"]
+
+    def place(run: Column, at: Column) -> Column:
+        return _let(_sums(F.transform(run, size)), lambda ends: F.transform(
+            run, lambda p, j: F.struct(
+                (at + F.get(ends, j) + p["before"]).alias("start"), F.lit(order).alias("ord"),
+                F.lit(kind.name).alias("kind"), (at + F.get(ends, j + 1)).alias("end"),
+                p["v"].alias("value"))))
+
+    def runs_of(p: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(p), F.lit(1)), F.lit(RUN)),
+                           lambda i: F.slice(p, i, F.lit(RUN)))
+
+    def place_all(runs: Column) -> Column:
+        totals = F.transform(runs, lambda run: F.aggregate(
+            run, F.lit(0), lambda n, p: n + size(p)))
+        return _let(_sums(totals), lambda ends: F.flatten(F.transform(
+            runs, lambda run, i: place(run, F.get(ends, i)))))
+
+    return _let(pieces, lambda p: _let(runs_of(p), place_all))
+
+
 def spans_of(text: Column, kind: Kind, order: int) -> Column:
     """All spans of one kind as an array of structs (start, ord, kind, end, value)."""
     between = F.split(text, kind.pattern, -1)
@@ -72,16 +114,7 @@ def spans_of(text: Column, kind: Kind, order: int) -> Column:
     pieces = F.zip_with(F.slice(pieces, 1, F.size(whole)), value, lambda p, v: F.struct(
         F.char_length(p["b"]).alias("before"), F.char_length(p["m"]).alias("len"),
         v.alias("v")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(
-        "array<struct<start:int,ord:int,kind:string,end:int,value:string>>").alias("out"))
-    walked = F.aggregate(pieces, start, lambda acc, p: F.struct(
-        (acc["at"] + p["before"] + p["len"]).alias("at"),
-        F.concat(acc["out"], F.array(F.struct(
-            (acc["at"] + p["before"]).alias("start"), F.lit(order).alias("ord"),
-            F.lit(kind.name).alias("kind"),
-            (acc["at"] + p["before"] + p["len"]).alias("end"),
-            p["v"].alias("value")))).alias("out")))["out"]
-    ok = F.filter(walked, lambda s: F.char_length(s["value"]) >= kind.least)
+    ok = F.filter(_placed(pieces, kind, order), lambda s: F.char_length(s["value"]) >= kind.least)
     if kind.name == "mixed":
         ok = F.filter(ok, lambda s: _mixed_ok(s["value"]))
     none = F.array().cast("array<struct<start:int,ord:int,kind:string,end:int,value:string>>")

@@ -63,6 +63,16 @@ def test_secret_edges(make_docs, empty_docs):
     assert secrets.scan_secrets(empty_docs).count() == 0
 
 
+@pytest.mark.parametrize("n", [secrets.RUN - 1, secrets.RUN, secrets.RUN + 1, 40_000])
+def test_secret_text_with_very_many_matches(make_docs, n):
+    """Work grows with the matches, not with their square (minutes before for 40,000)."""
+    text = "\U0001f600é" + " ".join(f"token={i:08d} {i:030x} pad" for i in range(n))
+    row = secrets.digest(secrets.scan_secrets(make_docs([(1, text)]))).first()
+    want = base_spans(text)
+    assert (row["n_assign"], row["n_hex"]) == (n, n)
+    assert row["spans"] == joined(want)
+
+
 def test_secret_ownership(spark):
     key, own = "Kx3" * 16, "Qy7" * 16
     rows = [(i, f"see {key} here", f"owner{i % 4}") for i in range(40)]
