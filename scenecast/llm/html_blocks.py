@@ -18,7 +18,8 @@ Scripts, styles, comments and other raw elements never become blocks.  White spa
 (line breaks too) becomes one space, character references are decoded.
 
 Edge cases: null and empty html give the empty text; cut-off tags, unclosed elements
-and unknown references are read as browsers do; repeated pages are read each; pages
+and unknown references are read as browsers do; elements nested deeper than ``MAX_DEPTH``
+become siblings (no text is lost); repeated pages are read each; pages
 without main text give the empty text; an empty table gives an empty result.
 """
 
@@ -42,6 +43,7 @@ DIM, HIDDEN = 16, 12
 TRAIN_PAGES, TRAIN_BLOCKS, TRAIN_HTML = 200, 60, 60_000
 EPOCHS, BATCH, RATE = 10, 24, 0.02
 GROUP_BLOCKS = 4_096
+MAX_DEPTH = 512      # open elements; browsers stop nesting there too
 
 # HTML element names.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "object",
@@ -140,6 +142,8 @@ def blocks_of(html: str | None) -> list[Block]:
                 break
         if attrs.rstrip().endswith("/") and name not in INLINE:
             continue
+        if len(stack) >= MAX_DEPTH:
+            stack.pop()                # like browsers: no deeper, a sibling of the last one
         marks = " ".join(v for found in _MARKS.findall(attrs) for v in found).lower()
         stack.append((name, tuple(_NAME.findall(marks))))
     flush()

@@ -155,3 +155,10 @@ def test_main_text_edges(spark):
     assert len(out) == 5 and all(r["n_chars"] == len(r["text"]) for r in out)
     assert html_blocks.extract(pages.limit(0), html_blocks.start_weights()).count() == 0
     assert html_blocks.fit([]).keys() == html_blocks.start_weights().keys()
+
+
+def test_deeply_nested_page_keeps_its_text_and_stays_small():
+    page = html_blocks.blocks_of("<article>" + "<div class='a b'>x " * 20_000)
+    assert [b.text for b in page] == ["x"] * 20_000
+    assert max(len(b.path) for b in page) <= 3 * html_blocks.MAX_DEPTH
+    assert [b.text for b in html_blocks.blocks_of("<b>x " * 20_000)] == [" ".join("x" * 20_000)]
