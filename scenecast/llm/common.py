@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +53,15 @@ def row_keys(*cols: str) -> list[Column]:
     return [F.xxhash64(*parts).alias("_k1"), F.xxhash64(F.lit("second"), *parts).alias("_k2")]
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it.
+
+    An expression named inside a lambda is computed again for every element; a lambda's
+    own argument is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only.  ``lower`` does exactly that on text without other letters."""
     return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(

@@ -18,7 +18,8 @@ Method, with DataFrame operations only:
    document) sends one row per key and range;
 4. keys to drop meet their occurrences in a join on the hashes (both sides come
    straight from a shuffle, so adaptive execution splits a hot key), and the
-   dropped positions are gathered per row into a run-length keep bitmap.
+   dropped positions are gathered per row into a run-length keep bitmap (where it
+   changes between kept and dropped).
 
 Text is read again only where a caller wants it: :func:`apply_keep` joins the
 bitmaps to the documents.
@@ -34,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scenecast.llm.common import SPACE_CHARS, ascii_lower, require, row_keys, stored
+from scenecast.llm.common import SPACE_CHARS, ascii_lower, let, require, row_keys, stored
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -76,29 +77,46 @@ def surviving_docs(lines: DataFrame, min_docs: int) -> DataFrame:
             .filter(F.col("n_docs") >= min_docs))
 
 
-def keep_runs(n_lines: Column, dropped: Column) -> Column:
-    """Run lengths of the keep bitmap: kept, dropped, kept, ... over all lines.
+def flips(dropped: Column) -> Column:
+    """Where the keep bitmap changes: start and end of every run of dropped positions.
 
-    ``dropped`` holds the sorted dropped positions.
+    ``dropped`` holds the sorted dropped positions; none give an empty array.
     """
-    size = F.size(dropped)
-    gaps = F.transform(dropped, lambda p, i: p - F.when(i == 0, F.lit(-1)).otherwise(
-        F.get(dropped, i - 1)) - 1)
-    # (gap before, 1) per dropped line, then the kept rest; runs of adjacent drops are joined
-    starts = F.filter(F.sequence(F.lit(0), size - 1), lambda i: F.get(gaps, i) > 0)
-    first = F.when(F.get(gaps, F.lit(0)) > 0, starts).otherwise(
-        F.concat(F.array(F.lit(0)), starts))
-    ends = F.concat(F.slice(first, 2, F.size(first)), F.array(size))
-    pairs = F.flatten(F.zip_with(first, ends, lambda a, b: F.array(F.get(gaps, a), b - a)))
-    tail = n_lines.cast("int") - F.get(dropped, size - 1) - 1
-    return F.when(size == 0, F.array(n_lines.cast("int"))).otherwise(
-        F.concat(pairs, F.array(tail)))
-
-
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    def ends(d: Column) -> Column:
+        first = F.filter(d, lambda p, i: (i == 0) | (F.get(d, i - 1) < p - 1))
+        last = F.filter(d, lambda p, i: (i == F.size(d) - 1) | (F.get(d, i + 1) > p + 1))
+        return F.flatten(F.zip_with(first, last, lambda a, b: F.array(a, b + 1)))
+
+    return let(dropped, ends)
+
+
+def _bounds(n_lines: Column, flipped: Column) -> Column:
+    """0, the flips, and the number of lines: kept, dropped, kept, ... between neighbours."""
+    return F.concat(F.array(F.lit(0)), flipped, F.array(n_lines.cast("int")))
+
+
+def keep_runs(n_lines: Column, flipped: Column) -> Column:
+    """Run lengths of the keep bitmap: kept, dropped, kept, ... over all lines."""
+    return let(_bounds(n_lines, flipped), lambda b: F.transform(
+        F.sequence(F.lit(0), F.size(b) - 2), lambda i: F.get(b, i + 1) - F.get(b, i)))
+
+
+def kept_lines(lines: Column, flipped: Column) -> Column:
+    """The lines that the keep bitmap keeps."""
+    def cut(parts: Column) -> Column:
+        b = parts["bounds"]
+        return F.flatten(F.transform(
+            F.sequence(F.lit(0), F.size(b) - 2, F.lit(2)), lambda i: F.slice(
+                parts["lines"], F.get(b, i) + 1, F.get(b, i + 1) - F.get(b, i))))
+
+    return let(lines, lambda x: let(F.struct(
+        x.alias("lines"), _bounds(F.size(x), flipped).alias("bounds")), cut))
+
+
+def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
                   partitions: int | None = None) -> DataFrame:
-    """Per row that loses lines: row key (_k1, _k2) and sorted dropped positions."""
+    """Per row that loses lines: row key (_k1, _k2), bitmap ``flips`` and ``n_dropped``."""
     require(docs, id_col, text_col)
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -108,7 +126,10 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     shared = stored(surviving_docs(ranged, min_docs), "shared-lines")
     lost = (lines.join(shared, ["h1", "h2"])
             .filter(~F.col("doc_id").eqNullSafe(F.col("keeper"))))
-    return lost.groupBy("_k1", "_k2").agg(F.array_sort(F.collect_set("pos")).alias("dropped"))
+    dropped = F.array_sort(F.collect_set("pos"))
+    return (lost.groupBy("_k1", "_k2").agg(dropped.alias("dropped"))
+            .select("_k1", "_k2", flips(F.col("dropped")).alias("_flips"),
+                    F.size("dropped").alias("_n_dropped")))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -118,37 +139,34 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``keep_runs`` starts with the number of kept lines and alternates.
     """
-    out = _with_dropped(docs, id_col, text_col, min_chars, min_docs, partitions)
+    out = _with_bitmaps(docs, id_col, text_col, min_chars, min_docs, partitions)
     n_lines = F.size(lines_of(F.col(text_col)))
     return out.select(
         F.col(id_col), n_lines.cast("long").alias("n_lines"),
-        F.size("_dropped").cast("long").alias("n_dropped"),
-        keep_runs(n_lines, F.col("_dropped")).alias("keep_runs"))
+        F.col("_n_dropped").cast("long").alias("n_dropped"),
+        keep_runs(n_lines, F.col("_flips")).alias("keep_runs"))
 
 
-def _with_dropped(docs, id_col, text_col, min_chars, min_docs, partitions) -> DataFrame:
-    lost = dropped_lines(docs, id_col, text_col, min_chars, min_docs, partitions)
+def _with_bitmaps(docs, id_col, text_col, min_chars, min_docs, partitions) -> DataFrame:
+    bitmaps = keep_bitmaps(docs, id_col, text_col, min_chars, min_docs, partitions)
     keyed = docs.select("*", *row_keys(id_col, text_col))
-    lost = lost.withColumnRenamed("dropped", "_dropped")
-    return (keyed.join(lost, ["_k1", "_k2"], "left")
-            .withColumn("_dropped", F.coalesce("_dropped", F.array().cast("array<int>")))
+    return (keyed.join(bitmaps, ["_k1", "_k2"], "left")
+            .withColumns({"_flips": F.coalesce("_flips", F.array().cast("array<int>")),
+                          "_n_dropped": F.coalesce("_n_dropped", F.lit(0))})
             .drop("_k1", "_k2"))
 
 
 def apply_keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
                partitions: int | None = None) -> DataFrame:
-    """The documents with dropped lines taken out, plus ``n_lines`` and ``n_dropped``."""
-    out = _with_dropped(docs, id_col, text_col, min_chars, min_docs, partitions)
+    """The documents cut by their keep bitmaps, plus ``n_lines`` and ``n_dropped``."""
+    out = _with_bitmaps(docs, id_col, text_col, min_chars, min_docs, partitions)
     lines = lines_of(F.col(text_col))
-    # the positions to keep; a row without drops keeps its text as it is
-    kept = F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped")),
-        lambda i: F.get("_lines", i))
-    text = F.when(F.size("_dropped") == 0, F.coalesce(F.col(text_col), F.lit(""))).otherwise(
-        F.array_join(kept, "\n"))
+    # a row without drops keeps its text as it is
+    text = F.when(F.col("_n_dropped") == 0, F.coalesce(F.col(text_col), F.lit(""))).otherwise(
+        F.array_join(kept_lines(F.col("_lines"), F.col("_flips")), "\n"))
     return (out.withColumn("_lines", lines)
             .withColumns({text_col: text,
                           "n_lines": F.size("_lines").cast("long"),
-                          "n_dropped": F.size("_dropped").cast("long")})
-            .drop("_lines", "_dropped"))
+                          "n_dropped": F.col("_n_dropped").cast("long")})
+            .drop("_lines", "_flips", "_n_dropped"))

@@ -27,13 +27,12 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scenecast.llm.common import require, stored
+from scenecast.llm.common import let, require, stored
 
 
 @dataclass(frozen=True)
@@ -64,11 +63,6 @@ def _mixed_ok(value: Column) -> Column:
     return value.rlike("[A-Z]") & value.rlike("[a-z]") & value.rlike("[0-9]")
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _sums(numbers: Column) -> Column:
     """0 and the running sums of a short array."""
     return F.aggregate(numbers, F.array(F.lit(0)), lambda acc, x: F.concat(
@@ -85,7 +79,7 @@ def _placed(pieces: Column, kind: Kind, order: int) -> Column:
         return p["before"] + p["len"]
 
     def place(run: Column, at: Column) -> Column:
-        return _let(_sums(F.transform(run, size)), lambda ends: F.transform(
+        return let(_sums(F.transform(run, size)), lambda ends: F.transform(
             run, lambda p, j: F.struct(
                 (at + F.get(ends, j) + p["before"]).alias("start"), F.lit(order).alias("ord"),
                 F.lit(kind.name).alias("kind"), (at + F.get(ends, j + 1)).alias("end"),
@@ -98,10 +92,10 @@ def _placed(pieces: Column, kind: Kind, order: int) -> Column:
     def place_all(runs: Column) -> Column:
         totals = F.transform(runs, lambda run: F.aggregate(
             run, F.lit(0), lambda n, p: n + size(p)))
-        return _let(_sums(totals), lambda ends: F.flatten(F.transform(
+        return let(_sums(totals), lambda ends: F.flatten(F.transform(
             runs, lambda run, i: place(run, F.get(ends, i)))))
 
-    return _let(pieces, lambda p: _let(runs_of(p), place_all))
+    return let(pieces, lambda p: let(runs_of(p), place_all))
 
 
 def spans_of(text: Column, kind: Kind, order: int) -> Column:

@@ -137,6 +137,20 @@ def test_line_dedup_against_brute_force(spark, odd_docs, odd_texts, empty_docs):
         assert small[i]["kept_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_text_with_very_many_runs_of_lines(make_docs):
+    """Bitmap and text of a document whose every second line is dropped."""
+    n = 40_000
+    lines = [[f"shared line with number {i}" if i % 2 == 0 else f"own {d} line {i}"
+              for i in range(n)] for d in range(3)]
+    docs = make_docs([(d, "\n".join(x)) for d, x in enumerate(lines)])
+    got = {r["doc_id"]: r for r in line_dedup.line_dedup(docs).collect()}
+    assert got[0]["keep_runs"] == runs([i % 2 == 1 for i in range(n)])
+    assert got[0]["n_dropped"] == n // 2 and got[2]["keep_runs"] == [n]
+    cut = {r["doc_id"]: r["text"] for r in line_dedup.apply_keep(docs).collect()}
+    assert cut == {0: "\n".join(lines[0][1::2]), 1: "\n".join(lines[1][1::2]),
+                   2: "\n".join(lines[2])}
+
+
 def test_line_in_a_third_of_all_documents(make_docs):
     rows = [(i, f"{LINE}\nthe own line of document number {i}") if i % 3 == 0 else
             (i, f"the own line of document number {i}") for i in range(300)]
