@@ -14,10 +14,14 @@ the sample lacks, each training page is also shown with such parts put in at ran
 places, filled with words of other pages, and with other wrappers around the article.  Weights
 go to the tasks; extraction is a column expression without shuffle, some pages at a time.
 
-Scripts, styles, comments and other raw elements never become blocks.  White space
-(line breaks too) becomes one space, character references are decoded.
-
-Edge cases: null and empty html give the empty text; cut-off tags, unclosed elements
+Scripts, styles, comments and other raw elements never become blocks, nor does what
+a reader is not shown of an element in ``UNSEEN``: it goes up to the element's own end
+tag (nested ones counted).  Without that tag the element ends with its parent and its
+words stay.  An svg or math ends at ``/>`` and before an html element; the words of
+math are text.  White space (line breaks too) becomes one space, character references
+are decoded.
+
+Edge cases: null and empty html give the empty text; cut-off tags, unclosed raw elements
 and unknown references are read as browsers do; elements nested deeper than ``MAX_DEPTH``
 become siblings (no text is lost); repeated pages are read each; pages
 without main text give the empty text; an empty table gives an empty result.
@@ -46,8 +50,10 @@ GROUP_BLOCKS = 4_096
 MAX_DEPTH = 512      # open elements; browsers stop nesting there too
 
 # HTML element names.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "object",
-       "svg", "math", "head", "select", "canvas", "video", "audio"}
+RAW = {"script", "style", "textarea", "title", "iframe"}
+UNSEEN = {"noscript", "template", "object", "svg", "select", "canvas", "video", "audio"}
+FOREIGN = {"svg", "math"}       # their elements are all inline and may end with "/>"
+HTML_INSIDE = {"foreignobject", "annotation-xml"}      # html again inside them
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn",
@@ -56,6 +62,12 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
           "img", "br", "button", "input"}
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+# Html elements that end an open svg or math.
+BREAKS_OUT = {"article", "aside", "b", "big", "blockquote", "body", "br", "center", "code", "dd",
+              "div", "dl", "dt", "em", "embed", "footer", "form", "h1", "h2", "h3", "h4", "h5",
+              "h6", "head", "header", "hr", "i", "img", "li", "listing", "main", "menu", "meta",
+              "nav", "nobr", "ol", "p", "pre", "ruby", "s", "section", "small", "span", "strike",
+              "strong", "sub", "sup", "table", "tt", "u", "ul", "var"}
 # Page parts that are never main text: element names, and words of class, id and role.
 PARTS = {"nav", "header", "footer", "aside", "form", "menu", "button", "dialog"}
 PART_WORDS = {"ad", "ads", "advert", "advertisement", "banner", "sponsor", "sponsored", "promo",
@@ -73,6 +85,7 @@ _TOKEN = re.compile(
 _CUT_TAG = re.compile(r"</?[a-zA-Z][^<>]*\Z")
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NAME = re.compile(r"[a-z0-9]+")
+_HIDES = re.compile(rf"<(?:{'|'.join(sorted(UNSEEN | FOREIGN))})(?=[\s/>])", re.I)
 
 
 @dataclass
@@ -87,19 +100,40 @@ class Block:
 def blocks_of(html: str | None) -> list[Block]:
     """Leaf blocks of a page in order."""
     html = _CUT_TAG.sub("", html or "")
+    ends: dict[int, int] = {}
+    if _HIDES.search(html):
+        _read(html, ends, True)            # first which hidden elements have an end tag
+    return _read(html, ends, False)
+
+
+def _is_foreign(stack: list[tuple[str, tuple[str, ...], bool, int]]) -> bool:
+    """Whether the innermost element belongs to an svg or math."""
+    for name, *_ in reversed(stack):
+        if name in FOREIGN or name in HTML_INSIDE:
+            return name in FOREIGN
+    return False
+
+
+def _read(html: str, ends: dict[int, int], look: bool) -> list[Block]:
+    """Blocks of a page without hidden elements.
+
+    ``ends`` maps where the tag of a hidden element ends to where its end tag does.  With
+    ``look`` it is filled and hidden elements are read like others.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, tuple[str, ...], bool, int]] = []      # name, words, inline, place
     parts: list[str] = []
     linked, pos, size = 0, 0, len(html)
+    any_foreign = False
 
     def flush() -> None:
         nonlocal linked
-        if parts:
+        if parts and not look:
             text = " ".join(html_lib.unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, tuple(w for n, ws in stack if n not in INLINE
+                out.append(Block(text, tuple(w for n, ws, inline, _ in stack if not inline
                                              for w in (f"<{n}>", *ws)), linked))
-            parts.clear()
+        parts.clear()
         linked = 0
 
     while pos < size:
@@ -108,44 +142,64 @@ def blocks_of(html: str | None) -> list[Block]:
         close, name, attrs, text = m.groups()
         if text is not None:
             parts.append(text)
-            if any(n == "a" for n, _ in stack):
+            if any(n == "a" for n, *_ in stack):
                 linked += len(text)
             continue
         if name is None:
             continue
         name = name.lower()
-        if name in RAW and not close:
+        foreign = any_foreign and _is_foreign(stack)
+        if foreign and not close and name in BREAKS_OUT:
+            while foreign:
+                stack.pop()
+                foreign = _is_foreign(stack)
+        if name == "head":
+            continue                       # all it may hold is raw, hidden or void
+        if name in RAW and not close and not foreign:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, pos)
-            if name == "head" and end is None:
-                continue
             pos = end.end() if end else size
             continue
-        if name == "br":
+        if name == "br" or name.startswith("annotation"):
             parts.append(" ")
-        if name in VOID:
+        if name in VOID and not foreign:
             if name == "hr":
                 flush()
             continue
-        if name not in INLINE:
-            flush()
+        own = attrs.rstrip().endswith("/")
         if close:
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if at is not None and (name not in INLINE or all(n in INLINE for n, _ in stack[at:])):
+            inline = name in INLINE if at is None else all(e[2] for e in stack[at:])
+            if name not in INLINE and not inline:
+                flush()
+            if at is not None and (name not in INLINE or inline):
+                if look:
+                    ends[stack[at][3]] = pos
                 del stack[at:]
             continue
-        shut = CLOSES.get(name, {"p"} if name not in INLINE else set())
+        hidden = name in UNSEEN or foreign and name in RAW
+        inline = name in INLINE or foreign or name in FOREIGN
+        if hidden and not look:
+            if pos in ends:
+                pos = ends[pos]
+                continue
+            if not inline:
+                continue                   # it has no end tag: what follows is its parent's
+        if not inline:
+            flush()
+        shut = set() if inline or hidden else CLOSES.get(name, {"p"})
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] in shut:
                 del stack[i:]
                 break
-            if stack[i][0] not in INLINE:
+            if not stack[i][2] or stack[i][0] in HTML_INSIDE:
                 break
-        if attrs.rstrip().endswith("/") and name not in INLINE:
+        if own and (foreign or name in FOREIGN or not inline and not hidden):
             continue
         if len(stack) >= MAX_DEPTH:
             stack.pop()                # like browsers: no deeper, a sibling of the last one
+        any_foreign = any_foreign or name in FOREIGN
         marks = " ".join(v for found in _MARKS.findall(attrs) for v in found).lower()
-        stack.append((name, tuple(_NAME.findall(marks))))
+        stack.append((name, tuple(_NAME.findall(marks)), inline, pos if hidden else -1))
     flush()
     return out
 

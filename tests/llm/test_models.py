@@ -162,3 +162,32 @@ def test_deeply_nested_page_keeps_its_text_and_stays_small():
     assert [b.text for b in page] == ["x"] * 20_000
     assert max(len(b.path) for b in page) <= 3 * html_blocks.MAX_DEPTH
     assert [b.text for b in html_blocks.blocks_of("<b>x " * 20_000)] == [" ".join("x" * 20_000)]
+
+
+@pytest.mark.parametrize("html, want", [
+    ('<p>One <svg class="i"/> two.</p><p>Three.</p>', ["One two.", "Three."]),
+    ('<p>One <svg class="i"> two.</p><p>Three.</p>', ["One two.", "Three."]),
+    ("<p>One <svg><svg>in</svg>out<title>Icon</title></svg> two.</p>", ["One two."]),
+    ("<p>One <svg><style/><title/><path d='x'/></svg> two.</p><p>Three.</p>",
+     ["One two.", "Three."]),
+    ("<p>One <svg><title>Icon</svg> two.</p><p>Three <svg><title>B</title></svg></p>",
+     ["One two.", "Three"]),
+    ("<svg><path><p>One <svg><foreignObject><p>in</foreignObject></svg> two.", ["One two."]),
+    ("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>", ["So x=2 holds."]),
+    ("<p>So <math/> holds.</p><p>Three.</p>", ["So holds.", "Three."]),
+    ("<head><title>T</title><p>One", ["One"]),
+    ("<div><object>a<object>b</object>c<p>d</object>two</div>", ["two"]),
+])
+def test_foreign_and_nested_elements(html, want):
+    assert [b.text for b in html_blocks.blocks_of(html)] == want
+
+
+@pytest.mark.parametrize("name", sorted(html_blocks.UNSEEN - {"svg"}))
+def test_hidden_element_without_end_tag_loses_no_text(name):
+    page = f"<article><p>One <{name} class='ad'> two.</p><p>Three.</p></article><p>Four.</p>"
+    blocks = html_blocks.blocks_of(page)
+    assert [b.text for b in blocks] == ["One two.", "Three.", "Four."]
+    assert plain_main(page) == "One two.\nThree."
+    assert not any(name in w for b in blocks for w in b.path)
+    closed = page.replace("<p>Three", f"<{name}>in<{name}>in</{name}>in</{name}><p>Three")
+    assert [b.text for b in html_blocks.blocks_of(closed)] == ["One two.", "Three.", "Four."]
