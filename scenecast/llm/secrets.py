@@ -4,10 +4,10 @@ Base rules, leftmost and non-overlapping per kind (``KINDS``): assignments,
 access keys, long hex strings.  The method adds a fourth kind, ``mixed``:
 40+ characters of ``[A-Za-z0-9+/_-]`` (and padding) that hold upper case, lower case
 and digits.  Every candidate's value is hashed; per hash the corpus gives the number
-of distinct repositories and owners.  A value seen with more than
-``max_owners`` owners is a widely copied example, any other is
-owner-specific and live-looking.  Base spans always stay; ``mixed`` ones stay only
-when they are owner-specific.
+of distinct repositories and owners.  A value in more than ``max_repos`` repositories
+(however few their owners) or with more than ``max_owners`` owners is a widely copied
+example, any other is owner-specific and live-looking.  Base spans always stay;
+``mixed`` ones stay only when they are owner-specific.
 
 Positions come from two passes of one pattern: the pieces between the matches
 (``split``) and the matches (``regexp_extract_all``) alternate, so a running sum of
@@ -55,7 +55,9 @@ KINDS = (
     Kind("mixed", r"[A-Za-z0-9+/_-]{40,}={0,2}", 0, 40),
 )
 BASE = ("assign", "access", "hex")
-MAX_OWNERS = 1
+# A credential goes along with a few copies of its text (in the given tables up to 6
+# repositories); examples stand in 51 or more.
+MAX_REPOS, MAX_OWNERS = 10, 3
 RUN = 128            # pieces whose running sums are taken together
 
 
@@ -136,10 +138,11 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  repo_col: str | None = None, owner_col: str = "source",
-                 max_owners: int = MAX_OWNERS) -> DataFrame:
+                 max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """Spans of every row with their class.
 
-    ``repo_col`` names the repository (default: every document is one).
+    ``repo_col`` names the repository (default: every document is one).  A value is live
+    up to ``max_repos`` distinct repositories and ``max_owners`` distinct owners.
     Returns id, ``spans``: array of structs (start, ord, kind, end, value_hash,
     n_repos, n_owners, live) by start and kind order.
     """
@@ -159,7 +162,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "_row", "repo", "owner", F.explode("_found").alias("s")).select(
         "_row", "repo", "owner", "s.*")
     counts = stored(ownership(each.select("vhash", "repo", "owner")), "secret-owners")
-    judged = each.join(counts, "vhash").withColumn("live", F.col("n_owners") <= max_owners)
+    judged = each.join(counts, "vhash").withColumn(
+        "live", (F.col("n_repos") <= max_repos) & (F.col("n_owners") <= max_owners))
     kept = judged.filter(F.col("kind").isin(*BASE) | F.col("live"))
     per_row = kept.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
         "start", "ord", "kind", "end", F.col("vhash").alias("value_hash"), "n_repos",

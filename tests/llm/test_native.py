@@ -87,6 +87,23 @@ def test_secret_ownership(spark):
         ("assign", False, 5)]                               # base spans stay
 
 
+def test_repositories_and_owners_both_decide(spark):
+    hot, two, few, many = "Hx3" * 16, "Tx4" * 16, "Fx5" * 16, "Mx6" * 16
+    rows = [(i, f"see {hot}", "hot") for i in range(30)]              # copied within one owner
+    rows += [(40 + i, f"see {two}", f"owner{i}") for i in range(2)]   # shared by two owners
+    rows += [(50 + i, f"see {few}", "hot") for i in range(secrets.MAX_REPOS)]
+    rows += [(70 + i, f"see {many}", f"owner{i}") for i in range(secrets.MAX_OWNERS + 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: [s["live"] for s in r["spans"]] for r in secrets.scan_secrets(docs).collect()}
+    assert got[0] == [] and got[70] == []
+    assert got[40] == got[41] == got[50] == [True]
+    base = docs.withColumn("text", F.regexp_replace("text", "see ", "token="))
+    flags = {r["doc_id"]: (r["n_live"], r["n_copied"])
+             for r in secrets.digest(secrets.scan_secrets(base)).collect()}
+    assert flags[0] == flags[70] == (0, 1) and flags[40] == flags[50]
+    assert flags[40][0] >= 1 and flags[40][1] == 0
+
+
 def kept_lines(rows, min_chars=20, min_docs=3):
     """Line rule by brute force: per row the lines to keep as booleans."""
     def key(line):
