@@ -423,13 +423,14 @@ def fit(htmls: list[str], seed: int = 11) -> dict[str, np.ndarray]:
 
 def train(pages: DataFrame, html_col: str = "html",
           n: int = TRAIN_PAGES) -> dict[str, np.ndarray]:
-    """Fit on the ``n`` pages of smallest hash with at most ``TRAIN_HTML`` characters."""
+    """Fit on the ``n`` distinct pages of smallest hash with at most ``TRAIN_HTML`` characters."""
     require(pages, html_col)
     # the hashes first, so that only the picked pages reach the driver
     texts = (pages.select(F.col(html_col).alias("h"), F.xxhash64(html_col).alias("k"))
              .filter(F.col("h").isNotNull() & (F.char_length("h") <= TRAIN_HTML)))
-    picked = [r["k"] for r in texts.select("k").orderBy("k").limit(n).collect()]
-    rows = texts.filter(F.col("k").isin(picked)).limit(n).collect() if picked else []
+    picked = [r["k"] for r in texts.select("k").distinct().orderBy("k").limit(n).collect()]
+    rows = texts.filter(F.col("k").isin(picked)).groupBy("k").agg(
+        F.array_min(F.collect_set("h")).alias("h")).collect() if picked else []
     return fit(sorted(r["h"] for r in rows))
 
 

@@ -174,13 +174,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .filter(F.col("_id").isNotNull() & F.col("_y").isin(0, 1))
              .filter(~held_out(F.col("_id")))
              .groupBy("_id").agg(F.max("_y").alias("_y")))
+    texts = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
+             .filter(F.octet_length("_t") <= TRAIN_BYTES))
+    # one text an id, by its hash, before any id is picked
+    short = texts.groupBy("_id").agg(F.min(F.xxhash64("_t")).alias("_h"))
+    usable = known.join(short, "_id")
     order = [F.xxhash64("_id"), F.col("_id")]
-    picked = known.filter(F.col("_y") == 0).orderBy(*order).limit(per_class).unionByName(
-        known.filter(F.col("_y") == 1).orderBy(*order).limit(per_class))
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
-    rows = (texts.join(F.broadcast(picked), "_id")     # at most 2 * per_class ids
-            .filter(F.octet_length("_t") <= TRAIN_BYTES)
-            .orderBy("_id", F.xxhash64("_t")).limit(2 * per_class).collect())
+    picked = [r for y in (0, 1) for r in usable.filter(F.col("_y") == y).orderBy(*order)
+              .limit(per_class).collect()]
+    picked = docs.sparkSession.createDataFrame(picked, usable.schema)
+    rows = (texts.withColumn("_h", F.xxhash64("_t"))
+            .join(F.broadcast(picked), ["_id", "_h"])     # at most 2 * per_class ids
+            .groupBy("_id", "_y").agg(F.array_min(F.collect_set("_t")).alias("_t"))
+            .orderBy("_id").collect())
     ones, zeros = known.agg(F.sum("_y"), F.sum(1 - F.col("_y"))).first()
     odds = ones / zeros if ones and zeros else 1.0
     return fit([r["_t"].encode() for r in rows], [r["_y"] for r in rows], odds)

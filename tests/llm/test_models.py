@@ -74,6 +74,21 @@ def test_quality_edges(spark, odd_docs, empty_docs):
         F.col("h").isNull()).count() == 0
 
 
+def test_quality_sample_keeps_both_classes(spark, make_docs):
+    """Long documents and repeated rows of one id leave the other ids in the sample."""
+    ids = [r["id"] for r in spark.range(400).filter(~quality.held_out(F.col("id"))).orderBy(
+        F.xxhash64("id")).collect()][:60]
+    labels = spark.createDataFrame([(i, n % 2, 0) for n, i in enumerate(ids)],
+                                   "doc_id long, quality int, toxic int")
+    long = "long text " * (quality.TRAIN_BYTES // 8)
+    docs = make_docs([(i, long if n % 2 and n < 50 else f"text {i}") for n, i in enumerate(ids)])
+    assert quality.train(docs, labels, per_class=5).constant is None
+    low = min(ids)
+    docs = make_docs([(low, f"copy {j}") for j in range(500)]
+                     + [(i, f"text {i}") for i in ids if i != low])
+    assert quality.train(docs, labels, per_class=50).constant is None
+
+
 # --- main text -----------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
@@ -191,3 +206,12 @@ def test_hidden_element_without_end_tag_loses_no_text(name):
     assert not any(name in w for b in blocks for w in b.path)
     closed = page.replace("<p>Three", f"<{name}>in<{name}>in</{name}>in</{name}><p>Three")
     assert [b.text for b in html_blocks.blocks_of(closed)] == ["One two.", "Three.", "Four."]
+
+
+def test_training_sample_has_distinct_pages(spark, monkeypatch):
+    monkeypatch.setattr(html_blocks, "fit", lambda htmls: htmls)
+    pages = spark.createDataFrame([(f"<p>page {i}",) for i in range(8)], "html string")
+    first = pages.orderBy(F.xxhash64("html")).limit(1).collect()[0]["html"]
+    copies = pages.unionByName(spark.range(40).select(F.lit(first).alias("html")))
+    got = html_blocks.train(copies, n=4)
+    assert len(set(got)) == 4 and got == html_blocks.train(pages, n=4)
