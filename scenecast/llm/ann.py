@@ -15,10 +15,13 @@ rows is many tasks.  A block returns at most k rows per probe.  Equal vectors ar
 vec_id alone, so only the k + 1 smallest ids of each vector are indexed: none of the others
 can be among k nearest (exact, and it is a group limit that works before the shuffle).
 
+Queries left with fewer than k rows (vectors of a rare length, small tables, outliers) are
+compared with all indexed vectors of their length, in the same blocks.
+
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
 null ids; vectors of different length are never compared; repeated (vec_id, vector) rows
 are one row, of rows that share a vec_id the one with the smallest vector hash counts; a query
-with fewer candidates returns those it has; ties go to the smaller vec_id; an empty
+with fewer candidates in all returns all of them; ties go to the smaller vec_id; an empty
 table gives an empty result.
 """
 
@@ -178,24 +181,40 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_
     asked = stored(queries.mapInArrow(_hasher(probes, tables, hashes, width), shape),
                    "ann-probes")
     key = ["tab", "bucket"]
-    held = index.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int")
-                                   .alias("parts"))
-    wanted = asked.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / block_probes).cast("int")
-                                     .alias("askers"))
-    grid = stored(held.join(wanted, key), "ann-buckets")      # buckets that some query visits
-
-    def dealt(side: DataFrame, own: str, other: str, x: str, y: str) -> DataFrame:
-        # its own block by hash, against every block of the other side
-        return side.join(grid, key).select(
-            *key, F.pmod(F.xxhash64("vec_id"), F.col(own)).cast("int").alias(x),
-            F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(y), "vec_id", "v")
-
-    left = dealt(index, "parts", "askers", "x", "y")
-    right = dealt(asked, "askers", "parts", "y", "x").select(*key, "x", "y", "vec_id", "v")
-    group = [*key, "x", "y"]
-    found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(
-        _best_in_block(k), "query_id bigint, vec_id bigint, score double")
-    merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
-    return (merged.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+
+    def compared(index: DataFrame, asked: DataFrame) -> DataFrame:
+        held = index.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int")
+                                       .alias("parts"))
+        wanted = asked.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / block_probes).cast("int")
+                                         .alias("askers"))
+        grid = stored(held.join(wanted, key), "ann-buckets")      # buckets that some query visits
+
+        def dealt(side: DataFrame, own: str, other: str, x: str, y: str) -> DataFrame:
+            # its own block by hash, against every block of the other side
+            return side.join(grid, key).select(
+                *key, F.pmod(F.xxhash64("vec_id"), F.col(own)).cast("int").alias(x),
+                F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(y), "vec_id", "v")
+
+        left = dealt(index, "parts", "askers", "x", "y")
+        right = dealt(asked, "askers", "parts", "y", "x").select(*key, "x", "y", "vec_id", "v")
+        group = [*key, "x", "y"]
+        found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(
+            _best_in_block(k), "query_id bigint, vec_id bigint, score double")
+        merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return (merged.withColumn("rank", F.row_number().over(order))
+                .filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+
+    near = stored(compared(index, asked), "ann-found")
+    counts = near.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    short = stored(queries.join(counts, F.col("vec_id") == F.col("query_id"), "left")
+                   .filter(F.coalesce("n", F.lit(0)) < k).select("vec_id", "v"), "ann-short")
+
+    def of_length(side: DataFrame) -> DataFrame:
+        return side.select("vec_id", F.lit(-1).alias("tab"),
+                           F.size("v").cast("string").alias("bucket"), "v")
+
+    # its rows replace those found by probing
+    whole = compared(of_length(index.filter(F.col("tab") == 0)), of_length(short))
+    return near.join(short.select(F.col("vec_id").alias("query_id")), "query_id",
+                     "left_anti").unionByName(whole)

@@ -177,6 +177,27 @@ def test_vectors_that_take_no_part(spark):
     assert ann.nearest(empty).count() == 0
 
 
+def test_queries_with_few_candidates_return_them_all(spark):
+    rng = np.random.default_rng(4)
+    rare = {100 + i: v for i, v in enumerate(rng.normal(size=(6, 8)))}       # a rare length
+    rare[105] = -rare[100]
+    far = rng.normal(size=16)
+    many = {1_000 + i: far + rng.normal(size=16) / 20 for i in range(60)}
+    many[2_000] = -far                                                       # an outlier
+    rows = [(i, [float(x) for x in v]) for i, v in {**rare, **many}.items()]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"),
+                      every=1).collect()
+    found = {}
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    for group in (rare, many):
+        for q in [100, 105] if group is rare else [2_000]:
+            cos = {i: float(v @ group[q]) / np.linalg.norm(v) for i, v in group.items() if i != q}
+            want = sorted(cos, key=lambda i: -cos[i])[:5]
+            assert found[q] == list(enumerate(want, 1))
+    assert all(len(f) == 5 for f in found.values()) and len(found) == len(rows)
+
+
 def test_hot_vector_in_blocks(spark):
     rng = np.random.default_rng(3)
     hot = rng.normal(size=16)
