@@ -8,6 +8,8 @@ small, bounded tables ever reach the driver.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
@@ -21,7 +23,8 @@ RESIDUAL_BINS = 40
 TARGET_BINS = 60
 TOP_ERRORS = 20
 
-SHIFT_ROWS = 1000     # rows read for the shift of the correlation's sums
+DOUBTFUL = 1e-6       # share of a pair's squares below which its variance is taken again
+PAIRS_AT_ONCE = 16    # doubtful pairs of one aggregate
 
 
 def with_errors(pred: DataFrame, label: str = "label",
@@ -84,17 +87,18 @@ def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     Pairwise complete, null and NaN being missing.  Every row is one vector of its
     shifted values, their squares and presence flags; MLlib sums the outer products of
     those vectors per task and merges them as a tree, which holds every moment of every
-    pair: one pass, no expansion of rows, one small matrix per task.  The shift (a middle
-    value of some rows) only keeps the sums small.  A column that is constant over a pair's
-    rows (variance below 1e-13 of the squared distance to the shift) gives null, as does a
-    pair without rows.
+    pair: one pass, no expansion of rows, one small matrix per task.  The shift is each
+    column's mean over all rows, from an aggregate before.  Pairs whose rows lie far from it
+    against their spread are taken again by ``covar_pop``.  A column that is constant over a
+    pair's rows (min = max) gives null, as does a pair without rows.
     """
     p = len(cols)
     x = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"x{i}")
          for i, c in enumerate(cols)]
     base = df.select(*x)
-    middle = base.limit(SHIFT_ROWS).agg(*[F.percentile_approx(f"x{i}", 0.5) for i in range(p)])
-    shift = [v or 0.0 for v in middle.first()]
+    ranges = base.agg(*[f(f"x{i}") for f in (F.avg, F.min, F.max) for i in range(p)]).first()
+    shift = [v if v is not None and math.isfinite(v) else 0.0 for v in ranges[:p]]
+    constant = [a == b for a, b in zip(ranges[p:2 * p], ranges[2 * p:])]
     z = [F.coalesce(F.col(f"x{i}") - F.lit(shift[i]), F.lit(0.0)) for i in range(p)]
     flags = [F.col(f"x{i}").isNotNull().cast("double") for i in range(p)]
     rows = base.select(array_to_vector(F.array(*z, *[v * v for v in z], *flags)).alias("v"))
@@ -104,21 +108,43 @@ def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     rows = MLUtils.convertVectorColumnsFromML(rows.union(nothing), "v")
     g = RowMatrix(rows, 0, 3 * p).computeGramianMatrix().toArray()
 
-    def moments(i: int, j: int) -> tuple[float, float, float]:
-        # rows of the pair, and sum and squared deviations of column i over them
+    def moments(i: int, j: int) -> tuple[float, float, bool]:
+        # sum and squared deviations of column i over the pair's rows, and whether they are exact
         n, total, squares = g[2 * p + i, 2 * p + j], g[i, 2 * p + j], g[p + i, 2 * p + j]
-        dev = squares - total * total / n if n else 0.0
-        return n, total, dev if dev > 1e-13 * squares else 0.0
+        dev = squares - total * total / n
+        return total, dev, not dev <= DOUBTFUL * squares
 
-    out = []
+    corr: dict[tuple[int, int], float | None] = {}
+    doubtful = []
     for i in range(p):
-        for j in range(p):
-            (n, si, vi), (_, sj, vj) = moments(i, j), moments(j, i)
-            corr = float((g[i, j] - si * sj / n) / (vi * vj) ** 0.5) if vi and vj else None
-            out.append((cols[i], cols[j], corr))
+        for j in range(i, p):
+            n = g[2 * p + i, 2 * p + j]
+            corr[i, j] = None
+            if not n or constant[i] or constant[j]:
+                continue
+            (si, vi, fine_i), (sj, vj, fine_j) = moments(i, j), moments(j, i)
+            if fine_i and fine_j:
+                corr[i, j] = float((g[i, j] - si * sj / n) / (vi * vj) ** 0.5)
+            else:
+                doubtful.append((i, j))
+    for a in range(0, len(doubtful), PAIRS_AT_ONCE):
+        some = doubtful[a:a + PAIRS_AT_ONCE]
+        found = base.agg(*[v for i, j in some for v in _pair(F.col(f"x{i}"), F.col(f"x{j}"))]
+                         ).first()
+        for k, pair in enumerate(some):
+            varies, cov, vi, vj = found[4 * k:4 * k + 4]
+            corr[pair] = cov / (vi ** 0.5 * vj ** 0.5) if varies and vi and vj else None
+    out = [(cols[i], cols[j], corr[min(i, j), max(i, j)]) for i in range(p) for j in range(p)]
     return df.sparkSession.createDataFrame(out, "f1 string, f2 string, corr double")
 
 
+def _pair(a: Column, b: Column) -> list[Column]:
+    """Whether both columns vary over the rows that hold both, their covariance and variances."""
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return [(F.min(x) < F.max(x)) & (F.min(y) < F.max(y)), F.covar_pop(a, b), F.var_pop(x),
+            F.var_pop(y)]
+
+
 def value_range(df: DataFrame, a: str = "label", b: str = "prediction",
                 group_cols: list[str] | None = None) -> DataFrame:
     """Common [min, max] of two columns (the y = x line of a scatter)."""

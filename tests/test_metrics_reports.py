@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
@@ -147,3 +148,20 @@ def test_correlation_leaves_out_nan(spark):
                                 (None, 9.0)], "a double, b double")
     got = {(r["f1"], r["f2"]): r["corr"] for r in rp.correlation(df, ["a", "b"]).collect()}
     assert got["a", "b"] == pytest.approx(0.9979487, abs=1e-6) and got["a", "a"] == pytest.approx(1)
+
+
+def test_correlation_when_the_first_rows_are_not_typical(spark):
+    rng = np.random.default_rng(6)
+    n, start = 4_000, 1_700_000_000_000.0
+    ms = start + np.sort(rng.integers(0, 60_000, n)).astype(float)
+    y = (ms - start) / 1e4 + rng.normal(size=n)
+    rows = [(None, 0.0, None, 5.0)] * 1_500        # no value of the large column in front
+    rows += [(float(a), float(b), None, 5.0) for a, b in zip(ms, y)]
+    # w lies far from its mean wherever u is there
+    rows += [(None, None, -1e12, None)] * 50 + [(None, float(i), 1e12 + i, None) for i in range(50)]
+    df = spark.createDataFrame(rows, "ms double, y double, w double, k double").coalesce(1)
+    got = {(r["f1"], r["f2"]): r["corr"]
+           for r in rp.correlation(df, ["ms", "y", "w", "k"]).collect()}
+    assert got["ms", "y"] == pytest.approx(np.corrcoef(ms - start, y)[0, 1], abs=1e-9)
+    assert got["ms", "ms"] == pytest.approx(1.0) and got["y", "w"] == pytest.approx(1.0, abs=1e-9)
+    assert got["ms", "w"] is None and got["k", "y"] is None and got["k", "k"] is None
