@@ -9,13 +9,14 @@ Method, with DataFrame operations only:
 
 1. every text is split once into rows of hashes, ``(h1, h2, doc_id, row, pos)``;
    two 64-bit hashes name a key, no text is moved;
-2. the rows are range-partitioned by (h1, h2, doc_id descending, position) and
-   sorted in that order, so a run of one key streams by with its surviving
-   document first.  The range holds the document too: a key that a third of
-   all documents share is spread over many tasks;
-3. the ranges already hold each (key, document) together, so the first
-   aggregate adds no shuffle; the second one (documents per key, first
-   document) sends one row per key and range;
+2. the rows are range-partitioned by (h1, h2, doc_id descending).  The range holds
+   the document too: a key that a third of all documents share is spread over
+   many tasks;
+3. two hash aggregates replace a secondary sort whose first occurrences stream
+   by: the surviving document is the largest, which needs no order.  The ranges
+   already hold each (key, document) together, so the first aggregate adds no
+   shuffle; the second one (documents per key, largest document) sends one row
+   per key and range;
 4. keys to drop meet their occurrences in a join on the hashes (both sides come
    straight from a shuffle, so adaptive execution splits a hot key), and the
    dropped positions are gathered per row into a run-length keep bitmap (where it
@@ -120,9 +121,8 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     require(docs, id_col, text_col)
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("h1"), F.col("h2"), F.col("doc_id").desc(), F.col("pos")]
     lines = stored(line_hashes(docs, id_col, text_col, min_chars), "line-hashes")
-    ranged = lines.repartitionByRange(n, *order[:3]).sortWithinPartitions(*order)
+    ranged = lines.repartitionByRange(n, "h1", "h2", F.col("doc_id").desc())
     shared = stored(surviving_docs(ranged, min_docs), "shared-lines")
     lost = (lines.join(shared, ["h1", "h2"])
             .filter(~F.col("doc_id").eqNullSafe(F.col("keeper"))))
