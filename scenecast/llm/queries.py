@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scenecast.llm import (ann, bpe_codec, decontamination, html_blocks, line_dedup, quality,
-                           secrets, sharding, simhash, token_counts)
+                           runs, secrets, sharding, simhash, token_counts)
 
 
 def vocabulary_path() -> str:
@@ -90,10 +90,25 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(pages, weights).select("page_id", "url", "text", "n_chars")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document's words; one document in ten gets a loop first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    looped = docs.select("doc_id", runs.looped_text(F.col("doc_id"), F.col("text")).alias("text"))
+    found = runs.periodic_runs(looped)
+    best = runs.strongest(F.col("runs"))
+    return (found.select("doc_id", "runs", "collapsed", best.alias("best"))
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start",
+                    "best.length", "best.period",
+                    F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                    F.sha2(runs.runs_text(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_bpe_codec, op2_secret_scan, op3_line_dedup, op4_decontamination, op5_nearest,
-        op6_token_counts, op7_sharding, op8_quality, op9_simhash, op10_main_text)}
+        op6_token_counts, op7_sharding, op8_quality, op9_simhash, op10_main_text,
+        op13_periodic_runs)}
 
 # SQL for the operators that it can express.  Positions count code points.
 _STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -120,4 +135,5 @@ SELECT doc_id, count(*)::BIGINT AS n_lines,
 FROM m GROUP BY doc_id
 """,
     "op7_sharding": sharding.ORACLE,
+    "op13_periodic_runs": runs.ORACLE,
 }
