@@ -71,3 +71,10 @@ def ascii_lower(col: Column) -> Column:
 def words_of(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased, as UTF-8."""
     return (text or "").encode().lower().split()
+
+
+# SQL (DuckDB): CRC-32 of ASCII text, bit by bit (reflected polynomial 0xEDB88320).
+CRC32_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split({0}, ''), lambda c: ord(c)::BIGINT)), lambda crc, byte:
+    list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, step:
+      CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scenecast.llm import (ann, bpe_codec, decontamination, html_blocks, line_dedup, quality,
-                           runs, secrets, sharding, simhash, token_counts)
+from scenecast.llm import (ann, bpe_codec, decontamination, html_blocks, line_dedup, merkle,
+                           quality, runs, secrets, sharding, simhash, token_counts)
 
 
 def vocabulary_path() -> str:
@@ -90,6 +90,15 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(pages, weights).select("page_id", "url", "text", "n_chars")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document against the manifest's root, half of them for an altered text."""
+    manifest = merkle.manifest_of_documents(table(spark, sf_dir, "documents"))
+    return merkle.prove(manifest, claim="claim").select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", F.lit(manifest.root).alias("root"),
+        F.sha2(F.array_join("siblings", "").cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", "verified")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of every document's words; one document in ten gets a loop first."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -108,7 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_bpe_codec, op2_secret_scan, op3_line_dedup, op4_decontamination, op5_nearest,
         op6_token_counts, op7_sharding, op8_quality, op9_simhash, op10_main_text,
-        op13_periodic_runs)}
+        op11_merkle_manifest, op13_periodic_runs)}
 
 # SQL for the operators that it can express.  Positions count code points.
 _STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -135,5 +144,6 @@ SELECT doc_id, count(*)::BIGINT AS n_lines,
 FROM m GROUP BY doc_id
 """,
     "op7_sharding": sharding.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
     "op13_periodic_runs": runs.ORACLE,
 }

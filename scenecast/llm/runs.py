@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scenecast.llm.common import require
+from scenecast.llm.common import CRC32_SQL, require
 
 MIN_LENGTH = 24
 MIN_POWER = 3
@@ -218,12 +218,6 @@ def looped_text(doc_id: Column, text: Column) -> Column:
 
 # --- SQL of the query --------------------------------------------------------
 
-# CRC-32 of ASCII text, bit by bit (reflected polynomial 0xEDB88320).
-CRC32_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
-    list_transform(string_split({0}, ''), lambda c: ord(c)::BIGINT)), lambda crc, byte:
-    list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, step:
-      CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
-
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, {CRC32_SQL.format('doc_id::VARCHAR')} AS h,
