@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scenecast.llm import (ann, bpe_codec, decontamination, html_blocks, line_dedup, merkle,
-                           quality, runs, secrets, sharding, simhash, token_counts)
+                           quality, runs, secrets, sharding, simhash, token_counts, toxicity)
 
 
 def vocabulary_path() -> str:
@@ -99,6 +99,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root", "verified")
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of every document's words; one document in ten gets a loop first."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -117,7 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_bpe_codec, op2_secret_scan, op3_line_dedup, op4_decontamination, op5_nearest,
         op6_token_counts, op7_sharding, op8_quality, op9_simhash, op10_main_text,
-        op11_merkle_manifest, op13_periodic_runs)}
+        op11_merkle_manifest, op12_toxicity, op13_periodic_runs)}
 
 # SQL for the operators that it can express.  Positions count code points.
 _STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
