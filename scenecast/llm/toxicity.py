@@ -58,9 +58,10 @@ SECOND_PERSON = frozenset(
 # Digits and signs that stand for letters.
 LOOKALIKES = str.maketrans("0134578@$!|+", "oieastbasilt")
 
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_SIGN_BYTES, _CAPITALS = SIGNS.encode(), bytes(range(65, 91))
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _REPEAT = re.compile(r"(.)\1{2,}")
-_SIGNS = re.compile(r"[^\w\s]")
 _MARKS = re.compile(r"[!?]{2,}")
 
 FEATURES = ("words", "hits", "hit density", "distinct hits", "largest weight", "mean weight",
@@ -86,21 +87,29 @@ def entries(word: str) -> list[str]:
     return [word + "$"] + [word[:k] for k in STEMS if len(word) > k]
 
 
+def _weight(spelled: str, lexicon: dict[str, float]) -> tuple[float, bool]:
+    """Largest weight among a spelling's entries, and whether a stem has it; (0, False) if none."""
+    return max([(lexicon[e], not e.endswith("$")) for e in entries(spelled) if e in lexicon],
+               default=(0.0, False))
+
+
 def look_up(token: str, lexicon: dict[str, float]) -> Token:
     """A token's features; a token that is no entry is tried with its letters put back."""
-    core = _EDGE.sub("", token)
+    core = token.strip(SIGNS)
+    if not core.isalnum():
+        core = _EDGE.sub("", token)
     word = core.lower()
     out = Token(you=word in SECOND_PERSON, repeated=bool(_REPEAT.search(word)),
                 shouted=len(core) > 1 and core.isupper(),
-                broken=bool(_SIGNS.search(core)) or (not core.isalpha() and not core.isdigit()
-                                                     and any(c.isalpha() for c in core)))
-    for spelled in dict.fromkeys((word, _REPEAT.sub(r"\1", word),
-                                  re.sub(r"[\W_]", "", token.lower().translate(LOOKALIKES)))):
-        found = [(lexicon[e], not e.endswith("$")) for e in entries(spelled) if e in lexicon]
-        if found and spelled:
-            out.weight, out.stem = max(found)
-            out.hidden = spelled != word
-            break
+                broken=not core.isalpha() and not core.isdigit() and any(map(str.isalpha, core)))
+    out.weight, out.stem = _weight(word, lexicon) if word else (0.0, False)
+    if not out.weight and out.repeated:
+        out.weight, out.stem = _weight(_REPEAT.sub(r"\1", word), lexicon)
+        out.hidden = out.weight > 0
+    if not out.weight and out.broken:
+        spelled = re.sub(r"[\W_]", "", token.lower().translate(LOOKALIKES))
+        out.weight, out.stem = _weight(spelled, lexicon)
+        out.hidden = out.weight > 0
     return out
 
 
@@ -133,16 +142,17 @@ class Reader:
         for i, _, _ in hits:
             at = bisect_left(you, i)
             near += any(abs(i - j) <= NEAR for j in you[max(0, at - 1):at + 1])
-        n, chars = max(1, len(tokens)), max(1, len(text))
+        n, raw = max(1, len(tokens)), text.encode()
+        chars = max(1, len(raw))
         weights = [k.weight for _, _, k in hits]
         total = sum(weights)
         return [math.log1p(len(tokens)), len(hits), len(hits) / n,
                 len({t for _, t, _ in hits}), max(weights, default=0.0),
                 total / max(1, len(hits)), total, sum(k.stem for _, _, k in hits) / n,
                 sum(k.hidden for _, _, k in hits), near, len(you) / n,
-                sum(map(str.isupper, text)) / chars,
+                (len(raw) - len(raw.translate(None, _CAPITALS))) / chars,
                 sum(k.shouted for _, _, k in special) / n,
-                len(_SIGNS.findall(text)) / chars, len(_MARKS.findall(text)) / n,
+                (len(raw) - len(raw.translate(None, _SIGN_BYTES))) / chars, len(_MARKS.findall(text)) / n,
                 sum(k.repeated for _, _, k in special) / n,
                 sum(k.broken for _, _, k in special) / n]
 
