@@ -1026,11 +1026,8 @@ def q_linreg_one_feature(spark, sf_dir):
 def q_tree_stump(spark, sf_dir):
     """M4 at depth 1 on ``hour`` (24 values < 32 bins): the exhaustive best split."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.regression import DecisionTreeRegressor
     train, _ = h_frames(spark, sf_dir, extra=["hour"])
-    m = Pipeline(stages=[mdl.assembler(["hour"]), DecisionTreeRegressor(
-        featuresCol="features", labelCol="label", maxDepth=1, minInstancesPerNode=1)]
-    ).fit(train)
+    m = mdl.tree_pipeline(["hour"], maxDepth=1, minInstancesPerNode=1).fit(train)
     root = m.stages[-1]._java_obj.rootNode()
     t = float(root.split().threshold())
     sides = train.agg(F.count_if(F.col("hour") <= t).alias("n_left"),
@@ -1042,7 +1039,7 @@ def q_tree_stump(spark, sf_dir):
 
 def _fit_score(spark, sf_dir, names: list[str], boosted_rounds: int = 20):
     train, test = h_frames(spark, sf_dir)
-    specs = mdl.default_specs(_H9, boosted_rounds=boosted_rounds)
+    specs = mdl.default_specs(_H9, boosted_rounds=boosted_rounds, second_order=False)
     fitted = mdl.fit_models(train, {n: specs[n] for n in names})
     return fitted, test
 
@@ -1070,12 +1067,10 @@ def _stump_ctes(name: str, src: str, y: str) -> str:
       ORDER BY (ql - sl * sl / nl) + (qr - sr * sr / nr), t LIMIT 1)"""
 
 
-def _hour_scores(spark, sf_dir, name, learner):
-    """Fit one learner on ``hour`` and score it on the test window."""
-    from pyspark.ml import Pipeline
+def _hour_scores(spark, sf_dir, name, pipeline):
+    """Fit one of the library's pipelines on ``hour`` and score it on the test window."""
     train, test = h_frames(spark, sf_dir, extra=["hour"])
-    fitted = mdl.fit_models(train, {name: lambda: Pipeline(stages=[
-        mdl.assembler(["hour"]), learner])})
+    fitted = mdl.fit_models(train, {name: lambda: pipeline})
     return finish(ev.score(mdl.predict(fitted, test, ["timestamp"])))
 
 
@@ -1086,10 +1081,9 @@ def _hour_scores(spark, sf_dir, name, learner):
     SELECT model, {_SCORE_SQL} FROM scored GROUP BY model""")
 def q_forest_stump(spark, sf_dir):
     """M5 without bootstrap and feature sampling at depth 1: every tree is the best split."""
-    from pyspark.ml.regression import RandomForestRegressor
-    return _hour_scores(spark, sf_dir, "forest", RandomForestRegressor(
-        featuresCol="features", labelCol="label", numTrees=3, maxDepth=1, bootstrap=False,
-        featureSubsetStrategy="all", minInstancesPerNode=1, seed=mdl.SEED))
+    return _hour_scores(spark, sf_dir, "forest", mdl.forest_pipeline(
+        ["hour"], numTrees=3, maxDepth=1, bootstrap=False, featureSubsetStrategy="all",
+        subsamplingRate=1.0, minInstancesPerNode=1))
 
 
 @query("boosted_two_rounds", f"""
@@ -1103,10 +1097,9 @@ def q_forest_stump(spark, sf_dir):
     SELECT model, {_SCORE_SQL} FROM scored GROUP BY model""")
 def q_boosted_two_rounds(spark, sf_dir):
     """M6 at two rounds, depth 1, no sampling: a split of the label and one of the gradient."""
-    from pyspark.ml.regression import GBTRegressor
-    return _hour_scores(spark, sf_dir, "boosted", GBTRegressor(
-        featuresCol="features", labelCol="label", maxIter=2, stepSize=0.05, maxDepth=1,
-        subsamplingRate=1.0, minInstancesPerNode=1, seed=mdl.SEED))
+    return _hour_scores(spark, sf_dir, "boosted", mdl.boosted_pipeline(
+        ["hour"], maxIter=2, maxDepth=1, subsamplingRate=1.0, featureSubsetStrategy="all",
+        minInstancesPerNode=1))
 
 
 @query("linreg_two_coefficients", f"""
@@ -1330,6 +1323,71 @@ def q_linreg_by_series(spark, sf_dir):
     return finish(ev.score(mdl.predict(fitted, test, S_KEYS)))
 
 
+# ---------------------------------------------------------------- second-order boosting
+
+# Fixed candidate cuts, so that SQL tries the same splits.
+L2_EDGES = {"max_rr": [15000.0, 25000.0, 35000.0, 45000.0, 55000.0, 65000.0],
+            "mean_rr_lag1": [15000.0, 30000.0, 45000.0, 60000.0],
+            "frac_rainy": [0.2, 0.4, 0.6, 0.8]}
+L2_ROUNDS, L2_DEPTH, L2_ETA, L2_PENALTY = 2, 2, 0.3, 1.0
+
+
+def _boosted_l2_ctes() -> str:
+    """The rounds in SQL: per level all candidate splits of all nodes, the best, and the way down."""
+    feats = list(L2_EDGES)
+
+    def value(of: str) -> str:
+        return f"CASE {of}.f " + " ".join(f"WHEN {i} THEN r.{c}" for i, c in enumerate(feats)) + " END"
+    cuts = ", ".join(f"({i}, {e})" for i, c in enumerate(feats) for e in L2_EDGES[c])
+    out = f"""
+    cuts(f, cut) AS (VALUES {cuts}),
+    m0 AS (SELECT *, (SELECT avg(label) FROM {{rows}} WHERE train) AS margin FROM {{rows}})"""
+    for t in range(L2_ROUNDS):
+        out += f""",
+    n{t}_0 AS (SELECT *, 0 AS node FROM m{t})"""
+        for k in range(L2_DEPTH):
+            out += f""",
+    s{t}_{k} AS (
+      SELECT node, c.f, c.cut, sum(r.margin - r.label) AS g, count(*) AS h,
+             coalesce(sum(CASE WHEN {value('c')} < c.cut THEN r.margin - r.label END), 0) AS gl,
+             count(CASE WHEN {value('c')} < c.cut THEN 1 END) AS hl
+      FROM n{t}_{k} r JOIN cuts c ON r.train GROUP BY node, c.f, c.cut),
+    b{t}_{k} AS (
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY
+          gl * gl / (hl + {L2_PENALTY}) + (g - gl) * (g - gl) / (h - hl + {L2_PENALTY}) DESC, f, cut)
+        AS rank FROM s{t}_{k} WHERE hl > 0 AND hl < h) WHERE rank = 1),
+    n{t}_{k + 1} AS (
+      SELECT r.* EXCLUDE (node), r.node * 2 + CASE WHEN {value('b')} < b.cut THEN 1 ELSE 2 END
+             AS node, CASE WHEN {value('b')} < b.cut THEN -b.gl / (b.hl + {L2_PENALTY})
+                           ELSE -(b.g - b.gl) / (b.h - b.hl + {L2_PENALTY}) END AS leaf{k}
+      FROM n{t}_{k} r JOIN b{t}_{k} b USING (node))"""
+        drop = ", ".join(["node", "margin"] + [f"leaf{k}" for k in range(L2_DEPTH)])
+        out += f""",
+    m{t + 1} AS (SELECT * EXCLUDE ({drop}), margin + {L2_ETA} * leaf{L2_DEPTH - 1} AS margin
+                 FROM n{t}_{L2_DEPTH})"""
+    return out.format(rows="frame")
+
+
+@query("boosted_l2", f"""
+    WITH {S_PREPARED_CTE.strip()},
+    frame AS (
+      SELECT l_suppkey, timestamp, mean_rr AS label, max_rr, mean_rr_lag1, frac_rainy,
+             year = {D_TRAIN_YEAR} AS train
+      FROM p WHERE year IN ({D_TRAIN_YEAR}, 2001) AND {_COMPLETE_SQL}),
+    {_boosted_l2_ctes().strip()},
+    scored AS (SELECT 'boosted_trees' AS model, label, margin AS prediction
+               FROM m{L2_ROUNDS} WHERE NOT train)
+    SELECT model, {_SCORE_SQL} FROM scored GROUP BY model""")
+def q_boosted_l2(spark, sf_dir):
+    """M6: second-order boosting with an L2 penalty on the rows of all suppliers (fixed cuts)."""
+    train, test = s_frames(spark, sf_dir)
+    feats = list(L2_EDGES)
+    fitted = mdl.fit_models(train, {"boosted_trees": lambda: mdl.boosted_l2_pipeline(
+        feats, rounds=L2_ROUNDS, depth=L2_DEPTH, eta=L2_ETA, l2=L2_PENALTY, subsample=1.0,
+        colsample=1.0, edges=[L2_EDGES[c] for c in feats])})
+    return finish(ev.score(mdl.predict(fitted, test, S_KEYS)))
+
+
 # ================================================================ the four jobs, end to end
 
 @query("job_choose_files", f"""
