@@ -14,16 +14,16 @@ from quantiles.
   written to the shared checkpoint folder, so a lost executor costs at most the trees since.
 
 The leaf sums of a tree are those of its last level's best splits: no extra job.  Fitted
-models are pipeline stages that save and load like the others; scoring reads the trees in an
-Arrow UDF (600 trees of depth 6 are too large for an expression).
+models are pipeline stages that save and load like the others; scoring walks the trees, one
+constant, with array functions inside the row.
 """
 
 from __future__ import annotations
 
+import json
 import random
 
 import numpy as np
-import pyarrow as pa
 from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import Bucketizer
@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from scenecast.session import materialize
 
 ROWS_PER_PARTITION = 250_000
+LARGEST = 1.7976931348623157e308
 
 
 def _param(name: str, doc: str, convert) -> Param:
@@ -232,25 +233,20 @@ class SecondOrderBoostedModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionC
     def _transform(self, dataset: DataFrame) -> DataFrame:
         depth, n = self.getOrDefault(self.depth), self.numTrees
         inner = 2 ** depth - 1
-        features = np.array(self.getOrDefault(self.splits), dtype=np.int64).reshape(n, inner)
-        cuts = np.array(self.getOrDefault(self.cuts)).reshape(n, inner)
-        leaves = self.getOrDefault(self.eta) * np.array(self.getOrDefault(self.leaves)).reshape(n, inner + 1)
-        base = self.getOrDefault(self.base)
-
-        @F.arrow_udf("double")
-        def score(vectors: pa.Array) -> pa.Array:
-            out = np.full(len(vectors), base)
-            held = np.asarray(vectors.is_valid())
-            if held.any():
-                valid = vectors.filter(pa.array(held))
-                x = valid.flatten().to_numpy(zero_copy_only=False).reshape(len(valid), -1)
-                row, total = np.arange(len(x)), np.zeros(len(x))
-                for f, c, v in zip(features, cuts, leaves):
-                    node = np.zeros(len(x), dtype=np.int64)
-                    for _ in range(depth):
-                        node = 2 * node + 2 - (x[row, f[node]] < c[node])
-                    total += v[node - (2 ** depth - 1)]
-                out[held] += total
-            return pa.array(out, mask=~held)
-        return dataset.withColumn(self.getPredictionCol(),
-                                  score(vector_to_array(self.getFeaturesCol())))
+        lists = [np.array(self.getOrDefault(p)).reshape(n, -1 if n else size).tolist()
+                 for p, size in ((self.splits, inner), (self.cuts, inner), (self.leaves, inner + 1))]
+        # all trees as one constant; a cut of infinity sends every value left
+        trees = F.from_json(F.lit(json.dumps([
+            {"f": f, "c": [min(v, LARGEST) for v in c], "v": v} for f, c, v in zip(*lists)])),
+            "array<struct<f:array<int>,c:array<double>,v:array<double>>>")
+        x, levels = F.col("__x"), F.array(*[F.lit(i) for i in range(depth)])
+
+        def leaf(tree: Column) -> Column:
+            node = F.aggregate(levels, F.lit(0), lambda at, _: 2 * at + F.when(
+                F.get(x, F.get(tree["f"], at)) < F.get(tree["c"], at), 1).otherwise(2))
+            return F.get(tree["v"], node - inner)
+
+        total = F.aggregate(trees, F.lit(0.0), lambda acc, tree: acc + leaf(tree))
+        score = F.lit(self.getOrDefault(self.base)) + self.getOrDefault(self.eta) * total
+        return (dataset.withColumn("__x", vector_to_array(self.getFeaturesCol()))
+                .withColumn(self.getPredictionCol(), score).drop("__x"))

@@ -9,15 +9,18 @@ small time buckets:
    ``(partition, bucket)`` - many small window partitions;
 2. per bucket keep only its last ``k`` rows (a filter, at most k rows each)
    and aggregate them to one small ``tail`` array;
-3. over the *bucket table* (one row per bucket) collect the tails of the
-   k previous non-empty buckets - enough to hold the last k rows before
-   the bucket even when buckets hold fewer than k rows;
+3. hand every bucket the last k rows before it by a scan of logarithmic depth: buckets
+   are gathered into groups, groups into larger ones, each with its own last k rows; on the
+   way down a bucket's carry is what its group was handed plus the tails of its group's
+   earlier buckets.  A window holds the buckets of one group (at most ``FANOUT`` balanced
+   ones, or those of a year), never all of them;
 4. join that carry-in back on ``(partition, bucket)`` and read lag j of the
    row with in-bucket number ``rn <= j`` from the carry.
 
-The bucket table has one row per bucket, so what moves in steps 2-4 grows
-with the time span, not with the number of rows; the join is a plain join
-that adaptive execution may turn into a broadcast after measuring it.
+The joins are plain joins that adaptive execution may turn into broadcasts after
+measuring a side.  Balanced buckets grow with the rows, which is what the scan is for; time
+buckets grow with the time span.  Where a partition column splits the time buckets already
+(years, series), one window per partition holds them.
 """
 
 from __future__ import annotations
@@ -47,7 +50,8 @@ def add_lags_window(df: DataFrame, value_cols: list[str], n_lags: int,
 
 def add_lags_two_level(df: DataFrame, value_cols: list[str], n_lags: int,
                        partition_by: list[str], order_by: list[str], bucket: Column,
-                       suffix: str = "_lag{k}", materialize: bool = False) -> DataFrame:
+                       suffix: str = "_lag{k}", materialize: bool = False,
+                       coarser: list[Column] | None = None) -> DataFrame:
     """W1 in two levels; equal to :func:`add_lags_window`.
 
     ``bucket`` must be non-decreasing in ``order_by`` (e.g. ``date_trunc`` of
@@ -57,6 +61,8 @@ def add_lags_two_level(df: DataFrame, value_cols: list[str], n_lags: int,
     to the shared checkpoint folder, so an expensive upstream (e.g. the
     per-scene aggregate over all pixels) runs once; without it each branch
     re-reads its (column-pruned) input, which is cheaper for a plain scan.
+    ``coarser``: ever larger groups of buckets, as non-decreasing functions of the column
+    ``__bucket``; the last one has a single group per partition (see :func:`_carry_in`).
     """
     k = n_lags
     b = "__bucket"
@@ -78,12 +84,12 @@ def add_lags_two_level(df: DataFrame, value_cols: list[str], n_lags: int,
     tails = (staged.filter(F.col("__rn") > F.col("__n") - k)
              .groupBy(*_cols(keys))
              .agg(F.array_sort(F.collect_list(tail_struct)).alias("__tail")))
-    # carry-in: tails of the k previous non-empty buckets, in order
-    w_b = (Window.partitionBy(*_cols(partition_by)).orderBy(F.col(b))
-           .rowsBetween(-k, -1))
-    prev = F.collect_list(F.struct(F.col(b).alias("b"), F.col("__tail").alias("t"))).over(w_b)
-    carry = tails.select(*[F.col(k).alias(f"__c_{k}") for k in keys], F.flatten(F.transform(
-        F.array_sort(prev), lambda x: x["t"])).alias("__prev"))
+    if coarser is None:
+        # an unpartitioned series of times: the buckets of a year, and the years
+        times = tails.schema[b].dataType.typeName().startswith(("timestamp", "date"))
+        coarser = [F.date_trunc("year", F.col(b)), F.lit(0)] if times and not partition_by else []
+    carry = _carry_in(tails, list(partition_by), b, coarser, k).select(
+        *[F.col(k).alias(f"__c_{k}") for k in keys], "__prev")
 
     # null-safe keys: a null partition value or time forms its own bucket,
     # ordered first, exactly as the plain window orders nulls
@@ -101,7 +107,48 @@ def add_lags_two_level(df: DataFrame, value_cols: list[str], n_lags: int,
     return joined.withColumns(out).drop(*drop)
 
 
-# Balanced buckets: about so many rows each.
+def _last(rows: Column, k: int) -> Column:
+    """The last k elements."""
+    return F.slice(rows, F.greatest(F.size(rows) - k + 1, F.lit(1)), F.lit(k))
+
+
+def _carry_in(tails: DataFrame, partition_by: list[str], b: str, coarser: list[Column], k: int
+              ) -> DataFrame:
+    """(partition, bucket, ``__prev``): the last k rows before every bucket, ascending.
+
+    ``tails`` holds a bucket's own last k rows.  Without ``coarser`` groups one window per partition
+    reads the k buckets before; else one window per group, and the group's own carry comes
+    from the same step over groups.
+    """
+    def before(*keys: str) -> Column:
+        w = Window.partitionBy(*_cols(keys)).orderBy(F.col(b)).rowsBetween(-k, -1)
+        tail = F.collect_list(F.struct(F.col(b).alias("b"), F.col("__tail").alias("t"))).over(w)
+        return F.flatten(F.transform(F.array_sort(tail), lambda x: x["t"]))
+
+    keep = [*partition_by, b]
+    if not coarser:
+        return tails.select(*keep, before(*partition_by).alias("__prev"))
+    g = b + "_up"
+    grouped = tails.withColumn(g, coarser[0])
+    if len(coarser) > 2:
+        grouped = checkpoint_table(grouped)       # one row a bucket, read by every step above
+    inside = grouped.select(*keep, g, before(*partition_by, g).alias("__in"))
+    if len(coarser) == 1:
+        return inside.select(*keep, F.col("__in").alias("__prev"))
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(b).alias("b"), F.col("__tail").alias("t"))))
+    above = (grouped.groupBy(*partition_by, g)
+             .agg(_last(F.flatten(F.transform(ordered, lambda x: x["t"])), k).alias("__tail")))
+    rename = {c: f"__u_{c}" for c in [*partition_by, g]}
+    up = _carry_in(above.withColumnRenamed(g, b), partition_by, b, coarser[1:], k
+                   ).withColumnRenamed(b, g).withColumnsRenamed(
+                       {**rename, "__prev": "__from_above"})
+    cond = [inside[c].eqNullSafe(up[n]) for c, n in rename.items()]
+    return inside.join(up, cond, "left").select(*keep, _last(F.concat(
+        F.coalesce("__from_above", F.slice("__in", 1, 0)), F.col("__in")), k).alias("__prev"))
+
+
+# Balanced buckets: about so many rows each, and so many buckets to a group.
+FANOUT = 64
 ROWS_PER_BUCKET = 1_000_000
 
 
@@ -113,6 +160,7 @@ def balanced_buckets(df: DataFrame, order_by: list[str] | str,
     The rows are range-partitioned by the whole ordering, tie-break included, and a
     row's bucket is its range, so rows of one instant are split as well.  The
     result is written once: the ranges come from a sample and must not be drawn twice.
+    :func:`balanced_groups` gives the groups of buckets for the carry.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     n = max(1, -(-df.count() // rows_per_bucket))
@@ -120,11 +168,25 @@ def balanced_buckets(df: DataFrame, order_by: list[str] | str,
     return checkpoint_table(ranged.withColumn(out, F.spark_partition_id()))
 
 
+def balanced_groups(staged: DataFrame, fanout: int = FANOUT, bucket: str = "__bucket"
+                    ) -> list[Column]:
+    """Groups of ``fanout`` balanced buckets, of groups, and so on up to a single one.
+
+    The number of buckets is that of the written table's partitions.
+    """
+    n, groups, width = staged.rdd.getNumPartitions(), [], 1
+    while not groups or n > width:
+        width *= fanout
+        groups.append(F.floor(F.col(bucket) / width))
+    return groups
+
+
 def add_lags(df: DataFrame, value_cols: list[str] | str = "mean_rr", n_lags: int = 3,
              partition_by: list[str] | None = None,
              order_by: list[str] | None = None,
              bucket: Column | str | None = None, materialize: bool = False,
-             rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+             rows_per_bucket: int = ROWS_PER_BUCKET,
+             coarser: list[Column] | None = None) -> DataFrame:
     """Row lags 1..n of each value column per partition, ordered.
 
     Defaults follow the reference: lags of ``mean_rr`` per ``year`` ordered by
@@ -140,19 +202,21 @@ def add_lags(df: DataFrame, value_cols: list[str] | str = "mean_rr", n_lags: int
     if bucket is None:
         return add_lags_window(df, cols, n_lags, partition_by, order_by)
     if isinstance(bucket, str) and bucket == "balanced":
-        out = add_lags_two_level(balanced_buckets(df, order_by, rows_per_bucket), cols, n_lags,
-                                 partition_by, order_by, F.col("__tbucket"),
-                                 materialize=materialize)
+        staged = balanced_buckets(df, order_by, rows_per_bucket)
+        out = add_lags_two_level(staged, cols, n_lags, partition_by, order_by,
+                                 F.col("__tbucket"), materialize=materialize,
+                                 coarser=balanced_groups(staged))
         return out.drop("__tbucket")
     return add_lags_two_level(df, cols, n_lags, partition_by, order_by, bucket,
-                              materialize=materialize)
+                              materialize=materialize, coarser=coarser)
 
 
 def add_time_delta(df: DataFrame, ts: str = "timestamp", out: str = "delta_minutes",
                    partition_by: list[str] | None = None,
                    order_by: list[str] | None = None,
                    bucket: Column | str | None = None, materialize: bool = False,
-                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                   rows_per_bucket: int = ROWS_PER_BUCKET,
+                   coarser: list[Column] | None = None) -> DataFrame:
     """Minutes since the previous row (first row 0), stored as float.
 
     Default is the whole table as one series, as the reference does; with
@@ -165,12 +229,13 @@ def add_time_delta(df: DataFrame, ts: str = "timestamp", out: str = "delta_minut
     staged = df.withColumn(tmp, epoch_micros(F.col(ts)))
     if isinstance(bucket, str) and bucket == "balanced":
         staged = balanced_buckets(staged, order_by, rows_per_bucket)
-        bucket = F.col("__tbucket")
+        bucket, coarser = F.col("__tbucket"), balanced_groups(staged)
     if bucket is None:
         lagged = add_lags_window(staged, [tmp], 1, partition_by, order_by, suffix="__prev")
     else:
         lagged = add_lags_two_level(staged, [tmp], 1, partition_by, order_by, bucket,
-                                    suffix="__prev", materialize=materialize)
+                                    suffix="__prev", materialize=materialize,
+                                    coarser=coarser)
     gap = (F.col(tmp) - F.col(tmp + "__prev")) / F.lit(60_000_000.0)
     out_df = lagged.withColumn(out, F.coalesce(gap, F.lit(0.0)).cast("float"))
     return out_df.drop(tmp, tmp + "__prev", "__tbucket")

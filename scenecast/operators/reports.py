@@ -34,13 +34,22 @@ def with_errors(pred: DataFrame, label: str = "label",
     return pred.withColumns({"error": err, "abs_error": F.abs(err)})
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"
+                    ) -> DataFrame:
+    """Equi-join on ``keys`` in which null equals null; the left side's keys stay."""
+    names = {k: f"__r_{k}" for k in keys}
+    right = right.withColumnsRenamed(names)
+    return left.join(right, [left[k].eqNullSafe(right[n]) for k, n in names.items()],
+                     how).drop(*names.values())
+
+
 def histogram(df: DataFrame, col: str, bins: int, group_cols: list[str] | None = None
               ) -> DataFrame:
     """Equal-width histogram over [min, max], last bin closed.
 
     Empty bins are kept (count 0).  When min = max the range is widened by
     0.5 each side, as NumPy does.  Two passes: one tiny aggregate for the
-    range, one ``groupBy(bin)`` with map-side combine; the bin index is
+    range, one ``groupBy(bin)`` with map-side combine (grouped ranges are joined to the rows); the bin index is
     ``least(floor((x - lo) / (hi - lo) * bins) + 1, bins)``.
     """
     group_cols = group_cols or []
@@ -57,12 +66,8 @@ def histogram(df: DataFrame, col: str, bins: int, group_cols: list[str] | None =
                           * F.lit(float(bins))) + 1, F.lit(bins)).cast("long")
     seq = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(bins).cast("long"))).alias("bin")
     if group_cols:
-        # one range per group, handed to the rows as a map: no shuffle of the rows on the group
-        key = F.struct(*group_cols)
-        ranges = rng.agg(F.map_from_entries(F.collect_list(F.struct(
-            F.to_json(key).alias("k"), F.struct("lo", "hi").alias("b")))).alias("m")).scalar()
-        found = F.element_at(ranges, F.to_json(key))
-        with_rng = vals.withColumns({"lo": found["lo"], "hi": found["hi"]})
+        # one range a group: a plain join that adaptive execution broadcasts or splits
+        with_rng = _join_null_safe(vals, rng, group_cols)
         all_bins = rng.select(*group_cols, "lo", "hi", seq)
     else:
         # one global range: a scalar subquery evaluated once, no join at all;
@@ -74,7 +79,7 @@ def histogram(df: DataFrame, col: str, bins: int, group_cols: list[str] | None =
     counts = with_rng.groupBy(*group_cols, idx.alias("bin")).agg(
         F.count(F.lit(1)).alias("count"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    return (all_bins.join(counts, group_cols + ["bin"], "left")
+    return (_join_null_safe(all_bins, counts, group_cols + ["bin"], "left")
             .select(*group_cols, "bin",
                     (F.col("lo") + (F.col("bin") - 1) * width).alias("bin_lo"),
                     (F.col("lo") + F.col("bin") * width).alias("bin_hi"),

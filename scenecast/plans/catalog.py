@@ -339,11 +339,11 @@ def q_lag_balanced(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
     # both steps share the bucket column
     staged = lags.balanced_buckets(e, ["ts", "event_id"], BALANCED_ROWS)
-    bucket = F.col("__tbucket")
+    bucket, coarser = F.col("__tbucket"), lags.balanced_groups(staged)
     out = lags.add_lags(staged, "value", 3, partition_by=["event_type"],
-                        order_by=["ts", "event_id"], bucket=bucket)
+                        order_by=["ts", "event_id"], bucket=bucket, coarser=coarser)
     out = lags.add_time_delta(out, "ts", "delta_minutes", partition_by=[],
-                              order_by=["ts", "event_id"], bucket=bucket)
+                              order_by=["ts", "event_id"], bucket=bucket, coarser=coarser)
     return finish(out.select("event_id", "event_type", "ts", "value_lag1", "value_lag2",
                              "value_lag3", "delta_minutes"))
 

@@ -48,6 +48,37 @@ def test_two_level_materialized(spark):
     assert key(a) == key(b)
 
 
+@pytest.mark.parametrize("rows_per_bucket", [1, 7, 10_000])
+def test_balanced_carry_in_groups_of_groups(spark, rows_per_bucket, monkeypatch):
+    """Any number of buckets to a group gives the plain window, also over empty groups."""
+    monkeypatch.setattr(lags, "FANOUT", 3)
+    rnd = random.Random(5)
+    times = [T(2021, 1, 1) + dt.timedelta(minutes=rnd.randrange(5_000)) for _ in range(90)]
+    df = _series(spark, times).withColumn("grp", F.when(F.col("v") < 80, F.lit("hot")))
+    for part in (["grp"], []):
+        a = lags.add_lags(df, "v", 3, partition_by=part, order_by=["ts", "file"])
+        staged = lags.balanced_buckets(df, ["ts", "file"], rows_per_bucket)
+        groups = lags.balanced_groups(staged, 3)
+        assert len(groups) == {1: 5, 7: 3, 10_000: 1}[rows_per_bucket]
+        b = lags.add_lags(staged, "v", 3, partition_by=part, order_by=["ts", "file"],
+                          bucket=F.col("__tbucket"), coarser=groups)
+        rows = [sorted((r["file"], r["v_lag1"], r["v_lag2"], r["v_lag3"]) for r in d.collect())
+                for d in (a, b)]
+        assert [str(r) for r in rows[0]] == [str(r) for r in rows[1]]
+
+
+def test_no_window_holds_all_buckets(spark):
+    times = [T(2020, 1, 1) + dt.timedelta(hours=i) for i in range(60)]
+    df = _series(spark, times)
+    staged = lags.balanced_buckets(df, ["ts", "file"], 10)
+    for out in (lags.add_lags(staged, "v", 3, partition_by=[], order_by=["ts", "file"],
+                              bucket=F.col("__tbucket"), coarser=lags.balanced_groups(staged)),
+                lags.add_time_delta(df, "ts", bucket=F.date_trunc("hour", "ts"))):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        windows = [line for line in plan.split("\n") if "Window [" in line]
+        assert windows and all("__bucket" in w.split("], [")[1] for w in windows)
+
+
 def test_lags_restart_each_year(spark):
     times = [T(2020, 12, 31, 21), T(2020, 12, 31, 22), T(2020, 12, 31, 23),
              T(2021, 1, 1, 0), T(2021, 1, 1, 1), T(2021, 1, 1, 2), T(2021, 1, 1, 3)]
