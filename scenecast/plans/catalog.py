@@ -1476,3 +1476,158 @@ def q_job_train_backtest(spark, sf_dir):
     trained = run.counts.filter("split = 'train'").select("rows_complete").scalar()
     return finish(spark.read.parquet(f"{base}/comparison").join(written, "model")
                   .withColumn("train_rows", trained))
+
+
+# ================================================================ loads, runs, tiles, fits per series
+
+@query("feature_store_loads", f"""
+    WITH {S_PREPARED_CTE.strip()}
+    SELECT l_suppkey, {FEATURE_OUT_SQL}, {r('mean_rr_lag1')}, {r('mean_rr_lag2')},
+           {r('mean_rr_lag3')}
+    FROM p""")
+def q_feature_store_loads(spark, sf_dir):
+    """S6 + W1 + W2: a first load, a late month and a newer stretch give the table of one load."""
+    from scenecast.sources import feature_store as fs
+    stats = materialize(series.series_stats(
+        table(spark, sf_dir, "lineitem"), "l_shipdate", "l_extendedprice", "day", "D",
+        series.D_THRESHOLD, ["l_suppkey"]).filter("n_valid > 0").drop("n_valid"))
+    t = F.col("timestamp")
+    late = F.date_trunc("month", t) == F.lit("1998-03-01").cast("timestamp_ntz")
+    newer = t >= F.lit("2001-06-10").cast("timestamp_ntz")
+    path = shared_dir(spark, "feature-store")
+    for part in (stats.filter(~late & ~newer), stats.filter(late), stats.filter(newer)):
+        fs.load_features(spark, path, part, ["l_suppkey"])
+    out = fs.read_store(spark, path, [stats.schema["l_suppkey"]])
+    return finish(out.select("l_suppkey", *ds.FEATURE_TABLE_COLS, *fs.lag_names()))
+
+
+@query("run_history", f"""
+    WITH {_H_FRAMES_SQL.strip()},
+    parts AS (SELECT model, CASE WHEN timestamp < TIMESTAMP '2024-01-28' THEN '20240128_000000'
+                             ELSE '20240201_000000' END AS run_id, label, prediction FROM pred),
+    sc AS (SELECT model, run_id, {_SCORE_SQL} FROM parts GROUP BY model, run_id),
+    h AS (SELECT model, run_id, rmse, r2, lag(rmse) OVER w AS before FROM sc
+          WINDOW w AS (PARTITION BY model ORDER BY run_id))
+    SELECT model, run_id, rmse, r2, round(rmse - before, 5) AS rmse_change,
+           coalesce(rmse < before, true) AS best,
+           run_id = (SELECT max(run_id) FROM h) AS latest
+    FROM h""")
+def q_run_history(spark, sf_dir):
+    """S10, S11 + T6 on the runs table: two runs appended, their scores compared, the latest found."""
+    from scenecast.sources import runs, store
+    pred = materialize(h_persistence(spark, sf_dir))
+    root, cut = shared_dir(spark, "run-table"), F.lit("2024-01-28").cast("timestamp_ntz")
+    for run_id, part in (("20240201_000000", pred.filter(F.col("timestamp") >= cut)),
+                         ("20240128_000000", pred.filter(F.col("timestamp") < cut))):
+        runs.append_run(store.run_record(run_id, H_TRAIN_YEAR, *H_TEST, ["mean_rr_lag1"],
+                                         ev.score(part)), root)
+    table_ = runs.read_runs(spark, root)
+    latest = runs.latest_run(table_).select("run_id").scalar()
+    out = finish(runs.score_history(table_))
+    return out.withColumns({"rmse_change": round_decimal(F.col("rmse_change"), 5),
+                            "latest": F.col("run_id") == latest})
+
+
+@query("scene_stats_tiles", f"WITH {_G_CELLS_SQL.strip()} {_G_STATS_OUT}")
+def q_scene_stats_tiles(spark, sf_dir):
+    """S5, P9, A5 on tiled scenes: tiles outside the crop are not read, states are merged."""
+    from scenecast.operators import tiles
+    path = tiles.write_tiles(tiles.tiles_from_arrays(g_scenes(spark, sf_dir), 2),
+                             shared_dir(spark, "tiles"))
+    return finish(tiles.scene_stats_tiles(tiles.read_tiles(spark, path), G_WINDOW))
+
+
+@query("linreg_per_series", f"""
+    WITH {_S_FRAMES_SQL.replace('max_rr, mean_rr_lag1', 'mean_rr_lag1, mean_rr_lag2').strip()},
+    moments AS (
+      SELECT l_suppkey, count(*) AS n, var_pop(mean_rr_lag1) AS a, var_pop(mean_rr_lag2) AS b,
+             covar_pop(mean_rr_lag1, mean_rr_lag2) AS c, covar_pop(mean_rr_lag1, label) AS p,
+             covar_pop(mean_rr_lag2, label) AS q, avg(label) AS y, avg(mean_rr_lag1) AS m1,
+             avg(mean_rr_lag2) AS m2 FROM train GROUP BY l_suppkey),
+    fits AS (SELECT l_suppkey, n, y, m1, m2, (p * b - q * c) / (a * b - c * c) AS b1,
+                    (q * a - p * c) / (a * b - c * c) AS b2 FROM moments),
+    scored AS (
+      SELECT 'linear_regression' AS model, l_suppkey, label,
+             y + b1 * (mean_rr_lag1 - m1) + b2 * (mean_rr_lag2 - m2) AS prediction
+      FROM test JOIN fits USING (l_suppkey)),
+    sc AS (SELECT model, l_suppkey, {_SCORE_SQL} FROM scored GROUP BY model, l_suppkey)
+    SELECT l_suppkey, fits.n AS train_rows, round(round(y - b1 * m1 - b2 * m2, 6), 4) AS intercept,
+           round(b1, 6) AS coef_mean_rr_lag1, round(b2, 6) AS coef_mean_rr_lag2,
+           sc.n AS test_rows, rmse, r2
+    FROM fits LEFT JOIN sc USING (l_suppkey)""")
+def q_linreg_per_series(spark, sf_dir):
+    """M3 + M7: one least-squares fit per supplier, all from one aggregate, scored per supplier."""
+    from scenecast.operators import series_fit as sfit
+    feats, keys = ["mean_rr_lag1", "mean_rr_lag2"], ["l_suppkey"]
+    train, test = s_frames(spark, sf_dir)
+    fits = sfit.fit_per_series(train, feats, keys)
+    scores = ev.score(sfit.predict_per_series(test, fits, feats, keys), ["model", *keys])
+    out = finish(fits.withColumnRenamed("n", "train_rows").join(
+        scores.drop("model").withColumnRenamed("n", "test_rows"), keys, "left"))
+    return out.withColumn("intercept", round_decimal(F.col("intercept"), 4))
+
+
+# ================================================================ stateful streams
+
+@query("stream_lags", """
+    WITH s AS (
+      SELECT event_type, date_trunc('hour', ts) AS timestamp,
+             avg(CASE WHEN NOT isnan(value) AND value >= 0 THEN value END) AS mean_rr
+      FROM events GROUP BY ALL)
+    SELECT event_type, timestamp, round(mean_rr, 6) AS mean_rr,
+           CAST(coalesce((epoch_ms(timestamp) - epoch_ms(lag(timestamp) OVER g)) / 60000.0, 0)
+                AS FLOAT) AS delta_minutes,
+           round(lag(mean_rr, 1) OVER w, 6) AS mean_rr_lag1,
+           round(lag(mean_rr, 2) OVER w, 6) AS mean_rr_lag2,
+           round(lag(mean_rr, 3) OVER w, 6) AS mean_rr_lag3
+    FROM s WINDOW g AS (PARTITION BY event_type ORDER BY timestamp),
+      w AS (PARTITION BY event_type, year(timestamp) ORDER BY timestamp)""")
+def q_stream_lags(spark, sf_dir):
+    """X2 + W1 + W2: hourly rows per event type arrive in three parts; the stream is restarted
+    for each and carries every series' last rows over."""
+    from scenecast.streaming import stateful
+    rows = materialize(series.series_stats(
+        table(spark, sf_dir, "events"), "ts", "value", "hour", "H", series.H_THRESHOLD,
+        ["event_type"]).select("event_type", "file", "timestamp",
+                               F.year("timestamp").alias("year"), "mean_rr"))
+    src, sink, state, ck = (shared_dir(spark, n) for n in ("lag-rows", "lag-sink", "lag-state",
+                                                           "lag-ckpt"))
+    t = F.col("timestamp")
+    first, second = (F.lit(d).cast("timestamp_ntz") for d in ("2024-01-10", "2024-01-20 13:00:00"))
+    for part in (t < first, (t >= first) & (t < second), t >= second):
+        rows.filter(part).write.mode("append").parquet(src)
+        stateful.lag_stream(spark, src, rows.schema, sink, state, ck,
+                            ["event_type"]).awaitTermination()
+    out = spark.read.parquet(sink)
+    return finish(out.select("event_type", "timestamp", "mean_rr", "delta_minutes",
+                             "mean_rr_lag1", "mean_rr_lag2", "mean_rr_lag3"))
+
+
+@query("stream_long_scenes", f"WITH {_G_CELLS_SQL.strip()} {_G_STATS_OUT}")
+def q_stream_long_scenes(spark, sf_dir):
+    """X1 + A5: pixels of a scene arrive in two files, four bands of scenes one after the other;
+    a scene is emitted once the watermark has passed it."""
+    from scenecast.streaming import stateful
+    g = table(spark, sf_dir, "embeddings")
+    low, high = g.agg(F.min("vec_id"), F.max("vec_id")).first()
+    width = (high - low) // 4 + 1
+    pixels = sc.long_from_arrays(series.grid_scenes(g))
+    vec = F.col("scene_id").cast("long")
+    # a scene's even cells come with its band, the odd ones with the next band
+    part = F.floor((vec - low) / width) + F.pmod(F.col("y") + F.col("x"), F.lit(2))
+    timed = materialize(pixels.withColumn("timestamp", series.grid_time(vec))
+                        .withColumn("part", part.cast("int")))
+    # a last scene far ahead moves the watermark past all others and stays open
+    end = (spark.range(1).select(F.lit("end").alias("scene_id"), F.lit(5).alias("part"), F.lit(
+        "2999-01-01 00:00:00").cast("timestamp_ntz").alias("timestamp"),
+        *[F.lit(v).alias(c) for c, v in (("y", 4), ("x", 4), ("ny", 8), ("nx", 8))]))
+    arriving = timed.unionByName(end, allowMissingColumns=True)
+    src, sink, ck = (shared_dir(spark, n) for n in ("pixel-files", "scene-sink", "pixel-ckpt"))
+    for i in range(6):
+        arriving.filter(F.col("part") == i).drop("part").write.mode("append").parquet(src)
+        stateful.ingest_long_scenes(
+            spark, src, arriving.drop("part").schema, sink, ck, G_WINDOW,
+            delay=f"{2 * width * series.G_STEP_MINUTES} minutes").awaitTermination()
+    out = stateful.finished_scenes(spark.read.parquet(sink))
+    return finish(out.select("scene_id", "file", "timestamp", "n_pixels", "n_valid", "n_finite",
+                             "mean_rr", "max_rr", "std_rr", "frac_rainy", "reject_reason"))
