@@ -154,9 +154,14 @@ def _best_in_block(k: int):
 
 
 def exact_cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine of row pairs in double precision, by the same sums for equal vectors."""
+    """Cosine of row pairs in double precision, by the same sums for equal vectors.
+
+    Rows are scaled by a power of two first (no rounding), so that no product overflows or
+    vanishes.
+    """
     if not len(a):
         return np.zeros(0)
+    a, b = (np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None]) for x in (a, b))
     dot = (a * b).sum(axis=1)
     return dot / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
