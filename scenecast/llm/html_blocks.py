@@ -14,6 +14,10 @@ the sample lacks, each training page is also shown with such parts put in at ran
 places, filled with words of other pages, and with other wrappers around the article.  Weights
 go to the tasks; extraction is a column expression without shuffle, some pages at a time.
 
+What names a page part: an element's name, or a class, id or role word of the block's
+containers.  The words of body and html never do, and those of the article and its wrappers
+only as marks of one word ("sidebar", not "has-sidebar" or "header-fixed").
+
 Scripts, styles, comments and other raw elements never become blocks, nor does what
 a reader is not shown of an element in ``UNSEEN``: it goes up to the element's own end
 tag (nested ones counted).  Without that tag the element ends with its parent and its
@@ -69,7 +73,7 @@ BREAKS_OUT = {"article", "aside", "b", "big", "blockquote", "body", "br", "cente
               "nav", "nobr", "ol", "p", "pre", "ruby", "s", "section", "small", "span", "strike",
               "strong", "sub", "sup", "table", "tt", "u", "ul", "var"}
 # Page parts that are never main text: element names, and words of class, id and role.
-PARTS = {"nav", "header", "footer", "aside", "form", "menu", "button", "dialog"}
+PARTS = {"nav", "header", "footer", "aside", "form", "menu", "dialog"}
 PART_WORDS = {"ad", "ads", "advert", "advertisement", "banner", "sponsor", "sponsored", "promo",
               "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "header",
               "masthead", "footer", "sidebar", "aside", "widget", "related", "recommended",
@@ -78,6 +82,10 @@ PART_WORDS = {"ad", "ads", "advert", "advertisement", "banner", "sponsor", "spon
               "search", "form", "share", "social", "popup", "modal", "alert", "copyright",
               "complementary", "contentinfo", "disqus", "pagination", "pager", "toolbar"}
 MAIN_WORDS = {"article", "main", "content", "post", "entry", "story"}
+# First and last words of marks that tell a state or a layout and no part ("has-sidebar").
+STATE_FIRST = {"has", "no", "not", "with", "without", "is", "hide", "hides", "show", "shows"}
+STATE_LAST = {"open", "closed", "fixed", "sticky", "static", "results", "enabled", "disabled",
+              "active", "visible", "hidden", "factor"}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
@@ -88,6 +96,36 @@ _NAME = re.compile(r"[a-z0-9]+")
 _HIDES = re.compile(rf"<(?:{'|'.join(sorted(UNSEEN | FOREIGN))})(?=[\s/>])", re.I)
 
 
+def mark_words(marks: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """Words of an element's class, id and role: as a page part, and as a wrapper of the article.
+
+    A mark of one word names a part in both.  A mark of several words ("site-header") names one only
+    where it stands by itself, and never if it tells a state ("has-sidebar"): else it is one
+    long word.
+    """
+    part: list[str] = []
+    wrapper: list[str] = []
+    for mark in marks.split():
+        words = _NAME.findall(mark)
+        whole = words if len(words) == 1 else ["-".join(words)] if words else []
+        wrapper += whole
+        state = len(words) > 1 and (words[0] in STATE_FIRST or words[-1] in STATE_LAST)
+        part += whole if state else words
+    return tuple(part), tuple(wrapper)
+
+
+def path_words(stack) -> tuple[str, ...]:
+    """Names and words of the open block elements.
+
+    The words of html and body say nothing about a block.  The innermost article or main and what
+    wraps it name parts by marks of one word only.
+    """
+    outer = [(n, words) for n, words, inline, _ in stack if not inline]
+    last = max((i for i, (n, _) in enumerate(outer) if n in ("article", "main")), default=-1)
+    return tuple(w for i, (n, (part, wrapper)) in enumerate(outer) for w in (
+        f"<{n}>", *(() if n in ("html", "body") else wrapper if i <= last else part)))
+
+
 @dataclass
 class Block:
     """A leaf of the page: its text, the words of its path, and characters in links."""
@@ -106,7 +144,7 @@ def blocks_of(html: str | None) -> list[Block]:
     return _read(html, ends, False)
 
 
-def _is_foreign(stack: list[tuple[str, tuple[str, ...], bool, int]]) -> bool:
+def _is_foreign(stack: list[tuple[str, tuple[tuple, tuple], bool, int]]) -> bool:
     """Whether the innermost element belongs to an svg or math."""
     for name, *_ in reversed(stack):
         if name in FOREIGN or name in HTML_INSIDE:
@@ -121,7 +159,7 @@ def _read(html: str, ends: dict[int, int], look: bool) -> list[Block]:
     ``look`` it is filled and hidden elements are read like others.
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], bool, int]] = []      # name, words, inline, place
+    stack: list[tuple[str, tuple[tuple, tuple], bool, int]] = []   # name, words, inline, place
     parts: list[str] = []
     linked, pos, size = 0, 0, len(html)
     any_foreign = False
@@ -131,8 +169,7 @@ def _read(html: str, ends: dict[int, int], look: bool) -> list[Block]:
         if parts and not look:
             text = " ".join(html_lib.unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, tuple(w for n, ws, inline, _ in stack if not inline
-                                             for w in (f"<{n}>", *ws)), linked))
+                out.append(Block(text, path_words(stack), linked))
         parts.clear()
         linked = 0
 
@@ -199,7 +236,7 @@ def _read(html: str, ends: dict[int, int], look: bool) -> list[Block]:
             stack.pop()                # like browsers: no deeper, a sibling of the last one
         any_foreign = any_foreign or name in FOREIGN
         marks = " ".join(v for found in _MARKS.findall(attrs) for v in found).lower()
-        stack.append((name, tuple(_NAME.findall(marks)), inline, pos if hidden else -1))
+        stack.append((name, mark_words(marks), inline, pos if hidden else -1))
     flush()
     return out
 

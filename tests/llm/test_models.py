@@ -215,3 +215,41 @@ def test_training_sample_has_distinct_pages(spark, monkeypatch):
     copies = pages.unionByName(spark.range(40).select(F.lit(first).alias("html")))
     got = html_blocks.train(copies, n=4)
     assert len(set(got)) == 4 and got == html_blocks.train(pages, n=4)
+
+
+ARTICLE = "<p>One two three four five.</p><p>Six seven eight nine.</p>"
+TRUTH = "One two three four five.\nSix seven eight nine."
+
+
+# Pages with the main text written by hand.
+@pytest.mark.parametrize("html,want", [
+    (f'<body class="single has-sidebar comments-open"><article>{ARTICLE}</article></body>', TRUTH),
+    (f'<div class="page search-results header-fixed"><main>{ARTICLE}</main></div>', TRUTH),
+    (f'<article class="post form-factor">{ARTICLE}</article>', TRUTH),
+    (f'<body id="footer-less" class="sidebar"><div class="with-banner">'
+     f'<article class="entry">{ARTICLE}</article></div></body>', TRUTH),
+    (f'<article>{ARTICLE}<div class="share-buttons"><a href="/">Share</a></div></article>', TRUTH),
+    (f'<article>{ARTICLE}<section id="comments"><p>Nice.</p></section></article>', TRUTH),
+    (f'<div class="site-header"><p>Site</p></div><article>{ARTICLE}</article>'
+     '<div class="sidebar-left"><p>More</p></div>', TRUTH),
+    (f'<main>{ARTICLE}</main><aside><article class="card"><p>Other story</p></article></aside>',
+     TRUTH),
+    (f'<div class="related"><article><p>Card</p></article></div><article>{ARTICLE}</article>', TRUTH),
+    (f'<ol class="comment-list"><li><article class="comment"><p>Me too</p></article></li></ol>'
+     f'<article>{ARTICLE}</article>', TRUTH),
+    (f'<div class="content no-sidebar">{ARTICLE}</div><div class="cookie-notice"><p>OK?</p></div>',
+     TRUTH),
+    (f'<div class="content"><div class="is-open">{ARTICLE}</div></div><footer><p>x</p></footer>',
+     TRUTH),
+])
+def test_wrappers_do_not_empty_a_page(html, want):
+    assert plain_main(html) == want
+
+
+def test_network_on_wrapped_pages(spark):
+    w = html_blocks.train(table(spark, SF_SMALL, "pages"))
+    pages = [f'<html><body class="single has-sidebar comments-open"><div class="page header-fixed">'
+             f'<header class="site-header"><p>My site {i}</p></header><nav><a href="/">Home</a></nav>'
+             f'<article class="post form-factor">{ARTICLE}</article><aside><p>Related</p></aside>'
+             f'<footer><p>About us {i}</p></footer></div></body></html>' for i in range(20)]
+    assert html_blocks.extract_texts(pages, w) == [TRUTH] * 20
