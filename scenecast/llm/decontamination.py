@@ -20,19 +20,23 @@ Check.  The five-word shingles of the item (fewer words: the whole item) are loo
 the document's own; ``overlap`` of them must be there, and at least ``part_overlap`` of the
 question's and of the answer's (a part of fewer than five words is judged by its single
 words in the window).  The question ends at an answer mark, else after the
-last question mark, else before the last sentence; an item of one sentence is cut in the middle.
-
-The index is sent to the tasks in shards of at most ``INDEX_BYTES`` bytes of item text;
-a larger benchmark takes one pass per shard, so what is sent has a fixed bound.  Items
-are read from the driver one shard at a time.  Nothing is shuffled.
-
-Edge cases: null and empty texts and items match nothing; repeated items are one item
-with the smallest id; repeated documents are searched each; an empty benchmark finds nothing;
-other columns pass through.
+last question mark; an item without either is judged as a whole (its part overlaps are null).
+
+Statistics (items, mean length and document frequencies per length group) are Spark
+aggregates over the whole benchmark, so scores do not depend on how it is cut.  The index is sent
+to the tasks in shards of at most ``INDEX_BYTES`` bytes of item text; a larger benchmark takes
+one stored pass per shard, so what is sent has a fixed bound.  Items are read from the
+driver one shard at a time.  Documents are not shuffled.
+
+Edge cases: null and empty texts and items match nothing; repeated items are searched once and
+reported under every id; repeated documents are searched each; an empty benchmark finds
+nothing; other columns pass through, whatever their names (``with_matches`` replaces a column
+``matches``).
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -45,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scenecast.llm.common import require
+from scenecast.llm.common import require, stored
 
 K1, B = 1.2, 0.75
 BLOCK = 8
@@ -57,15 +61,14 @@ INDEX_BYTES = 1 << 20
 GROUP = 100_000
 
 FOUND = T.ArrayType(T.StructType([
-    T.StructField("item_id", T.StringType()), T.StructField("score", T.DoubleType()),
+    T.StructField("item_key", T.StringType()), T.StructField("item_id", T.StringType()), T.StructField("score", T.DoubleType()),
     T.StructField("overlap", T.DoubleType()), T.StructField("question_overlap", T.DoubleType()),
     T.StructField("answer_overlap", T.DoubleType())]))
-_ARROW = pa.list_(pa.struct([("item_id", pa.string()), ("score", pa.float64()),
+_ARROW = pa.list_(pa.struct([("item_key", pa.string()), ("item_id", pa.string()), ("score", pa.float64()),
                              ("overlap", pa.float64()), ("question_overlap", pa.float64()),
                              ("answer_overlap", pa.float64())]))
 
 _ANSWER_MARK = re.compile(r"\n\s*(?:answer|a)\s*:", re.IGNORECASE)
-_SENTENCE_END = re.compile(r"[.!?][\"')\]]*\s+")
 
 
 # Letters and digits make words; every other ASCII character parts them, so marks that
@@ -78,20 +81,12 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_WORD_BYTES).lower().split()
 
 
-def question_answer(text: str) -> tuple[list[bytes], list[bytes]]:
-    """Words of the item's question and of its answer."""
+def question_answer(text: str) -> tuple[list[bytes], ...]:
+    """Words of the item's question and of its answer; nothing where it has no such parts."""
     mark = _ANSWER_MARK.search(text)
-    cut = mark.start() if mark else 0
-    if not cut:
-        asked = text.rfind("?") + 1
-        cut = asked if asked and text[asked:].strip() else 0
-    if not cut:
-        ends = [m.end() for m in _SENTENCE_END.finditer(text.rstrip())]
-        cut = ends[-1] if ends else 0
-    question, answer = words_of(text[:cut]), words_of(text[cut:])
-    if not question:
-        answer, question = answer[len(answer) // 2:], answer[:len(answer) // 2]
-    return question, answer
+    cut = mark.start() if mark else text.rfind("?") + 1
+    parts = words_of(text[:cut]), words_of(text[cut:])
+    return parts if all(parts) else ()
 
 
 def shingles(words: list[bytes], n: int = SHINGLE) -> set[bytes]:
@@ -102,6 +97,20 @@ def shingles(words: list[bytes], n: int = SHINGLE) -> set[bytes]:
     return {b" ".join(words[i:i + n]) for i in range(len(words) - n + 1)}
 
 
+@dataclass
+class Statistics:
+    """Of one length group over the whole benchmark; ``holders`` for the words of some items."""
+
+    n: int
+    mean: float
+    holders: dict[bytes, int]
+
+
+def length_group(n_words: int) -> int:
+    """Number of an item's group: at most 16 words, 32, 64, ..."""
+    return max(4, math.ceil(math.log2(n_words)))
+
+
 @dataclass
 class Postings:
     """One term's list: items ascending, impacts, and the largest impact per block."""
@@ -118,8 +127,9 @@ class Postings:
 class Index:
     """Impact index of the items of one length group; ``terms`` numbers all groups' words."""
 
-    def __init__(self, items: list[tuple[str, str]], terms: dict[bytes, int]):
+    def __init__(self, items: list[tuple[str, str]], terms: dict[bytes, int], stats: Statistics):
         self.ids = [i for i, _ in items]
+        self.keys = [item_key(t) for _, t in items]
         self.whole = [shingles(words_of(t)) for _, t in items]
         # a part's five-word shingles, or its single words if it has fewer than five
         self.parts = [tuple((len(p) >= SHINGLE, shingles(p, SHINGLE if len(p) >= SHINGLE else 1))
@@ -127,11 +137,10 @@ class Index:
         counts = [Counter(words_of(t)) for _, t in items]
         lengths = [sum(c.values()) for c in counts]
         self.step = max(lengths)
-        mean, n = sum(lengths) / len(lengths), len(items)
-        holders = Counter(w for c in counts for w in c)
-        idf = {w: math.log(1 + (n - k + 0.5) / (k + 0.5)) for w, k in holders.items()}
+        mean, n = stats.mean, len(items)
+        idf = {w: math.log(1 + (stats.n - k + 0.5) / (k + 0.5)) for w, k in stats.holders.items()}
         self.terms = terms
-        self.postings = {terms[w]: Postings([], []) for w in sorted(holders)}
+        self.postings = {terms[w]: Postings([], []) for w in sorted({w for c in counts for w in c})}
         for item, (c, length) in enumerate(zip(counts, lengths)):
             scale = K1 * (1 - B + B * length / mean)
             weight = {w: idf[w] * tf * (K1 + 1) / (tf + scale) for w, tf in c.items()}
@@ -251,9 +260,11 @@ class Index:
                     if self.terms[w] in window}
             parts = [_share(p, have.get(SHINGLE, set()) if long else near)
                      for long, p in self.parts[item]]
-            if share >= overlap and min(parts) >= part:
-                out.append({"item_id": self.ids[item], "score": float(score), "overlap": share,
-                            "question_overlap": parts[0], "answer_overlap": parts[1]})
+            if share >= overlap and all(p >= part for p in parts):
+                asked, told = parts or (None, None)
+                out.append({"item_key": self.keys[item], "item_id": self.ids[item],
+                            "score": float(score), "overlap": share,
+                            "question_overlap": asked, "answer_overlap": told})
         return out
 
 
@@ -261,16 +272,32 @@ def _share(wanted: set[bytes], have: set[bytes]) -> float:
     return len(wanted & have) / len(wanted) if wanted else 1.0
 
 
-def build(items: list[tuple[str, str]]) -> list[Index]:
-    """One index per length group (at most 16 words, 32, 64, ...)."""
+def item_key(text: str) -> str:
+    """Names an item's text."""
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def statistics(items: list[tuple[str, str]]) -> dict[int, Statistics]:
+    """Statistics of a benchmark that is at hand as a list."""
+    groups: dict[int, list[list[bytes]]] = {}
+    for _, text in items:
+        if found := words_of(text):
+            groups.setdefault(length_group(len(found)), []).append(found)
+    return {g: Statistics(len(ws), sum(map(len, ws)) / len(ws), Counter(w for x in ws for w in set(x)))
+            for g, ws in groups.items()}
+
+
+def build(items: list[tuple[str, str]], stats: dict[int, Statistics] | None = None) -> list[Index]:
+    """One index per length group; ``stats`` are the whole benchmark's (default: of the items)."""
+    stats = statistics(items) if stats is None else stats
     groups: dict[int, list[tuple[str, str]]] = {}
     words: set[bytes] = set()
     for i, text in items:
         if found := words_of(text):
             words.update(found)
-            groups.setdefault(max(4, math.ceil(math.log2(len(found)))), []).append((i, text))
+            groups.setdefault(length_group(len(found)), []).append((i, text))
     terms = {w: k for k, w in enumerate(sorted(words))}
-    return [Index(groups[g], terms) for g in sorted(groups)]
+    return [Index(groups[g], terms, stats[g]) for g in sorted(groups)]
 
 
 def match_texts(texts: list[str | None], indexes: list[Index], threshold: float = THRESHOLD,
@@ -315,21 +342,58 @@ def match_text(text: str | None, indexes: list[Index], **options) -> list[dict]:
     return match_texts([text], indexes, **options)[0]
 
 
-def _shards(benchmark: DataFrame, item_col: str, text_col: str):
-    """Distinct items in runs of bounded size, read one by one from the driver."""
-    rows = (benchmark.select(F.col(item_col).cast("string").alias("i"),
-                             F.col(text_col).alias("t"))
-            .filter(F.col("t").isNotNull() & (F.length(F.trim("t")) > 0))
-            .groupBy("t").agg(F.min("i").alias("i")).orderBy("i", "t").toLocalIterator())
-    shard, size = [], 0
-    for r in rows:
-        if shard and size + len(r["t"]) > INDEX_BYTES:
-            yield shard
-            shard, size = [], 0
-        shard.append((r["i"], r["t"]))
-        size += len(r["t"])
-    if shard:
-        yield shard
+class Benchmark:
+    """The distinct items of a benchmark, its statistics, and its shards of bounded size."""
+
+    def __init__(self, benchmark: DataFrame, item_col: str, text_col: str):
+        require(benchmark, item_col, text_col)
+        items = (benchmark.select(F.col(item_col).cast("string").alias("i"),
+                                  F.col(text_col).alias("t"))
+                 .filter(F.col("t").isNotNull() & (F.length(F.trim("t")) > 0)))
+        self.items = stored(items, "benchmark-items")
+
+        @F.arrow_udf("array<binary>")
+        def listed(texts: pa.Array) -> pa.Array:
+            return pa.array([words_of(t.as_py()) for t in texts], pa.list_(pa.binary()))
+
+        @F.arrow_udf("int")
+        def group(sizes: pa.Array) -> pa.Array:
+            return pa.array([length_group(n) for n in sizes.to_pylist()], pa.int32())
+
+        self.distinct = self.items.groupBy("t").agg(F.min("i").alias("i"))
+        words = (self.distinct.select(listed("t").alias("ws")).filter(F.size("ws") > 0)
+                 .withColumn("n", F.size("ws")).withColumn("g", group("n")))
+        self.groups = {r["g"]: (r["items"], r["mean"]) for r in words.groupBy("g").agg(
+            F.count(F.lit(1)).alias("items"), F.avg("n").alias("mean")).collect()}
+        self.holders = stored(words.select("g", F.explode(F.array_distinct("ws")).alias("w"))
+                              .groupBy("g", "w").count(), "benchmark-words")
+
+    def _statistics(self, shard: list[tuple[str, str]]) -> dict[int, Statistics]:
+        """Whole-benchmark statistics for the words of one shard."""
+        spark = self.items.sparkSession
+        own = spark.createDataFrame([(w,) for w in sorted({w for _, t in shard for w in words_of(t)})],
+                                    "w binary")
+        out = {g: Statistics(n, mean, {}) for g, (n, mean) in self.groups.items()}
+        for r in self.holders.join(own, "w").collect():        # bounded by the shard's words
+            out[r["g"]].holders[bytes(r["w"])] = r["count"]
+        return out
+
+    def indexes(self):
+        """Per shard its indexes, and whether it is the last one."""
+        shard, size = [], 0
+        for r in self.distinct.orderBy("i", "t").toLocalIterator():
+            if shard and size + len(r["t"]) > INDEX_BYTES:
+                yield build(shard, self._statistics(shard)), False
+                shard, size = [], 0
+            shard.append((r["i"], r["t"]))
+            size += len(r["t"])
+        if shard:
+            yield build(shard, self._statistics(shard)), True
+
+    def ids(self) -> DataFrame:
+        """(item_key, item_id): every id of every text."""
+        return self.items.select(F.sha2(F.col("t").cast("binary"), 256).alias("item_key"),
+                                 F.col("i").alias("item_id")).distinct()
 
 
 def _matches(text: Column, indexes: list[Index], threshold: float, overlap: float, part: float
@@ -344,24 +408,47 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                  item_col: str = "item_id", item_text: str = "text",
                  threshold: float = THRESHOLD, overlap: float = OVERLAP,
                  part_overlap: float = PART_OVERLAP) -> DataFrame:
-    """Add ``matches``: the verified items of every document (an array, maybe empty)."""
+    """Add ``matches``: the verified items of every document (an array, maybe empty).
+
+    A repeated item comes under its smallest id.
+    """
     require(docs, text_col)
-    require(benchmark, item_col, item_text)
     found = F.array().cast(FOUND)
-    for shard in _shards(benchmark, item_col, item_text):
-        found = F.concat(found, _matches(F.col(text_col), build(shard), threshold, overlap,
-                                         part_overlap))
+    for indexes, _ in Benchmark(benchmark, item_col, item_text).indexes():
+        found = F.concat(found, _matches(F.col(text_col), indexes, threshold, overlap, part_overlap))
     return docs.withColumn("matches", found)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
-                 **options) -> DataFrame:
-    """One row per document and item found in it, with score and overlaps."""
-    found = with_matches(docs.select(F.col(id_col).alias("_id"), "text"), benchmark, **options)
-    return found.select(F.col("_id").alias(id_col), F.explode("matches").alias("m")).select(
-        id_col, "m.*")
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+                 text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+                 threshold: float = THRESHOLD, overlap: float = OVERLAP,
+                 part_overlap: float = PART_OVERLAP) -> DataFrame:
+    """One row per document and item id found in it, with score and overlaps."""
+    require(docs, id_col, text_col)
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    bench = Benchmark(benchmark, item_col, item_text)
+    out = None
+    for indexes, last in bench.indexes():
+        hits = texts.select("_id", F.explode(_matches(
+            F.col("_text"), indexes, threshold, overlap, part_overlap)).alias("m"))
+        hits = hits if last else stored(hits, "shard-matches")
+        out = hits if out is None else out.unionByName(hits)
+    if out is None:
+        out = texts.limit(0).select("_id", F.explode(F.array().cast(FOUND)).alias("m"))
+    return (out.select(F.col("_id").alias(id_col), "m.*").drop("item_id")
+            .join(bench.ids(), "item_key")
+            .select(id_col, "item_id", "score", "overlap", "question_overlap", "answer_overlap"))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
+                  item_col: str = "item_id", item_text: str = "text",
+                  threshold: float = THRESHOLD, overlap: float = OVERLAP,
+                  part_overlap: float = PART_OVERLAP) -> DataFrame:
     """The documents in which no item was found."""
-    return with_matches(docs, benchmark, **options).filter(F.size("matches") == 0).drop("matches")
+    require(docs, text_col)
+    for indexes, last in Benchmark(benchmark, item_col, item_text).indexes():
+        docs = docs.filter(F.size(_matches(F.col(text_col), indexes, threshold, overlap,
+                                           part_overlap)) == 0)
+        if not last:
+            docs = stored(docs, "shard-clean")
+    return docs

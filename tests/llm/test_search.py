@@ -271,15 +271,63 @@ def test_decontamination_edges(spark, make_docs, odd_docs, empty_docs, monkeypat
                       (1, f"{filler} {question} {answer} {filler}")])
     pairs = sorted((r["doc_id"], r["item_id"]) for r in decontamination.contaminated(
         docs.withColumn("matches", F.lit(0)), bench).collect())
-    assert pairs == [(1, "1"), (1, "1"), (3, "1"), (6, "4")]
-    clean = decontamination.decontaminate(docs, bench)
+    assert pairs == [(1, "1"), (1, "1"), (1, "5"), (1, "5"), (3, "1"), (3, "5"), (6, "4")]
+    clean = decontamination.decontaminate(docs.withColumn("matches", F.lit(7)), bench)
     assert sorted(r["doc_id"] for r in clean.collect()) == [2, 4, 5, 7]
-    assert clean.columns == docs.columns
+    assert clean.columns == [*docs.columns, "matches"]
+    assert {r["matches"] for r in clean.collect()} == {7}
     monkeypatch.setattr(decontamination, "INDEX_BYTES", 20)     # one pass per item
     assert sorted((r["doc_id"], r["item_id"]) for r in decontamination.contaminated(
         docs, bench).collect()) == pairs
+    assert sorted(r["doc_id"] for r in decontamination.decontaminate(docs, bench).collect()
+                  ) == [2, 4, 5, 7]
     monkeypatch.undo()
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
     assert decontamination.decontaminate(docs, bench.limit(0)).count() == 8
     assert decontamination.contaminated(empty_docs, bench).count() == 0
     assert decontamination.decontaminate(odd_docs, bench).count() == 15
+
+
+def plain_scores(text, items):
+    """BM25 of the item for a text that holds all its window, as a share of the item's own score."""
+    words = {k: decontamination.words_of(t) for k, t in items}
+    group = {k: decontamination.length_group(len(w)) for k, w in words.items()}
+    have, out = set(decontamination.words_of(text)), {}
+    for k, w in words.items():
+        peers = [words[j] for j in words if group[j] == group[k]]
+        mean = sum(map(len, peers)) / len(peers)
+        weight = {}
+        for t in set(w):
+            held = sum(t in p for p in peers)
+            idf = np.log(1 + (len(peers) - held + 0.5) / (held + 0.5))
+            weight[t] = idf * w.count(t) * 2.2 / (w.count(t) + 1.2 * (0.25 + 0.75 * len(w) / mean))
+        out[k] = sum(v for t, v in weight.items() if t in have) / sum(weight.values())
+    return out
+
+
+def test_scores_do_not_depend_on_the_shards(spark, make_docs, monkeypatch):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(60)]
+    items = [(k, " ".join(rng.choice(words) for _ in range(rng.randrange(8, 16)))) for k in range(40)]
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    # a tenth of the words at the end is lost; no item has a question mark
+    docs = make_docs([(k, " ".join(t.split()[:-1])) for k, t in items])
+    seen = []
+    for size in (20, 1_000, 1 << 20):
+        monkeypatch.setattr(decontamination, "INDEX_BYTES", size)
+        got = decontamination.contaminated(docs, bench, overlap=0.75).collect()
+        seen.append(sorted((r["doc_id"], r["item_id"], round(r["score"], 9), r["question_overlap"])
+                           for r in got))
+    assert seen[0] == seen[1] == seen[2]
+    assert len({d for d, *_ in seen[0]}) > 20
+    texts = dict(items)
+    for d, i, score, asked in seen[0]:
+        want = plain_scores(" ".join(texts[d].split()[:-1]), [(str(k), t) for k, t in items])
+        assert score == pytest.approx(want[i]) and asked is None
+
+
+def test_cosine_of_extreme_vectors():
+    a = np.array([[1e300] * 8, [1e-300] * 8, [3.0, 4.0] + [0.0] * 6])
+    b = np.array([np.arange(1.0, 9.0)] * 2 + [[4.0, 3.0] + [0.0] * 6])
+    want = np.arange(1.0, 9.0).sum() / np.sqrt(8) / np.sqrt((np.arange(1.0, 9.0) ** 2).sum())
+    assert ann.exact_cosine(a, b) == pytest.approx([want, want, 24 / 25], rel=1e-15)
