@@ -9,14 +9,13 @@ Method, with DataFrame operations only:
 
 1. every text is split once into rows of hashes, ``(h1, h2, doc_id, row, pos)``;
    two 64-bit hashes name a key, no text is moved;
-2. the rows are range-partitioned by (h1, h2, doc_id descending).  The range holds
+2. the rows are range-partitioned by (h1, h2, doc_id).  The range holds
    the document too: a key that a third of all documents share is spread over
    many tasks;
-3. two hash aggregates replace a secondary sort whose first occurrences stream
-   by: the surviving document is the largest, which needs no order.  The ranges
-   already hold each (key, document) together, so the first aggregate adds no
-   shuffle; the second one (documents per key, largest document) sends one row
-   per key and range;
+3. inside its range every key's rows are sorted by document and position, and the first
+   occurrence of each (key, document) streams by (a window that needs no further shuffle: the
+   ranges hold each (key, document) together).  Its documents are counted with the
+   largest one kept, per range, and the ranges' edges are merged: one row per key and range;
 4. keys to drop meet their occurrences in a join on the hashes (both sides come
    straight from a shuffle, so adaptive execution splits a hot key), and the
    dropped positions are gathered per row into a run-length keep bitmap (where it
@@ -33,7 +32,7 @@ than every other; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scenecast.llm.common import SPACE_CHARS, ascii_lower, let, require, row_keys, stored
@@ -69,11 +68,11 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
 def surviving_docs(lines: DataFrame, min_docs: int) -> DataFrame:
     """Per key held by ``min_docs`` documents or more: the document that keeps its lines.
 
-    ``lines`` are range-partitioned by (h1, h2, doc_id), which is what the
-    aggregate per (key, document) asks for.
+    ``lines`` are range-partitioned by (h1, h2, doc_id), so the window only sorts.
     """
-    per_doc = lines.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("_one"))
-    return (per_doc.groupBy("h1", "h2")
+    place = Window.partitionBy("h1", "h2", "doc_id").orderBy("pos")
+    first = lines.withColumn("_n", F.row_number().over(place)).filter(F.col("_n") == 1)
+    return (first.groupBy("h1", "h2")
             .agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
             .filter(F.col("n_docs") >= min_docs))
 
@@ -122,7 +121,7 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     lines = stored(line_hashes(docs, id_col, text_col, min_chars), "line-hashes")
-    ranged = lines.repartitionByRange(n, "h1", "h2", F.col("doc_id").desc())
+    ranged = lines.repartitionByRange(n, "h1", "h2", "doc_id")
     shared = stored(surviving_docs(ranged, min_docs), "shared-lines")
     lost = (lines.join(shared, ["h1", "h2"])
             .filter(~F.col("doc_id").eqNullSafe(F.col("keeper"))))

@@ -216,3 +216,19 @@ def test_sharding_of_copies_and_giants(make_docs, empty_docs):
     assert {r["shard_bytes"] for r in got if r["doc_id"] == 2} == {5_000}
     assert all(sizes[r["shard"]] == r["shard_bytes"] for r in got)
     assert sharding.extendible_shards(empty_docs).count() == 0
+
+
+def test_first_occurrences_stream_from_sorted_ranges(spark, make_docs):
+    """Between the range shuffle and the per-key counts there is a sort, and no other shuffle."""
+    docs = make_docs([(i, "a line that stands in all the documents\nown line of document %d" % i)
+                      for i in range(30)])
+    lines = line_dedup.line_hashes(docs, "doc_id", "text", 20)
+    ranged = lines.repartitionByRange(4, "h1", "h2", "doc_id")
+    shared = line_dedup.surviving_docs(ranged, 3)
+    plan = shared._jdf.queryExecution().executedPlan().toString()
+    order = [plan.index(n) for n in ("HashAggregate(keys=[h1", "Window [row_number", "Sort [h1",
+                                     "rangepartitioning(h1")]
+    assert order == sorted(order) and "pos" in plan[plan.index("Sort [h1"):].split("\n")[0]
+    between = plan[plan.index("Window [row_number"):plan.index("rangepartitioning(h1")]
+    assert between.count("Exchange") == 1           # the range shuffle itself
+    assert [(r["n_docs"], r["keeper"]) for r in shared.collect()] == [(30, 29)]

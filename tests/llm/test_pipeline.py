@@ -7,6 +7,7 @@ import subprocess
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from scenecast.llm import decontamination, quality
@@ -104,3 +105,13 @@ def test_entry_without_the_text_operators(tmp_path):
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True,
                           text=True, env={**os.environ, "PYTHONPATH": str(tmp_path)}, timeout=120)
     assert done.stdout.strip() == "False True", done.stderr
+
+
+def test_clashing_columns_keep_their_values(spark, odd_docs):
+    names = ("n_lines", "n_dropped", "_flips", "_lines", "_k1", "_text", "matches", "fp", "_n")
+    docs = odd_docs.withColumns({c: F.lit(f"their {c}") for c in names})
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert [r[c] for c in names] == [f"their {c}" for c in names]
