@@ -8,6 +8,8 @@ one stage's tasks, never the stages before.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,9 +25,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.filter(scored >= quality.THRESHOLD)
 
 
+def _aside(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step`` on the documents, with names of other columns that its own cannot clash with."""
+    names = {c: f"__doc_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    out = step(docs.withColumnsRenamed(names)).select("doc_id", "text", *names.values())
+    return out.withColumnsRenamed({v: k for k, v in names.items()}).select(docs.columns)
+
+
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that a later document repeats; ``n_chars`` follows the text."""
-    kept = line_dedup.apply_keep(docs).select(docs.columns)
+    kept = _aside(docs, line_dedup.apply_keep)
     if "n_chars" not in docs.columns:
         return kept
     return kept.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -33,7 +42,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return simhash.keep_one(docs, shingle=simhash.SHINGLE, max_bits=simhash.MAX_BITS)
+    return _aside(docs, lambda rows: simhash.keep_one(
+        rows, shingle=simhash.SHINGLE, max_bits=simhash.MAX_BITS))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
