@@ -10,18 +10,19 @@ Search, over distinct fingerprints only (copies are one point):
 * The 64 bits are cut into ``trees`` bands.  Bits that differ at most
   ``max_bits`` times differ at most ``radius = max_bits // trees`` times in some band, and
   band distance obeys the triangle inequality.  Each tree is a vantage-point tree
-  over one band: a node holds a vantage point and the median distance of a
-  bounded sample; ``d <= m`` goes inside.  A point lives in one shard and
-  queries all shards its ball reaches: a branch is pruned when
-  ``|d - m|`` shows that the ball can't cross the boundary.  With four trees and
-  three bits the radius is 0 and nothing is sent twice; with one or two trees
-  the shards that overlap the boundary are visited too.
+  over one band: a node holds a vantage point and a distance ``m``; ``d <= m`` goes inside.
+  Of two points that a boundary parts, within the radius, the inner one has
+  ``d > m - radius`` (triangle inequality): it visits the shards outside too.  All other
+  branches are pruned.  With two trees and three bits the radius is 1; the boundary is
+  put where few points stand, as near the middle as pays.
+* A shard above ``shard_rows`` gets a tree of its own, grown from its own sample, so the
+  depth follows the number of fingerprints while each sample stays bounded.
 * Within a shard, whole fingerprints are kept by their distance to one of them;
   the triangle bound leaves only rings within ``max_bits`` for each query.  Points reached
   leave the rings at once, so a dense group costs few comparisons and its
   links come out as a spanning tree, never as all pairs.
-* A shard above ``shard_rows`` (a dense group, or more rows than the sample could
-  resolve) is dealt into blocks by hash, and every pair of blocks is one task.
+* A shard that no tree divides (a dense group) is dealt into blocks by hash, and every
+  pair of blocks is one task.
 
 The links join fingerprints into components (:mod:`scenecast.llm.components`).
 
@@ -34,14 +35,14 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
-from math import ceil, log2
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scenecast.llm.common import require, row_keys, stored, words_of
@@ -49,10 +50,11 @@ from scenecast.llm.components import components
 
 SHINGLE = 3
 MAX_BITS = 3
-TREES = 4
+TREES = 2
 LEAF_ROWS = 2_000
 SHARD_ROWS = 20_000
 SAMPLE = 8_192
+ROUNDS = 6
 SEED = 42
 
 
@@ -96,24 +98,28 @@ def bands(trees: int) -> list[np.uint64]:
     return [np.uint64(((1 << (b - a)) - 1) << a) for a, b in zip(edges, edges[1:])]
 
 
-def grow(sample: np.ndarray, mask: np.uint64, depth: int) -> list | None:
-    """A tree as nested [vantage point, median, inside, outside]; None is a shard."""
-    if depth == 0 or len(sample) < 2:
+def grow(sample: np.ndarray, mask: np.uint64, radius: int, least: float) -> list | None:
+    """A tree as nested [vantage point, m, inside, outside]; None is a shard.
+
+    A node of ``least`` or fewer sample points, or one that no boundary divides, is a shard.
+    """
+    if len(sample) <= max(1.0, least):
         return None
     point = sample[len(sample) // 2]
     dist = np.bitwise_count((sample ^ point) & mask)
-    low, high = int(dist.min()), int(dist.max())
-    if low == high:
+    upto = np.cumsum(np.bincount(dist, minlength=65))
+    # points inside and outside of every boundary, those that visit both counted on both sides
+    outside = len(sample) - np.concatenate([np.zeros(radius, upto.dtype), upto])[:len(upto)]
+    m = int(np.argmin(upto ** 2 + outside ** 2))
+    if max(upto[m], outside[m]) > 0.9 * len(sample):
         return None
-    median = min(int(np.median(dist)), high - 1)
-    inside = dist <= median
-    return [point, median, grow(sample[inside], mask, depth - 1),
-            grow(sample[~inside], mask, depth - 1)]
+    return [point, m, grow(sample[dist <= m], mask, radius, least),
+            grow(sample[dist + radius > m], mask, radius, least)]
 
 
 def route(points: np.ndarray, tree: list | None, mask: np.uint64, radius: int
           ) -> Iterator[tuple[np.ndarray, str]]:
-    """(indices of the points whose ball reaches it, name) of every shard."""
+    """(indices of its points and visitors, name) of every shard."""
     stack = [(np.arange(len(points)), tree, "")]
     while stack:
         rows, node, name = stack.pop()
@@ -122,10 +128,10 @@ def route(points: np.ndarray, tree: list | None, mask: np.uint64, radius: int
         if node is None:
             yield rows, name
             continue
-        point, median, inside, outside = node
+        point, m, inside, outside = node
         dist = np.bitwise_count((points[rows] ^ point) & mask).astype(np.int64)
-        stack.append((rows[dist - radius <= median], inside, name + "i"))
-        stack.append((rows[dist + radius > median], outside, name + "o"))
+        stack.append((rows[dist <= m], inside, name + "i"))
+        stack.append((rows[dist + radius > m], outside, name + "o"))
 
 
 def spanning_links(points: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
@@ -163,35 +169,94 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def link_fingerprints(points: DataFrame, max_bits: int = MAX_BITS, trees: int = TREES,
-                      leaf_rows: int = LEAF_ROWS, shard_rows: int = SHARD_ROWS,
-                      sample: int = SAMPLE) -> DataFrame:
-    """Links (a, b) between distinct fingerprints ``fp`` that span all components.
+def _divided(placed: DataFrame, large: DataFrame, masks: list[np.uint64], radius: int,
+             leaf_rows: int, shard_rows: int, sample: int) -> DataFrame:
+    """The rows of the ``large`` (shard, n) ones in the shards of their own trees.
 
-    The trees are grown from the ``sample`` fingerprints of smallest hash, a
-    bounded number; every fingerprint is routed.
+    Rows meet their shard's tree in parts of about ``shard_rows``; a shard that its tree leaves
+    whole is ``final``.
+    """
+    parts = F.ceil(F.col("n") / shard_rows).cast("int")
+    rows = placed.join(large, "shard").withColumn("part", F.pmod(F.xxhash64("fp"), parts))
+    order = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit("sample"), "fp"), "fp")
+    picked = (rows.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= sample)
+              .select("shard", "fp", "n"))
+
+    def planted(group: pd.DataFrame) -> pd.DataFrame:
+        shard = group["shard"].iloc[0]
+        points = np.sort(group["fp"].to_numpy().view(np.uint64))
+        points = np.random.default_rng(SEED).permutation(points)
+        tree = grow(points, masks[int(shard.split(":")[0])], radius,
+                    leaf_rows * len(points) / int(group["n"].iloc[0]))
+        return pd.DataFrame({"shard": [shard], "tree": [pickle.dumps(tree)]})
+
+    trees = picked.groupBy("shard").applyInPandas(planted, "shard string, tree binary")
+    spread = stored(trees.join(large, "shard").select(
+        "shard", "tree", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part")),
+        "simhash-trees")
+
+    def cut(group: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        if not len(group):
+            return pd.DataFrame({"shard": [], "fp": [], "final": []})
+        shard, fps = group["shard"].iloc[0], group["fp"].to_numpy()
+        grown = pickle.loads(tree["tree"].iloc[0])
+        return pd.concat([
+            pd.DataFrame({"shard": f"{shard}/{name}", "fp": fps[at], "final": grown is None})
+            for at, name in route(fps.view(np.uint64), grown, masks[int(shard.split(":")[0])],
+                                  radius)])
+
+    return (rows.select("shard", "part", "fp").groupBy("shard", "part")
+            .cogroup(spread.groupBy("shard", "part"))
+            .applyInPandas(cut, "shard string, fp bigint, final boolean"))
+
+
+def shards(points: DataFrame, max_bits: int = MAX_BITS, trees: int = TREES,
+           leaf_rows: int = LEAF_ROWS, shard_rows: int = SHARD_ROWS, sample: int = SAMPLE
+           ) -> DataFrame:
+    """(shard, fp): every fingerprint in its shard of each tree and in those it visits.
+
+    The first trees are grown from the ``sample`` fingerprints of smallest hash; shards that are
+    still above ``shard_rows`` are divided by trees from samples of their own, and so on.
     """
     n = points.count()
     radius, masks = max_bits // trees, bands(trees)
     picked = np.array([r.fp for r in points.orderBy(F.xxhash64("fp"), "fp").limit(sample)
                        .select("fp").collect()], dtype=np.int64).view(np.uint64)
-    depth = max(0, ceil(log2(max(1, n / leaf_rows))))
-    forest = [grow(picked, m, depth) for m in masks]
+    forest = [grow(picked, m, radius, leaf_rows * len(picked) / max(1, n)) for m in masks]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch.column("fp").to_numpy(zero_copy_only=False)
             for t, (tree, mask) in enumerate(zip(forest, masks)):
                 for rows, name in route(fps.view(np.uint64), tree, mask, radius):
-                    yield pa.record_batch({"shard": pa.array([f"{t}{name}"] * len(rows)),
+                    yield pa.record_batch({"shard": pa.array([f"{t}:{name}"] * len(rows)),
                                            "fp": pa.array(fps[rows])})
 
     placed = stored(points.select("fp").mapInArrow(place, "shard string, fp bigint"),
-                    "simhash-shards")
+                    "simhash-shards").withColumn("final", F.lit(False))
+    settled = []
+    for _ in range(ROUNDS):
+        large = stored(placed.filter(~F.col("final")).groupBy("shard").agg(
+            F.count(F.lit(1)).alias("n")).filter(F.col("n") > shard_rows), "simhash-large")
+        if large.isEmpty():
+            break
+        settled.append(placed.join(large, "shard", "left_anti"))
+        placed = stored(_divided(placed, large, masks, radius, leaf_rows, shard_rows, sample),
+                        "simhash-shards")
+    for more in settled:
+        placed = placed.unionByName(more)
+    return placed.select("shard", "fp")
+
+
+def link_fingerprints(points: DataFrame, max_bits: int = MAX_BITS, trees: int = TREES,
+                      leaf_rows: int = LEAF_ROWS, shard_rows: int = SHARD_ROWS,
+                      sample: int = SAMPLE) -> DataFrame:
+    """Links (a, b) between distinct fingerprints ``fp`` that span all components."""
+    placed = shards(points, max_bits, trees, leaf_rows, shard_rows, sample)
     sizes = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter(
         F.col("n") > shard_rows).withColumn("blocks", F.ceil(F.col("n") / shard_rows).cast("int"))
     blocks = F.coalesce("blocks", F.lit(1))
-    dealt = placed.join(stored(sizes, "simhash-large"), "shard", "left").select(
+    dealt = placed.join(stored(sizes, "simhash-dense"), "shard", "left").select(
         "shard", "fp", blocks.alias("blocks"),
         F.pmod(F.xxhash64("fp"), blocks).cast("int").alias("own"))
     # a block meets itself and every other block of its shard, in one task per pair
@@ -212,7 +277,7 @@ def link_fingerprints(points: DataFrame, max_bits: int = MAX_BITS, trees: int =
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        shingle: int = SHINGLE, max_bits: int = MAX_BITS, trees: int = TREES,
                        leaf_rows: int = LEAF_ROWS, shard_rows: int = SHARD_ROWS,
-                       keys: bool = False) -> DataFrame:
+                       sample: int = SAMPLE, keys: bool = False) -> DataFrame:
     """Per row: id, ``fingerprint`` (16 hex digits), ``component_id``.
 
     ``keys`` adds the row's content hashes (_k1, _k2) and ``first``: whether the
@@ -226,7 +291,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = F.min(F.struct(F.col("_id").isNull().alias("no_id"), F.col("_id").alias("id"),
                            F.col("_k1").alias("k1"), F.col("_k2").alias("k2")))
     points = stored(rows.groupBy("fp").agg(least.alias("least")), "simhash-points")
-    links = link_fingerprints(points, max_bits, trees, leaf_rows, shard_rows)
+    links = link_fingerprints(points, max_bits, trees, leaf_rows, shard_rows, sample)
     roots = stored(components(links), "simhash-roots")
     rooted = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "least")

@@ -63,13 +63,14 @@ def as_set(df):
     return sorted((str(r["doc_id"]), r["fingerprint"], str(r["component_id"])) for r in df.collect())
 
 
-@pytest.mark.parametrize("trees,leaf,shard", [(4, 8, 10_000), (2, 8, 10_000), (1, 8, 10_000),
-                                              (4, 1_000, 10)])
-def test_components_equal_all_pairs(make_docs, trees, leaf, shard):
+@pytest.mark.parametrize("trees,leaf,shard,sample",
+                         [(4, 8, 10_000, 8_192), (2, 8, 10_000, 8_192), (1, 8, 10_000, 8_192),
+                          (2, 1_000, 10, 8_192), (2, 8, 12, 16), (1, 8, 12, 16)])
+def test_components_equal_all_pairs(make_docs, trees, leaf, shard, sample):
     rows = near_copies(160, 3)
     want = sorted((str(a), b, str(c)) for a, b, c in plain_components(rows))
     got = simhash.simhash_components(make_docs(rows), trees=trees, leaf_rows=leaf,
-                                     shard_rows=shard)
+                                     shard_rows=shard, sample=sample)
     assert as_set(got) == want
     assert len({c for _, _, c in want}) < len(rows) / 4
 
@@ -117,6 +118,44 @@ def test_spanning_links_join_what_all_pairs_join():
                 assert find(int(a)) == find(int(b))
 
 
+def test_registered_trees_visit_shards_across_the_boundary():
+    rng = np.random.default_rng(6)
+    points = np.unique(rng.integers(0, 1 << 64, 4_000, dtype=np.uint64))
+    near = points[::4] ^ (np.uint64(1) << rng.integers(0, 32, len(points[::4]), dtype=np.uint64))
+    near ^= np.uint64(1) << rng.integers(32, 64, len(near), dtype=np.uint64)
+    radius = simhash.MAX_BITS // simhash.TREES
+    assert radius > 0
+    met, parted = np.zeros(len(near), bool), 0
+    for mask in simhash.bands(simhash.TREES):
+        tree = simhash.grow(points, mask, radius, 50)
+        homes, of_near = {}, {}
+        for got, fps in ((homes, points[::4]), (of_near, near)):
+            for rows, name in simhash.route(fps, tree, mask, radius):
+                for r in rows:
+                    got.setdefault(int(r), set()).add(name)
+        assert len(set().union(*homes.values())) > 40
+        # a point's own shard is the one it enters with no radius
+        own = {int(r): name for rows, name in simhash.route(points[::4], tree, mask, 0) for r in rows}
+        far = {int(r): name for rows, name in simhash.route(near, tree, mask, 0) for r in rows}
+        parted += sum(own[r] != far[r] for r in own)
+        met |= np.array([bool(homes[r] & of_near[r]) for r in range(len(near))])
+        assert sum(map(len, homes.values())) < 3 * len(homes)     # few visits, no copy everywhere
+    assert met.all() and parted > 100
+
+
+def test_large_shards_get_trees_of_their_own(spark):
+    rng = np.random.default_rng(8)
+    fps = np.unique(rng.integers(-1 << 62, 1 << 62, 3_000))
+    points = spark.createDataFrame([(int(x),) for x in fps], "fp long").repartition(3)
+    placed = simhash.shards(points, leaf_rows=60, shard_rows=150, sample=32).collect()
+    sizes = {}
+    for r in placed:
+        sizes[r["shard"]] = sizes.get(r["shard"], 0) + 1
+    assert any("/" in s for s in sizes) and max(sizes.values()) <= 150
+    for t in range(simhash.TREES):
+        assert {r["fp"] for r in placed if r["shard"].startswith(f"{t}:")} == set(map(int, fps))
+
+
 def test_component_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 60)]
     links += [(7, 7), (200, 199), (199, 200), (-5, 200)]
