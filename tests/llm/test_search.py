@@ -250,6 +250,51 @@ def test_hot_vector_in_blocks(spark):
     assert got[0] == want[0]                     # ties to the smaller id
 
 
+def test_rows_that_share_an_id_all_count(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(40, 8))
+    x[9] = x[0] + 0.01
+    ids = [i % 35 for i in range(40)]                  # ids 0 to 4 stand twice
+    rows = [(i, [float(c) for c in v]) for i, v in zip(ids, x)] * 2       # each row repeated
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"),
+                      every=50, k=39).collect()
+    assert len({r["query_hash"] for r in got}) == 2 and {r["query_id"] for r in got} == {0}
+    assert len(got) == 2 * 39                          # every row but the query's own
+    for q in {r["query_hash"] for r in got}:
+        found = [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])
+                 if r["query_hash"] == q]
+        at = 0 if found[0][0] == 9 else 35
+        cos = ann.exact_cosine(np.repeat(x[at][None], 40, axis=0), x)
+        assert found == sorted([(ids[j], cos[j]) for j in range(40) if j != at],
+                               key=lambda p: (-p[1], p[0]))
+
+
+def test_settings_follow_the_data():
+    rng = np.random.default_rng(12)
+    any_two = rng.normal(1.41, 0.12, 1_000)
+    loose, tight = rng.normal(1.1, 0.08, 240), rng.uniform(0.0, 0.4, 240)
+    shares = {}
+    for name, near in (("loose", loose), ("tight", tight)):
+        picked = [ann.chosen(n, n / 50, near, any_two) for n in (500, 100_000, 10 ** 9)]
+        assert all(p.recall >= ann.RECALL for p in picked)
+        shares[name] = [p.share for p in picked]
+        assert shares[name][0] > shares[name][1] > shares[name][2]       # falls as rows grow
+    assert shares["tight"][2] < 0.01 < 0.9 > shares["loose"][2]
+
+
+def test_profile_finds_the_nearest(spark):
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(300, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<double>").repartition(5)
+    n, near, any_two = ann.profile(ann.usable(df, "vec_id", "embedding"), 3, sample=300)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    gap = np.sqrt(np.maximum(2 - 2 * unit @ unit.T, 0))
+    np.fill_diagonal(gap, np.inf)
+    assert n == 300 and np.allclose(np.sort(near), np.sort(np.sort(gap, axis=1)[:, :3].ravel()))
+    assert len(any_two) == 300 * 299 // 2
+
+
 def test_probe_order():
     sets = list(ann.probe_sets(np.array([0.1, 0.6, 0.5]), 12))
     inside = [0.1, 0.6, 0.5]
