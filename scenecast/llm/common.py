@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scenecast.session import checkpoint_dir
@@ -16,28 +18,54 @@ LOWER = UPPER.lower()
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+# The tables that each open scratch block will delete.
+_SCRATCH: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
+
+
+def stored(df: DataFrame, name: str, outlive: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage without tying the rows to one executor's disk, and lets
     several later branches read the rows instead of computing them again.
+    ``outlive``: the table stays when the :func:`scratch` block around the call ends.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    blocks = _SCRATCH.get()[:-1] if outlive else _SCRATCH.get()
+    if blocks:
+        blocks[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end the tables that :func:`stored` made inside, or a failed call left.
+
+    No frame that reads them may be used afterwards.
+    """
+    paths: list[str] = []
+    before = _SCRATCH.set((*_SCRATCH.get(), paths))
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(before)
+        for path in paths:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete the files behind a frame made by :func:`stored`."""
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     base = checkpoint_dir(spark).removeprefix("file:").lstrip("/")
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if base in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+            _delete(spark, folder)
 
 
 def require(df: DataFrame, *names: str) -> None:

@@ -4,7 +4,8 @@ Links are (a, b) rows of 64-bit ids.  A large star ties every neighbour that
 is larger than a node to the smallest id the node knows; a small star does the
 same with the smaller ones.  Both keep the components as they are; when a round
 changes nothing, every node hangs on the smallest id of its component.
-Each round is written to the shared folder and the one before it is deleted.
+Each round is written to the shared folder; the one before it and what both stars
+wrote on the way are deleted.
 
 A hub with very many neighbours is never gathered: its smallest neighbour is a
 ``min`` (summed before the shuffle), and handing it back is a join that adaptive
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scenecast.llm.common import drop_stored, stored
+from scenecast.llm.common import drop_stored, scratch, stored
 
 
 def _least(links: DataFrame) -> DataFrame:
@@ -54,10 +55,10 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(links.filter(F.col("a") != F.col("b")).select("a", "b").distinct(), "links")
     state = _state(edges)
     while state[0]:
-        large = stored(_large_star(edges), "star-large")
-        small = stored(_small_star(large), "star-small")
+        with scratch(links.sparkSession):
+            large = stored(_large_star(edges), "star-large")
+            small = stored(_small_star(large), "star-small", outlive=True)
         now = _state(small)
-        drop_stored(large)
         drop_stored(edges)
         edges = small
         if now == state:

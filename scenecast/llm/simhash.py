@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scenecast.llm.common import require, row_keys, stored, words_of
+from scenecast.llm.common import require, row_keys, scratch, stored, words_of
 from scenecast.llm.components import components
 
 SHINGLE = 3
@@ -290,14 +290,17 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # null ids sort last; the second field is what min() returns for them
     least = F.min(F.struct(F.col("_id").isNull().alias("no_id"), F.col("_id").alias("id"),
                            F.col("_k1").alias("k1"), F.col("_k2").alias("k2")))
-    points = stored(rows.groupBy("fp").agg(least.alias("least")), "simhash-points")
-    links = link_fingerprints(points, max_bits, trees, leaf_rows, shard_rows, sample)
-    roots = stored(components(links), "simhash-roots")
-    rooted = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "least")
-    rooted = stored(rooted, "simhash-rooted")
-    firsts = stored(rooted.groupBy("root").agg(F.min("least").alias("first")), "simhash-firsts")
-    named = stored(rooted.join(firsts, "root").select("fp", "first"), "simhash-named")
+    with scratch(docs.sparkSession):
+        points = stored(rows.groupBy("fp").agg(least.alias("least")), "simhash-points")
+        links = link_fingerprints(points, max_bits, trees, leaf_rows, shard_rows, sample)
+        roots = stored(components(links), "simhash-roots")
+        rooted = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+            "fp", F.coalesce("root", "fp").alias("root"), "least")
+        rooted = stored(rooted, "simhash-rooted")
+        firsts = stored(rooted.groupBy("root").agg(F.min("least").alias("first")),
+                        "simhash-firsts")
+        named = stored(rooted.join(firsts, "root").select("fp", "first"), "simhash-named",
+                       outlive=True)
     out = rows.join(named, "fp")
     columns = [F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                F.col("first.id").alias("component_id")]
@@ -313,8 +316,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
     Of repeated rows (same doc_id and text) one stays.
     """
-    named = simhash_components(docs, id_col, text_col, keys=True, **options)
-    kept = stored(named.filter("first").select("_k1", "_k2").distinct(), "simhash-kept")
+    with scratch(docs.sparkSession):
+        named = simhash_components(docs, id_col, text_col, keys=True, **options)
+        kept = stored(named.filter("first").select("_k1", "_k2").distinct(), "simhash-kept",
+                      outlive=True)
     keyed = docs.select("*", *row_keys(id_col, text_col))
     return (keyed.join(kept, ["_k1", "_k2"], "left_semi")
             .dropDuplicates(["_k1", "_k2"]).drop("_k1", "_k2"))
