@@ -3,7 +3,8 @@
 Every stage takes (spark, docs, sf_dir) and works on all that the stage before it
 kept; all but the last return the columns of ``documents``.  ``run`` writes each stage as
 Parquet in the shared checkpoint folder and reads it back, so a lost executor costs
-one stage's tasks, never the stages before.
+one stage's tasks, never the stages before.  What a stage wrote on its way, and the rows
+of the stage before it, are deleted once its own rows are written.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scenecast.llm import bpe_codec, decontamination, line_dedup, quality, simhash
-from scenecast.llm.common import stored
+from scenecast.llm.common import drop_stored, scratch, stored
 from scenecast.llm.queries import table, vocabulary_path
 
 
@@ -74,7 +75,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        with scratch(spark):
+            docs = stored(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"),
+                          outlive=True)
+        if before is not None:
+            drop_stored(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
