@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from scenecast.operators.boosting import SecondOrderBoosting
 from scenecast.operators.dataset import complete
 from scenecast.schemas import FEATURE_COLS
+from scenecast.session import side_by_side
 
 # Hyper-parameters of the published runs.
 TREE_PARAMS = dict(maxDepth=8, minInstancesPerNode=10)
@@ -97,15 +98,18 @@ def default_specs(features=None, boosted_rounds: int = BOOSTED_PARAMS["maxIter"]
 
 
 def fit_models(train: DataFrame, specs: dict[str, Callable[[], Pipeline]],
-               partitions: int | None = None) -> dict[str, PipelineModel]:
-    """M7: fit every pipeline on one cached training frame.
+               partitions: int | None = None, threads: int = 4) -> dict[str, PipelineModel]:
+    """M7: fit every pipeline on one cached training frame, ``threads`` of them at a time.
 
     ``partitions`` fixes the number of partitions (sampling learners draw per
     partition); without it the frame stays as it is.
     """
     cached = (train.repartition(partitions) if partitions else train).cache()
     try:
-        return {name: make().fit(cached) for name, make in specs.items()}
+        if len(specs) > 1:
+            cached.count()            # cached once, not by every learner for itself
+        return side_by_side(train.sparkSession, {
+            name: lambda make=make: make().fit(cached) for name, make in specs.items()}, threads)
     finally:
         cached.unpersist()
 

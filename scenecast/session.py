@@ -9,9 +9,15 @@ partitions from runtime statistics.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 # Settings that affect results or that every job relies on.
 RESULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -96,3 +102,18 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def side_by_side(spark: SparkSession, tasks: dict[str, Callable[[], T]], threads: int = 4
+                 ) -> dict[str, T]:
+    """Results of independent calls that run Spark jobs, up to ``threads`` at a time.
+
+    Jobs with fewer tasks than the cluster has cores then overlap; what each call returns
+    does not depend on the others.  An error in one call is raised again here.
+    """
+    if threads < 2 or len(tasks) < 2:
+        return {name: task() for name, task in tasks.items()}
+    with ThreadPool(min(threads, len(tasks))) as pool:
+        runs = {name: pool.apply_async(inheritable_thread_target(spark)(task))
+                for name, task in tasks.items()}
+        return {name: run.get() for name, run in runs.items()}

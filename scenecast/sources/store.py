@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scenecast.schemas import METRICS_SUMMARY, RUN
+from scenecast.session import side_by_side
 
 
 def _join(root: str, *parts: str) -> str:
@@ -26,13 +27,12 @@ def new_run_id(now: dt.datetime | None = None) -> str:
 
 
 def save_models(models: dict[str, PipelineModel], run_dir: str) -> list[str]:
-    """Save each fitted pipeline, overwriting."""
-    paths = []
-    for name, m in models.items():
-        p = _join(run_dir, name)
-        m.write().overwrite().save(p)
-        paths.append(p)
-    return paths
+    """Save each fitted pipeline, overwriting; the pipelines are written side by side."""
+    paths = {name: _join(run_dir, name) for name in models}
+    side_by_side(SparkSession.active(), {
+        name: lambda m=m, p=paths[name]: m.write().overwrite().save(p)
+        for name, m in models.items()})
+    return list(paths.values())
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -45,13 +45,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def load_models(spark: SparkSession, run_dir: str, names: list[str],
                 missing: str = "skip") -> dict[str, PipelineModel]:
     """Load saved pipelines; ``missing='skip'`` (report) or ``'error'`` (test)."""
-    out = {}
-    for n in names:
-        p = _join(run_dir, n)
-        if missing == "skip" and not _exists(spark, p):
-            continue
-        out[n] = PipelineModel.load(p)
-    return out
+    paths = {n: _join(run_dir, n) for n in names}
+    if missing == "skip":
+        paths = {n: p for n, p in paths.items() if _exists(spark, p)}
+    return side_by_side(spark, {n: lambda p=p: PipelineModel.load(p) for n, p in paths.items()})
 
 
 def run_record(run_id: str, train_year: int, test_start: str,

@@ -182,3 +182,17 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_models_do_not_depend_on_being_fitted_side_by_side(spark, h_features_path):
+    features = tables.read_features(spark, h_features_path)
+    train, test = ds.time_split(ds.prepare(features), 2024, "2024-01-24", "2024-01-31",
+                                train_until="2024-01-24")
+    train = ds.model_frame(train, features=FEATS)
+    test = ds.model_frame(test, features=FEATS, keys=["timestamp"])
+    specs = mdl.default_specs(FEATS, boosted_rounds=2, forest_trees=5)
+    alone, beside = (
+        {tuple(r) for r in mdl.predict(mdl.fit_models(train, specs, partitions=2, threads=t),
+                                       test, ["timestamp"])
+         .select("model", "timestamp", F.round("prediction", 9)).collect()} for t in (1, 4))
+    assert alone == beside and len(alone) == 4 * test.count()
