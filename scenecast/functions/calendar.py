@@ -48,11 +48,14 @@ def parse_time_text(text) -> Column:
     return F.try_to_timestamp(_c(text), F.lit(TIME_TEXT_FORMAT)).cast("timestamp_ntz")
 
 
-def add_calendar(df: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """Year, month, day, hour, timestamp_ms, timestamp_str."""
+def add_calendar(df: DataFrame, ts: str = "timestamp", year: str | None = None) -> DataFrame:
+    """Year, month, day, hour, timestamp_ms, timestamp_str.
+
+    ``year``: the column that holds the year already; rows shuffled by it stay so.
+    """
     t = F.col(ts)
     return df.withColumns({
-        "year": F.year(t),
+        "year": F.col(year) if year else F.year(t),
         "month": F.month(t),
         "day": F.dayofmonth(t),
         "hour": F.hour(t),

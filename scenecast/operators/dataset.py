@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scenecast.functions.calendar import add_calendar, prepare_times
-from scenecast.operators.lags import add_lags, add_time_delta
+from scenecast.operators.lags import add_lags, add_time_delta, add_time_delta_spans
 from scenecast.schemas import FEATURE_COLS, N_LAGS, TARGET
 
+SCENE_STATS = ["mean_rr", "max_rr", "std_rr", "frac_rainy"]
 FEATURE_TABLE_COLS = [
     "file", "mean_rr", "max_rr", "std_rr", "frac_rainy", "year", "month", "day", "hour",
     "timestamp_ms", "timestamp_str", "delta_minutes",
@@ -46,8 +47,18 @@ def feature_table(stats: DataFrame, delta_bucket: Column | str | None = "day",
     checkpointed once (``materialize``) so the pixel aggregate upstream is
     not recomputed by the two branches of that plan.  With ``series_cols`` the
     table holds many series: the columns come first and gaps restart per series.
+    ``delta_bucket="year"`` then keeps the rows shuffled by series and ``year``, so that lags
+    per series and year need no further shuffle, and nothing is checkpointed.
     """
     series_cols = list(series_cols or [])
+    if series_cols and isinstance(delta_bucket, str) and delta_bucket == "year":
+        narrow = stats.select(*series_cols, "file", "timestamp", *SCENE_STATS,
+                              F.year("timestamp").alias("year"))
+        df = add_time_delta_spans(narrow, "timestamp", "delta_minutes", series_cols,
+                                  ["timestamp", "file"], "year")
+        df = add_calendar(df, "timestamp", year="year")
+        return df.select(*series_cols, *FEATURE_TABLE_COLS,
+                         *(["timestamp"] if keep_timestamp else []))
     delta_bucket = time_bucket(delta_bucket)
     df = add_calendar(stats, "timestamp")
     df = add_time_delta(df, "timestamp", "delta_minutes", partition_by=series_cols,

@@ -21,6 +21,9 @@ The joins are plain joins that adaptive execution may turn into broadcasts after
 measuring a side.  Balanced buckets grow with the rows, which is what the scan is for; time
 buckets grow with the time span.  Where a partition column splits the time buckets already
 (years, series), one window per partition holds them.
+
+Many series whose scenes are few within a span of time (a year) need no join: the last time
+before a span joins the span's rows as one more row, see :func:`add_time_delta_spans`.
 """
 
 from __future__ import annotations
@@ -239,3 +242,26 @@ def add_time_delta(df: DataFrame, ts: str = "timestamp", out: str = "delta_minut
     gap = (F.col(tmp) - F.col(tmp + "__prev")) / F.lit(60_000_000.0)
     out_df = lagged.withColumn(out, F.coalesce(gap, F.lit(0.0)).cast("float"))
     return out_df.drop(tmp, tmp + "__prev", "__tbucket")
+
+
+def add_time_delta_spans(df: DataFrame, ts: str, out: str, partition_by: list[str],
+                         order_by: list[str], span: str) -> DataFrame:
+    """W2 per series for tables of many series; equal to :func:`add_time_delta`.
+
+    ``span``: a column of ``df`` that is non-decreasing in ``ts``, e.g. its year.  The window holds a
+    span of one series, so a long series is still many windows.  The first row's gap
+    needs the last time before its span: one maximum per series and span, which is added
+    to the rows and leaves after the window.  Rows are shuffled once, by the series and
+    ``span``, and stay so for lags per series and ``span``; null keys form their own series.
+    """
+    first = Window.partitionBy(*partition_by).orderBy("__bucket")
+    ends = (df.groupBy(*partition_by, F.col(span).alias("__bucket"))
+            .agg(F.max(ts).alias("__end")))
+    seams = ends.select(*partition_by, F.col("__bucket").alias(span),
+                        F.lag("__end").over(first).alias(ts), F.lit(True).alias("__seam"))
+    rows = df.withColumn("__seam", F.lit(False)).unionByName(
+        seams.filter(F.col(ts).isNotNull()), allowMissingColumns=True)
+    w = Window.partitionBy(*partition_by, span).orderBy(*order_by)
+    gap = (epoch_micros(F.col(ts)) - epoch_micros(F.lag(ts).over(w))) / F.lit(60_000_000.0)
+    return (rows.withColumn(out, F.coalesce(gap, F.lit(0.0)).cast("float"))
+            .filter(~F.col("__seam")).drop("__seam"))

@@ -6,7 +6,8 @@ already is replaced) and repairs the seam: the gap of the first row after each n
 one, and the lags of the ``n_lags`` rows after it.  Only the months that hold such rows are
 written again (dynamic partition overwrite); a load behind the end of the table writes
 its own months and no others.  To know the rows before a month that is written,
-the months that hold them are read; everything else is pruned at the scan.
+the months that hold them are read; everything else is pruned at the scan.  A first load
+replaces nothing and is written straight away.
 
 Which months these are follows from one row per series and month (a count); the list of
 months is all that comes to the driver.
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from scenecast.functions.calendar import add_calendar
-from scenecast.operators.dataset import FEATURE_TABLE_COLS
-from scenecast.operators.lags import add_lags, add_time_delta
+from scenecast.operators.dataset import SCENE_STATS
+from scenecast.operators.lags import add_lags, add_time_delta, add_time_delta_spans
 from scenecast.schemas import FEATURES, N_LAGS, TARGET
 from scenecast.session import materialize
 
@@ -110,19 +111,22 @@ def load_features(spark: SparkSession, path: str, stats: DataFrame,
     series_cols = list(series_cols or [])
     fields = [f for f in stats.schema.fields if f.name in series_cols]
     key = [*series_cols, "file"]
-    base = [*series_cols, *[c for c in FEATURE_TABLE_COLS if c != "delta_minutes"], "timestamp"]
+    base = [*key, "timestamp", *SCENE_STATS]      # the calendar columns follow from the time
+    month = [F.year("timestamp").alias("year"), F.month("timestamp").alias("month")]
     newest = Window.partitionBy(*key).orderBy(F.col("timestamp").desc(), *[
-        F.col(c).desc() for c in ("mean_rr", "max_rr", "std_rr", "frac_rainy")])
-    new = materialize(add_calendar(
-        stats.withColumn("__n", F.row_number().over(newest)).filter("__n = 1").drop("__n"),
-        "timestamp").select(*base))
+        F.col(c).desc() for c in SCENE_STATS])
+    new = (stats.withColumn("__n", F.row_number().over(newest)).filter("__n = 1").select(*base))
     old = read_store(spark, path, fields, target, n_lags)
     if old is None:
         months, rows = None, new
     else:
-        # a file that comes again leaves its old place, whose month has to be written too
-        moved = old.select(*key, *MONTH).join(new.select(*key), [*key], "left_semi")
-        touched = new.select(*series_cols, *MONTH).unionByName(moved.select(*series_cols, *MONTH))
+        new = materialize(new)
+        # a file that comes again leaves its old place, whose month has to be written too; the
+        # scan skips what lies outside the new names
+        low, high = new.agg(F.min("file"), F.max("file")).first()
+        moved = old.filter(F.col("file").between(low, high)).select(*key, *MONTH).join(
+            new.select(*key), [*key], "left_semi")
+        touched = new.select(*series_cols, *month).unionByName(moved.select(*series_cols, *MONTH))
         counts = (old.select(*series_cols, *MONTH, F.lit(1).alias("old"), F.lit(0).alias("new"))
                   .unionByName(touched.select("*", F.lit(0).alias("old"), F.lit(1).alias("new")))
                   .groupBy(*series_cols, *MONTH).agg(F.sum("old").alias("old"),
@@ -131,20 +135,27 @@ def load_features(spark: SparkSession, path: str, stats: DataFrame,
         kept = old.filter(_in(months + halo)).join(new.select(*key), [*key], "left_anti")
         time = F.to_timestamp_ntz("timestamp_str", F.lit("yyyy-MM-dd HH:mm:ss"))
         rows = kept.withColumn("timestamp", time).select(*base).unionByName(new)
-    bucket = F.date_trunc("month", F.col("timestamp"))
     order = ["timestamp", "file"]
-    out = add_time_delta(rows, "timestamp", "delta_minutes", partition_by=series_cols,
-                         order_by=order, bucket=bucket)
+    rows = rows.withColumn("year", F.year("timestamp"))
+    if series_cols:
+        # one shuffle, by series and year, serves gaps and lags
+        bucket = None
+        out = add_time_delta_spans(rows, "timestamp", "delta_minutes", series_cols, order, "year")
+    else:
+        bucket = F.date_trunc("month", F.col("timestamp"))
+        out = add_time_delta(rows, "timestamp", "delta_minutes", order_by=order, bucket=bucket)
     out = add_lags(out, target, n_lags, partition_by=[*series_cols, "year"], order_by=order,
-                   bucket=bucket)
-    out = out.select(*_schema(fields, target, n_lags).names)
+                   bucket=bucket).withColumn("month", F.month("timestamp"))
     # the rows are read from the folders they are written to: fixed before the first is replaced
-    fixed = materialize(out if months is None else out.filter(_in(months)))
-    (fixed.repartitionByRange(*MONTH, *series_cols, "timestamp_ms", "file")
+    fixed = out if months is None else materialize(out.filter(_in(months)))
+    # by month, where large ones are many tasks
+    (add_calendar(fixed.hint("rebalance", *MONTH), "timestamp")
+     .select(*_schema(fields, target, n_lags).names)
      .sortWithinPartitions(*MONTH, *series_cols, "timestamp_ms", "file")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*MONTH).parquet(path))
-    written = [tuple(r) for r in fixed.select(*MONTH).distinct().collect()]
+    done = fixed if months is not None else read_store(spark, path, fields, target, n_lags)
+    written = [tuple(r) for r in done.select(*MONTH).distinct().collect()]
     for y, m in set(months or []) - set(written):       # all its files moved elsewhere
         _folder(spark, f"{path}/year={y}/month={m}", lambda fs, folder: fs.delete(folder, True))
     return written

@@ -75,6 +75,32 @@ def test_a_file_that_comes_again_replaces_its_row(spark):
     assert got[2]["delta_minutes"] == 59 * 24 * 60
 
 
+def test_first_load_writes_nothing_on_the_way(spark, monkeypatch):
+    calls, plain = [], fs.materialize
+    monkeypatch.setattr(fs, "materialize", lambda df: calls.append(df) or plain(df))
+    rows = [(s, dt.datetime(y, m, 3), y + m) for s in (1, None) for y in (2019, 2020)
+            for m in (1, 6, 12)]
+    path = shared_dir(spark, "first-load")
+    whole = stats(spark, rows)
+    again = whole.withColumn("timestamp", F.col("timestamp") - F.expr("INTERVAL 1 DAY"))
+    written = fs.load_features(spark, path, whole.unionByName(again), ["s"])
+    assert not calls and sorted(written) == [(y, m) for y in (2019, 2020) for m in (1, 6, 12)]
+    got = table_rows(spark, path, whole)
+    assert len(got) == len(rows)
+    seam = [r for r in fs.read_store(spark, path, [whole.schema["s"]]).collect()
+            if (r["year"], r["month"]) == (2020, 1)]
+    assert [(r["delta_minutes"], r["mean_rr_lag1"]) for r in seam] == [(31 * 1440.0, None)] * 2
+
+
+def test_a_load_without_rows_changes_nothing(spark):
+    path = shared_dir(spark, "no-rows")
+    whole = stats(spark, [(1, dt.datetime(2020, m, 3), m) for m in (1, 2)])
+    fs.load_features(spark, path, whole, ["s"])
+    want = table_rows(spark, path, whole)
+    assert fs.load_features(spark, path, whole.limit(0), ["s"]) == []
+    assert table_rows(spark, path, whole) == want
+
+
 def test_runs_table(spark):
     root = shared_dir(spark, "runs-table")
     assert runs.read_runs(spark, root).count() == 0

@@ -206,3 +206,20 @@ def test_two_level_with_null_times_and_keys(spark):
                           bucket=F.date_trunc("day", "ts"))
         key = lambda d: sorted((r["file"], r["v_lag1"], r["v_lag2"], r["v_lag3"]) for r in d.collect())
         assert key(a) == key(b), part
+
+
+def test_gaps_by_spans_equal_one_window_per_series(spark):
+    rnd = random.Random(4)
+    rows = [(s, f"f{i:04d}", T(2018, 12, 1) + dt.timedelta(hours=rnd.randrange(24 * 1500)))
+            for i in range(200) for s in (1, 2, None) if s == 1 or rnd.random() < 0.05]
+    # a series without rows in 2020, rows of one instant, rows without a time
+    rows += [(7, f"g{t}", T(t, 12, 31, 23)) for t in (2018, 2019, 2021, 2022)]
+    rows += [(8, c, T(2020, 1, 1)) for c in "ab"] + [(8, "c", None), (9, "d", None)]
+    df = spark.createDataFrame(rows, "s int, file string, ts timestamp_ntz"
+                               ).withColumn("year", F.year("ts"))
+    order = ["ts", "file"]
+    want = lags.add_time_delta(df, "ts", "gap", ["s"], order)
+    got = lags.add_time_delta_spans(df, "ts", "gap", ["s"], order, "year")
+    assert got.columns == want.columns
+    key = lambda d: sorted(map(tuple, d.collect()), key=str)
+    assert key(got) == key(want) and got.count() == len(rows)
