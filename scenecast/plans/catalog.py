@@ -212,11 +212,13 @@ def d_prepared(spark, sf_dir, shared: bool = True) -> DataFrame:
     return materialize(p) if shared else p
 
 
-def s_prepared(spark, sf_dir, shared: bool = True) -> DataFrame:
-    """S prepared: lags per supplier and year with month buckets (see h_prepared)."""
-    p = ds.prepare(series.supplier_features(table(spark, sf_dir, "lineitem")),
-                   lag_bucket="month", series_cols=["l_suppkey"])
-    return materialize(p) if shared else p
+def s_prepared(spark, sf_dir) -> DataFrame:
+    """S prepared: lags per supplier and year, in windows of at most 366 scenes.
+
+    The rows are those of the table: what several branches read is written after the split.
+    """
+    return ds.prepare(series.supplier_features(table(spark, sf_dir, "lineitem")),
+                      lag_bucket=None, series_cols=["l_suppkey"])
 
 
 # ================================================================ A5, P13-P15
@@ -278,7 +280,7 @@ def q_feature_table_daily(spark, sf_dir):
     FROM p""")
 def q_feature_table_by_series(spark, sf_dir):
     """P13-P18, W1, W2 on many series at once: one daily series per supplier."""
-    p = s_prepared(spark, sf_dir, shared=False)
+    p = s_prepared(spark, sf_dir)
     out = p.select("l_suppkey", *[c for c in ds.FEATURE_TABLE_COLS if c != "hour"],
                    F.col("hour").cast("bigint").alias("hour"), "hour_sin", "hour_cos", "date",
                    "mean_rr_lag1", "mean_rr_lag2", "mean_rr_lag3")

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from scenecast.plans import catalog
@@ -94,3 +95,17 @@ def test_read_listing_metadata_only(spark, tmp_path):
 def test_group_top_n_limits_before_shuffle(spark, name):
     p = _plan(catalog.QUERIES[name](spark, SF_SMALL))
     assert "WindowGroupLimit" in p
+
+
+def _row_shuffles(df) -> int:
+    """Shuffles of the table's rows; those of one row per series and span are left out."""
+    return _plan(df).count("Exchange hashpartitioning(")
+
+
+def test_many_series_are_shuffled_for_scenes_and_once_for_gaps_and_lags(spark):
+    df = catalog.QUERIES["feature_table_by_series"](spark, SF_SMALL)
+    p = _plan(df)
+    # nothing is written on the way, and no join hands carries back to the rows
+    assert p.count("FileScan parquet") == 2 and "Join" not in p and "Scan ExistingRDD" not in p
+    # scenes (both branches), last times per series and year, per series; rows by series and year
+    assert _row_shuffles(df) == 5
