@@ -26,7 +26,7 @@ from scenecast.operators import nearest
 from scenecast.operators import reports as rp
 from scenecast.operators import scenes as sc
 from scenecast.plans import series
-from scenecast.schemas import FEATURE_COLS
+from scenecast.schemas import FEATURE_COLS, TARGET
 from scenecast.session import materialize, shared_dir
 from scenecast.sources import listing as ls
 
@@ -1288,9 +1288,16 @@ _S_FRAMES_SQL = f"""
 S_TEST = ("2001-01-01", "2001-12-31")                 # S: test year 2001
 
 
-def s_frames(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """(train, test) model frames over all suppliers."""
-    train, test = ds.time_split(s_prepared(spark, sf_dir), D_TRAIN_YEAR, *S_TEST)
+def s_frames(spark, sf_dir, shared: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(train, test) model frames over all suppliers.
+
+    ``shared``: the rows of either set are written once, for both are read; a query that
+    reads one of them skips that.
+    """
+    p = s_prepared(spark, sf_dir).select(*S_KEYS, "year", "date", TARGET, *FEATURE_COLS)
+    if shared:
+        p = materialize(p.filter(ds.train_condition(D_TRAIN_YEAR) | ds.in_window(*S_TEST)))
+    train, test = ds.time_split(p, D_TRAIN_YEAR, *S_TEST)
     return ds.model_frame(train, keys=S_KEYS), ds.model_frame(test, keys=S_KEYS)
 
 

@@ -109,3 +109,12 @@ def test_many_series_are_shuffled_for_scenes_and_once_for_gaps_and_lags(spark):
     assert p.count("FileScan parquet") == 2 and "Join" not in p and "Scan ExistingRDD" not in p
     # scenes (both branches), last times per series and year, per series; rows by series and year
     assert _row_shuffles(df) == 5
+
+
+def test_both_sets_of_the_series_are_written_without_other_rows(spark):
+    train, test = catalog.s_frames(spark, SF_SMALL)
+    p = _plan(train)
+    assert "Scan ExistingRDD" in p and "FileScan" not in p and "timestamp_str" not in p
+    years = {r["y"] for f in (train, test) for r in f.select(
+        F.year("timestamp").alias("y")).distinct().collect()}
+    assert years == {catalog.D_TRAIN_YEAR, 2001}
