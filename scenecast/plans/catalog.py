@@ -1310,7 +1310,7 @@ def s_frames(spark, sf_dir, shared: bool = True) -> tuple[DataFrame, DataFrame]:
     SELECT model, l_suppkey, {_SCORE_SQL} FROM pred GROUP BY model, l_suppkey""")
 def q_scores_by_series(spark, sf_dir):
     """A8-A10 per model and supplier in one aggregate."""
-    _, test = s_frames(spark, sf_dir)
+    _, test = s_frames(spark, sf_dir, shared=False)
     wide = test.withColumn("mean3", (F.col("mean_rr_lag1") + F.col("mean_rr_lag2")
                                      + F.col("mean_rr_lag3")) / 3.0)
     pred = ev.stack_predictions(wide, {"persistence": "mean_rr_lag1", "mean3": "mean3"}, S_KEYS)

@@ -111,6 +111,11 @@ def test_many_series_are_shuffled_for_scenes_and_once_for_gaps_and_lags(spark):
     assert _row_shuffles(df) == 5
 
 
+def test_one_reader_of_the_series_writes_nothing(spark):
+    p = _plan(catalog.QUERIES["scores_by_series"](spark, SF_SMALL))
+    assert "Scan ExistingRDD" not in p and "Join" not in p
+
+
 def test_both_sets_of_the_series_are_written_without_other_rows(spark):
     train, test = catalog.s_frames(spark, SF_SMALL)
     p = _plan(train)
