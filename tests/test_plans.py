@@ -123,3 +123,9 @@ def test_both_sets_of_the_series_are_written_without_other_rows(spark):
     years = {r["y"] for f in (train, test) for r in f.select(
         F.year("timestamp").alias("y")).distinct().collect()}
     assert years == {catalog.D_TRAIN_YEAR, 2001}
+
+
+def test_series_fits_read_the_split_rows(spark):
+    # one read of the written rows each for the fits, the test rows and the fits joined to them
+    p = _plan(catalog.QUERIES["linreg_per_series"](spark, SF_SMALL))
+    assert "FileScan" not in p and "timestamp_str" not in p
