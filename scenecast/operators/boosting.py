@@ -96,7 +96,9 @@ class SecondOrderBoosting(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionC
         cols = [f"x{j}" for j in range(len(first["x"]))]
         wide = rows.select("y", *[F.get("x", F.lit(j)).alias(c) for j, c in enumerate(cols)])
         n, mean = wide.agg(F.count(F.lit(1)), F.avg("y")).first()
-        wide = materialize(wide.repartition(-(-n // ROWS_PER_PARTITION)))
+        wide = wide.repartition(-(-n // ROWS_PER_PARTITION))
+        if not self.isDefined(self.edges):
+            wide = materialize(wide)              # read for the quantiles and for the bins
         cuts = self._cuts(wide, cols)
         binned = Bucketizer(splitsArray=[[-np.inf, *c, np.inf] for c in cuts], inputCols=cols,
                             outputCols=[f"b{j}" for j in range(len(cols))],
@@ -117,6 +119,8 @@ class SecondOrderBoosting(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionC
             tree, node, won = self._tree(rows, cuts, used, t)
             gains += won
             trees.append(tree)
+            if t + 1 == self._get("rounds"):
+                break                             # no tree reads the margins after the last one
             leaf = F.get(_literal(tree[2]), F.col("node") - (2 ** depth - 1))
             after = node.select("id", "y", (F.col("margin") + eta * leaf).alias("margin"), "bins")
             if (t + 1) % self._get("checkpointEvery") == 0:

@@ -114,3 +114,13 @@ def test_level_aggregate_combines_before_the_shuffle(frame):
     binned, cuts, mean = SecondOrderBoosting(bins=8)._binned(mdl.assembler(FEATS).transform(frame))
     assert binned.columns == ["id", "y", "margin", "bins"] and len(cuts) == 3
     assert all(len(c) <= 7 for c in cuts)
+
+
+def test_fixed_cuts_write_the_bins_alone(frame, monkeypatch):
+    from scenecast.operators import boosting
+    calls, plain = [], boosting.materialize
+    monkeypatch.setattr(boosting, "materialize", lambda df: calls.append(df) or plain(df))
+    mdl.boosted_l2_pipeline(FEATS, rounds=2, depth=2, edges=[[5.0]] * 3, checkpointEvery=2
+                            ).fit(frame)
+    # the margins after the last tree are not written: nothing reads them
+    assert [df.columns for df in calls] == [["id", "y", "margin", "bins"]]
