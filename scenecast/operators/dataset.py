@@ -36,7 +36,8 @@ def time_bucket(bucket, time_col: str = "timestamp"):
 
 def feature_table(stats: DataFrame, delta_bucket: Column | str | None = "day",
                   keep_timestamp: bool = False, materialize: bool = True,
-                  series_cols: list[str] | None = None) -> DataFrame:
+                  series_cols: list[str] | None = None, times: DataFrame | None = None
+                  ) -> DataFrame:
     """Accepted scene statistics -> feature table.
 
     ``stats`` has ``file, timestamp, mean_rr, max_rr, std_rr, frac_rainy``.
@@ -48,14 +49,17 @@ def feature_table(stats: DataFrame, delta_bucket: Column | str | None = "day",
     not recomputed by the two branches of that plan.  With ``series_cols`` the
     table holds many series: the columns come first and gaps restart per series.
     ``delta_bucket="year"`` then keeps the rows shuffled by series and ``year``, so that lags
-    per series and year need no further shuffle, and nothing is checkpointed.
+    per series and year need no further shuffle, and nothing is checkpointed; ``times`` are then
+    the series columns and ``timestamp`` of the same scenes (see :func:`add_time_delta_spans`).
     """
     series_cols = list(series_cols or [])
     if series_cols and isinstance(delta_bucket, str) and delta_bucket == "year":
         narrow = stats.select(*series_cols, "file", "timestamp", *SCENE_STATS,
                               F.year("timestamp").alias("year"))
+        if times is not None:
+            times = times.select(*series_cols, "timestamp", F.year("timestamp").alias("year"))
         df = add_time_delta_spans(narrow, "timestamp", "delta_minutes", series_cols,
-                                  ["timestamp", "file"], "year")
+                                  ["timestamp", "file"], "year", times)
         df = add_calendar(df, "timestamp", year="year")
         return df.select(*series_cols, *FEATURE_TABLE_COLS,
                          *(["timestamp"] if keep_timestamp else []))

@@ -245,7 +245,8 @@ def add_time_delta(df: DataFrame, ts: str = "timestamp", out: str = "delta_minut
 
 
 def add_time_delta_spans(df: DataFrame, ts: str, out: str, partition_by: list[str],
-                         order_by: list[str], span: str) -> DataFrame:
+                         order_by: list[str], span: str, times: DataFrame | None = None
+                         ) -> DataFrame:
     """W2 per series for tables of many series; equal to :func:`add_time_delta`.
 
     ``span``: a column of ``df`` that is non-decreasing in ``ts``, e.g. its year.  The window holds a
@@ -253,9 +254,11 @@ def add_time_delta_spans(df: DataFrame, ts: str, out: str, partition_by: list[st
     needs the last time before its span: one maximum per series and span, which is added
     to the rows and leaves after the window.  Rows are shuffled once, by the series and
     ``span``, and stay so for lags per series and ``span``; null keys form their own series.
+    ``times``: the same series, times and spans as ``df`` in any number of rows, for callers that
+    have them from a cheaper source (the rows that ``df`` is aggregated from).
     """
     first = Window.partitionBy(*partition_by).orderBy("__bucket")
-    ends = (df.groupBy(*partition_by, F.col(span).alias("__bucket"))
+    ends = ((df if times is None else times).groupBy(*partition_by, F.col(span).alias("__bucket"))
             .agg(F.max(ts).alias("__end")))
     seams = ends.select(*partition_by, F.col("__bucket").alias(span),
                         F.lag("__end").over(first).alias(ts), F.lit(True).alias("__seam"))

@@ -43,6 +43,14 @@ def scene_name(prefix: str, ts: Column) -> Column:
     return F.concat(F.lit(prefix + "_s"), F.date_format(ts, "yyyyMMddHHmmss"), F.lit(".nc"))
 
 
+def scene_pixels(pixels: DataFrame, time_col: str, value_col: str, unit: str,
+                 series_cols: list[str]) -> DataFrame:
+    """Pixels with their scene (series columns, ``timestamp``) and clean value ``v``."""
+    t = F.date_trunc(unit, F.col(time_col)).cast("timestamp_ntz")
+    v = clean_value(F.col(value_col).cast("double"))
+    return pixels.select(*series_cols, t.alias("timestamp"), v.alias("v"))
+
+
 def series_stats(pixels: DataFrame, time_col: str, value_col: str, unit: str,
                  prefix: str, threshold: float,
                  series_cols: list[str] | None = None) -> DataFrame:
@@ -53,9 +61,7 @@ def series_stats(pixels: DataFrame, time_col: str, value_col: str, unit: str,
     mean_rr, max_rr, std_rr, frac_rainy (+ series columns).
     """
     series_cols = series_cols or []
-    t = F.date_trunc(unit, F.col(time_col)).cast("timestamp_ntz")
-    v = clean_value(F.col(value_col).cast("double"))
-    stats = (pixels.select(*series_cols, t.alias("timestamp"), v.alias("v"))
+    stats = (scene_pixels(pixels, time_col, value_col, unit, series_cols)
              .groupBy(*series_cols, "timestamp")
              .agg(F.count("v").alias("n_valid"),
                   F.avg("v").alias("mean_rr"), F.max("v").alias("max_rr"),
@@ -75,16 +81,21 @@ def daily_stats(lineitem: DataFrame, threshold: float = D_THRESHOLD) -> DataFram
 
 
 def supplier_features(lineitem: DataFrame, threshold: float = D_THRESHOLD,
-                      keep_timestamp: bool = False) -> DataFrame:
+                      keep_timestamp: bool = False, pixel_times: bool = False) -> DataFrame:
     """S: one daily series per supplier; scenes and features grow with the table.
 
     Gaps are taken per supplier and year: a supplier with a third of all rows has at most
-    366 scenes in one.
+    366 scenes in one.  ``pixel_times``: the last time of each supplier and year comes straight
+    from the valid pixels, not from a second aggregate of all scenes.
     """
+    times = None
+    if pixel_times:
+        times = scene_pixels(lineitem, "l_shipdate", "l_extendedprice", "day",
+                             ["l_suppkey"]).filter(F.col("v").isNotNull())
     stats = series_stats(lineitem, "l_shipdate", "l_extendedprice", "day", "D", threshold,
                          ["l_suppkey"])
     return feature_table(stats.filter(F.col("n_valid") > 0), delta_bucket="year",
-                         keep_timestamp=keep_timestamp, series_cols=["l_suppkey"])
+                         keep_timestamp=keep_timestamp, series_cols=["l_suppkey"], times=times)
 
 
 def gap_stats(orders: DataFrame, threshold: float = O_THRESHOLD) -> DataFrame:

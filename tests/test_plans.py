@@ -129,3 +129,49 @@ def test_series_fits_read_the_split_rows(spark):
     # one read of the written rows each for the fits, the test rows and the fits joined to them
     p = _plan(catalog.QUERIES["linreg_per_series"](spark, SF_SMALL))
     assert "FileScan" not in p and "timestamp_str" not in p
+
+
+def _scene_filters(plan: str) -> str:
+    """What the scan under the scenes' aggregate filters by (the first scan in the plan's text)."""
+    return plan.split("FileScan parquet")[1].split("DataFilters: ")[1].split("Format:")[0]
+
+
+def test_scenes_outside_the_years_of_the_sets_are_not_shuffled(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(catalog, "materialize", lambda p: written.append(_plan(p)) or p)
+    catalog.s_frames(spark, SF_SMALL)
+    assert "year(" in _scene_filters(written[0])
+    # the last times before a year come from the pixels of all years, without another aggregate of scenes
+    for p in written:
+        assert "year(" not in p.split("FileScan parquet")[2].split("DataFilters: ")[1].split(
+            "Format:")[0]
+        assert p.count("Exchange hashpartitioning(l_suppkey#") >= 3
+        assert p.count("partial_stddev_pop") == 1 and p.count("partial_max(timestamp") == 1
+
+
+def test_frames_of_the_series_equal_the_split_of_all_rows(spark, tmp_path):
+    import datetime as dt
+    import random
+    from scenecast.operators import dataset as ds
+    rnd = random.Random(6)
+    prices = [10.0, 60000.0, 7.5, -1.0, float("nan"), None]
+    days = [dt.datetime(y, 1, 1) + dt.timedelta(days=d) for y in (1998, 2000, 2001, 2002)
+            for d in (0, 1, 2, 5, 9, 200, 364)]
+    rows = [(s, t, rnd.choice(prices)) for s in (1, 2, None) for t in [*days, None]
+            for _ in range(3) if rnd.random() < 0.8]
+    # a supplier whose only valid rows before 2001 are of 1998
+    rows += [(3, dt.datetime(1998, 5, 5), 5.0), (3, dt.datetime(2000, 5, 5), -5.0)]
+    rows += [(3, dt.datetime(2001, 1, d), float(d)) for d in range(1, 7)]
+    spark.createDataFrame(rows, "l_suppkey long, l_shipdate timestamp_ntz, l_extendedprice double"
+                          ).write.parquet(str(tmp_path / "lineitem.parquet"))
+
+    def key(d):
+        return sorted(map(tuple, d.collect()), key=str)
+    whole = catalog.s_prepared(spark, str(tmp_path))
+    assert key(catalog.s_prepared(spark, str(tmp_path), pixel_times=True)) == key(whole)
+    want = [ds.model_frame(f, keys=catalog.S_KEYS)
+            for f in ds.time_split(whole, catalog.D_TRAIN_YEAR, *catalog.S_TEST)]
+    assert all(f.count() for f in want)
+    for shared in (True, False):
+        got = catalog.s_frames(spark, str(tmp_path), shared)
+        assert [key(f) for f in got] == [key(f) for f in want]
