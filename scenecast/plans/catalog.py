@@ -1305,6 +1305,7 @@ def s_frames(spark, sf_dir, shared: bool = True) -> tuple[DataFrame, DataFrame]:
         p = materialize(p.filter(F.col("year").isin(D_TRAIN_YEAR, *test_years)).filter(
             ds.train_condition(D_TRAIN_YEAR) | ds.in_window(*S_TEST)))
     train, test = ds.time_split(p, D_TRAIN_YEAR, *S_TEST)
+    test = test.filter(F.col("year").isin(test_years))
     return ds.model_frame(train, keys=S_KEYS), ds.model_frame(test, keys=S_KEYS)
 
 

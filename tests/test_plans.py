@@ -137,12 +137,16 @@ def _scene_filters(plan: str) -> str:
 
 
 def test_scenes_outside_the_years_of_the_sets_are_not_shuffled(spark, monkeypatch):
+    df = catalog.QUERIES["scores_by_series"](spark, SF_SMALL)
+    assert "year(" in _scene_filters(_plan(df))
+    # last times by supplier and year, by supplier; scenes; rows by supplier and year; scores
+    assert _row_shuffles(df) == 5
     written = []
     monkeypatch.setattr(catalog, "materialize", lambda p: written.append(_plan(p)) or p)
     catalog.s_frames(spark, SF_SMALL)
     assert "year(" in _scene_filters(written[0])
     # the last times before a year come from the pixels of all years, without another aggregate of scenes
-    for p in written:
+    for p in (_plan(df), written[0]):
         assert "year(" not in p.split("FileScan parquet")[2].split("DataFilters: ")[1].split(
             "Format:")[0]
         assert p.count("Exchange hashpartitioning(l_suppkey#") >= 3
