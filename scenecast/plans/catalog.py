@@ -1505,9 +1505,8 @@ def q_job_train_backtest(spark, sf_dir):
 def q_feature_store_loads(spark, sf_dir):
     """S6 + W1 + W2: a first load, a late month and a newer stretch give the table of one load."""
     from scenecast.sources import feature_store as fs
-    stats = series.series_stats(
-        table(spark, sf_dir, "lineitem"), "l_shipdate", "l_extendedprice", "day", "D",
-        series.D_THRESHOLD, ["l_suppkey"]).filter("n_valid > 0").drop("n_valid")
+    stats = (series.supplier_stats(table(spark, sf_dir, "lineitem"))
+             .filter("n_valid > 0").drop("n_valid"))
     t = F.col("timestamp")
     late = F.date_trunc("month", t) == F.lit("1998-03-01").cast("timestamp_ntz")
     newer = t >= F.lit("2001-06-10").cast("timestamp_ntz")

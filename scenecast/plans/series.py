@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from scenecast.functions.calendar import add_calendar
 from scenecast.functions.metrics import frac_above
 from scenecast.operators.dataset import feature_table
+from scenecast.operators.lags import ROWS_PER_BUCKET
 from scenecast.operators.scenes import clean_value
 
 # Fixed values of the stand-in views.
@@ -53,16 +54,24 @@ def scene_pixels(pixels: DataFrame, time_col: str, value_col: str, unit: str,
 
 def series_stats(pixels: DataFrame, time_col: str, value_col: str, unit: str,
                  prefix: str, threshold: float,
-                 series_cols: list[str] | None = None) -> DataFrame:
+                 series_cols: list[str] | None = None, sparse: bool = False) -> DataFrame:
     """A1-A5 for a series whose scenes are time buckets (no grid, no crop).
 
     One ``groupBy(bucket)`` on a timestamp key (hash aggregate, partial
     aggregation before the shuffle).  Output: file, timestamp, n_valid,
     mean_rr, max_rr, std_rr, frac_rainy (+ series columns).
+
+    ``sparse``: there are nearly as many scenes as pixels.  Partial aggregates would then hold a
+    group for every row of a split, several times its size, and spill; so the narrow pixels are
+    shuffled as they are, by series and scene, into tasks of a bounded number of rows on average.
     """
     series_cols = series_cols or []
-    stats = (scene_pixels(pixels, time_col, value_col, unit, series_cols)
-             .groupBy(*series_cols, "timestamp")
+    px = scene_pixels(pixels, time_col, value_col, unit, series_cols)
+    if sparse:
+        tasks = max(pixels.sparkSession.sparkContext.defaultParallelism,
+                    -(-pixels.count() // ROWS_PER_BUCKET))
+        px = px.repartition(tasks, *series_cols, "timestamp")
+    stats = (px.groupBy(*series_cols, "timestamp")
              .agg(F.count("v").alias("n_valid"),
                   F.avg("v").alias("mean_rr"), F.max("v").alias("max_rr"),
                   F.stddev_pop("v").alias("std_rr"),
@@ -80,6 +89,12 @@ def daily_stats(lineitem: DataFrame, threshold: float = D_THRESHOLD) -> DataFram
     return series_stats(lineitem, "l_shipdate", "l_extendedprice", "day", "D", threshold)
 
 
+def supplier_stats(lineitem: DataFrame, threshold: float = D_THRESHOLD) -> DataFrame:
+    """S: scene statistics per supplier and day; most such days hold a single line."""
+    return series_stats(lineitem, "l_shipdate", "l_extendedprice", "day", "D", threshold,
+                        ["l_suppkey"], sparse=True)
+
+
 def supplier_features(lineitem: DataFrame, threshold: float = D_THRESHOLD,
                       keep_timestamp: bool = False, pixel_times: bool = False) -> DataFrame:
     """S: one daily series per supplier; scenes and features grow with the table.
@@ -92,8 +107,7 @@ def supplier_features(lineitem: DataFrame, threshold: float = D_THRESHOLD,
     if pixel_times:
         times = scene_pixels(lineitem, "l_shipdate", "l_extendedprice", "day",
                              ["l_suppkey"]).filter(F.col("v").isNotNull())
-    stats = series_stats(lineitem, "l_shipdate", "l_extendedprice", "day", "D", threshold,
-                         ["l_suppkey"])
+    stats = supplier_stats(lineitem, threshold)
     return feature_table(stats.filter(F.col("n_valid") > 0), delta_bucket="year",
                          keep_timestamp=keep_timestamp, series_cols=["l_suppkey"], times=times)
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from scenecast.plans import catalog
+from scenecast.plans import catalog, series
 from scenecast.sources import listing as ls
 
 MODEL_QUERIES = {"linreg_nine", "tree", "forest", "boosted", "importance_rank",
@@ -153,6 +153,37 @@ def test_scenes_outside_the_years_of_the_sets_are_not_shuffled(spark, monkeypatc
         assert p.count("partial_stddev_pop") == 1 and p.count("partial_max(timestamp") == 1
 
 
+@pytest.mark.parametrize("name", ["scores_by_series", "feature_table_by_series"])
+def test_pixels_of_the_suppliers_are_shuffled_before_they_are_grouped(spark, monkeypatch, name):
+    import re
+    monkeypatch.setattr(series, "ROWS_PER_BUCKET", 250)
+    p = _plan(catalog.QUERIES[name](spark, SF_SMALL))
+    rows = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    # a partial aggregate of scenes would hold a group for nearly every row of a split
+    dealt = re.findall(r"hashpartitioning\(l_suppkey#\d+L?, timestamp#\d+, (\d+)\), (\w+)", p)
+    assert dealt and set(dealt) == {(str(-(-rows // 250)), "REPARTITION_BY_NUM")}
+    assert "partial_stddev_pop" in p.split("REPARTITION_BY_NUM")[0]
+
+
+def test_scenes_of_the_suppliers_equal_those_of_the_plain_aggregate(spark):
+    import datetime as dt
+    import itertools
+    prices = [5.0, 60000.0, 7.5, -1.0, float("nan"), None]
+    days = [dt.datetime(2000, 1, 1, 5), dt.datetime(2000, 1, 1), dt.datetime(2001, 3, 3), None]
+    rows = [(s, t, v) for s, t in itertools.product((1, 2, None), days) for v in prices] * 2
+    rows += [(4, days[0], None), (4, days[2], float("nan"))]
+    df = spark.createDataFrame(
+        rows, "l_suppkey long, l_shipdate timestamp_ntz, l_extendedprice double")
+    plain = series.series_stats(df, "l_shipdate", "l_extendedprice", "day", "D",
+                                series.D_THRESHOLD, ["l_suppkey"])
+
+    def key(d):
+        return sorted(([round(x, 9) if isinstance(x, float) else x for x in r]
+                       for r in d.collect()), key=str)
+    got = key(series.supplier_stats(df))
+    assert got == key(plain) and len(got) == 11
+
+
 def test_frames_of_the_series_equal_the_split_of_all_rows(spark, tmp_path):
     import datetime as dt
     import random
