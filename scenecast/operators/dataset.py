@@ -50,14 +50,15 @@ def feature_table(stats: DataFrame, delta_bucket: Column | str | None = "day",
     table holds many series: the columns come first and gaps restart per series.
     ``delta_bucket="year"`` then keeps the rows shuffled by series and ``year``, so that lags
     per series and year need no further shuffle, and nothing is checkpointed; ``times`` are then
-    the series columns and ``timestamp`` of the same scenes (see :func:`add_time_delta_spans`).
+    the series columns, ``timestamp`` and ``year`` of the same scenes (see
+    :func:`add_time_delta_spans`); years before the first of ``stats`` may share one value.
     """
     series_cols = list(series_cols or [])
     if series_cols and isinstance(delta_bucket, str) and delta_bucket == "year":
         narrow = stats.select(*series_cols, "file", "timestamp", *SCENE_STATS,
                               F.year("timestamp").alias("year"))
         if times is not None:
-            times = times.select(*series_cols, "timestamp", F.year("timestamp").alias("year"))
+            times = times.select(*series_cols, "timestamp", "year")
         df = add_time_delta_spans(narrow, "timestamp", "delta_minutes", series_cols,
                                   ["timestamp", "file"], "year", times)
         df = add_calendar(df, "timestamp", year="year")

@@ -212,13 +212,14 @@ def d_prepared(spark, sf_dir, shared: bool = True) -> DataFrame:
     return materialize(p) if shared else p
 
 
-def s_prepared(spark, sf_dir, pixel_times: bool = False) -> DataFrame:
+def s_prepared(spark, sf_dir, pixel_times: bool = False, from_year: int | None = None
+               ) -> DataFrame:
     """S prepared: lags per supplier and year, in windows of at most 366 scenes.
 
     The rows are those of the table: what several branches read is written after the split.
     """
     return ds.prepare(series.supplier_features(table(spark, sf_dir, "lineitem"),
-                                               pixel_times=pixel_times),
+                                               pixel_times=pixel_times, from_year=from_year),
                       lag_bucket=None, series_cols=["l_suppkey"])
 
 
@@ -1295,12 +1296,13 @@ def s_frames(spark, sf_dir, shared: bool = True) -> tuple[DataFrame, DataFrame]:
     ``shared``: the rows of either set are written once, for both are read; a query that
     reads one of them skips that.  The years of the sets are named beside their days: lags and
     gaps are windows per supplier and year, so Spark takes that condition down to the rows of
-    the table, before they are shuffled.  The last times before a year still come from all years.
+    the table, before they are shuffled.  The last times before a year still come from all years,
+    those before the first year of the sets as one.
     """
-    p = s_prepared(spark, sf_dir, pixel_times=True).select(
-        *S_KEYS, "year", "date", TARGET, *FEATURE_COLS)
     first, last = (ds.parse_day(d).year for d in S_TEST)
     test_years = list(range(first, last + 1))
+    p = s_prepared(spark, sf_dir, from_year=min(D_TRAIN_YEAR, first)).select(
+        *S_KEYS, "year", "date", TARGET, *FEATURE_COLS)
     if shared:
         p = materialize(p.filter(F.col("year").isin(D_TRAIN_YEAR, *test_years)).filter(
             ds.train_condition(D_TRAIN_YEAR) | ds.in_window(*S_TEST)))

@@ -96,20 +96,28 @@ def supplier_stats(lineitem: DataFrame, threshold: float = D_THRESHOLD) -> DataF
 
 
 def supplier_features(lineitem: DataFrame, threshold: float = D_THRESHOLD,
-                      keep_timestamp: bool = False, pixel_times: bool = False) -> DataFrame:
+                      keep_timestamp: bool = False, pixel_times: bool = False,
+                      from_year: int | None = None) -> DataFrame:
     """S: one daily series per supplier; scenes and features grow with the table.
 
     Gaps are taken per supplier and year: a supplier with a third of all rows has at most
     366 scenes in one.  ``pixel_times``: the last time of each supplier and year comes straight
     from the valid pixels, not from a second aggregate of all scenes.
+    ``from_year``: only the scenes of that year and later, with the gaps they have among all.  Their
+    last times come from the pixels too, one for all years before, so that the scans' partial
+    maxima, which hold a supplier in every split, do not also hold each of those years.
     """
+    ok = supplier_stats(lineitem, threshold).filter(F.col("n_valid") > 0)
     times = None
-    if pixel_times:
-        times = scene_pixels(lineitem, "l_shipdate", "l_extendedprice", "day",
-                             ["l_suppkey"]).filter(F.col("v").isNotNull())
-    stats = supplier_stats(lineitem, threshold)
-    return feature_table(stats.filter(F.col("n_valid") > 0), delta_bucket="year",
-                         keep_timestamp=keep_timestamp, series_cols=["l_suppkey"], times=times)
+    if pixel_times or from_year is not None:
+        year = F.year("timestamp")
+        if from_year is not None:
+            ok = ok.filter(year >= from_year)
+            year = F.greatest(year, F.lit(from_year - 1))
+        times = (scene_pixels(lineitem, "l_shipdate", "l_extendedprice", "day", ["l_suppkey"])
+                 .filter(F.col("v").isNotNull()).withColumn("year", year))
+    return feature_table(ok, delta_bucket="year", keep_timestamp=keep_timestamp,
+                         series_cols=["l_suppkey"], times=times)
 
 
 def gap_stats(orders: DataFrame, threshold: float = O_THRESHOLD) -> DataFrame:

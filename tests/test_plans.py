@@ -184,6 +184,30 @@ def test_scenes_of_the_suppliers_equal_those_of_the_plain_aggregate(spark):
     assert got == key(plain) and len(got) == 11
 
 
+def test_last_times_before_the_years_of_the_sets_are_one_a_supplier(spark, tmp_path, monkeypatch):
+    import datetime as dt
+    from scenecast.operators import dataset as ds
+    rows = [(s, dt.datetime(y, m, 3), float(m)) for s in (1, 2, None) for y in range(1990, 2003)
+            for m in (2, 9)] + [(1, None, 4.0), (4, dt.datetime(1991, 5, 5), 5.0),
+                                (4, dt.datetime(2002, 5, 5), 5.0), (None, None, 1.0)]
+    spark.createDataFrame(rows, "l_suppkey long, l_shipdate timestamp_ntz, l_extendedprice double"
+                          ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spans = []
+    plain = ds.add_time_delta_spans
+
+    def seen(*args):
+        spans.append(args[-1])
+        return plain(*args)
+    monkeypatch.setattr(ds, "add_time_delta_spans", seen)
+    catalog.s_frames(spark, str(tmp_path), shared=False)
+    # 1990 to 1999 as one, then 2000, 2001 and 2002
+    assert spans[0].select("l_suppkey", "year").distinct().count() == 3 * 4 + 2
+
+    whole = catalog.s_prepared(spark, str(tmp_path)).filter("year >= 2000").collect()
+    got = catalog.s_prepared(spark, str(tmp_path), from_year=2000).collect()
+    assert sorted(got, key=str) == sorted(whole, key=str) and len(got) == 19
+
+
 def test_frames_of_the_series_equal_the_split_of_all_rows(spark, tmp_path):
     import datetime as dt
     import random
