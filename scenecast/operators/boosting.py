@@ -13,14 +13,21 @@ from quantiles.
 * The margins of the rows are kept between trees; every ``checkpoint_every`` trees they are
   written to the shared checkpoint folder, so a lost executor costs at most the trees since.
 
-The leaf sums of a tree are those of its last level's best splits: no extra job.  Fitted
-models are pipeline stages that save and load like the others; scoring walks the trees, one
-constant, with array functions inside the row.
+* With fixed cuts and all rows in every tree, rows of the same bins take the same way down every
+  tree: they are summed once to cells (bins, rows, sum of labels).  Up to ``CELLS`` of them are
+  boosted from those sums at the driver; with more, every level is an aggregate of the rows.
+
+The leaf sums of a tree are those of its last level's best splits: no extra job.  Of splits
+that are equal but for rounding the first wins, whatever the order of the sums.  Fitted
+models are pipeline stages that save and load like the others; scoring looks the bins up in a
+table of all their combinations where these are few, else it walks the trees.  Either is one
+constant, read with array functions inside the row.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import random
 
 import numpy as np
@@ -39,6 +46,9 @@ from scenecast.session import materialize
 
 ROWS_PER_PARTITION = 250_000
 LARGEST = 1.7976931348623157e308
+CELLS = 100_000                  # most cells that come to the driver
+TABLE_CELLS = 200_000            # most combinations of bins that a model scores by look-up
+SAME_SCORE = 1 - 1e-12           # scores of splits closer than this differ by rounding
 
 
 def _param(name: str, doc: str, convert) -> Param:
@@ -85,8 +95,12 @@ class SecondOrderBoosting(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionC
         found = wide.approxQuantile(cols, [k / n for k in range(1, n)], 0.25 / n)
         return [sorted({v for v in q if v == v}) for q in found]
 
-    def _binned(self, dataset: DataFrame) -> tuple[DataFrame, list[list[float]], float]:
-        """(id, y, margin, bins) written once, the cuts, and the mean label."""
+    def _binned(self, dataset: DataFrame, write: bool = True
+                ) -> tuple[DataFrame, list[list[float]], float]:
+        """(id, y, margin, bins), the cuts, and the mean label.
+
+        The rows are spread and written once; without ``write`` they stay where they are.
+        """
         label = F.col(self.getLabelCol()).cast("double")
         rows = dataset.select(label.alias("y"), vector_to_array(self.getFeaturesCol()).alias("x")
                               ).filter(F.col("y").isNotNull())
@@ -96,7 +110,8 @@ class SecondOrderBoosting(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionC
         cols = [f"x{j}" for j in range(len(first["x"]))]
         wide = rows.select("y", *[F.get("x", F.lit(j)).alias(c) for j, c in enumerate(cols)])
         n, mean = wide.agg(F.count(F.lit(1)), F.avg("y")).first()
-        wide = wide.repartition(-(-n // ROWS_PER_PARTITION))
+        if write:
+            wide = wide.repartition(-(-n // ROWS_PER_PARTITION))
         if not self.isDefined(self.edges):
             wide = materialize(wide)              # read for the quantiles and for the bins
         cuts = self._cuts(wide, cols)
@@ -107,16 +122,64 @@ class SecondOrderBoosting(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionC
                             F.lit(mean).alias("margin"),
                             F.array(*[F.col(f"b{j}").cast("int") for j in range(len(cols))]
                                     ).alias("bins"))
-        return materialize(out), cuts, mean
+        return materialize(out) if write else out, cuts, mean
 
     def _fit(self, dataset: DataFrame) -> "SecondOrderBoostedModel":
-        rows, cuts, mean = self._binned(dataset)
+        cells = None
+        if self._get("subsample") >= 1 and self.isDefined(self.edges):
+            rows, cuts, mean = self._binned(dataset, write=False)
+            cells = _cells(rows) if rows is not None else None
+        if cells is None:
+            rows, cuts, mean = self._binned(dataset)
+            trees, gains = self._boost_rows(rows, cuts)
+        else:
+            trees, gains = self._boost_cells(*cells, cuts, mean)
+        model = SecondOrderBoostedModel(
+            base=mean, depth=self._get("depth"), eta=self._get("eta"),
+            gains=[float(g) for g in gains],
+            splits=[int(f) for tree in trees for f in tree[0]],
+            cuts=[float(c) for tree in trees for c in tree[1]],
+            leaves=[float(v) for tree in trees for v in tree[2]])
+        return self._copyValues(model)
+
+    def _used(self, p: int, t: int) -> list[int]:
+        """The features of a tree."""
+        rng = random.Random(self.getSeed() * 1_000_003 + t)
+        return sorted(rng.sample(range(p), max(1, round(self._get("colsample") * p))))
+
+    def _boost_cells(self, bins: np.ndarray, n: np.ndarray, y: np.ndarray,
+                     cuts: list[list[float]], mean: float):
+        """Trees and gains from the cells' bins, rows and sums of labels."""
+        p, wide = len(cuts), max(map(len, cuts)) + 2
+        at_bin = bins + np.arange(p) * wide
+        trees, gains = [], np.zeros(p)
+        off = mean - y / n                        # margin less mean label
+        hess_of = np.repeat(n.astype(float), p)
+        for t in range(self._get("rounds")):
+            node, grad_of = np.zeros(len(n), dtype=int), np.repeat(n * off, p)
+
+            def sums(first, width):
+                at = ((node - first)[:, None] * (p * wide) + at_bin).ravel()
+                return [np.bincount(at, of, width * p * wide).reshape(width, p, wide)
+                        for of in (grad_of, hess_of)]
+
+            def down(feature, cut_bin):
+                nonlocal node
+                below = bins[np.arange(len(n)), np.take(feature, node)] <= np.take(cut_bin, node)
+                node = 2 * node + np.where(below, 1, 2)
+
+            tree, won = self._grow(cuts, self._used(p, t), sums, down)
+            off = off + self._get("eta") * np.take(tree[2], node - len(tree[0]))
+            gains += won
+            trees.append(tree)
+        return trees, gains
+
+    def _boost_rows(self, rows: DataFrame | None, cuts: list[list[float]]):
+        """Trees and gains, a Spark job for every level."""
         depth, eta, p = self._get("depth"), self._get("eta"), len(cuts)
         trees, gains, held = [], np.zeros(p), None
         for t in range(self._get("rounds") if rows is not None else 0):
-            rng = random.Random(self.getSeed() * 1_000_003 + t)
-            used = sorted(rng.sample(range(p), max(1, round(self._get("colsample") * p))))
-            tree, node, won = self._tree(rows, cuts, used, t)
+            tree, node, won = self._tree(rows, cuts, self._used(p, t), t)
             gains += won
             trees.append(tree)
             if t + 1 == self._get("rounds"):
@@ -135,52 +198,76 @@ class SecondOrderBoosting(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionC
                 old.unpersist()
         if held is not None:
             held.unpersist()
-        model = SecondOrderBoostedModel(
-            base=mean, depth=depth, eta=eta, gains=[float(g) for g in gains],
-            splits=[int(f) for tree in trees for f in tree[0]],
-            cuts=[float(c) for tree in trees for c in tree[1]],
-            leaves=[float(v) for tree in trees for v in tree[2]])
-        return self._copyValues(model)
+        return trees, gains
 
     def _tree(self, rows: DataFrame, cuts: list[list[float]], used: list[int], t: int):
-        """One tree as (features, cuts, leaf values), the rows with their ``node``, gain per feature."""
-        depth, l2, least = self._get("depth"), self._get("l2"), self._get("minWeight")
-        inner = 2 ** depth - 1
-        feature, cut, cut_bin = [0] * inner, [np.inf] * inner, [2 ** 30] * inner
-        values, won = np.zeros(2 ** depth), np.zeros(len(cuts))
+        """One tree, the rows with their ``node``, gain per feature."""
         share = self._get("subsample")
         drawn = F.pmod(F.xxhash64("id", F.lit(self.getSeed()), F.lit(t)), F.lit(1_000_000)) < int(
             share * 1_000_000)
         node = rows.withColumn("node", F.lit(0))
-        for level in range(depth):
-            first, width = 2 ** level - 1, 2 ** level
+
+        def sums(first, width):
             picked = F.array(*[F.struct(F.lit(f).alias("f"), F.get("bins", F.lit(f)).alias("b"))
                                for f in used])
-            sums = ((node.filter(drawn) if share < 1 else node)
-                    .select("node", (F.col("margin") - F.col("y")).alias("g"),
-                            F.inline(picked))
-                    .groupBy("node", "f", "b").agg(F.sum("g").alias("g"),
-                                                   F.count(F.lit(1)).alias("h")).toArrow())
-            at, f, b, g, h = (sums.column(c).to_numpy() for c in ("node", "f", "b", "g", "h"))
+            got = ((node.filter(drawn) if share < 1 else node)
+                   .select("node", (F.col("margin") - F.col("y")).alias("g"),
+                           F.inline(picked))
+                   .groupBy("node", "f", "b").agg(F.sum("g").alias("g"),
+                                                  F.count(F.lit(1)).alias("h")).toArrow())
+            at, f, b, g, h = (got.column(c).to_numpy() for c in ("node", "f", "b", "g", "h"))
             shape = (width, len(cuts), max(map(len, cuts)) + 2)
             grad, hess = np.zeros(shape), np.zeros(shape)
             grad[at - first, f, b], hess[at - first, f, b] = g, h
+            return grad, hess
+
+        def down(feature, cut_bin):
+            nonlocal node
+            below = F.get("bins", F.get(_literal(feature), F.col("node"))) <= F.get(
+                _literal(cut_bin), F.col("node"))
+            node = node.withColumn("node", 2 * F.col("node") + F.when(below, 1).otherwise(2))
+
+        tree, won = self._grow(cuts, used, sums, down)
+        return tree, node, won
+
+    def _grow(self, cuts: list[list[float]], used: list[int], sums, down):
+        """One tree as (features, cuts, leaf values), gain per feature.
+
+        ``sums`` gives a level's gradients and hessians per (node, feature, bin), ``down``
+        moves the rows to the level below.
+        """
+        depth, l2, least = self._get("depth"), self._get("l2"), self._get("minWeight")
+        inner = 2 ** depth - 1
+        feature, cut, cut_bin = [0] * inner, [np.inf] * inner, [2 ** 30] * inner
+        values, won = np.zeros(2 ** depth), np.zeros(len(cuts))
+        for level in range(depth):
+            first, width = 2 ** level - 1, 2 ** level
+            grad, hess = sums(first, width)
+            whole_g, whole_h = grad[:, used[0]].sum(axis=1), hess[:, used[0]].sum(axis=1)
+            found = _best_splits(grad, hess, cuts, used, l2, least)
             for k in range(width):
-                whole_g, whole_h = grad[k, used[0]].sum(), hess[k, used[0]].sum()
-                best = _best_split(grad[k], hess[k], cuts, used, l2, least)
-                left = (whole_g, whole_h)
-                if best is not None:
-                    gain, j, i, left = best
+                left = (whole_g[k], whole_h[k])
+                if found[k] is not None:
+                    gain, j, i, left = found[k]
                     feature[first + k], cut[first + k], cut_bin[first + k] = j, cuts[j][i], i
                     won[j] += gain
                 if level == depth - 1:
                     values[2 * k] = -left[0] / (left[1] + l2) if left[1] else 0.0
-                    right = whole_g - left[0], whole_h - left[1]
+                    right = whole_g[k] - left[0], whole_h[k] - left[1]
                     values[2 * k + 1] = -right[0] / (right[1] + l2) if right[1] else 0.0
-            below = F.get("bins", F.get(_literal(feature), F.col("node"))) <= F.get(
-                _literal(cut_bin), F.col("node"))
-            node = node.withColumn("node", 2 * F.col("node") + F.when(below, 1).otherwise(2))
-        return (feature, cut, values.tolist()), node, won
+            down(feature, cut_bin)
+        return (feature, cut, values.tolist()), won
+
+
+def _cells(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Bins, number of rows and sum of labels of the rows of the same bins; None for over ``CELLS``."""
+    got = (rows.groupBy("bins").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y"))
+           .limit(CELLS + 1).toArrow())
+    if len(got) > CELLS:
+        return None
+    bins = got.column("bins").combine_chunks().flatten().to_numpy().reshape(len(got), -1)
+    order = np.lexsort(bins.T)                    # the order of the sums is always the same
+    return bins[order], *(got.column(c).to_numpy()[order] for c in ("n", "y"))
 
 
 def _literal(values: list) -> Column:
@@ -188,22 +275,33 @@ def _literal(values: list) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def _best_split(grad: np.ndarray, hess: np.ndarray, cuts: list[list[float]], used: list[int],
-                l2: float, least: float):
-    """(gain, feature, cut number, sums of the left child) of one node, or None without a gain."""
-    best = None
+def _best_splits(grad: np.ndarray, hess: np.ndarray, cuts: list[list[float]], used: list[int],
+                 l2: float, least: float) -> list:
+    """(gain, feature, cut number, sums of the left child) of every node, None without a gain.
+
+    Of a node's best splits, equal but for rounding, it is the first feature's first cut.
+    """
+    left_g, left_h = grad.cumsum(axis=2), hess.cumsum(axis=2)
+    all_g, all_h = left_g[:, :, -1:], left_h[:, :, -1:]
+    right_g, right_h = all_g - left_g, all_h - left_h
+    is_cut = np.zeros(grad.shape[1:], dtype=bool)
     for j in used:
-        n = len(cuts[j])
-        g, h = grad[j].cumsum(), hess[j].cumsum()
-        all_g, all_h, left_g, left_h = g[-1], h[-1], g[:n], h[:n]
-        right_g, right_h = all_g - left_g, all_h - left_h
-        gain = (left_g ** 2 / (left_h + l2) + right_g ** 2 / (right_h + l2)
-                - all_g ** 2 / (all_h + l2))
-        gain[(left_h < max(least, 1)) | (right_h < max(least, 1))] = 0
-        if n and gain.max() > (best[0] if best else 1e-9):
-            i = int(gain.argmax())
-            best = float(gain[i]), j, i, (float(left_g[i]), float(left_h[i]))
-    return best
+        is_cut[j, :len(cuts[j])] = True
+    tried = is_cut & (left_h >= max(least, 1)) & (right_h >= max(least, 1))
+    score, gain = np.full(grad.shape, -1.0), np.zeros(grad.shape)
+    score[tried] = (left_g[tried] ** 2 / (left_h[tried] + l2)
+                    + right_g[tried] ** 2 / (right_h[tried] + l2))
+    whole = np.broadcast_to(all_g, grad.shape)[tried] ** 2 / (
+        np.broadcast_to(all_h, grad.shape)[tried] + l2)
+    gain[tried] = score[tried] - whole
+    top = score.max(axis=(1, 2), keepdims=True)
+    best = tried & (score >= top * SAME_SCORE) & (gain > 1e-9)
+    out = []
+    for k, at in enumerate(best.reshape(len(best), -1).argmax(axis=1)):
+        j, i = divmod(int(at), grad.shape[2])
+        out.append((float(gain[k, j, i]), j, i, (float(left_g[k, j, i]), float(left_h[k, j, i])))
+                   if best[k, j, i] else None)
+    return out
 
 
 class SecondOrderBoostedModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionCol,
@@ -235,14 +333,24 @@ class SecondOrderBoostedModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionC
         return Vectors.dense(gains / gains.sum() if gains.sum() else gains)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        depth, n = self.getOrDefault(self.depth), self.numTrees
-        inner = 2 ** depth - 1
+        n, inner = self.numTrees, 2 ** self.getOrDefault(self.depth) - 1
         lists = [np.array(self.getOrDefault(p)).reshape(n, -1 if n else size).tolist()
                  for p, size in ((self.splits, inner), (self.cuts, inner), (self.leaves, inner + 1))]
-        # all trees as one constant; a cut of infinity sends every value left
-        trees = F.from_json(F.lit(json.dumps([
-            {"f": f, "c": [min(v, LARGEST) for v in c], "v": v} for f, c, v in zip(*lists)])),
-            "array<struct<f:array<int>,c:array<double>,v:array<double>>>")
+        # a cut of infinity sends every value left
+        trees = [(f, [min(v, LARGEST) for v in c], v) for f, c, v in zip(*lists)]
+        total = self._looked_up(trees)
+        if total is None:
+            total = self._walked(trees)
+        score = F.lit(self.getOrDefault(self.base)) + self.getOrDefault(self.eta) * total
+        return (dataset.withColumn("__x", vector_to_array(self.getFeaturesCol()))
+                .withColumn(self.getPredictionCol(), score).drop("__x"))
+
+    def _walked(self, trees: list[tuple]) -> Column:
+        """Sum of the leaves that a row comes to."""
+        depth = self.getOrDefault(self.depth)
+        inner = 2 ** depth - 1
+        trees = F.from_json(F.lit(json.dumps([{"f": f, "c": c, "v": v} for f, c, v in trees])),
+                            "array<struct<f:array<int>,c:array<double>,v:array<double>>>")
         x, levels = F.col("__x"), F.array(*[F.lit(i) for i in range(depth)])
 
         def leaf(tree: Column) -> Column:
@@ -250,7 +358,40 @@ class SecondOrderBoostedModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionC
                 F.get(x, F.get(tree["f"], at)) < F.get(tree["c"], at), 1).otherwise(2))
             return F.get(tree["v"], node - inner)
 
-        total = F.aggregate(trees, F.lit(0.0), lambda acc, tree: acc + leaf(tree))
-        score = F.lit(self.getOrDefault(self.base)) + self.getOrDefault(self.eta) * total
-        return (dataset.withColumn("__x", vector_to_array(self.getFeaturesCol()))
-                .withColumn(self.getPredictionCol(), score).drop("__x"))
+        return F.aggregate(trees, F.lit(0.0), lambda acc, tree: acc + leaf(tree))
+
+    def _looked_up(self, trees: list[tuple]) -> Column | None:
+        """The same sum from a table with a value for every combination of bins; None for too many."""
+        depth, p = self.getOrDefault(self.depth), len(self.getOrDefault(self.gains))
+        found = [set() for _ in range(p)]
+        for features, tree_cuts, _ in trees:
+            for j, c in zip(features, tree_cuts):
+                found[j].add(c)
+        cuts = [sorted(s) for s in found]
+        shape = [len(c) + 1 for c in cuts]
+        if not trees or math.prod(shape) > TABLE_CELLS:
+            return None
+        bin_of = [{c: i for i, c in enumerate(cs)} for cs in cuts]
+        table, inner = np.zeros(shape), 2 ** depth - 1
+
+        def add(tree, node, box):
+            """Every leaf's value to its box of bins."""
+            if node >= inner:
+                table[tuple(slice(*b) for b in box)] += tree[2][node - inner]
+                return
+            j = tree[0][node]
+            (low, high), cut = box[j], bin_of[j][tree[1][node]] + 1
+            for child, side in ((2 * node + 1, (low, min(high, cut))),
+                                (2 * node + 2, (max(low, cut), high))):
+                if side[0] < side[1]:
+                    add(tree, child, box[:j] + [side] + box[j + 1:])
+
+        for tree in trees:
+            add(tree, 0, [(0, size) for size in shape])
+        place = F.lit(0)
+        for j, cs in enumerate(cuts):
+            x, one = F.get("__x", F.lit(j)), F.lit(1)
+            at = F.aggregate(_literal(cs), F.lit(0), lambda n, c: n + F.when(
+                x < c, 0).otherwise(one)) if cs else F.lit(0)
+            place = place * shape[j] + at
+        return F.get(F.from_json(F.lit(json.dumps(table.ravel().tolist())), "array<double>"), place)

@@ -1345,60 +1345,86 @@ def q_linreg_by_series(spark, sf_dir):
 # ---------------------------------------------------------------- second-order boosting
 
 # Fixed candidate cuts, so that SQL tries the same splits.
+_LAG_EDGES = [15000.0, 30000.0, 45000.0, 60000.0]
 L2_EDGES = {"max_rr": [15000.0, 25000.0, 35000.0, 45000.0, 55000.0, 65000.0],
-            "mean_rr_lag1": [15000.0, 30000.0, 45000.0, 60000.0],
-            "frac_rainy": [0.2, 0.4, 0.6, 0.8]}
-L2_ROUNDS, L2_DEPTH, L2_ETA, L2_PENALTY = 2, 2, 0.3, 1.0
+            "std_rr": [1.0, 10000.0, 25000.0],
+            "frac_rainy": [0.2, 0.4, 0.6, 0.8],
+            "delta_minutes": [2160.0, 5040.0, 10080.0, 20160.0],
+            "hour_sin": [-0.5, 0.5], "hour_cos": [-0.5, 0.5],
+            "mean_rr_lag1": _LAG_EDGES, "mean_rr_lag2": _LAG_EDGES, "mean_rr_lag3": _LAG_EDGES}
+L2_ROUNDS, L2_DEPTH, L2_ETA, L2_PENALTY = (
+    mdl.BOOSTED_L2_PARAMS[k] for k in ("rounds", "depth", "eta", "l2"))
 
 
 def _boosted_l2_ctes() -> str:
-    """The rounds in SQL: per level all candidate splits of all nodes, the best, and the way down."""
-    feats = list(L2_EDGES)
+    """The rounds in SQL: per level all candidate splits of all nodes, the best, and the way down.
 
-    def value(of: str) -> str:
-        return f"CASE {of}.f " + " ".join(f"WHEN {i} THEN r.{c}" for i, c in enumerate(feats)) + " END"
+    Rows on the same side of every cut are one cell; a step of the recursion is a level.  Splits
+    that are equal but for rounding are told apart by feature and cut.
+    """
+    feats = list(L2_EDGES)
     cuts = ", ".join(f"({i}, {e})" for i, c in enumerate(feats) for e in L2_EDGES[c])
-    out = f"""
+    cell = ", ".join(f"CASE WHEN {c} < {e} THEN 1 ELSE 0 END" for c in feats for e in L2_EDGES[c])
+    value = "CASE f " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(feats)) + " END"
+    last = f"step % {L2_DEPTH} = 0"
+    return f"""
+    celled AS (SELECT *, [{cell}] AS cell FROM frame),
+    base AS (SELECT avg(label) AS mean FROM frame WHERE train),
+    cells AS MATERIALIZED (
+      SELECT cell, row_number() OVER (ORDER BY cell) AS id, count(CASE WHEN train THEN 1 END) AS n,
+             sum(CASE WHEN train THEN label END) AS y, {', '.join(f'min({c}) AS {c}' for c in feats)}
+      FROM celled GROUP BY cell),
     cuts(f, cut) AS (VALUES {cuts}),
-    m0 AS (SELECT *, (SELECT avg(label) FROM {{rows}} WHERE train) AS margin FROM {{rows}})"""
-    for t in range(L2_ROUNDS):
-        out += f""",
-    n{t}_0 AS (SELECT *, 0 AS node FROM m{t})"""
-        for k in range(L2_DEPTH):
-            out += f""",
-    s{t}_{k} AS (
-      SELECT node, c.f, c.cut, sum(r.margin - r.label) AS g, count(*) AS h,
-             coalesce(sum(CASE WHEN {value('c')} < c.cut THEN r.margin - r.label END), 0) AS gl,
-             count(CASE WHEN {value('c')} < c.cut THEN 1 END) AS hl
-      FROM n{t}_{k} r JOIN cuts c ON r.train GROUP BY node, c.f, c.cut),
-    b{t}_{k} AS (
-      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY
-          gl * gl / (hl + {L2_PENALTY}) + (g - gl) * (g - gl) / (h - hl + {L2_PENALTY}) DESC, f, cut)
-        AS rank FROM s{t}_{k} WHERE hl > 0 AND hl < h) WHERE rank = 1),
-    n{t}_{k + 1} AS (
-      SELECT r.* EXCLUDE (node), r.node * 2 + CASE WHEN {value('b')} < b.cut THEN 1 ELSE 2 END
-             AS node, CASE WHEN {value('b')} < b.cut THEN -b.gl / (b.hl + {L2_PENALTY})
-                           ELSE -(b.g - b.gl) / (b.h - b.hl + {L2_PENALTY}) END AS leaf{k}
-      FROM n{t}_{k} r JOIN b{t}_{k} b USING (node))"""
-        drop = ", ".join(["node", "margin"] + [f"leaf{k}" for k in range(L2_DEPTH)])
-        out += f""",
-    m{t + 1} AS (SELECT * EXCLUDE ({drop}), margin + {L2_ETA} * leaf{L2_DEPTH - 1} AS margin
-                 FROM n{t}_{L2_DEPTH})"""
-    return out.format(rows="frame")
+    sides AS MATERIALIZED (SELECT id, n, f, cut, {value} < cut AS below FROM cells, cuts),
+    walk(step, id, node, off, margin) USING KEY (id) AS (
+      SELECT 0, id, 0, CASE WHEN n > 0 THEN mean - y / n ELSE 0 END, mean FROM cells, base
+      UNION ALL
+      (WITH tried AS (
+        SELECT node, f, cut, sum(n * off) AS g, sum(n) AS h,
+               sum(CASE WHEN below THEN n * off ELSE 0 END) AS gl,
+               sum(CASE WHEN below THEN n ELSE 0 END) AS hl
+        FROM walk JOIN sides USING (id) GROUP BY node, f, cut),
+      gained AS (
+        SELECT *, max(score) OVER (PARTITION BY node) AS top, g * g / (h + {L2_PENALTY}) AS whole
+        FROM (SELECT *, CASE WHEN hl > 0 AND hl < h THEN
+                gl * gl / (hl + {L2_PENALTY}) + (g - gl) * (g - gl) / (h - hl + {L2_PENALTY}) END AS score
+              FROM tried)),
+      best AS (
+        SELECT node, any_value(g) AS g, any_value(h) AS h,
+               arg_min({{'f': f, 'cut': cut, 'gl': gl, 'hl': hl}}, (f, cut)) FILTER (
+                 WHERE score >= top * (1 - 1e-12) AND score - whole > 1e-9) AS b
+        FROM gained GROUP BY node),
+      moved AS (
+        SELECT step + 1 AS step, w.id, w.node, w.off, w.margin, b.b IS NULL OR below AS goes_left,
+               CASE WHEN b.h = 0 THEN 0
+                    WHEN b.b IS NULL THEN -b.g / (b.h + {L2_PENALTY})
+                    WHEN below THEN -b.b.gl / (b.b.hl + {L2_PENALTY})
+                    ELSE -(b.g - b.b.gl) / (b.h - b.b.hl + {L2_PENALTY}) END AS leaf
+        FROM walk w JOIN best b ON w.node = b.node
+        LEFT JOIN sides s ON s.id = w.id AND s.f = b.b.f AND s.cut = b.b.cut
+        WHERE step < {L2_ROUNDS * L2_DEPTH})
+      SELECT step, id, CASE WHEN {last} THEN 0 WHEN goes_left THEN 2 * node + 1 ELSE 2 * node + 2 END,
+             CASE WHEN {last} THEN off + {L2_ETA} * leaf ELSE off END,
+             CASE WHEN {last} THEN margin + {L2_ETA} * leaf ELSE margin END
+      FROM moved))"""
 
 
 @query("boosted_l2", f"""
-    WITH {S_PREPARED_CTE.strip()},
+    WITH RECURSIVE {S_PREPARED_CTE.strip()},
     frame AS (
-      SELECT l_suppkey, timestamp, mean_rr AS label, max_rr, mean_rr_lag1, frac_rainy,
+      SELECT l_suppkey, timestamp, mean_rr AS label, {', '.join(L2_EDGES)},
              year = {D_TRAIN_YEAR} AS train
       FROM p WHERE year IN ({D_TRAIN_YEAR}, 2001) AND {_COMPLETE_SQL}),
     {_boosted_l2_ctes().strip()},
     scored AS (SELECT 'boosted_trees' AS model, label, margin AS prediction
-               FROM m{L2_ROUNDS} WHERE NOT train)
+               FROM celled JOIN cells USING (cell) JOIN walk USING (id) WHERE NOT train)
     SELECT model, {_SCORE_SQL} FROM scored GROUP BY model""")
 def q_boosted_l2(spark, sf_dir):
-    """M6: second-order boosting with an L2 penalty on the rows of all suppliers (fixed cuts)."""
+    """M6: second-order boosting with an L2 penalty on the rows of all suppliers (fixed cuts).
+
+    The published rounds, depth, step and penalty on all features; every tree takes every row
+    and feature, for SQL draws no such samples.
+    """
     train, test = s_frames(spark, sf_dir)
     feats = list(L2_EDGES)
     fitted = mdl.fit_models(train, {"boosted_trees": lambda: mdl.boosted_l2_pipeline(

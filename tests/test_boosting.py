@@ -124,3 +124,75 @@ def test_fixed_cuts_write_the_bins_alone(frame, monkeypatch):
                             ).fit(frame)
     # the margins after the last tree are not written: nothing reads them
     assert [df.columns for df in calls] == [["id", "y", "margin", "bins"]]
+
+
+def _trees(model):
+    last = model.stages[-1]
+    return [np.array(last.getOrDefault(p)) for p in (last.splits, last.cuts, last.leaves, last.gains)]
+
+
+def test_cells_are_boosted_like_their_rows(frame, monkeypatch):
+    from scenecast.operators import boosting
+    make = mdl.boosted_l2_pipeline(FEATS, rounds=3, depth=3, eta=0.4, subsample=1.0, colsample=0.7,
+                                   edges=[[2.0, 4.0, 6.0, 8.0], [1.0, 4.0, 7.0], [3.0, 6.0]])
+    calls, plain = [], boosting.materialize
+    monkeypatch.setattr(boosting, "materialize", lambda df: calls.append(df) or plain(df))
+    cells = _trees(make.fit(frame))
+    assert not calls
+    monkeypatch.setattr(boosting, "CELLS", 9)          # there are more of them
+    rows = _trees(make.fit(frame))
+    assert len(calls) == 1
+    for a, b in zip(cells, rows):
+        assert np.allclose(a[np.isfinite(a)], b[np.isfinite(b)], atol=1e-9) and a.shape == b.shape
+
+
+def test_scores_looked_up_equal_the_walked(spark, frame, monkeypatch):
+    from scenecast.operators import boosting
+    fitted = mdl.boosted_l2_pipeline(FEATS, rounds=5, depth=4, edges=[[2.0, 5.0], [4.0], [3.0, 6.0]]
+                                     ).fit(frame).stages[-1]
+    odd = [float("nan"), float("inf"), float("-inf"), 0.0, 2.0, 4.0, 5.0, 6.0, 7.5]
+    rows = [(a, b, c) for a in odd for b in odd for c in odd]
+    keep = mdl.assembler(FEATS).setHandleInvalid("keep")
+    x = keep.transform(spark.createDataFrame(rows, "a double, b double, c double").coalesce(1))
+
+    def scores():
+        return [r["prediction"] for r in fitted.transform(x).collect()]
+    looked = scores()
+    monkeypatch.setattr(boosting, "TABLE_CELLS", 1)
+    walked = scores()
+    assert looked == walked and len(set(walked)) > 4
+
+
+def test_equal_splits_go_to_the_first_feature(frame):
+    # the same rows on either side, summed in another order
+    twins = frame.withColumns({"b": 10 - F.col("a"), "c": F.col("a") * 3})
+    edges = [[2.0, 4.0, 7.0], [3.0, 6.0, 8.0], [6.0, 12.0, 21.0]]
+    model = mdl.boosted_l2_pipeline(FEATS, rounds=30, depth=3, subsample=1.0, colsample=1.0, edges=edges
+                                    ).fit(twins)
+    splits, cuts, _, _ = _trees(model)
+    assert not splits[np.isfinite(cuts)].any() and np.isfinite(cuts).any()
+
+
+def test_query_fits_the_published_trees_and_equals_its_sql(spark, tmp_path, monkeypatch):
+    import datetime as dt
+    import random
+
+    import duckdb
+    from scenecast.plans import catalog
+    from scenecast.schemas import FEATURE_COLS
+    rnd = random.Random(3)
+    rows = [(s, dt.datetime(y, 1, 1) + dt.timedelta(days=d), v) for s in (1, 2, None)
+            for y in (1999, 2000, 2001) for d in rnd.sample(range(365), 70) for v in rnd.sample(
+                [rnd.uniform(900, 105000), rnd.uniform(900, 105000), -1.0, None], 2)]
+    spark.createDataFrame(rows * 2, "l_suppkey long, l_shipdate timestamp_ntz, l_extendedprice double"
+                          ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    fits, plain = [], mdl.fit_models
+    monkeypatch.setattr(mdl, "fit_models", lambda *a: fits.append(plain(*a)) or fits[-1])
+    got = [tuple(r) for r in catalog.QUERIES["boosted_l2"](spark, str(tmp_path)).collect()]
+    first, model = fits[0]["boosted_trees"].stages
+    assert first.getInputCols() == FEATURE_COLS
+    assert {k: model.numTrees if k == "rounds" else model.getOrDefault(k)
+            for k in ("rounds", "depth", "eta")} == {"rounds": 600, "depth": 6, "eta": 0.05}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    assert con.sql(catalog.ORACLE["boosted_l2"]).fetchall() == got and got[0][1] > 100
